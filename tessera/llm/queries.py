@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from .packing import op9_packing
-from .sharding import op10_sharding
-from .token_counts import op5_token_counts
+from . import decontamination, packing, quality, sharding, token_counts, urls
 
 QUERIES = {
-    "op5_token_counts": op5_token_counts,
-    "op9_packing": op9_packing,
-    "op10_sharding": op10_sharding,
+    "op2_decontamination": decontamination.op2_decontamination,
+    "op3_url_filters": urls.op3_url_filters,
+    "op4_quality_rules": quality.op4_quality_rules,
+    "op5_token_counts": token_counts.op5_token_counts,
+    "op9_packing": packing.op9_packing,
+    "op10_sharding": sharding.op10_sharding,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_decontamination": decontamination.ORACLE,
+    "op3_url_filters": urls.ORACLE,
+    "op4_quality_rules": quality.ORACLE,
+}
