@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontamination, packing, quality, sharding, token_counts, urls
+from . import decontamination, html_text, packing, quality, sharding, token_counts, urls, warc
 
 QUERIES = {
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_url_filters": urls.op3_url_filters,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_token_counts": token_counts.op5_token_counts,
+    "op6_html_text": html_text.op6_html_text,
+    "op8_warc": warc.op8_warc,
     "op9_packing": packing.op9_packing,
     "op10_sharding": sharding.op10_sharding,
 }
@@ -17,4 +19,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontamination.ORACLE,
     "op3_url_filters": urls.ORACLE,
     "op4_quality_rules": quality.ORACLE,
+    "op8_warc": warc.ORACLE,
 }
