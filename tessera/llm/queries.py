@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, packing, quality, sharding, token_counts, urls, warc
+from . import decontamination, html_text, ngram_join, packing, quality, sharding, token_counts, urls, warc
 
 QUERIES = {
     "op2_decontamination": decontamination.op2_decontamination,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_token_counts": token_counts.op5_token_counts,
     "op6_html_text": html_text.op6_html_text,
+    "op7_ngram_join": ngram_join.op7_ngram_join,
     "op8_warc": warc.op8_warc,
     "op9_packing": packing.op9_packing,
     "op10_sharding": sharding.op10_sharding,
@@ -19,5 +20,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontamination": decontamination.ORACLE,
     "op3_url_filters": urls.ORACLE,
     "op4_quality_rules": quality.ORACLE,
+    "op7_ngram_join": ngram_join.ORACLE,
     "op8_warc": warc.ORACLE,
 }
