@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, ngram_join, packing, quality, sharding, token_counts, urls, warc
+from . import decontamination, html_text, ngram_join, packing, quality, sharding, suffix_dedup, token_counts, urls, warc
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_decontamination": decontamination.op2_decontamination,
     "op3_url_filters": urls.op3_url_filters,
     "op4_quality_rules": quality.op4_quality_rules,
