@@ -12,8 +12,9 @@ _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 PRETOKEN = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
 UNSAFE = re.compile(r"[^\t\n\v\f\r -~\xa0-ɏ‐-‧‰-⁞€]")
 
-#: Entries that a worker's cache holds at most, and the longest cached pre-token.
-CACHE, LONGEST = 200_000, 64
+#: Entries of each of the two generations of a worker's cache, and the longest
+#: cached pre-token.
+CACHE, LONGEST = 400_000, 64
 
 
 def vocabulary_path(name: str) -> str:
@@ -33,20 +34,31 @@ def special_strings(path: str) -> list[str]:
         return [x["content"] for x in json.load(f)["added_tokens"]]
 
 
+def _visible() -> dict[int, str]:
+    """The vocabulary's spelling of bytes: printable ones stand for
+    themselves, the others for the characters from 256 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b if b in plain else next(rest)) for b in range(256)}
+
+
 class Cache(dict):
-    """pre-token -> what encode() makes of it; emptied when it is full, so a
-    worker's memory is bounded whatever the texts hold."""
+    """pre-token -> what encode() makes of it.  Two generations: when this one
+    is full it becomes the old one, from which what is used again comes back;
+    so a worker's memory is bounded whatever the texts hold."""
 
     def __init__(self, encode, first: dict | None = None) -> None:
         super().__init__(first or {})
-        self.encode, self.first = encode, first or {}
+        self.encode, self.old, self.most = encode, {}, CACHE + len(first or {})
 
     def __missing__(self, key: str):
-        out = self.encode(key)
+        out = self.old.get(key)
+        if out is None:
+            out = self.encode(key)
         if len(key) <= LONGEST:
-            if len(self) >= CACHE + len(self.first):
+            if len(self) >= self.most:
+                self.old = dict(self)
                 self.clear()
-                self.update(self.first)
             self[key] = out
         return out
 
@@ -61,8 +73,13 @@ class Encoder:
     def __init__(self, path: str, frequent: dict[str, int] | None = None) -> None:
         self.library = load(path)
         self.special = re.compile("|".join(map(re.escape, special_strings(path))) or r"(?!)")
-        self.counts = Cache(lambda x: len(self.library.encode(x, add_special_tokens=False).ids), frequent)
-        self.blobs = Cache(lambda x: array("I", self.library.encode(x, add_special_tokens=False).ids).tobytes())
+        self.spelling = _visible()
+        self.counts = Cache(lambda x: len(self._model(x)), frequent)
+        self.blobs = Cache(lambda x: array("I", [t.id for t in self._model(x)]).tobytes())
+
+    def _model(self, pretoken: str):
+        """The library's model on one pre-token."""
+        return self.library.model.tokenize("".join(map(self.spelling.__getitem__, pretoken.encode())))
 
     def plain(self, text: str) -> bool:
         return not UNSAFE.search(text) and not self.special.search(text)
