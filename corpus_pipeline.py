@@ -1,13 +1,30 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality rules, near duplicates, repeated strings,
+benchmark passages, packing."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+
+from tessera.llm import stages
+from tessera.llm.common import materialize
+
+STAGES = [
+    ("quality_rules", stages.quality_rules),
+    ("ngram_join", stages.ngram_join),
+    ("suffix_dedup", stages.suffix_dedup),
+    ("decontamination", stages.decontamination),
+    ("packing", stages.packing),
+]
+
+#: Suffix sorts and packing are not for SQL; tests/llm holds the pipeline
+#: against a brute-force version.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over documents; each stage is written as
+    Parquet and read again by the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)

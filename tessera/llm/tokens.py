@@ -73,13 +73,13 @@ class Encoder:
     def __init__(self, path: str, frequent: dict[str, int] | None = None) -> None:
         self.library = load(path)
         self.special = re.compile("|".join(map(re.escape, special_strings(path))) or r"(?!)")
-        self.spelling = _visible()
+        self.spelling, self.model = _visible(), self.library.model
         self.counts = Cache(lambda x: len(self._model(x)), frequent)
         self.blobs = Cache(lambda x: array("I", [t.id for t in self._model(x)]).tobytes())
 
     def _model(self, pretoken: str):
         """The library's model on one pre-token."""
-        return self.library.model.tokenize("".join(map(self.spelling.__getitem__, pretoken.encode())))
+        return self.model.tokenize("".join(map(self.spelling.__getitem__, pretoken.encode())))
 
     def plain(self, text: str) -> bool:
         return not UNSAFE.search(text) and not self.special.search(text)
