@@ -1,4 +1,7 @@
 """All queries of the package by name, and their SQL."""
 
-QUERIES = {}
-ORACLE_SQL = {}
+from .plans import evaluation, records
+
+_PLANS = (evaluation, records)
+QUERIES = {k: f for p in _PLANS for k, f in p.QUERIES.items()}
+ORACLE_SQL = {k: s for p in _PLANS for k, s in p.ORACLE_SQL.items()}
