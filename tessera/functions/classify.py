@@ -47,7 +47,7 @@ INPUT_WORDS = (
 
 def hits(text: Column, patterns: tuple[str, ...]) -> Column:
     """How many of the patterns a text has, case aside."""
-    return sum((F.coalesce(text.rlike("(?i)" + p), F.lit(False)).cast("int") for p in patterns), F.lit(0))
+    return sum((F.coalesce(text.rlike("(?iU)" + p), F.lit(False)).cast("int") for p in patterns), F.lit(0))
 
 
 def has_any(text: Column, words: tuple[str, ...]) -> Column:
@@ -106,5 +106,5 @@ FORMULATIONS = [(r"(?i)\b(?:iv|intravenous)\b", "intravenous"), (r"(?i)\b(?:oral
 def acronyms(text: Column, known: tuple[str, ...], stop: tuple[str, ...]) -> Column:
     """Known names in a text, then its acronyms that are not stopped."""
     listed = F.filter(F.array(*map(F.lit, known)), lambda k: F.contains(F.lower(text), F.lower(k))) if known else F.array().cast("array<string>")
-    found = F.array_except(F.regexp_extract_all(text, F.lit(r"\b([A-Z]{3,6})\b"), 1), F.array(*map(F.lit, stop)))
+    found = F.array_except(F.regexp_extract_all(text, F.lit(r"(?U)\b([A-Z]{3,6})\b"), 1), F.array(*map(F.lit, stop)))
     return F.array_distinct(F.concat(listed, found))
