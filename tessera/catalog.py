@@ -1,7 +1,7 @@
 """All queries of the package by name, and their SQL."""
 
-from .plans import evaluation, quality, records, series, texts
+from .plans import evaluation, extraction, quality, records, series, texts
 
-_PLANS = (evaluation, records, quality, series, texts)
+_PLANS = (evaluation, records, quality, series, texts, extraction)
 QUERIES = {k: f for p in _PLANS for k, f in p.QUERIES.items()}
 ORACLE_SQL = {k: s for p in _PLANS for k, s in p.ORACLE_SQL.items()}

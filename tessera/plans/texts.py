@@ -64,8 +64,11 @@ def normal_forms(spark, d):
     return x.select("p_partkey", T.normal_text(F.col("t")).alias("text_form"), T.normal_identifier(F.col("t")).alias("id_form"), T.normal_unit(F.col("u")).alias("unit_form"), T.table_form(F.col("tab")).alias("table_form"), T.symbol_form(F.col("t")).alias("symbol_form"))
 
 
+LOW = "abcdefghijklmnopqrstuvwxyz"
+
+
 def entity_detect(spark, d):
-    x = read(spark, d, "documents").select("doc_id", "lang", F.upper(F.substring("text", 1, 120)).alias("t"))
+    x = read(spark, d, "documents").select("doc_id", "lang", F.translate(F.substring("text", 1, 120), LOW, LOW.upper()).alias("t"))
     species = classify.first_label(F.col("t"), [(r"(?U)\bTHE\b", "rat"), (r"(?U)\bDER\b|\bDIE\b", "mouse"), (r"(?U)\bQUE\b", "human")], "human")
     names = classify.acronyms(F.col("t"), (), ("THE", "AND", "DER", "DIE", "QUE", "LES"))
     return x.select("doc_id", species.alias("species"), F.array_join(F.array_sort(names), ",").alias("names"))
@@ -146,7 +149,7 @@ SELECT p_partkey, CASE k WHEN 0 THEN pt::DOUBLE WHEN 1 THEN p_size::DOUBLE WHEN
   CASE WHEN k = 3 THEN p_size::DOUBLE END AS low, CASE WHEN k = 3 THEN 70.0::DOUBLE END AS high, CASE WHEN k = 3 THEN 'gestation' END AS note, CASE WHEN k = 0 THEN pt::DOUBLE END AS plain FROM x""",
     "normal_forms": """SELECT p_partkey, lower(p_name) || ' ' || lower(p_brand) AS text_form, regexp_replace(lower(p_name || p_brand), '[^a-z0-9]', '', 'g') AS id_form,
   ['/ugh', 'l/h', 'mg/l'][p_size % 3 + 1] AS unit_form, 'tables' || p_size AS table_form, substr(replace(upper(p_name), ' ', '_') || '_' || replace(p_brand, '#', '_'), 1, 40) AS symbol_form FROM part""",
-    "entity_detect": r"""WITH x AS (SELECT doc_id, upper(substr(text, 1, 120)) AS t FROM documents),
+    "entity_detect": r"""WITH x AS (SELECT doc_id, translate(substr(text, 1, 120), 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS t FROM documents),
 n AS (SELECT doc_id, regexp_split_to_array(t, '[^\pL\pN_]+') AS ws FROM x)
 SELECT doc_id, CASE WHEN list_contains(ws, 'THE') THEN 'rat' WHEN list_has_any(ws, ['DER', 'DIE']) THEN 'mouse' WHEN list_contains(ws, 'QUE') THEN 'human' ELSE 'human' END AS species,
   array_to_string(list_sort(list_distinct(list_filter(ws, lambda a: regexp_full_match(a, '[A-Z]{3,6}') AND a NOT IN ('THE', 'AND', 'DER', 'DIE', 'QUE', 'LES')))), ',') AS names FROM n""",
