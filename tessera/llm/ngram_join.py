@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .common import chunks, column_bytes, materialize, parts
 from .components import components
 from .hashing import SPACE_LOWER, U, Words, fold, mix
-from .trie import links
+from .trie import ask, links, stars
 
 #: Words of a shingle; similarity of 75 per 100 and more; sets that a task
 #: joins at once; vertices, about, that all chunks of a large block hold.
@@ -201,22 +201,20 @@ def _join(groups: DataFrame, t: tuple[int, int]) -> DataFrame:
 
     def run(key: tuple, rows: pa.Table) -> pa.Table:
         v, n, keys, comp, query = (rows.column(x).to_pylist() for x in ("v", "n", "keys", "comp", "query"))
-        seen: dict[int, tuple[int, int, np.ndarray]] = {}
-        for i, ident in enumerate(v):
-            seen.setdefault(ident, (ident, n[i], np.frombuffer(keys[i], U)))
+        sets = [(ident, n[i], np.frombuffer(keys[i], U)) for i, ident in enumerate(v)]
         if comp and comp[0] is not None:
-            asks = {ident for ident, q in zip(v, query, strict=True) if q}
-            found = links(list(seen.values()), t, dict(zip(v, comp, strict=True)), asks)
+            parts_ = ([s for s, q in zip(sets, query, strict=True) if q is asks] for asks in (False, True))
+            found = ask(*parts_, dict(zip(v, comp, strict=True)), t)
         else:
-            found = links(list(seen.values()), t)
+            found = stars(links(list({s[0]: s for s in sets}.values()), t))
         a, b = zip(*found, strict=True) if found else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return groups.groupBy("block", "x", "y").applyInArrow(run, "a long, b long")
 
 
-def similar_links(sets: DataFrame, t: tuple[int, int]) -> DataFrame:
-    """Links (a, b) that connect all similar sets."""
+def similar_roots(sets: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """(u, root): the component of each set that is not its own root."""
     lot = sets.select("v", F.explode("prefix").alias("k"))
     first = lot.groupBy("k").agg(F.min("v").alias("m"), F.count("*").alias("c")).filter("c > 1").drop("c")
     edges = lot.join(first, "k").filter("v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
@@ -230,7 +228,10 @@ def similar_links(sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     hubs = drawn.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("block", "v", "x", F.lit(0).alias("y"))
     none = {"comp": F.lit(None).cast("long"), "query": F.lit(None).cast("boolean")}
     lots = block.select("block", "v", F.col("chunk").alias("x"), F.lit(0).alias("y")).unionByName(hubs)
+    # The stars of a block that is one group are its components.
     one = materialize(_join(lots.join(sets.select("v", "n", "keys"), "v").withColumns(none), t), "links")
+    if large.isEmpty():
+        return one.select(F.col("a").alias("u"), F.col("b").alias("root"))
     # What a large block's largest component does not hold asks all chunks.
     root = components(one)
     comp = large.join(root.withColumnRenamed("u", "v"), "v", "left").withColumn("comp", F.coalesce("root", "v")).drop("root")
@@ -244,7 +245,7 @@ def similar_links(sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     asking = comp.filter("rest").withColumn("y", F.pmod(F.xxhash64("v", F.lit(5)), F.col("rk")).cast("int"))
     asking = asking.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("block", "x", "y", "v", "comp", F.lit(True).alias("query"))
     two = _join(asked.unionByName(asking).join(sets.select("v", "n", "keys"), "v"), t)
-    return one.unionByName(two)
+    return components(one.unionByName(two))
 
 
 def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, t: tuple[int, int] = SIMILAR) -> DataFrame:
@@ -277,7 +278,7 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
 
     rows = packed.filter("kind = 0").select("a", "b", "c").mapInArrow(unpack, f"{key} long, v long, n_shingles long")
     sets = materialize(ordered_sets(packed, t), "sets")
-    root = components(similar_links(sets, t))
+    root = similar_roots(sets, t)
     rows = rows.join(root.withColumnRenamed("u", "v"), "v", "left").withColumn("_c", F.when(F.col("n_shingles") > 0, F.coalesce("root", "v"))).drop("root", "v")
     least = rows.filter("_c IS NOT NULL").groupBy("_c").agg(F.min(key).alias("_m"))
     kind = docs.schema[key].dataType

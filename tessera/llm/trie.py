@@ -94,40 +94,30 @@ class Trie:
         return None
 
 
-def links(sets: list[tuple[int, int, np.ndarray]], t: tuple[int, int], known: dict[int, int] | None = None, queries: set[int] | None = None) -> list[tuple[int, int]]:
+Item = tuple[int, int, np.ndarray]
+
+
+def links(sets: list[Item], t: tuple[int, int]) -> list[tuple[int, int]]:
     """Links that connect what similarity connects among the sets (id, size,
     keys): for each pair of similar sets there is a path of links.
 
     Each component has a tree of its own, and a set asks each tree once: a
-    group of near copies costs a traversal a set, not one a pair.  known:
-    components that are known before; queries: only pairs with one of these
-    need be connected.
+    group of near copies costs a traversal a set, not one a pair.
     """
     tries: dict[int, Trie] = {}
-    members: dict[int, list[tuple[int, int, np.ndarray]]] = {}
+    members: dict[int, list[Item]] = {}
     out: list[tuple[int, int]] = []
-    order = sorted(sets, key=lambda s: (s[1], s[0]))
-    if known is not None:
-        for s in order:
-            if queries is None or s[0] not in queries:
-                c = known[s[0]]
-                tries.setdefault(c, Trie(t)).insert(*s)
-                members.setdefault(c, []).append(s)
-        order = [s for s in order if queries is not None and s[0] in queries]
-    for ident, size, keys in order:
+    for item in sorted(sets, key=lambda s: (s[1], s[0])):
         hit = []
         for c, trie in tries.items():
-            found = trie.find(size, keys)
+            found = trie.find(item[1], item[2])
             if found is not None:
-                out.append((ident, found))
+                out.append((item[0], found))
                 hit.append(c)
-        if known is not None:
-            continue  # queries of one chunk met each other before
-        own = [(ident, size, keys)]
         if not hit:
-            tries[ident], members[ident] = Trie(t), []
-            hit = [ident]
-        main = max(hit, key=lambda c: len(members[c]))
+            tries[item[0]], members[item[0]] = Trie(t), []
+            hit = [item[0]]
+        main, own = max(hit, key=lambda c: len(members[c])), [item]
         for c in hit:
             if c != main:
                 own += members.pop(c)
@@ -137,3 +127,27 @@ def links(sets: list[tuple[int, int, np.ndarray]], t: tuple[int, int], known: di
         members[main] += own
     return out
 
+
+def ask(sets: list[Item], queries: list[Item], component: dict[int, int], t: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links from each query to some similar set of each other component."""
+    tries: dict[int, Trie] = {}
+    for s in sets:
+        tries.setdefault(component[s[0]], Trie(t)).insert(*s)
+    found = ((q[0], trie.find(q[1], q[2])) for q in queries for c, trie in tries.items() if c != component[q[0]])
+    return [(a, b) for a, b in found if b is not None]
+
+
+def stars(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links as (vertex, smallest vertex of its component)."""
+    root: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in found:
+        a, b = top(a), top(b)
+        root[max(a, b)] = min(a, b)
+    return [(x, top(x)) for x in list(root) if top(x) != x]
