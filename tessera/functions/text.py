@@ -76,7 +76,7 @@ def without_fences(c: Column) -> Column:
     commas before closing brackets that JSON does not allow."""
     t = F.regexp_replace(c, r"(?s)<think>.*?</think>", "")
     inner = F.regexp_extract(t, r"(?s)```(?:json)?\s*(.*?)```", 1)
-    t = F.trim(F.when(inner != "", inner).otherwise(t))
+    t = F.regexp_replace(F.when(inner != "", inner).otherwise(t), r"^\s+|\s+$", "")
     return F.regexp_replace(t, r",\s*([}\]])", "$1")
 
 

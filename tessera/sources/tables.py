@@ -94,8 +94,8 @@ def evidence(grid: DataFrame, key: list[str]) -> DataFrame:
     body = grid.filter("NOT is_header")
     w = Window.partitionBy(*key).orderBy("r")
     body = body.withColumn("i", F.dense_rank().over(w) - 1)
-    per = body.groupBy(*key, "i").agg(F.array_sort(F.collect_list(F.struct("c", "text"))).alias("cs"), F.count_distinct("text").alias("k"), F.count("*").alias("n"))
-    section = F.when((F.col("k") == 1) & (F.col("n") > 1), F.col("cs")[0]["text"])
+    per = body.groupBy(*key, "i").agg(F.array_sort(F.collect_list(F.struct("c", "text"))).alias("cs"), F.count_distinct("text").alias("_texts"), F.count("*").alias("_cells"))
+    section = F.when((F.col("_texts") == 1) & (F.col("_cells") > 1), F.col("cs")[0]["text"])
     run = Window.partitionBy(*key).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     per = per.withColumns({"is_section": section.isNotNull(), "section": F.last(section, True).over(run)})
     first = F.slice(F.array_distinct(F.filter(F.transform("cs", lambda x: x["text"]), lambda t: t != "")), 1, 4)
