@@ -224,7 +224,7 @@ def similar_roots(sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     block = materialize(block.join(size, "block").withColumns({"k": F.ceil(F.col("size") / BLOCK).cast("int"), "chunk": F.pmod(F.xxhash64("v"), F.ceil(F.col("size") / BLOCK)).cast("int")}), "blocks")
     large = block.filter("k > 1")
     # Hubs are drawn by hash, a bounded number of them from each block.
-    drawn = large.filter(F.pmod(F.xxhash64("v", F.lit(3)), F.col("k") * F.lit(BLOCK // HUBS)) == 0)
+    drawn = large.filter(F.pmod(F.xxhash64("v", F.lit(3)), F.col("k") * F.lit(max(1, BLOCK // HUBS))) == 0)
     hubs = drawn.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("block", "v", "x", F.lit(0).alias("y"))
     none = {"comp": F.lit(None).cast("long"), "query": F.lit(None).cast("boolean")}
     lots = block.select("block", "v", F.col("chunk").alias("x"), F.lit(0).alias("y")).unionByName(hubs)

@@ -250,6 +250,21 @@ def _union(spans_: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+SPANS = "array<struct<s: long, e: long>>"
+
+
+def _merged(per: DataFrame) -> DataFrame:
+    """per (_v, spans) with overlapping and touching spans made one."""
+    kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
+
+    def run(batches):
+        for b in batches:
+            out = [[{"s": s, "e": e} for s, e in _union([(x["s"], x["e"]) for x in spans_])] for spans_ in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, kind)], ["_v", "spans"])
+
+    return per.mapInArrow(run, f"_v long, spans {SPANS}")
+
+
 def mark_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with `spans`, the maximal runs [s, e) of repeated bytes of each text.
 
@@ -262,26 +277,11 @@ def mark_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     # The smallest number of a hash of the other columns tells copies apart.
     plain = docs.select(raw.alias("text"), F.xxhash64(raw).alias("_v"), F.xxhash64(*(c for c in docs.columns if c != text), F.lit(0)).alias("_id"))
     found, copies = repeated_spans(plain)
-    per = found.groupBy("_v").agg(F.collect_set(F.struct("s", "e")).alias("_found"))
-    info = copies.filter("copies > 1").join(per, "_v", "full").select("_v", F.coalesce("copies", F.lit(1)).alias("_copies"), "_found")
-    joined = docs.withColumn("_v", F.xxhash64(raw)).join(info, "_v", "left").drop("_v")
-    schema = docs.select("*", F.lit(None).cast("array<struct<s: long, e: long>>").alias("spans")).schema
-    at, n = docs.columns.index(text), len(docs.columns)
-    names = schema.names
-    kind = pa.list_(pa.struct([("s", pa.int64()), ("e", pa.int64())]))
-
-    def run(batches):
-        for b in batches:
-            import pyarrow.compute as pc
-
-            size = pc.fill_null(pc.binary_length(b.column(at)), 0).to_pylist()
-            out = []
-            for length, many, spans_ in zip(size, b.column(n).to_pylist(), b.column(n + 1).to_pylist(), strict=True):
-                got = [(0, length)] if (many or 0) > 1 and length >= SPAN else _union([(x["s"], x["e"]) for x in spans_ or ()])
-                out.append([{"s": s, "e": e} for s, e in got])
-            yield pa.RecordBatch.from_arrays([*b.columns[:n], pa.array(out, kind)], names)
-
-    return joined.select(*docs.columns, "_copies", "_found").mapInArrow(run, schema)
+    per = _merged(found.groupBy("_v").agg(F.collect_set(F.struct("s", "e")).alias("spans")))
+    info = copies.filter("copies > 1").join(per, "_v", "full").select("_v", F.col("copies").isNotNull().alias("_copied"), F.col("spans").alias("_found"))
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("s"), F.octet_length(raw).cast("long").alias("e")))
+    spans_ = F.when(F.col("_copied"), whole).otherwise(F.coalesce("_found", F.array().cast(SPANS)))
+    return docs.withColumn("_v", F.xxhash64(raw)).join(info, "_v", "left").select(*docs.columns, spans_.alias("spans"))
 
 
 def cut(raw: bytes, spans_: list[dict]) -> bytes:
