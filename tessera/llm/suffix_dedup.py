@@ -235,7 +235,8 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     around = spark.read.schema(fields).parquet(path)
     cold = around.filter("kind = 1").groupBy("bucket").applyInArrow(lambda k, t: _sorted(t), "_v long, s long, e long")
     hot = around.filter("kind = 2").select("h", "key", "_v", "base")
-    keys = hot.groupBy("h", "key").agg(F.count_distinct("_v", "base").alias("n")).filter("n > 1").select("h", "key")
+    place = F.struct("_v", "base")
+    keys = hot.groupBy("h", "key").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("h", "key")
     hot = hot.join(keys, ["h", "key"]).select("_v", F.col("base").alias("s"), (F.col("base") + SPAN).alias("e"))
     return cold.unionByName(hot), copies.select("_v", "copies")
 
