@@ -34,7 +34,7 @@ from .suffix_sort import repeated
 #: Bytes of a string that counts, and of an anchor; places of an anchor that
 #: one task sorts; anchors that a task gathers before it deals them out;
 #: bytes of contexts that are sorted at once.
-SPAN, GRAM, GROUP, FLUSH, SORTED = 200, 64, 2000, 500_000, 1 << 20
+SPAN, GRAM, GROUP, FLUSH, SORTED = 200, 64, 10_000, 500_000, 1 << 20
 LOW32 = U((1 << 32) - 1)
 
 
