@@ -11,9 +11,12 @@ be neighbours.
    texts.  Copies of a whole text are one text from here on.
 3. The texts give the bytes round these anchors, dealt by anchor.
 4. Within an anchor the suffixes are sorted (see suffix_sort.py); equal
-   neighbours are repeated windows.  Anchors with more than GROUP places are
-   dealt anew by (distance, hash of the window), so that a string that a third
-   of all texts hold is not one task's: what shares this key is equal.
+   neighbours are repeated windows.  An anchor with more than GROUP places is
+   dealt anew: by ranges of CHUNK distances and the bytes that all windows of
+   a range share, which are nearly whole windows.  What more than GROUP places
+   share even then is dealt by (distance, hash of the window), so that a
+   string that a third of all texts hold is not one task's: what shares this
+   key is equal.
 5. Spans are gathered by text and cut out.
 """
 
@@ -34,7 +37,9 @@ from .suffix_sort import repeated
 #: Bytes of a string that counts, and of an anchor; places of an anchor that
 #: one task sorts; anchors that a task gathers before it deals them out;
 #: bytes of contexts that are sorted at once.
-SPAN, GRAM, GROUP, FLUSH, SORTED = 200, 64, 10_000, 500_000, 1 << 20
+SPAN, GRAM, GROUP, FLUSH, SORTED = 200, 64, 2000, 500_000, 1 << 20
+#: Distances in a range of a hot anchor.
+CHUNK = 16
 LOW32 = U((1 << 32) - 1)
 
 
@@ -162,13 +167,18 @@ def _by_text(rows: pa.Table) -> pa.Table:
     return pa.table({"_v": pa.array(texts), **{n: pa.array(c, pa.binary()) for n, c in zip(("h", "places", "hot"), cols, strict=True)}})
 
 
+_CONTEXT = "kind byte, bucket int, h long, _v long, base long, low int, high int, bytes binary"
+
+
 def contexts(texts: DataFrame, buckets: int) -> DataFrame:
-    """Of texts (text, _v, h, places, hot) the bytes round repeated anchors.
+    """Of texts (text, _v, h, places, hot) the bytes round repeated anchors:
+    (kind, bucket, h, _v, base, low, high, bytes).  kind 2 are the ranges of
+    hot anchors, with a hash of anchor, range and shared bytes as h."""
+    names = ["kind", "bucket", "h", "_v", "base", "low", "high", "bytes"]
+    types = [pa.int8(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
-    kind 1: (bucket, h, _v, base, low, high, bytes); kind 2, of hot anchors:
-    a row for each window, its key in h and `key`, without bytes."""
-    names = ["kind", "bucket", "h", "key", "_v", "base", "low", "high", "bytes"]
-    types = [pa.int8(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    def batch(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     def run(batches):
         for b in chunks(batches, "text", 1 << 20):
@@ -178,18 +188,39 @@ def contexts(texts: DataFrame, buckets: int) -> DataFrame:
                 home = (h % U(buckets)).tolist()
                 for g, x, (place, low, high), is_hot in zip(home, h.view(np.int64).tolist(), where.tolist(), hot.tolist(), strict=True):
                     if not is_hot:
-                        out.append((1, g, x, None, v, place - high, low, high, raw[place - high : place - low + SPAN]))
+                        out.append((1, g, x, v, place - high, low, high, raw[place - high : place - low + SPAN]))
                         continue
-                    for d in range(low, high + 1):
-                        k = xxhash.xxh3_128_digest(raw[place - d : place - d + SPAN])
-                        out.append((2, g, int.from_bytes(k[:8], "little", signed=True), int.from_bytes(k[8:], "little", signed=True) ^ d, v, place - d, d, d, None))
+                    for c in range(low // CHUNK, high // CHUNK + 1):
+                        first, last = c * CHUNK, c * CHUNK + CHUNK - 1
+                        # All windows of the range, of this text or another, hold these bytes.
+                        core = raw[max(0, place - first) : place - last + SPAN]
+                        k = xxhash.xxh3_64_intdigest(core, (x + c) & ((1 << 64) - 1))
+                        near, far = max(low, first), min(high, last)
+                        out.append((2, k % buckets, k - (k >> 63 << 64), v, place - far, near, far, raw[place - far : place - near + SPAN]))
                 if len(out) >= 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+                    yield batch(out)
                     out = []
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
+                yield batch(out)
+
+    return texts.select("text", "_v", "h", "places", "hot").mapInArrow(run, _CONTEXT)
+
+
+def _windows(ranges: DataFrame) -> DataFrame:
+    """(h, key, _v, base): a row for each window of contexts."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for v, base, low, high, data in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True):
+                for d in range(low, high + 1):
+                    at = high - d
+                    k = xxhash.xxh3_128_digest(data[at : at + SPAN])
+                    out.append((int.from_bytes(k[:8], "little", signed=True), int.from_bytes(k[8:], "little", signed=True), v, base + at))
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["h", "key", "_v", "base"])
 
-    return texts.select("text", "_v", "h", "places", "hot").mapInArrow(run, "kind byte, bucket int, h long, key long, _v long, base long, low int, high int, bytes binary")
+    return ranges.select("_v", "base", "low", "high", "bytes").mapInArrow(run, "h long, key long, _v long, base long")
 
 
 def _sorted(rows: pa.Table) -> pa.Table:
@@ -231,10 +262,16 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     around = contexts(rows, buckets)
     path = work_path(spark, "contexts")
     around.write.option("compression", "zstd").partitionBy("kind").parquet(path)
-    fields = "bucket int, h long, key long, _v long, base long, low int, high int, bytes binary, kind int"
-    around = spark.read.schema(fields).parquet(path)
-    cold = around.filter("kind = 1").groupBy("bucket").applyInArrow(lambda k, t: _sorted(t), "_v long, s long, e long")
-    hot = around.filter("kind = 2").select("h", "key", "_v", "base")
+    around = spark.read.schema("bucket int, h long, _v long, base long, low int, high int, bytes binary, kind int").parquet(path)
+    ranges = around.filter("kind = 2")
+    large = materialize(ranges.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > GROUP).select("h"), "large")
+    sorted_ = around
+    if not large.isEmpty():
+        sorted_ = around.filter("kind = 1").unionByName(ranges.join(large, "h", "left_anti").select(around.columns))
+    cold = sorted_.groupBy("bucket").applyInArrow(lambda k, t: _sorted(t), "_v long, s long, e long")
+    if large.isEmpty():
+        return cold, copies.select("_v", "copies")
+    hot = _windows(ranges.join(large, "h", "left_semi"))
     place = F.struct("_v", "base")
     keys = hot.groupBy("h", "key").agg(F.min(place).alias("a"), F.max(place).alias("b")).filter("a <> b").select("h", "key")
     hot = hot.join(keys, ["h", "key"]).select("_v", F.col("base").alias("s"), (F.col("base") + SPAN).alias("e"))
