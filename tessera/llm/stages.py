@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, column_bytes
+from .common import chunks, column_bytes, materialize
 from .decontamination import contaminated
 from .ngram_join import join_similar
 from .packing import pack_documents
@@ -29,10 +29,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that with the smallest
     doc_id; of rows with one doc_id one.  Rows without doc_id stay."""
-    found = join_similar(docs)
-    first = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+    found = join_similar(docs).filter("doc_id IS NOT NULL")
+    per = found.groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"), F.count("*").alias("n"))
+    per = materialize(per.filter("NOT stays OR n > 1"), "groups")
+    # What goes is the smaller table: texts are only dealt out by doc_id if
+    # it is too large to be sent to all.
+    twice = per.filter("stays").select("doc_id")
+    one = docs.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    rest = docs.join(per.select("doc_id"), "doc_id", "left_anti")
+    return rest.select(*docs.columns).unionByName(one.select(*docs.columns))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
