@@ -87,8 +87,6 @@ def data_uri(c: Column, kind: str = "image/png") -> Column:
 def without_bibliography(c: Column, heading: str = r"(?im)^#{0,4}\s*(?:references|bibliography)\s*$", back: str = r"(?im)^#{1,4}\s*(?:appendix|supplement|table)") -> Column:
     """The text without its list of references; what comes after it again
     under an appendix's or a table's heading stays."""
-    at = F.regexp_instr(c, F.lit(heading))
-    head, tail = F.substring(c, F.lit(1), at - 1), F.substring(c, at, F.length(c))
-    again = F.regexp_instr(tail, F.lit(back))
-    rest = F.when(again > 0, F.substring(tail, again, F.length(tail))).otherwise(F.lit(""))
-    return F.when(at > 0, F.concat(head, rest)).otherwise(c)
+    cut = F.split(c, heading, 2)
+    rest = F.regexp_extract(F.try_element_at(cut, F.lit(2)), back + r"(?s:.*)", 0)
+    return F.when(F.size(cut) > 1, F.concat(cut[0], rest)).otherwise(c)

@@ -34,13 +34,13 @@ def keyword_tiers(spark, d):
 
 
 def table_gate_route(spark, d):
-    x = read(spark, d, "documents").select("doc_id", F.substring("text", 1, 100).alias("c"), "text")
-    gate = classify.is_input_table(F.col("c"), F.col("text"), ("the", "and", "der", "que", "les", "ten"))
-    return x.select("doc_id", gate.alias("is_input"), classify.table_role(F.col("c")).alias("role"))
+    x, t = read(spark, d, "documents"), F.col("text")
+    gate = classify.is_input_table(t, t, ("the", "and", "der", "que", "les", "ten"))
+    return x.select("doc_id", gate.alias("is_input"), classify.table_role(t).alias("role"))
 
 
 def bibliography_strip(spark, d):
-    x = read(spark, d, "documents").select("doc_id", F.concat_ws("\n", F.substring("text", 1, 200), F.when(F.col("doc_id") % 2 == 0, "## References"), F.lit("[1] someone"), F.when(F.col("doc_id") % 4 == 0, "# Appendix A"), F.lit("tail")).alias("md"))
+    x = read(spark, d, "documents").select("doc_id", F.concat_ws("\n", "text", F.when(F.col("doc_id") % 2 == 0, "## References"), F.lit("[1] someone"), F.when(F.col("doc_id") % 4 == 0, "# Appendix A"), F.lit("tail")).alias("md"))
     return x.select("doc_id", T.without_bibliography(F.col("md")).alias("kept"))
 
 
@@ -68,7 +68,7 @@ LOW = "abcdefghijklmnopqrstuvwxyz"
 
 
 def entity_detect(spark, d):
-    x = read(spark, d, "documents").select("doc_id", "lang", F.translate(F.substring("text", 1, 120), LOW, LOW.upper()).alias("t"))
+    x = read(spark, d, "documents").select("doc_id", "lang", F.translate("text", LOW, LOW.upper()).alias("t"))
     species = classify.first_label(F.col("t"), [(r"(?U)\bTHE\b", "rat"), (r"(?U)\bDER\b|\bDIE\b", "mouse"), (r"(?U)\bQUE\b", "human")], "human")
     names = classify.acronyms(F.col("t"), (), ("THE", "AND", "DER", "DIE", "QUE", "LES"))
     return x.select("doc_id", species.alias("species"), F.array_join(F.array_sort(names), ",").alias("names"))
