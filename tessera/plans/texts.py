@@ -96,7 +96,7 @@ GRID = """<table><thead><tr><th rowspan="2">Species</th><th colspan="2">Mean (95
 
 
 def html_grid(spark, d):
-    x = read(spark, d, "pages").select("page_id", F.concat(F.substring("html", 1, 60), F.lit(GRID)).alias("m")).filter("page_id % 10 = 0")
+    x = read(spark, d, "pages").select("page_id", F.concat(F.coalesce("html", F.lit("")), F.lit(GRID)).alias("m"))
     return tables.evidence(tables.cells(x, "page_id", "m"), ["page_id", "table_ord"]).select("page_id", "cell_id", "text", F.array_join("row_path", "/").alias("row_path"), F.array_join("column_path", "/").alias("column_path"))
 
 

@@ -58,3 +58,12 @@ def test_roles_of_whole_texts(spark, duck, same_rows, tmp_path):
     far = "the les " * 50
     d = documents_at(spark, tmp_path, far, far + "sensitivity coefficient", far + "Predicted")
     assert [(r.is_input, r.role) for r in texts.table_gate_route(spark, d).orderBy("doc_id").collect()] == [(True, "parameters"), (False, "sensitivity"), (True, "simulated")]
+
+
+def test_grids_of_whole_pages(spark, duck, same_rows, tmp_path):
+    same(spark, duck, same_rows, "html_grid", (" WHERE page_id % 10 = 0", ""))
+    html = "<html><body><p>" + "x" * 100 + "</p><table><tr><th>a</th><th>b</th></tr><tr><td rowspan=2>1</td><td>2</td></tr><tr><td>3</td></tr></table></body></html>"
+    spark.createDataFrame([(7, html), (8, None)], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = [tuple(r) for r in texts.html_grid(spark, str(tmp_path)).collect()]
+    own = {(7, "cell_r0_c0", "1", "1/2", "a"), (7, "cell_r0_c1", "2", "1/2", "b"), (7, "cell_r1_c0", "1", "1/3", "a"), (7, "cell_r1_c1", "3", "1/3", "b")}
+    assert len(got) == 4 + 2 * 5 and own < set(got)
