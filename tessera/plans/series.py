@@ -39,14 +39,14 @@ def compartment_sim(spark, d):
 
 def maxsim_topk(spark, d):
     e = read(spark, d, "embeddings")
-    q = e.filter("vec_id < 20").select((F.col("vec_id") % 4).alias("query"), "embedding")
+    q = e.filter("vec_id % 20 = 0").select((F.col("vec_id") / 20 % 4).cast("long").alias("query"), "embedding")
     s = retrieve.late_interaction(q, e.select(F.col("label").alias("page"), "embedding"), "query", "page")
     return retrieve.top_k(s, "query", "page", 3).select("query", "page", F.col("rank"), F.round("score", 4).alias("score"))
 
 
 def cutoff_topk(spark, d):
     e = read(spark, d, "embeddings")
-    q = e.filter("vec_id = 7").select(F.lit(0).alias("query"), "embedding")
+    q = e.filter("vec_id % 20 = 0").select(F.lit(0).alias("query"), "embedding")
     s = retrieve.late_interaction(q, e.select(F.col("vec_id").alias("page"), "embedding"), "query", "page").select("page", "score")
     return retrieve.cutoff(s, "page", 10, 0.9).select("page", F.col("rank"), F.round("score", 4).alias("score"))
 

@@ -5,12 +5,14 @@ Where a query's SQL holds a cut, the SQL expected here is the same without it.
 
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import DATA
 from tessera import catalog
 from tessera.functions import text as T
+from tessera.operators import retrieve
 from tessera.plans import texts
 
 
@@ -67,3 +69,20 @@ def test_grids_of_whole_pages(spark, duck, same_rows, tmp_path):
     got = [tuple(r) for r in texts.html_grid(spark, str(tmp_path)).collect()]
     own = {(7, "cell_r0_c0", "1", "1/2", "a"), (7, "cell_r0_c1", "2", "1/2", "b"), (7, "cell_r1_c0", "1", "1/3", "a"), (7, "cell_r1_c1", "3", "1/3", "b")}
     assert len(got) == 4 + 2 * 5 and own < set(got)
+
+
+def test_searches_ask_every_twentieth_vector(spark, duck, same_rows):
+    same(spark, duck, same_rows, "maxsim_topk", ("vec_id % 4 AS query", "vec_id // 20 % 4 AS query"), ("vec_id < 20", "vec_id % 20 = 0"))
+    same(spark, duck, same_rows, "cutoff_topk", ("vec_id = 7", "vec_id % 20 = 0"))
+
+
+def test_queries_are_asked_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    q, p = rng.normal(size=(12_000, 2)), rng.normal(size=(60, 2))
+    page = [0] * 40 + [1 + i // 2 for i in range(20)]
+    vectors = lambda keys, m, name: spark.createDataFrame([(k, v.tolist()) for k, v in zip(keys, m, strict=True)], f"{name} int, embedding array<float>")
+    monkeypatch.setattr(retrieve, "CHUNK", 10)
+    got = retrieve.late_interaction(vectors([i % 3 for i in range(12_000)], q, "query"), vectors(page, p, "page"), "query", "page").collect()
+    s = q.astype("float32").astype(float) @ p.astype("float32").astype(float).T
+    want = {(a, b): s[a::3][:, [k == b for k in page]].max(axis=1).sum() for a in range(3) for b in range(11)}
+    assert {(r.query, r.page): r.score for r in got} == pytest.approx(want)
