@@ -65,12 +65,27 @@ def donor_inherit(spark, d):
 
 def tiered_lookup(spark, d):
     part = read(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size", "p_retailprice")
-    want = part.filter("p_partkey % 50 = 0").select(F.col("p_partkey").alias("want"), F.col("p_brand").alias("b"), F.col("p_type").alias("t"), F.col("p_size").alias("s"), F.col("p_retailprice").alias("v"))
-    c = want.join(part, (F.col("b") == F.col("p_brand")) & (F.col("want") != F.col("p_partkey")))
-    tier = F.when((F.col("t") == F.col("p_type")) & (F.col("s") == F.col("p_size")), 1).when(F.col("t") == F.col("p_type"), 2).when(F.abs(F.col("v") - F.col("p_retailprice")) <= 0.03 * F.col("v"), 3)
-    score = F.when(F.col("s") == F.col("p_size"), 2).otherwise(0) + F.when(F.col("t") == F.col("p_type"), 1).otherwise(0)
-    c = c.withColumns({"tier": tier, "score": score}).filter("tier IS NOT NULL")
-    return repair.best_tier(c, ["want"], "tier", F.col("score"), ["p_partkey"]).select("want", "tier", "score", F.col("p_partkey").alias("found"))
+
+    def first_two(keys):
+        # The first, and the second for whoever is the first.
+        w = Window.partitionBy(*keys).orderBy("p_partkey")
+        return part.select("p_partkey", *keys).dropna(subset=keys).withColumn("_k", F.row_number().over(w)).filter("_k <= 2").withColumnRenamed("p_partkey", "found").drop("_k")
+
+    def alike(tier, score, keys):
+        c = part.join(first_two(keys), keys).filter("found <> p_partkey")
+        return c.select(F.col("p_partkey").alias("want"), F.lit(tier).alias("tier"), F.lit(score).alias("score"), "found")
+
+    best = lambda c: repair.best_tier(c, ["want"], "tier", F.col("score"), ["found"])
+    near = best(alike(1, 3, ["p_brand", "p_type", "p_size"]).unionByName(alike(2, 1, ["p_brand", "p_type"])))
+    # A price within 3 % lies at most two bands away; one more for rounding.
+    band = lambda v: F.coalesce(F.floor(F.ln(v) / F.ln(F.lit(1.03))), F.lit(-(10**6)))
+    rest = part.join(near.select(F.col("want").alias("p_partkey")), "p_partkey", "left_anti")
+    rest = rest.select(F.col("p_partkey").alias("want"), "p_brand", F.col("p_size").alias("s"), F.col("p_retailprice").alias("v"), F.explode(F.sequence(band(F.col("p_retailprice")) - 3, band(F.col("p_retailprice")) + 3)).alias("band"))
+    priced = first_two(["p_brand", "p_retailprice"]).withColumn("p_size", F.lit(None).cast("int")).unionByName(first_two(["p_brand", "p_size", "p_retailprice"]))
+    c = rest.join(priced.withColumn("band", band(F.col("p_retailprice"))), ["p_brand", "band"])
+    c = c.filter((F.col("want") != F.col("found")) & (F.abs(F.col("v") - F.col("p_retailprice")) <= 0.03 * F.col("v")) & (F.col("p_size").isNull() | (F.col("p_size") == F.col("s"))))
+    c = c.select("want", F.lit(3).alias("tier"), F.when(F.col("p_size").isNull(), 0).otherwise(2).alias("score"), "found")
+    return near.unionByName(best(c)).select("want", "tier", "score", "found")
 
 
 def priority_resolve(spark, d):

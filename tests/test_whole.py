@@ -13,7 +13,7 @@ from tests.conftest import DATA
 from tessera import catalog
 from tessera.functions import text as T
 from tessera.operators import retrieve
-from tessera.plans import texts
+from tessera.plans import records, texts
 
 
 def same(spark, duck, same_rows, name, *cuts):
@@ -86,3 +86,32 @@ def test_queries_are_asked_in_blocks(spark, monkeypatch):
     s = q.astype("float32").astype(float) @ p.astype("float32").astype(float).T
     want = {(a, b): s[a::3][:, [k == b for k in page]].max(axis=1).sum() for a in range(3) for b in range(11)}
     assert {(r.query, r.page): r.score for r in got} == pytest.approx(want)
+
+
+def looked_up(parts):
+    """Brute force over all pairs."""
+    out = set()
+    for k, b, t, s, v in parts:
+        found = []
+        for k2, b2, t2, s2, v2 in parts:
+            if k2 == k or b is None or b2 != b:
+                continue
+            size, kind = s is not None and s == s2, t is not None and t == t2
+            tier = 1 if size and kind else 2 if kind else 3 if None not in (v, v2) and abs(v - v2) <= 0.03 * v else None
+            if tier:
+                found.append((tier, -2 * size - kind, k2))
+        if found:
+            tier, score, k2 = min(found)
+            out.add((k, tier, -score, k2))
+    return out
+
+
+def test_every_part_is_looked_up(spark, duck, same_rows, tmp_path):
+    same(spark, duck, same_rows, "tiered_lookup", (" WHERE w.p_partkey % 50 = 0", ""))
+    rng = np.random.default_rng(1)
+    pick = lambda *xs: xs[rng.integers(len(xs))]
+    parts = [(i, pick("a", "b", None), pick(*(f"t{j}" for j in range(300)), None), pick(1, 2, 3, None), pick(0.0, -5.0, None, 0.01, 900.0, 927.0, *(float(x) for x in range(900, 1000)))) for i in range(400)]
+    spark.createDataFrame(parts, "p_partkey long, p_brand string, p_type string, p_size int, p_retailprice double").write.parquet(f"{tmp_path}/part.parquet")
+    got = {tuple(r) for r in records.tiered_lookup(spark, str(tmp_path)).select("want", "tier", "score", "found").collect()}
+    want = looked_up(parts)
+    assert {x[1] for x in want} == {1, 2, 3} and got == want
