@@ -22,7 +22,7 @@ def quick_table_scan(spark, d):
 
 def sibling_files(spark, d):
     docs = read(spark, d, "documents").select(F.pmod("doc_id", F.lit(50)).alias("stem"), "doc_id")
-    pages = read(spark, d, "pages").filter("page_id % 3 = 0").select(F.pmod("page_id", F.lit(50)).alias("stem"), "html")
+    pages = read(spark, d, "pages").select(F.pmod("page_id", F.lit(50)).alias("stem"), "html")
     return ingest.siblings(docs, pages, "stem", "html").groupBy("sibling").agg(F.count("*").alias("n"))
 
 
@@ -34,14 +34,14 @@ def page_containment(spark, d):
 
 
 def source_text(spark, d):
-    x = lines(spark, d, "l_returnflag", "l_linestatus").filter("l_orderkey % 10 = 0")
+    x = lines(spark, d, "l_returnflag", "l_linestatus")
     cells = x.select("l_orderkey", F.lit("t").alias("tab"), F.col("l_returnflag").alias("row_id"), F.col("l_linestatus").alias("column_id"), F.format_string("c%02d", "ord").alias("cell_id"), F.concat("l_returnflag", "l_linestatus").alias("text"))
     p = x.filter("ord = 1").select("l_orderkey", F.lit("t").alias("tab"), F.when(F.col("l_orderkey") % 20 == 0, F.col("l_returnflag")).alias("row_id"), F.col("l_linestatus").alias("column_id"), F.lit(None).cast("string").alias("cell_id"))
     return ingest.source_text(p, cells, "l_orderkey", "tab").select("l_orderkey", "source_text")
 
 
 def section_routing(spark, d):
-    x = lines(spark, d, "l_returnflag").filter("l_orderkey % 5 = 0")
+    x = lines(spark, d, "l_returnflag")
     title = F.element_at(F.array(*map(F.lit, ("Abstract", "Introduction", "Methods", "References", "Results"))), F.pmod("ord", F.lit(5)).cast("int") + 1)
     x = x.select("l_orderkey", F.col("ord").alias("sec"), F.when(F.col("ord") % 4 == 0, F.col("ord") - 1).alias("parent"), title.alias("title"), F.concat(F.repeat("l_returnflag", F.lit(40)), F.lit("\n\n"), F.repeat("l_returnflag", F.col("ord") * 3)).alias("content"))
     return ingest.sections(x, "l_orderkey", "parent", "sec").select("l_orderkey", "sec", "routing", F.length("content").alias("n_chars"))

@@ -13,7 +13,7 @@ from tests.conftest import DATA
 from tessera import catalog
 from tessera.functions import text as T
 from tessera.operators import retrieve
-from tessera.plans import records, texts
+from tessera.plans import ingestion, records, texts
 
 
 def same(spark, duck, same_rows, name, *cuts):
@@ -115,3 +115,17 @@ def test_every_part_is_looked_up(spark, duck, same_rows, tmp_path):
     got = {tuple(r) for r in records.tiered_lookup(spark, str(tmp_path)).select("want", "tier", "score", "found").collect()}
     want = looked_up(parts)
     assert {x[1] for x in want} == {1, 2, 3} and got == want
+
+
+@pytest.mark.parametrize("name,cut,whole", [
+    ("sibling_files", "page_id % 3 = 0 AND ", ""), ("source_text", " WHERE l_orderkey % 10 = 0", ""),
+    ("section_routing", " WHERE l_orderkey % 5 = 0", ""), ("line_scan", " WHERE p_partkey % 4 = 0", ""),
+])
+def test_whole_tables(spark, duck, same_rows, name, cut, whole):
+    same(spark, duck, same_rows, name, (cut, whole))
+
+
+def test_siblings_among_all_pages(spark, tmp_path):
+    spark.createDataFrame([(1, "t"), (2, "t")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "<article>"), (2, "<p>"), (3, "<article>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert {tuple(r) for r in ingestion.sibling_files(spark, str(tmp_path)).collect()} == {(True, 1), (False, 1)}
