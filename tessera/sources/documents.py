@@ -64,13 +64,22 @@ def pending(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return todo.join(done.select(key).distinct(), key, "left_anti")
 
 
+def _held(inner: DataFrame, outer: DataFrame, i: str, o: str) -> DataFrame:
+    """Pairs in which outer's text holds inner's, at any place: outer's
+    substrings of the lengths that inner has, met with inner."""
+    sizes = inner.agg(F.collect_set(F.length(i)).alias("_sizes"))
+    at = lambda n: F.transform(F.sequence(F.lit(1), F.length(o) - n + 1), lambda k: F.col(o).substr(k, n))
+    parts = F.flatten(F.transform(F.filter("_sizes", lambda n: n <= F.length(o)), at))
+    return outer.crossJoin(F.broadcast(sizes)).withColumn(i, F.explode(F.array_distinct(parts))).drop("_sizes").join(inner, i)
+
+
 def associate(names: DataFrame, paths: DataFrame, name: str, stem: str) -> DataFrame:
     """Each name's file: an equal stem first, else one that holds the name or
     that the name holds, the shortest.  Both tables are lists of files of one
-    corpus; candidates share their first three characters."""
-    n = names.withColumn("_n", F.lower(name)).withColumn("_k", F.substring("_n", 1, 3))
-    p = paths.withColumn("_p", F.lower(stem)).withColumn("_k", F.substring("_p", 1, 3))
-    c = n.join(p, "_k").filter(F.contains("_n", F.col("_p")) | F.contains("_p", F.col("_n")))
+    corpus."""
+    n = names.select(name, F.lower(name).alias("_n")).distinct()
+    p = paths.select(stem, F.lower(stem).alias("_p")).distinct()
+    c = _held(p, n, "_p", "_n").unionByName(_held(n, p, "_n", "_p"))
     best = c.groupBy(name).agg(F.min_by(stem, F.struct((F.col("_n") != F.col("_p")).alias("a"), F.length("_p").alias("b"), F.col("_p").alias("c"))).alias("file"))
     return names.join(best, name, "left")
 

@@ -14,6 +14,7 @@ from tessera import catalog
 from tessera.functions import text as T
 from tessera.operators import retrieve
 from tessera.plans import ingestion, records, texts
+from tessera.sources import documents
 
 
 def same(spark, duck, same_rows, name, *cuts):
@@ -129,3 +130,17 @@ def test_siblings_among_all_pages(spark, tmp_path):
     spark.createDataFrame([(1, "t"), (2, "t")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([(1, "<article>"), (2, "<p>"), (3, "<article>")], "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
     assert {tuple(r) for r in ingestion.sibling_files(spark, str(tmp_path)).collect()} == {(True, 1), (False, 1)}
+
+
+def test_names_are_found_at_any_place(spark):
+    names = ["dean_pfas", "main_tan", "Chou", "none", "ab", "x", "", None]
+    stems = ["2025_dean_pfas", "dean_pfas_supplement", "tan", "chou", "chou_2019", "zabz", "ABBA"]
+    n, p = spark.createDataFrame([(x,) for x in names], "name string"), spark.createDataFrame([(x,) for x in stems], "stem string")
+
+    def file(x):
+        held = [] if x is None else [s for s in stems if s.lower() in x.lower() or x.lower() in s.lower()]
+        return min(held, key=lambda s: (s.lower() != x.lower(), len(s), s.lower()), default=None)
+
+    want = {x: file(x) for x in names}
+    assert (want["dean_pfas"], want["main_tan"], want["none"]) == ("2025_dean_pfas", "tan", None)
+    assert {r.name: r.file for r in documents.associate(n, p, "name", "stem").collect()} == want
