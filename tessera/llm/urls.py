@@ -6,6 +6,7 @@ templates.  Segments that vary (numbers, hashes, long slugs, rare children of
 a node with many) become wildcards; branches whose labelled rate does not
 differ significantly from that of all their siblings are merged into one; a
 template is rejected if its labelled purity, smoothed towards PRIOR, is high.
+The tree is as deep as the deepest path, with two steps a level.
 """
 
 from __future__ import annotations
@@ -93,27 +94,38 @@ def judge_urls(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
     seen = pages.select("*", host.alias("_host"), path.alias("_path")).drop(*(c for c in new if c != url))
     seen = seen.withColumn("_fit", longest_rule(F.col("_host"), F.col("_path"), rules))
     parts = F.filter(F.split(F.col("_path"), "/"), lambda x: x != "")
-    seen = seen.withColumns({
-        "_s1": segment(F.try_element_at(parts, F.lit(1))), "_s2": segment(F.try_element_at(parts, F.lit(2))),
-        "_s3": F.when(F.size(parts) > 2, F.lit("<+>")).otherwise(F.lit("")),
-    })
-    raw = ["_host", "_s1", "_s2", "_s3"]
+    raw = ["_host", "_s"]
+    seen = seen.withColumn("_s", F.transform(parts, segment))
+    none = F.array().cast("array<string>")
     tree = seen.groupBy(*raw).agg(
         F.count("*").alias("n"), F.count("_fit").alias("labelled"), F.count_if(F.col("_fit.verdict") == "block").alias("blocked"),
-    )
+    ).withColumns({"_g": none, "_t": none})
     # Each step reads the tree several times: written, the plans stay small.
     tree = materialize(tree, "templates")
-    tree = materialize(_rare(tree, ["_host"], "_s1"), "templates")
-    tree = materialize(_rare(tree, ["_host", "_s1g"], "_s2"), "templates")
-    tree = materialize(_similar(tree, ["_host", "_s1g"], "_s2g", "_t2"), "templates")
-    tree = materialize(_similar(tree, ["_host"], "_s1g", "_t1"), "templates")
-    name = ["_host", "_t1", "_t2", "_s3"]
-    scores = tree.groupBy(*name).agg(F.sum("labelled").alias("_n"), F.sum("blocked").alias("_b"))
-    scores = scores.select(*name, ((F.col("_b") + WEIGHT * PRIOR) / (F.col("_n") + WEIGHT)).alias("purity"))
-    judged = tree.select(*raw, "_t1", "_t2").join(scores, name).select(*raw, F.concat_ws("/", "_host", "_t1", "_t2", "_s3").alias("template"), "purity")
+    depth = tree.agg(F.max(F.size("_s"))).first()[0] or 1
+    # Down, a level at a time.  A path's end is a child without a name; below
+    # it there is nothing to choose.
+    ended = {}
+    for level in range(1, depth + 1):
+        tree = tree.withColumn("_c", F.coalesce(F.try_element_at("_s", F.lit(level)), F.lit("")))
+        tree = _rare(tree, ["_host", "_g"], "_c").withColumn("_g", F.concat("_g", F.array("_cg"))).drop("_c", "_cg")
+        tree = materialize(tree, "templates")
+        end = F.element_at("_g", -1) == ""
+        ended[level], tree = tree.filter(end), tree.filter(~end)
+    # Up again, with the paths that end at each level.
+    for level in range(depth, 0, -1):
+        tree = tree.unionByName(ended[level]).withColumns({"_p": F.slice("_g", 1, level - 1), "_c": F.element_at("_g", level)})
+        tree = _similar(tree, ["_host", "_p"], "_c", "_m").withColumn("_t", F.concat(F.array("_m"), "_t")).drop("_p", "_c", "_m")
+        tree = materialize(tree, "templates")
+    names = F.filter("_t", lambda x: x != "")
+    names = F.concat(F.array("_host"), names, F.array_repeat(F.lit(""), F.greatest(F.lit(0), 3 - F.size(names))))
+    tree = tree.withColumn("template", F.array_join(names, "/"))
+    scores = tree.groupBy("template").agg(F.sum("labelled").alias("_n"), F.sum("blocked").alias("_b"))
+    scores = scores.select("template", ((F.col("_b") + WEIGHT * PRIOR) / (F.col("_n") + WEIGHT)).alias("purity"))
+    judged = tree.select(*raw, "template").join(scores, "template")
     verdict = F.coalesce(F.col("_fit.verdict"), F.when(F.col("purity") >= REJECT, "block").otherwise("allow"))
     out = seen.join(judged, raw).withColumns({"verdict": verdict, "rule": F.col("_fit.rule")})
-    return out.withColumnsRenamed({"_host": "host", "_path": "path"}).drop("_fit", "_s1", "_s2", "_s3")
+    return out.withColumnsRenamed({"_host": "host", "_path": "path"}).drop("_fit", "_s")
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tests.conftest import DATA
 from tessera import catalog
 from tessera.functions import text as T
+from tessera.llm import urls
 from tessera.operators import retrieve
 from tessera.plans import ingestion, records, texts
 from tessera.sources import documents
@@ -144,3 +145,14 @@ def test_names_are_found_at_any_place(spark):
     want = {x: file(x) for x in names}
     assert (want["dean_pfas"], want["main_tan"], want["none"]) == ("2025_dean_pfas", "tan", None)
     assert {r.name: r.file for r in documents.associate(n, p, "name", "stem").collect()} == want
+
+
+def test_url_templates_are_as_deep_as_the_urls(spark):
+    deep = [f"http://x.io/a/b/{kind}/{i}" for kind in ("spam", "news") for i in (*range(100, 120), 2)]
+    more = ["http://x.io/a/b/c/d/e/f", "http://x.io/a/b", "http://x.io/a", "http://x.io", "http://x.io/a/b/c"]
+    rules = (("block", "x.io", "a/b/spam/1"), ("allow", "x.io", "a/b/news/1"))
+    df = spark.createDataFrame([(u,) for u in deep + more], "url string")
+    got = {r.url: (r.verdict, r.template) for r in urls.judge_urls(df, rules).collect()}
+    assert got["http://x.io/a/b/spam/2"] == ("block", "x.io/a/b/spam/<n>")
+    assert got["http://x.io/a/b/news/2"] == ("allow", "x.io/a/b/news/<n>")
+    assert [got[u][1] for u in more] == ["x.io/a/b/c/d/e/f", "x.io/a/b/", "x.io/a//", "x.io///", "x.io/a/b/c"]
