@@ -17,7 +17,7 @@ def upload_routing(spark, d):
 def quick_table_scan(spark, d):
     x = lines(spark, d, "l_returnflag", "l_quantity", "l_linestatus").withColumn("pos", F.col("ord") - 1)
     x = x.withColumn("cells", F.array(F.concat(F.lit(" "), "l_returnflag"), F.col("l_quantity").cast("int").cast("string"), F.when(F.col("ord") % 2 == 0, "mg").otherwise("a unit that is far too long")))
-    return ingest.quick_table(x, "l_orderkey", "cells", 2)
+    return ingest.quick_table(x, "l_orderkey", "cells")
 
 
 def sibling_files(spark, d):

@@ -41,7 +41,7 @@ def rule_report(spark, d):
 
 
 def worst_first_topk(spark, d):
-    return rules.worst_first(rule_flags(spark, d), "l_orderkey", "ord", 2)
+    return rules.worst_first(rule_flags(spark, d), "l_orderkey", "ord")
 
 
 def plausibility_rules(spark, d):

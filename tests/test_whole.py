@@ -156,3 +156,8 @@ def test_url_templates_are_as_deep_as_the_urls(spark):
     assert got["http://x.io/a/b/spam/2"] == ("block", "x.io/a/b/spam/<n>")
     assert got["http://x.io/a/b/news/2"] == ("allow", "x.io/a/b/news/<n>")
     assert [got[u][1] for u in more] == ["x.io/a/b/c/d/e/f", "x.io/a/b/", "x.io/a//", "x.io///", "x.io/a/b/c"]
+
+
+def test_limits_are_the_operators_own(spark, duck, same_rows):
+    same(spark, duck, same_rows, "worst_first_topk", ("rank <= 2", "rank <= 15"))
+    same(spark, duck, same_rows, "quick_table_scan", ("ord BETWEEN 2 AND 3", "ord BETWEEN 2 AND 15"))
