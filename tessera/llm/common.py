@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -12,14 +13,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of an Arrow batch, about.
+BATCH = 4 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where that setting is empty (a local session, as in tests) a
-    temporary folder is made and set.
+    Where that setting is empty a local session, as in tests, gets a temporary
+    folder; on a cluster, whose machines would not share it, it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tessera-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
@@ -94,5 +101,39 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
         yield b.slice(start)
 
 
-def map_arrow(df: DataFrame, f: Callable, schema: str) -> DataFrame:
-    return df.mapInArrow(f, schema)
+def _give_back() -> None:
+    """Return to the system what a task has freed: workers are used again, and
+    what a heap keeps of a long text would add up over an executor's workers."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def map_arrow(df: DataFrame, f: Callable, schema: object) -> DataFrame:
+    """df.mapInArrow(f, schema), with batches of BATCH bytes, about, unless the
+    session has its own limit, and freed memory given back at a task's end."""
+    name, spark = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession
+    if spark.conf.get(name, None) in (None, f"{64 << 20}b"):  # Spark's default
+        spark.conf.set(name, str(BATCH))
+
+    def run(batches):
+        try:
+            yield from f(batches)
+        finally:
+            _give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def group_arrow(df: DataFrame, f: Callable, schema: object, by: str | list[str] = "bucket") -> DataFrame:
+    """df.groupBy(by).applyInArrow(f, schema), where f takes (key, rows)."""
+
+    def run(key, rows):
+        try:
+            return f(key, rows)
+        finally:
+            _give_back()
+
+    return df.groupBy(by).applyInArrow(run, schema)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, column_bytes, materialize
+from .common import chunks, column_bytes, map_arrow, materialize
 from .hashing import ALNUM_LOWER, U, Words, fold
 
 #: Words of a gram, grams of a window, and words of a window.
@@ -76,12 +76,12 @@ def item_classes(items: DataFrame, key: str = "item_id", text: str = "text") ->
     kind = items.schema[key].dataType.simpleString()
 
     def run(batches):
-        for b in chunks(batches, text, 2 << 20):
+        for b in chunks(batches, text, 1 << 20):
             w = Words(column_bytes(b.column(1)), ALNUM_LOWER, hashes=False)
             seq = [_context(w, w.first[t], t, 0, 1 << 60)[1] if w.first[t] < w.first[t + 1] else "" for t in range(b.num_rows)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(seq), pa.array(np.diff(w.first), pa.int64())], [key, "words", "n"])
 
-    return items.select(key, text).mapInArrow(run, f"{key} {kind}, words string, n long").filter("n > 0")
+    return map_arrow(items.select(key, text), run, f"{key} {kind}, words string, n long").filter("n > 0")
 
 
 def item_grams(classes: DataFrame) -> DataFrame:
@@ -100,7 +100,7 @@ def item_grams(classes: DataFrame) -> DataFrame:
             kinds = (pa.int32(), pa.int64(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], ["kind", "h", "class", "before", "after"])
 
-    return classes.select("class", "words", "n").mapInArrow(run, "kind int, h long, class string, before string, after string").distinct()
+    return map_arrow(classes.select("class", "words", "n"), run, "kind int, h long, class string, before string, after string").distinct()
 
 
 def _bitmap(grams: DataFrame) -> tuple[bytes, list[int]]:
@@ -125,7 +125,7 @@ def candidates(docs: DataFrame, bitmap: bytes, kinds: list[int], key: str = "doc
 
     def run(batches):
         bits = np.unpackbits(np.frombuffer(sent.value, np.uint8)).view(bool)
-        for b in chunks(batches, text, 2 << 20):
+        for b in chunks(batches, text, 1 << 20):
             w = Words(column_bytes(b.column(1)), ALNUM_LOWER)
             cand: list[list] = [[] for _ in range(b.num_rows)]
             for kind in kinds:
@@ -138,7 +138,7 @@ def candidates(docs: DataFrame, bitmap: bytes, kinds: list[int], key: str = "doc
                     cand[d].append((kind, x, p - int(w.first[d]), before, after))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.diff(w.first), pa.int64()), pa.array([[dict(zip(struct.names, c, strict=True)) for c in x] for x in cand], pa.list_(struct))], [key, "n_words", "cand"])
 
-    return docs.select(key, text).mapInArrow(run, f"{key} {kind_of_key}, n_words long, cand {CAND}")
+    return map_arrow(docs.select(key, text), run, f"{key} {kind_of_key}, n_words long, cand {CAND}")
 
 
 def _extend(pairs: DataFrame) -> DataFrame:
@@ -164,7 +164,7 @@ def _extend(pairs: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(got, kinds, strict=True)], ["_row", "class", "s", "e"])
 
-    return pairs.select(*cols).mapInArrow(run, "_row long, class string, s long, e long")
+    return map_arrow(pairs.select(*cols), run, "_row long, class string, s long, e long")
 
 
 def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id") -> tuple[DataFrame, DataFrame, DataFrame]:

@@ -7,18 +7,23 @@ import numpy as np
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Powers that a worker keeps; those of a longer buffer go when it is done.
+KEPT = 1 << 21
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """BASE**i and BASE**-i for i up to n."""
-    if len(_powers[0]) <= n:
-        size = max(n + 1, 1 << 20)
-        for k, b in enumerate((BASE, INVERSE)):
-            a = np.full(size, b, U)
-            a[0] = 1
-            _powers[k] = np.multiply.accumulate(a)
-    return _powers[0], _powers[1]
+    if len(_powers[0]) > n:
+        return _powers[0], _powers[1]
+    size, made = max(n + 1, 1 << 18), []
+    for b in (BASE, INVERSE):
+        a = np.full(size, b, U)
+        a[0] = 1
+        made.append(np.multiply.accumulate(a, out=a))
+    if size <= KEPT:
+        _powers[:] = made
+    return made[0], made[1]
 
 
 def prefix(buf: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks
+from .common import chunks, map_arrow
 
 #: Tags by their part in a page.
 SKIPPED = frozenset("script style noscript template svg math head title iframe object canvas audio video select textarea button datalist".split())
@@ -213,11 +213,11 @@ def extract(pages: DataFrame, column: str = "html", out: str = "text") -> DataFr
     kept = [pages.columns.index(c) for c in keep]
 
     def run(batches):
-        for b in chunks(batches, column, 4 << 20):
+        for b in chunks(batches, column, 1 << 20):
             texts = [main_text(x) if x else "" for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(i) for i in kept), pa.array(texts, pa.string())], [*keep, out])
 
-    return pages.mapInArrow(run, schema)
+    return map_arrow(pages, run, schema)
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, column_bytes, materialize, parts
+from .common import chunks, column_bytes, group_arrow, map_arrow, materialize, parts
 from .components import components
 from .hashing import SPACE_LOWER, U, Words, fold, mix
 from .trie import ask, links, stars
@@ -101,7 +101,7 @@ def postings(docs: DataFrame, buckets: int, key: str, text: str, k: int) -> Data
     def run(batches):
         held: tuple[list, list, list, list] = ([], [], [], [])
         total = 0
-        for b in chunks(batches, text, 2 << 20):
+        for b in chunks(batches, text, 1 << 20):
             sets = shingle_sets(column_bytes(b.column(1)), k)
             for ident, s in zip(b.column(0).to_pylist(), sets, strict=True):
                 for h, x in zip(held, (-(1 << 63) if ident is None else ident, xxhash.xxh3_64_intdigest(s.tobytes()), len(s), s), strict=True):
@@ -113,7 +113,7 @@ def postings(docs: DataFrame, buckets: int, key: str, text: str, k: int) -> Data
         if held[0]:
             yield _batch(list(deal(*held)))
 
-    return docs.select(F.col(key).cast("long"), text).mapInArrow(run, PACKED)
+    return map_arrow(docs.select(F.col(key).cast("long"), text), run, PACKED)
 
 
 def _shared(bucket: int, buckets: int, rows: pa.Table) -> list[tuple]:
@@ -192,7 +192,7 @@ def ordered_sets(packed: DataFrame, t: tuple[int, int]) -> DataFrame:
         prefix = [x[: int(total[i] - _least(int(n[i]), t) + 1)].view(np.int64) for i, x in zip(at, sets, strict=True)]
         return pa.table({"v": pa.array(all_v[ok].view(np.int64)), "n": pa.array(n[ok]), "keys": pa.array([x.tobytes() for x in sets], pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
 
-    return packed.filter("kind = 1").groupBy("bucket").applyInArrow(run, "v long, n long, keys binary, prefix array<long>")
+    return group_arrow(packed.filter("kind = 1"), run, "v long, n long, keys binary, prefix array<long>")
 
 
 def _join(groups: DataFrame, t: tuple[int, int]) -> DataFrame:
@@ -268,7 +268,7 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
             out += _shared(key[0].as_py(), buckets, rows.filter(pa.array(kinds == 1)))
         return pa.Table.from_batches([_batch(out)])
 
-    packed = materialize(dealt.groupBy("bucket").applyInArrow(bucket, PACKED), "shared")
+    packed = materialize(group_arrow(dealt, bucket, PACKED), "shared")
 
     def unpack(batches):
         for b in batches:
@@ -276,7 +276,7 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
                 ids = np.frombuffer(ids, np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(ids, mask=ids == -(1 << 63)), pa.array(np.frombuffer(v, np.int64)), pa.array(np.frombuffer(n, np.int64))], [key, "v", "n_shingles"])
 
-    rows = packed.filter("kind = 0").select("a", "b", "c").mapInArrow(unpack, f"{key} long, v long, n_shingles long")
+    rows = map_arrow(packed.filter("kind = 0").select("a", "b", "c"), unpack, f"{key} long, v long, n_shingles long")
     sets = materialize(ordered_sets(packed, t), "sets")
     root = similar_roots(sets, t)
     rows = rows.join(root.withColumnRenamed("u", "v"), "v", "left").withColumn("_c", F.when(F.col("n_shingles") > 0, F.coalesce("root", "v"))).drop("root", "v")

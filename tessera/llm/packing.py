@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, materialize, parts
+from .common import chunks, map_arrow, materialize, parts
 from .tokens import Encoder, vocabulary_path
 
 CAPACITY, END_ID = 1024, 2
@@ -97,7 +97,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
 
     def run(batches):
         encoder = Encoder(path)
-        for b in chunks(batches, text, 4 << 20):
+        for b in chunks(batches, text, 1 << 20):
             at, rows = [], []
             for i, x in enumerate(b.column(1).to_pylist()):
                 ids = (encoder.ids(x) if x else b"") + end
@@ -110,7 +110,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
             cols = list(zip(*rows, strict=True)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], [key, "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def pack(cut: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("doc_id", "piece")) -> DataFrame:
@@ -154,7 +154,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, order: tuple[str, ...] = ("do
             keep = [c for i, c in enumerate(b.columns) if i != rank]
             yield pa.RecordBatch.from_arrays([*keep, pa.array(seq, pa.int64()), pa.array(off, pa.int64())], fields)
 
-    return ranked.mapInArrow(run, schema)
+    return map_arrow(ranked, run, schema)
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:

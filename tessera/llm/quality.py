@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, column_bytes
+from .common import chunks, column_bytes, map_arrow
 from .hashing import SPACE_ONLY, U, Words, fold, mix
 
 #: Documents that the sample for cost and selectivity expects.
@@ -144,7 +144,7 @@ def ordered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
     schema = pa.schema([("rule", pa.int32()), ("cost", pa.float64()), ("rejected", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        for b in chunks(batches, text, 4 << 20):
+        for b in chunks(batches, text, 1 << 20):
             texts, rows = column_bytes(b.column(0)), []
             for i, rule in enumerate(rules):
                 began, chunk = time.perf_counter(), Chunk(texts)
@@ -153,7 +153,7 @@ def ordered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
     found = (
-        docs.select(text).sample(min(1.0, sample / n), seed=11).mapInArrow(run, "rule int, cost double, rejected long, n long")
+        map_arrow(docs.select(text).sample(min(1.0, sample / n), seed=11), run, "rule int, cost double, rejected long, n long")
         .groupBy("rule").agg(F.sum("cost").alias("cost"), F.sum("rejected").alias("rejected"), F.sum("n").alias("n")).collect()
     )
     gain = {r.rule: (r.rejected / r.n) / max(r.cost / r.n, 1e-9) for r in found}
@@ -173,13 +173,13 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, measure: tuple[str,
     at, names = docs.columns.index(text), schema.names
 
     def run(batches):
-        for b in chunks(batches, text, 4 << 20):
+        for b in chunks(batches, text, 1 << 20):
             chunk = Chunk(column_bytes(b.column(at)))
             every = np.arange(len(chunk.texts))
             cols = [pa.array(chunk(m, every)) for m in measure]
             yield pa.RecordBatch.from_arrays([*b.columns, *cols, pa.array(cascade(chunk, rules))], names)
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 BASE_COLUMNS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, column_bytes, materialize
+from .common import chunks, column_bytes, map_arrow, materialize
 from .decontamination import contaminated
 from .ngram_join import join_similar
 from .packing import pack_documents
@@ -47,7 +47,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     at, chars, schema, names = docs.columns.index("text"), docs.columns.index("n_chars"), docs.schema, docs.columns
 
     def run(batches):
-        for b in chunks(batches, "text", 4 << 20):
+        for b in chunks(batches, "text", 1 << 20):
             spans, texts, sizes = b.column(len(names)).to_pylist(), [], []
             for raw, null, sp, n in zip(column_bytes(b.column(at)), b.column(at).is_null().to_pylist(), spans, b.column(chars).to_pylist(), strict=True):
                 text = None if null else cut(raw, sp).decode("utf-8", "ignore")
@@ -57,7 +57,7 @@ def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
             cols[at], cols[chars] = pa.array(texts, pa.string()), pa.array(sizes, b.column(chars).type)
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    return marked.mapInArrow(run, schema)
+    return map_arrow(marked, run, schema)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -96,13 +96,15 @@ def runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return first, np.r_[first[1:], len(new)] - 1
 
 
-def repeated(raw: bytes, offset: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of contexts in raw the windows that another context of the group has.
+def twins(raw: bytes, offset: np.ndarray, group: np.ndarray, low: np.ndarray, high: np.ndarray, span: int) -> tuple[np.ndarray, ...]:
+    """Of the windows of contexts in raw: which are repeated in their group.
 
     Context r begins at offset[r] and holds the windows of `span` bytes that
     begin high[r] to low[r] bytes before its anchor, the highest first.
     Windows of one group with equal distance are compared.  Result: (context,
-    lowest, highest distance) of runs of repeated windows.  group must ascend.
+    distance, twice, first) of every window, by context and distance; twice:
+    another context of the group has it; first: no equal one stands before it
+    in the sorted order.  group must ascend.
     """
     count = high - low + 1
     row = np.repeat(np.arange(len(offset)), count)
@@ -110,41 +112,35 @@ def repeated(raw: bytes, offset: np.ndarray, group: np.ndarray, low: np.ndarray,
     dist = high[row] - step
     key = group[row] * (int(high.max(initial=0)) + 1) + dist
     by = np.argsort(key, kind="stable")
-    row, dist, key = row[by], dist[by], key[by]
-    paired = np.zeros(len(key), bool)
-    same = key[1:] == key[:-1]
+    twice, first = np.zeros(len(row), bool), np.ones(len(row), bool)
+    k = key[by]
+    paired = np.zeros(len(k), bool)
+    same = k[1:] == k[:-1]
     paired[1:] |= same
     paired[:-1] |= same
-    row, dist, key = row[paired], dist[paired], key[paired]
-    if not len(row):
-        return row, dist, dist
-    start = offset[row] + high[row] - dist
-    s = Suffixes(raw, span)
-    order = s.sort(start, key)
-    row, dist, key, start = row[order], dist[order], key[order], start[order]
-    near = np.flatnonzero(key[1:] == key[:-1])
-    near = near[s._same(start[near], start[near + 1], span)]
-    # Verify by bytes: one comparison for each run of neighbouring windows.
-    a, b, d = row[near], row[near + 1], dist[near]
-    order = np.lexsort((d, b, a))
-    near, a, b, d = near[order], a[order], b[order], d[order]
-    first, last = runs(a, b, d)
-    hit = np.zeros(len(row), bool)
-    for f, e in zip(first.tolist(), last.tolist(), strict=True):
-        x, y = int(start[near[e]]), int(start[near[e] + 1])  # the farthest window begins first
-        n = span + e - f
-        if raw[x : x + n] == raw[y : y + n]:
-            hit[near[f : e + 1]] = True
-            hit[near[f : e + 1] + 1] = True
-        else:  # a collision of hashes: window by window
-            for i in near[f : e + 1].tolist():
-                if raw[int(start[i]) : int(start[i]) + span] == raw[int(start[i + 1]) : int(start[i + 1]) + span]:
-                    hit[i] = hit[i + 1] = True
-    row, dist = row[hit], dist[hit]
+    at = by[paired]  # the windows that have something to be compared with
+    if len(at):
+        k, start = key[at], offset[row[at]] + high[row[at]] - dist[at]
+        s = Suffixes(raw, span)
+        order = s.sort(start, k)
+        at, k, start = at[order], k[order], start[order]
+        near = np.flatnonzero(k[1:] == k[:-1])
+        near = near[s._same(start[near], start[near + 1], span)]
+        # Verify by bytes: one comparison for each run of neighbouring windows.
+        a, b, d = row[at[near]], row[at[near + 1]], dist[at[near]]
+        order = np.lexsort((d, b, a))
+        near, a, b, d = near[order], a[order], b[order], d[order]
+        equal = np.zeros(len(at), bool)  # like the next in the order
+        for f, e in zip(*(x.tolist() for x in runs(a, b, d)), strict=True):
+            x, y = int(start[near[e]]), int(start[near[e] + 1])  # the farthest window begins first
+            n = span + e - f
+            if raw[x : x + n] == raw[y : y + n]:
+                equal[near[f : e + 1]] = True
+            else:  # a collision of hashes: window by window
+                for i in near[f : e + 1].tolist():
+                    equal[i] = raw[int(start[i]) : int(start[i]) + span] == raw[int(start[i + 1]) : int(start[i + 1]) + span]
+        twice[at] = equal
+        twice[at[1:]] |= equal[:-1]
+        first[at[1:]] = ~equal[:-1]
     order = np.lexsort((dist, row))
-    row, dist = row[order], dist[order]
-    first, last = runs(row, dist)
-    return row[first], dist[first], dist[last]
-
-
-
+    return row[order], dist[order], twice[order], first[order]

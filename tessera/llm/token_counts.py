@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks
-from .tokens import LONGEST, PRETOKEN, Encoder, load, vocabulary_path
+from .common import chunks, map_arrow
+from .tokens import LONGEST, Encoder, load, vocabulary_path
 
 #: Documents that the sample for tier one expects, and the entries of tier one.
 SAMPLE, FREQUENT = 1_000, 32_768
@@ -31,14 +31,15 @@ def frequent_lengths(docs: DataFrame, path: str, text: str = "text", sample: int
 
     def count(batches):
         seen: Counter[str] = Counter()
+        encoder = Encoder(path)
         for b in batches:
             for x in b.column(0).to_pylist():
-                seen.update(p for p in PRETOKEN.findall(x or "") if len(p) <= LONGEST)
+                seen.update(p for p in encoder.pretokens(x or "") if len(p) <= LONGEST)
         top = seen.most_common(entries)
         yield pa.RecordBatch.from_pydict({"p": [k for k, _ in top], "n": [v for _, v in top]}, schema=pa.schema([("p", pa.string()), ("n", pa.int64())]))
 
     rows = (
-        docs.select(text).sample(min(1.0, sample / n), seed=7).mapInArrow(count, "p string, n long")
+        map_arrow(docs.select(text).sample(min(1.0, sample / n), seed=7), count, "p string, n long")
         .groupBy("p").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "p").limit(entries).collect()
     )
     library = load(path)
@@ -61,11 +62,11 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text", out: str = "n_t
 
     def run(batches):
         encoder = Encoder(path, table.value)
-        for b in chunks(batches, text, 4 << 20):
+        for b in chunks(batches, text, 1 << 20):
             n = [encoder.count(x) if x else 0 for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(n, pa.int64())], [*b.schema.names, out])
 
-    return docs.mapInArrow(run, schema)
+    return map_arrow(docs, run, schema)
 
 
 def op5_token_counts(spark: SparkSession, sf_dir: str, vocabulary: str = "byte_bpe_50k.json", limit: int = 512) -> DataFrame:

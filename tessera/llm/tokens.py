@@ -7,14 +7,16 @@ import re
 from array import array
 
 #: The pre-token pattern of the vocabulary, spelled for the
-#: characters of SAFE, on which it is the same as with Unicode's classes.
+#: characters that PLAIN allows, on which it is the same as with Unicode's
+#: classes.  Texts with others are read through a copy in which each of these
+#: has become a letter, a digit, a sign or a space.
 _L, _N = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
 PRETOKEN = re.compile(rf"'(?:[sdmt]|ll|ve|re)| ?[{_L}]+| ?[{_N}]+| ?[^\s{_L}{_N}]+|\s+(?!\S)|\s+")
-UNSAFE = re.compile(r"[^\t\n\v\f\r -~\xa0-ɏ‐-‧‰-⁞€]")
+OTHER = re.compile(r"[^\t\n\v\f\r -~\xa0-ɏ‐-‧‰-⁞€]")
 
 #: Entries of each of the two generations of a worker's cache, and the longest
 #: cached pre-token.
-CACHE, LONGEST = 400_000, 64
+CACHE, LONGEST = 150_000, 64
 
 
 def vocabulary_path(name: str) -> str:
@@ -63,17 +65,32 @@ class Cache(dict):
         return out
 
 
-class Encoder:
-    """Counts and ids of whole texts, as the library gives them.
+class Classes(dict):
+    """Code point -> a character of its class that PRETOKEN knows, for what
+    OTHER finds; the library's own splitter is asked once for each."""
+
+    def __init__(self, library) -> None:
+        super().__init__()
+        self.split = library.pre_tokenizer.pre_tokenize_str
+
+    def __missing__(self, code: int):
+        c = chr(code)
+        if OTHER.match(c):
+            self[code] = next((x for x in "a1!" if len(self.split(x + c)) == 1), "\t")
+        else:
+            self[code] = c
+        return self[code]
 
-    Texts with a special string or with characters outside SAFE's ranges go to
-    the library as they are; the others are looked up by pre-token.
-    """
+
+class Encoder:
+    """Counts and ids of whole texts, as the library gives them: texts are
+    looked up by pre-token, whatever their script.  Only those with a special
+    string go to the library as they are."""
 
     def __init__(self, path: str, frequent: dict[str, int] | None = None) -> None:
         self.library = load(path)
         self.special = re.compile("|".join(map(re.escape, special_strings(path))) or r"(?!)")
-        self.spelling, self.model = _visible(), self.library.model
+        self.spelling, self.model, self.classes = _visible(), self.library.model, Classes(self.library)
         self.counts = Cache(lambda x: len(self._model(x)), frequent)
         self.blobs = Cache(lambda x: array("I", [t.id for t in self._model(x)]).tobytes())
 
@@ -81,16 +98,18 @@ class Encoder:
         """The library's model on one pre-token."""
         return self.model.tokenize("".join(map(self.spelling.__getitem__, pretoken.encode())))
 
-    def plain(self, text: str) -> bool:
-        return not UNSAFE.search(text) and not self.special.search(text)
+    def pretokens(self, text: str) -> list[str]:
+        if not OTHER.search(text):
+            return PRETOKEN.findall(text)
+        return [text[m.start() : m.end()] for m in PRETOKEN.finditer(text.translate(self.classes))]
 
     def count(self, text: str) -> int:
-        if self.plain(text):
-            return sum(map(self.counts.__getitem__, PRETOKEN.findall(text)))
-        return len(self.library.encode(text, add_special_tokens=False).ids)
+        if self.special.search(text):
+            return len(self.library.encode(text, add_special_tokens=False).ids)
+        return sum(map(self.counts.__getitem__, self.pretokens(text)))
 
     def ids(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        if self.plain(text):
-            return b"".join(map(self.blobs.__getitem__, PRETOKEN.findall(text)))
-        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        if self.special.search(text):
+            return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.blobs.__getitem__, self.pretokens(text)))

@@ -24,7 +24,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, materialize, work_path
+from .common import chunks, map_arrow, materialize, work_path
 
 #: Fixed values of the formats.
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
@@ -33,7 +33,7 @@ DATE = "2024-01-01T00:00:00Z"
 
 #: Payload bytes from which equal payloads are stored once; uncompressed
 #: bytes of a frame and of a bundle.
-LEAST, FRAME, BUNDLE = 1000, 256 << 10, 32 << 20
+LEAST, FRAME, BUNDLE = 1000, 256 << 10, 31 << 20
 
 
 class BundleWriter:
@@ -164,7 +164,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
             keys, digests, refers = (pa.concat_arrays([b.column(i) for b in held]) for i in (0, 3, 4))
             return pa.RecordBatch.from_arrays([keys, digests, refers, pa.array([name] * len(places)), pa.array(frames, pa.int32()), pa.array(offsets, pa.int32())], names)
 
-        for b in chunks(batches, "_payload", 4 << 20):
+        for b in chunks(batches, "_payload", 1 << 20):
             for page, link, data, digest, refers in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 places.append(writer.add(make_record(page, link, data, digest, refers)))
             held.append(b)
@@ -174,7 +174,7 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
         if places:
             yield close()
 
-    return materialize(rows.mapInArrow(run, f"{key} {kind}, digest string, refers_to {kind}, bundle string, frame int, offset int"), "manifest")
+    return materialize(map_arrow(rows, run, f"{key} {kind}, digest string, refers_to {kind}, bundle string, frame int, offset int"), "manifest")
 
 
 def read_archives(manifest: DataFrame, folder: str, key: str = "page_id", with_payload: bool = False) -> DataFrame:
@@ -211,7 +211,7 @@ def read_archives(manifest: DataFrame, folder: str, key: str = "page_id", with_p
             yield pa.RecordBatch.from_arrays([b.column(0), *a[:3], b.column(1), *a[3:]], names)
 
     dealt = manifest.select(key, "refers_to", "bundle", "frame", "offset").repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
-    read = materialize(dealt.mapInArrow(run, f"{key} {kind}, record_type string, record_id string, refers_id string, refers_to {kind}, payload_bytes long, payload_digest string" + ", payload binary" * with_payload), "records")
+    read = materialize(map_arrow(dealt, run, f"{key} {kind}, record_type string, record_id string, refers_id string, refers_to {kind}, payload_bytes long, payload_digest string" + ", payload binary" * with_payload), "records")
     value = ["payload_bytes", "payload_digest", *["payload"] * with_payload]
     # Only responses that a revisit names take part, and once each.
     named = read.filter("refers_id IS NOT NULL").select(F.col("refers_id").alias("record_id")).distinct()

@@ -9,11 +9,27 @@ from tessera.llm import ngram_join, suffix_dedup, suffix_sort, trie
 from tests.llm import helpers as h
 
 
-@pytest.mark.parametrize("group", [2, 2000])
-def test_repeats_are_those_of_brute_force(spark, monkeypatch, group):
-    monkeypatch.setattr(suffix_dedup, "GROUP", group)
-    docs = h.odd_documents(spark).filter("length(text) < 100000 OR text IS NULL")
-    got = suffix_dedup.mark_repeats(docs.select("doc_id", "text", "lang")).collect()
+@pytest.mark.parametrize("group,local,held", [(2, 24, 40_000), (3, 2, 7), (2000, 24, 40_000), (2000, 2, 50)])
+def test_repeats_are_those_of_brute_force(spark, monkeypatch, group, local, held):
+    """Each level, and settling in the tasks, gives what counting gives; near
+    copies and copies of a passage make hot anchors."""
+    for k, v in {"GROUP": group, "LOCAL": local, "HELD": held}.items():
+        monkeypatch.setattr(suffix_dedup, k, v)
+    r = random.Random(7)
+    base, passage = (bytes(r.choice(b"abcdefgh ") for _ in range(n)).decode() for n in (700, 260))
+    more = []
+    for i in range(40):
+        t = list(base)
+        for _ in range(r.randint(0, 3)):
+            t[r.randrange(len(t))] = "X"
+        more += ["".join(t), f"{i} own " + passage + f" own {i * 17}"]
+    docs = h.odd_documents(spark).filter("length(text) < 100000 OR text IS NULL").select("doc_id", "text", "lang", "_v")
+    docs = docs.unionByName(spark.createDataFrame([(1000 + i, t, "en", "_") for i, t in enumerate(more)], docs.schema)).repartition(6)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    found = suffix_dedup.mark_repeats(docs)
+    assert found.columns == ["doc_id", "text", "lang", "_v", "spans"]
+    got = found.collect()
+    assert {x._v for x in got} == {"x", "_"}
     texts = [(r.text or "").encode() for r in docs.collect()]
     marks = h.repeated_bytes(texts, suffix_dedup.SPAN)
     want = sorted((t, h.kept_bytes(t, m)) for t, m in zip(texts, marks, strict=True))
@@ -45,8 +61,16 @@ def test_collisions_are_told_from_equal_bytes(monkeypatch):
     """With hashes that are all alike only the bytes can decide."""
     monkeypatch.setattr(suffix_sort.Suffixes, "_same", lambda self, x, y, n: np.ones(len(x), bool))
     raw = bytes(range(60)) + bytes(range(10, 70))
-    row, _, _ = suffix_sort.repeated(raw, np.array([0, 60]), np.array([0, 0]), np.array([0, 0]), np.array([5, 5]), 50)
-    assert len(row) == 0
+    _, _, twice, first = suffix_sort.twins(raw, np.array([0, 60]), np.array([0, 0]), np.array([0, 0]), np.array([5, 5]), 50)
+    assert len(twice) == 12 and not twice.any() and first.all()
+
+
+def test_twins_of_windows():
+    raw = b"abcdefgh" + b"abcdefgh" + b"xbcdefgh"
+    row, dist, twice, first = suffix_sort.twins(raw, np.array([0, 8, 16]), np.zeros(3, int), np.zeros(3, int), np.full(3, 2), 6)
+    told = {(int(a), int(b)): (bool(c), bool(d)) for a, b, c, d in zip(row, dist, twice, first, strict=True)}
+    assert told[2, 2] == (False, True) and all(t for k, (t, _) in told.items() if k != (2, 2))
+    assert [sum(f for (_, d), (_, f) in told.items() if d == k) for k in range(3)] == [1, 1, 2]
 
 
 @pytest.mark.parametrize("block", [6, 1500])
