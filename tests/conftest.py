@@ -1,4 +1,5 @@
 import duckdb
+import pandas as pd
 import pytest
 from pyspark.sql import SparkSession
 
@@ -27,15 +28,15 @@ def duck():
 
 def rows(frame) -> list[tuple]:
     """A pandas frame's rows, columns by name, numbers and nulls alike."""
-    def plain(v):
-        if v is None or v != v or str(v) in ("<NA>", "NaT"):
+    def plain(c, v):
+        if pd.api.types.is_scalar(v) and pd.isna(v):
             return "null"
-        return str(float(v)) if isinstance(v, float) or hasattr(v, "dtype") and v.dtype.kind == "f" else str(v)
+        return str(float(v)) if c in ints or isinstance(v, (int, float)) or hasattr(v, "dtype") and v.dtype.kind == "f" else str(v)
 
     cols = sorted(frame.columns)
     ints = [c for c in cols if frame[c].dtype.kind == "f" and frame[c].dropna().eq(frame[c].dropna().round()).all()]
     frame = frame.astype({c: "object" for c in cols})
-    out = [tuple(str(float(v)) if c in ints and v is not None and v == v else plain(v) if not isinstance(v, (int, float)) else str(float(v)) if v == v else "null" for c, v in zip(cols, r, strict=True)) for r in frame[cols].itertuples(index=False)]
+    out = [tuple(plain(c, v) for c, v in zip(cols, r, strict=True)) for r in frame[cols].itertuples(index=False)]
     return sorted(out)
 
 
