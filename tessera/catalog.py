@@ -1,7 +1,7 @@
 """All queries of the package by name, and their SQL."""
 
-from .plans import evaluation, extraction, ingestion, quality, records, series, texts
+from .plans import assembly, benchmark, evaluation, extraction, ingestion, quality, records, series, texts, verification
 
-_PLANS = (evaluation, records, quality, series, texts, extraction, ingestion)
+_PLANS = (evaluation, records, quality, verification, benchmark, assembly, series, texts, extraction, ingestion)
 QUERIES = {k: f for p in _PLANS for k, f in p.QUERIES.items()}
 ORACLE_SQL = {k: s for p in _PLANS for k, s in p.ORACLE_SQL.items()}

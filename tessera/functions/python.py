@@ -45,7 +45,7 @@ def repaired(text: str | None) -> str | None:
                 break
         if ch in ',}]"' or ch.isalnum():
             cuts.append((i if ch == "," else i + 1, "".join(reversed(stack))))
-    for end, tail in reversed(cuts[-200:]):
+    for end, tail in reversed(cuts):
         try:
             return json.dumps(json.loads(body[:end] + tail), ensure_ascii=False)
         except ValueError:
@@ -58,14 +58,12 @@ def repair_json(text: pd.Series) -> pd.Series:
     return text.map(repaired)
 
 
-def _title(x: str) -> str:
-    return re.sub(r"[^a-z0-9 ]", "", x.lower()).strip()
-
-
 @pandas_udf(DoubleType())
 def title_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    """Likeness of two titles, 0 to 1; above 0.8 they count as one."""
-    return pd.Series([difflib.SequenceMatcher(None, _title(x or ""), _title(y or "")).ratio() for x, y in zip(a, b, strict=True)])
+    """Likeness of two titles, 0 to 1, above 0.8 they count as one; an empty
+    or unknown title is like none."""
+    form = lambda x: (x or "").lower().strip()
+    return pd.Series([difflib.SequenceMatcher(None, form(x), form(y)).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
 
 
 @udtf(returnType="start int, stop int, found string, before string, after string")

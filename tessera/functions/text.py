@@ -29,10 +29,10 @@ def normal_list(c: Column) -> Column:
 
 
 def table_form(c: Column) -> Column:
-    """`Table S1: doses` as `tables1`; other texts as identifiers."""
-    t = normal_text(c)
-    head = F.regexp_extract(t, r"^(table\s*s?\d+)", 1)
-    return F.when(head != "", F.regexp_replace(head, r"\s+", "")).otherwise(F.regexp_replace(t, "[^a-z0-9]", ""))
+    """`Table S1: doses` as `tables1`; other texts without white space."""
+    t = F.regexp_replace(normal_text(c), r"(?U)\s+", "")
+    head = F.regexp_extract(t, r"^(tables?\d+)", 1)
+    return F.when(head != "", head).otherwise(t)
 
 
 def verification_form(c: Column) -> Column:
@@ -80,6 +80,19 @@ def without_fences(c: Column) -> Column:
     return F.regexp_replace(t, r",\s*([}\]])", "$1")
 
 
+def without_empty_brackets(c: Column) -> Column:
+    """Text without the brackets that removed citations leave, blanks folded."""
+    t = F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"\(\s*\)", ""), r"\[\s*\]", ""), r"\(\s*;\s*\)", "")
+    return F.regexp_replace(t, r"\s{2,}", " ")
+
+
+def first_errors(errors: Column, k: int = 5) -> Column:
+    """A short text of validation errors, array<struct<path: array<string>,
+    message: string, received: string>>: the first k, a line each."""
+    got = lambda e: F.when(e["received"].isNotNull(), F.concat(F.lit(" (received: '"), F.substring(e["received"], 1, 40), F.lit("')"))).otherwise("")
+    return F.array_join(F.transform(F.slice(errors, 1, k), lambda e: F.concat(F.lit("- Location '"), F.array_join(e["path"], " -> "), F.lit("': "), e["message"], got(e))), "\n")
+
+
 def data_uri(c: Column, kind: str = "image/png") -> Column:
     return F.concat(F.lit(f"data:{kind};base64,"), F.base64(c))
 

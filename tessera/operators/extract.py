@@ -26,21 +26,26 @@ def with_value(df: DataFrame) -> DataFrame:
     return df.filter(F.col("value_text").isNotNull() | F.col("value").isNotNull())
 
 
-def real_doses(df: DataFrame, unit: str, text: str) -> DataFrame:
+#: Units of rates and clearances, symbols of kinetics, and units
+#: whose prefix must not be lost.
+RATE_UNITS = r"(?i)/h|/min|h\^-1|l/h|ml/min|mg/h/kg|ug/h/kg"
+KINETIC_SYMBOLS = r"\b(?:Tmc|Vmax|Kt|Km|QCC|k12|k21|ka)\b"
+PREFIXED = ("nmol", "umol", "mmol", "pmol", "mg", "ug", "ng", "pg", "ml", "ul")
+
+
+def real_doses(df: DataFrame, unit: str, *texts: str) -> DataFrame:
     """Doses without those that are rates or clearances by unit (per day is a
-    dose) or kinetic symbols by text."""
-    u, t = F.lower(F.coalesce(unit, F.lit(""))), F.lower(F.coalesce(text, F.lit("")))
-    rate = u.rlike(r"/\s*(?:h|hr|min|s)\b|h\^?-1|ml/min|l/h") & ~F.contains(u, F.lit("day"))
-    return df.filter(~rate & ~t.rlike(r"\b(?:ka|kel|vmax|km|clearance|half-life)\b"))
+    dose) or name a kinetic symbol in their texts."""
+    u = F.coalesce(unit, F.lit(""))
+    rate = u.rlike(RATE_UNITS) & ~F.contains(F.lower(u), F.lit("day"))
+    return df.filter(~rate & ~F.concat_ws(" ", *texts).rlike(KINETIC_SYMBOLS))
 
 
 def guard_prefix(original: Column, standard: Column) -> Column:
-    """The standard unit, null if an SI prefix of the original is lost."""
-    lost = F.lit(False)
-    for prefix in ("µ", "μ", "n", "m"):
-        for base in ("g", "mol", "L"):
-            lost = lost | (F.contains(original, F.lit(prefix + base)) & ~F.contains(standard, F.lit(prefix + base)) & ~F.contains(standard, F.lit(("u" if prefix in "µμ" else prefix) + base)))
-    return F.when(~F.coalesce(lost, F.lit(False)), standard)
+    """The standard unit, null if a prefixed unit of the original is lost."""
+    form = lambda c: F.translate(F.lower(c), "µμ", "uu")
+    lost = F.exists(F.array(*map(F.lit, PREFIXED)), lambda p: F.contains(form(original), p) & ~F.contains(form(standard), p))
+    return F.when((standard == "") | ~F.coalesce(lost, F.lit(False)), standard)
 
 
 def of_compound(df: DataFrame, column: str, compound: str, klass: str = "class") -> DataFrame:
@@ -63,24 +68,34 @@ def larger_structure(df: DataFrame, doc: str, items: str, order: str) -> DataFra
     return df.groupBy(doc).agg(F.max_by(F.col(items), F.struct(F.size(items), -F.col(order))).alias(items))
 
 
-def good_boxes(boxes: DataFrame, page: str, confidence: float = 0.25, low: float = 0.01, high: float = 0.95, aspect: float = 10.0, pad: float = 30.0) -> DataFrame:
-    """The union, padded, of a page's boxes that may be a table."""
+def good_boxes(boxes: DataFrame, page: str, confidence: float = 0.3, low: float = 0.01, high: float = 0.95, tall: float = 10.0) -> DataFrame:
+    """The union of a page's boxes that may be a table, with 5 % of the page
+    at the sides, 10 % above for the caption and 15 % below for footnotes.
+
+    boxes: page, label, score, x0, y0, x1, y1 (whole pixels), width, height.
+    """
+    whole = {c: F.col(c).cast("int") for c in ("x0", "y0", "x1", "y1")}
+    x = boxes.withColumns(whole)
     w, h = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
-    share = w * h / (F.col("width") * F.col("height"))
-    ok = (F.col("score") >= confidence) & share.between(low, high) & (F.greatest(w / h, h / w) <= aspect)
-    return boxes.filter(ok).groupBy(page).agg(
-        F.greatest(F.lit(0.0), F.min("x0") - pad).alias("x0"), F.greatest(F.lit(0.0), F.min("y0") - pad).alias("y0"),
-        F.least(F.max("width"), F.max("x1") + pad).alias("x1"), F.least(F.max("height"), F.max("y1") + pad).alias("y1"), F.count("*").alias("n_boxes"),
+    area = F.col("width") * F.col("height")
+    ok = (F.col("score") >= confidence) & F.contains(F.lower("label"), F.lit("table")) & (w * h >= area * low) & (w * h <= area * high) & (w != 0) & (F.try_divide(h, w) <= tall)
+    pad = lambda c, s: F.floor(F.max(c) * F.lit(s))
+    return x.filter(ok).groupBy(page).agg(
+        F.greatest(F.lit(0), F.min("x0") - pad("width", 0.05)).cast("long").alias("x0"), F.greatest(F.lit(0), F.min("y0") - pad("height", 0.10)).cast("long").alias("y0"),
+        F.least(F.max("width"), F.max("x1") + pad("width", 0.05)).cast("long").alias("x1"), F.least(F.max("height"), F.max("y1") + pad("height", 0.15)).cast("long").alias("y1"),
+        F.max("score").alias("best"), F.count("*").alias("n_boxes"),
     )
 
 
 def title_line(lines: DataFrame, key: str) -> DataFrame:
-    """The first of a page's first eight lines that reads like a title."""
-    t = F.trim("line")
-    digits = F.length(F.regexp_replace(t, "[^0-9]", "")) / F.greatest(F.lit(1), F.length(t))
-    commas = F.length(t) - F.length(F.regexp_replace(t, ",", ""))
-    ok = (F.col("pos") < 8) & (F.length(t) > 15) & (F.length(t) < 300) & (digits <= 0.05) & (commas <= 3)
-    return lines.filter(ok).groupBy(key).agg(F.min_by(t, "pos").alias("title"))
+    """Of a page's first eight lines of more than 20 characters the first that
+    is neither authors nor places: few digits, three commas at most."""
+    x = lines.withColumn("_t", F.trim("line")).filter(F.length("_t") > 20)
+    x = x.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy("pos"))).filter("_k <= 8")
+    digits = F.length(F.regexp_replace("_t", "[^0-9]", "")) / F.length("_t")
+    commas = F.length("_t") - F.length(F.regexp_replace("_t", ",", ""))
+    ok = (digits <= 0.05) & (commas <= 3) & (F.length("_t") < 300)
+    return x.filter(ok).groupBy(key).agg(F.min_by("_t", "pos").alias("title"))
 
 
 def batch_summary(df: DataFrame, ok: str, n: str) -> DataFrame:

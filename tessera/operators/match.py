@@ -8,31 +8,38 @@ from pyspark.sql import functions as F
 from ..functions.numbers import f1, ratio
 
 
-def candidates(reference: DataFrame, prediction: DataFrame, doc: str, names: list[tuple[str, int]], context: list[str]) -> DataFrame:
+def candidates(reference: DataFrame, prediction: DataFrame, doc: str, names: list[tuple[str, int]], context: list[str], bonus: list[str] | None = None) -> DataFrame:
     """Scored pairs (doc, ref, pred, score) of one document.
 
-    Both sides have doc, ord, the columns of names and context.  A pair needs
-    an equal name column, each worth its points; an unequal known context
-    kills the pair, an equal one is worth 2, a missing one nothing.  Pairs
-    come from an equi-join for each name column, so no documents are crossed.
+    Both sides have doc, ord, the columns of names, each an identifier or an
+    array of them, and those of context and bonus.  A pair needs an identifier
+    in common; each column of names with one is worth its points.  An unequal
+    known context kills the pair, an equal one is worth 2, a missing one
+    nothing; an equal known bonus column is worth 2, an unequal one nothing.
+    Pairs come from one equi-join by (document, column, identifier), so no
+    documents are crossed.
     """
-    cols = ["ord", *(n for n, _ in names), *context]
-    r = reference.select(doc, *(F.col(c).alias("r_" + c) for c in cols))
-    p = prediction.select(doc, *(F.col(c).alias("p_" + c) for c in cols))
-    equal = lambda c: F.coalesce((F.col("r_" + c) == F.col("p_" + c)) & (F.col("r_" + c) != ""), F.lit(False))
-    # A pair is found under the first name column that is equal.
-    found = None
-    for i, (n, _) in enumerate(names):
-        one = r.join(p, (r[doc] == p[doc]) & (F.col("r_" + n) == F.col("p_" + n)) & (F.col("r_" + n) != "")).drop(p[doc])
-        for m, _ in names[:i]:
-            one = one.filter(~equal(m))
-        found = one if found is None else found.unionByName(one)
-    known = lambda c: F.coalesce((F.col("r_" + c) != "") & (F.col("p_" + c) != ""), F.lit(False))
+    bonus = bonus or []
+    rest = [*context, *bonus]
+
+    def told(side: DataFrame, pre: str) -> DataFrame:
+        """A row for each identifier: (doc, kind, ident, ord and the rest)."""
+        listed = lambda c: F.col(c) if side.schema[c].dataType.typeName() == "array" else F.array(c)
+        told = lambda kind: lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("ident"))
+        idents = F.concat(*(F.transform(F.coalesce(listed(n), F.array().cast("array<string>")), told(i)) for i, (n, _) in enumerate(names)))
+        x = side.select(F.col(doc), F.col("ord").alias(pre + "ord"), *(F.coalesce(F.col(c), F.lit("")).alias(pre + c) for c in rest), F.explode(F.array_distinct(idents)).alias("x"))
+        return x.select("*", "x.*").drop("x").filter("ident <> ''")
+
+    both = told(reference, "r_").join(told(prediction, "p_"), [doc, "kind", "ident"])
+    kinds = {f"_{i}": F.bool_or(F.col("kind") == i) for i in range(len(names))}
+    pairs = both.groupBy(doc, "r_ord", "p_ord", *(s + c for s in ("r_", "p_") for c in rest)).agg(*(c.alias(n) for n, c in kinds.items()))
+    known = lambda c: (F.col("r_" + c) != "") & (F.col("p_" + c) != "")
+    equal = lambda c: F.col("r_" + c) == F.col("p_" + c)
     for c in context:
-        found = found.filter(~(known(c) & ~equal(c)))
-    score = sum((F.when(equal(n), points).otherwise(0) for n, points in names), F.lit(0))
-    score = sum((F.when(equal(c), 2).otherwise(0) for c in context), score)
-    return found.select(doc, F.col("r_ord").alias("ref"), F.col("p_ord").alias("pred"), score.alias("score"))
+        pairs = pairs.filter(~known(c) | equal(c))
+    score = sum((F.when(F.col(k), points).otherwise(0) for k, (_, points) in zip(kinds, names, strict=True)), F.lit(0))
+    score = sum((F.when(known(c) & equal(c), 2).otherwise(0) for c in rest), score)
+    return pairs.select(doc, F.col("r_ord").alias("ref"), F.col("p_ord").alias("pred"), score.alias("score"))
 
 
 def best(pairs: DataFrame, doc: str) -> DataFrame:
@@ -81,28 +88,27 @@ def unmatched(side: DataFrame, used: DataFrame, on: list[str]) -> DataFrame:
     return side.join(used, on, "left_anti")
 
 
-def greedy(reference: DataFrame, prediction: DataFrame, doc: str, accept, most: int = 10_000) -> DataFrame:
-    """(doc, pred, ref): each prediction, in order, takes the first unused
-    reference that accept(prediction, reference) takes.
+def greedy(pairs: DataFrame, doc: str, order: tuple[str, str] = ("pred", "ref")) -> DataFrame:
+    """Of acceptable pairs (doc, pred, ref): each prediction, in order, takes
+    the first reference that no prediction before it has taken.
 
-    Which reference is taken hangs on all predictions before, so a document is
-    one group; its size is checked against `most`.
+    Which reference is taken hangs on all predictions before, so a document's
+    acceptable pairs are one group; they are sorted by Spark and streamed, and
+    only the references taken so far are held.
     """
     import pyarrow as pa
 
-    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
-        refs, preds = (sorted(t.to_pylist(), key=lambda r: r["ord"]) for t in (left, right))
-        if max(len(refs), len(preds)) > most:
-            raise ValueError(f"a document of more than {most} parameters")
-        used, out = set(), []
-        for p in preds:
-            hit = next((r["ord"] for r in refs if r["ord"] not in used and accept(p, r)), None)
-            if hit is not None:
-                used.add(hit)
-                out.append((p["ord"], hit))
-        a, b = zip(*out, strict=True) if out else ((), ())
-        docs = [key[0].as_py()] * len(out)
-        return pa.table({doc: pa.array(docs, pa.int64()), "pred": pa.array(a, pa.int32()), "ref": pa.array(b, pa.int32())})
-
-    prediction = prediction.toDF(*prediction.columns)  # new attributes, if both sides are of one table
-    return reference.toDF(*reference.columns).groupBy(doc).cogroup(prediction.groupBy(doc)).applyInArrow(run, f"{doc} long, pred int, ref int")
+    first, second = order
+
+    def run(key, rows):
+        a, b = (rows.column(c).to_pylist() for c in order)
+        used, done, out = set(), set(), []
+        for x, y in sorted(zip(a, b, strict=True)):
+            if x not in done and y not in used:
+                done.add(x)
+                used.add(y)
+                out.append((x, y))
+        x, y = zip(*out, strict=True) if out else ((), ())
+        return pa.table({doc: pa.array([key[0].as_py()] * len(out), pa.int64()), first: pa.array(x, pa.int32()), second: pa.array(y, pa.int32())})
+
+    return pairs.select(doc, *order).groupBy(doc).applyInArrow(run, f"{doc} long, {first} int, {second} int")

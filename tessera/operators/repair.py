@@ -13,18 +13,19 @@ def keep_first(df: DataFrame, key: list[Column | str], order: list[Column | str]
 
 
 def unique_ids(df: DataFrame, ident: str, order: list[str], scope: list[str] | None = None) -> DataFrame:
-    """Repeated ids get _2, _3 and so on; a new id that another row has
-    already gets the next number that is free."""
+    """Repeats of an id get _2, _3 and so on, in order, without the numbers
+    that make an id that a row has as it is."""
     scope = scope or []
     w = Window.partitionBy(*scope, ident).orderBy(*order)
-    out = df.withColumn("_k", F.row_number().over(w)).withColumn("_new", F.when(F.col("_k") == 1, F.col(ident)).otherwise(F.concat_ws("_", F.col(ident), F.col("_k").cast("string"))))
-    # Second pass: suffixed ids that clash with an id as it was.
-    taken = df.select(*scope, F.col(ident).alias("_new")).distinct().withColumn("_taken", F.lit(True))
-    out = out.join(taken, [*scope, "_new"], "left")
-    clash = F.col("_taken").isNotNull() & (F.col("_k") > 1)
-    most = F.max("_k").over(Window.partitionBy(*scope, ident))
-    fixed = F.when(clash, F.concat_ws("_", F.col(ident), (F.col("_k") + most).cast("string"))).otherwise(F.col("_new"))
-    return out.withColumn(ident, fixed).drop("_k", "_new", "_taken")
+    out = df.withColumn("_k", F.row_number().over(w))
+    tail = r"^(.*)_([2-9]|[1-9]\d{1,8})$"
+    taken = df.select(*scope, F.regexp_extract(ident, tail, 1).alias("_base"), F.regexp_extract(ident, tail, 2).try_cast("int").alias("_n")).filter("_n IS NOT NULL")
+    taken = taken.groupBy(*scope, "_base").agg(F.array_sort(F.collect_set("_n")).alias("_taken"))
+    on = [F.col("o." + c).eqNullSafe(F.col("t." + c)) for c in scope] + [F.col("o." + ident) == F.col("t._base")]
+    out = out.alias("o").join(taken.alias("t"), on, "left").select("o.*", "t._taken")
+    # The k-th number from 2 on that is not taken.
+    free = F.aggregate(F.coalesce("_taken", F.array().cast("array<int>")), F.col("_k"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
+    return out.withColumn(ident, F.when(F.col("_k") == 1, F.col(ident)).otherwise(F.concat_ws("_", F.col(ident), free.cast("string")))).drop("_k", "_taken")
 
 
 def forward_fill(df: DataFrame, column: str, part: list[str], order: list[str]) -> Column:
@@ -62,17 +63,29 @@ def supplement(rows: DataFrame, more: DataFrame, key: list[str]) -> DataFrame:
     return rows.unionByName(more.join(rows.select(*key).distinct(), key, "left_anti"), allowMissingColumns=True)
 
 
-def inherit(df: DataFrame, scope: str, symbol: str, group: str, target: str, donors: list[str], order: str, excluded: tuple[str, ...] = ()) -> DataFrame:
-    """df, and for the target group copies of the symbols that it lacks, from
-    the first donor group in the given order that has them, with donor set.
-    A donor's last row of a symbol counts."""
-    rank = F.create_map(*(x for i, g in enumerate(donors) for x in (F.lit(g), F.lit(i))))
-    lent = df.filter(F.col(group).isin(donors) & ~F.col(symbol).isin(*excluded)).withColumn("_r", F.try_element_at(rank, F.col(group)))
-    have = df.filter(F.col(group) == target).select(scope, symbol).distinct()
-    w = Window.partitionBy(scope, symbol).orderBy("_r", F.desc(order))
-    lent = lent.join(have, [scope, symbol], "left_anti").withColumn("_k", F.row_number().over(w)).filter("_k = 1").drop("_k", "_r")
-    clones = lent.withColumn("donor", F.col(group)).withColumn(group, F.lit(target))
-    return df.withColumn("donor", F.lit(None).cast("string")).unionByName(clones.select(*df.columns, "donor"))
+#: Symbols that are never inherited, and donors by priority.
+OWN_SYMBOLS = ("BW", "BODY WEIGHT", "BODY_WEIGHT", "T1/2", "HALF_LIFE", "HALF-LIFE")
+DONORS = ("nonhuman primate", "monkey", "cynomolgus monkey", "rat", "mouse")
+
+
+def inherit(df: DataFrame, scope: list[str], compound: str, symbol: str, species: str, order: str, target: str = "human", donors: tuple[str, ...] = DONORS, excluded: tuple[str, ...] = OWN_SYMBOLS) -> DataFrame:
+    """df, and for each compound that the target species has rows of copies of
+    the symbols that it lacks there, with `donor` set.
+
+    One species gives to a compound: the first of donors with any row.  Its
+    last row of a symbol counts.  Compounds are told without case, rows
+    without one are one group; rows without species or symbol take no part.
+    """
+    df = df.withColumn("donor", F.lit(None).cast("string"))
+    x = df.withColumns({"_c": F.upper(F.coalesce(F.nullif(compound, F.lit("")), F.lit("SYSTEM"))), "_s": F.lower(F.trim(F.coalesce(species, F.lit("")))), "_y": F.trim(F.coalesce(symbol, F.lit("")))})
+    x = x.filter("_s <> '' AND _y <> ''")
+    rank = F.create_map(*(v for i, d in enumerate(donors) for v in (F.lit(d), F.lit(i))))
+    per = x.groupBy(*scope, "_c").agg(F.bool_or(F.col("_s") == target).alias("_asks"), F.min(F.try_element_at(rank, F.col("_s"))).alias("_r"))
+    per = per.filter("_asks AND _r IS NOT NULL").withColumn("_s", F.get(F.array(*map(F.lit, donors)), F.col("_r"))).drop("_asks", "_r")
+    have = x.filter(F.col("_s") == target).select(*scope, "_c", "_y").distinct()
+    lent = x.filter(~F.upper("_y").isin(*excluded)).join(per, [*scope, "_c", "_s"]).join(have, [*scope, "_c", "_y"], "left_anti")
+    lent = keep_first(lent, [*scope, "_c", "_y"], [F.desc(order)]).withColumns({"donor": F.col("_s"), species: F.lit(target)})
+    return df.unionByName(lent.select(*df.columns))
 
 
 def best_tier(candidates: DataFrame, key: list[str], tier: str, score: Column, order: list[str]) -> DataFrame:

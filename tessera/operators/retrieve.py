@@ -85,6 +85,14 @@ def top_k(scores: DataFrame, query: str, page: str, k: int = 3) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def penalised(scores: DataFrame, against: DataFrame, page: str, low: float = 10.0, penalty: float = 10.0) -> DataFrame:
+    """scores (page, score) less a penalty where a page is more like the
+    unwanted query (page, against) and its own score is under `low`."""
+    x = scores.join(against.select(page, "against"), page, "left")
+    worse = (F.col("against") > F.col("score")) & (F.col("score") < low)
+    return x.withColumn("score", F.when(worse, F.col("score") - penalty).otherwise(F.col("score"))).drop("against")
+
+
 def cutoff(scores: DataFrame, page: str, k: int = 10, ratio: float = 0.9, floor: float = 0.6, least: int = 4) -> DataFrame:
     """Of the k best pages those with max(ratio, floor) of the best score, and
     the `least` best in any case."""

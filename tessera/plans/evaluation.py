@@ -21,29 +21,31 @@ def precision_recall_f1(spark, d):
 
 
 def _sides(spark, d):
-    part = read(spark, d, "part").select("p_partkey", "p_brand", "p_type", "p_size")
-    x = lines(spark, d).join(part, F.col("l_partkey") == F.col("p_partkey"))
-    x = x.select("l_orderkey", "ord", normal_identifier(F.col("p_brand")).alias("brand"), normal_identifier(F.col("p_type")).alias("type"), "l_returnflag", "l_linestatus")
+    # Parts are normalised once, not once a line.
+    form = lambda c: normal_identifier(F.col(c))
+    names = F.array(form("p_brand"), F.concat(F.lit("s"), F.pmod("p_size", F.lit(9)).cast("string")))
+    part = read(spark, d, "part").select("p_partkey", names.alias("names"), F.array(form("p_type")).alias("symbols"))
+    x = lines(spark, d, "l_partkey", "l_returnflag", "l_linestatus", "l_suppkey").join(part, F.col("l_partkey") == F.col("p_partkey"))
+    status = F.when(F.col("ord") % 5 != 0, F.col("l_linestatus"))
+    x = x.select("l_orderkey", "ord", "names", "symbols", "l_returnflag", status.alias("status"), F.concat(F.lit("t"), F.pmod("l_suppkey", F.lit(3)).cast("string")).alias("source"))
     return x.filter("ord % 2 = 1"), x.filter("ord % 2 = 0")
 
 
-NAMES, CONTEXT = [("brand", 8), ("type", 7)], ["l_returnflag", "l_linestatus"]
+def _pairs(spark, d):
+    return match.candidates(*_sides(spark, d), "l_orderkey", [("names", 8), ("symbols", 7)], ["l_returnflag", "status"], ["source"])
 
 
 def candidate_match(spark, d):
-    pairs = match.candidates(*_sides(spark, d), "l_orderkey", NAMES, CONTEXT)
-    return match.one_to_one(pairs, "l_orderkey")
+    return match.one_to_one(_pairs(spark, d), "l_orderkey")
 
 
 def ambiguous_matches(spark, d):
-    pairs = match.candidates(*_sides(spark, d), "l_orderkey", NAMES, CONTEXT)
-    tied = match.best(pairs, "l_orderkey").filter("ties > 1")
+    tied = match.best(_pairs(spark, d), "l_orderkey").filter("ties > 1")
     return tied.groupBy("l_orderkey", "pred", "score").agg(F.count("*").alias("n_refs"), F.array_join(F.sort_array(F.collect_list("ref")), ",").alias("refs"))
 
 
 def unmatched_rows(spark, d):
-    ref, pred = _sides(spark, d)
-    got = match.one_to_one(match.candidates(ref, pred, "l_orderkey", NAMES, CONTEXT), "l_orderkey")
+    ref, got = _sides(spark, d)[0], candidate_match(spark, d)
     left = match.unmatched(ref.select("l_orderkey", F.col("ord").alias("ref")), got.select("l_orderkey", "ref"), ["l_orderkey", "ref"])
     return left.groupBy("l_orderkey").agg(F.count("*").alias("n_unmatched"), F.min("ref").alias("first_unmatched"))
 
@@ -77,23 +79,12 @@ def macro_rollup(spark, d):
     return out.select(F.coalesce("p_brand", F.lit("all")).alias("p_brand"), F.round("recall", 4).alias("recall"), F.round(score, 4).alias("composite"))
 
 
-def greedy_benchmark(spark, d):
-    part = read(spark, d, "part").select("p_partkey", "p_brand")
-    x = lines(spark, d, "l_partkey", "l_quantity", "l_returnflag").join(part, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey", "l_partkey")
-
-    def accept(p, r):
-        return (p["p_brand"] in r["p_brand"] or p["l_returnflag"] == r["l_returnflag"]) and abs(p["l_quantity"] - r["l_quantity"]) <= max(1e-5, 0.5 * abs(r["l_quantity"]))
-
-    return match.greedy(x.filter("ord % 2 = 1"), x.filter("ord % 2 = 0"), "l_orderkey", accept)
-
-
 _ID = "regexp_replace(lower({}), '[^a-z0-9]', '', 'g')"
 _SIDES = f"""{LINES},
-S AS (SELECT l_orderkey, ord, {_ID.format('p_brand')} AS brand, {_ID.format('p_type')} AS type, l_returnflag AS f, l_linestatus AS s FROM L JOIN part ON l_partkey = p_partkey),
-C AS (SELECT r.l_orderkey, r.ord AS ref, p.ord AS pred,
-  CASE WHEN r.brand = p.brand THEN 8 ELSE 0 END + CASE WHEN r.type = p.type THEN 7 ELSE 0 END + 4 AS score
+S AS (SELECT l_orderkey, ord, [{_ID.format('p_brand')}, 's' || p_size % 9] AS names, {_ID.format('p_type')} AS type, l_returnflag AS f, CASE WHEN ord % 5 <> 0 THEN l_linestatus END AS s, l_suppkey % 3 AS t FROM L JOIN part ON l_partkey = p_partkey),
+C AS (SELECT r.l_orderkey, r.ord AS ref, p.ord AS pred, CASE WHEN list_has_any(r.names, p.names) THEN 8 ELSE 0 END + CASE WHEN r.type = p.type THEN 7 ELSE 0 END + 2 + CASE WHEN r.s = p.s THEN 2 ELSE 0 END + CASE WHEN r.t = p.t THEN 2 ELSE 0 END AS score
   FROM S r JOIN S p ON r.l_orderkey = p.l_orderkey AND r.ord % 2 = 1 AND p.ord % 2 = 0
-  WHERE (r.brand = p.brand OR r.type = p.type) AND r.f = p.f AND r.s = p.s),
+  WHERE (list_has_any(r.names, p.names) OR r.type = p.type) AND r.f = p.f AND (r.s IS NULL OR p.s IS NULL OR r.s = p.s)),
 B AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey, pred) AS ties FROM (SELECT *, max(score) OVER (PARTITION BY l_orderkey, pred) AS m FROM C) WHERE score = m),
 M AS (SELECT l_orderkey, ref, pred, score FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, ref ORDER BY score DESC, pred) AS k FROM B WHERE ties = 1) WHERE k = 1)"""
 
@@ -107,7 +98,6 @@ QUERIES = {
     "field_agreement": field_agreement,
     "bag_intersection": bag_intersection,
     "macro_rollup": macro_rollup,
-    "greedy_benchmark": greedy_benchmark,
 }
 ORACLE_SQL = {
     "precision_recall_f1": f"""

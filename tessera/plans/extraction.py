@@ -40,20 +40,26 @@ def title_lines(spark, d):
 
 def table_boxes(spark, d):
     x = read(spark, d, "lineitem")
-    b = x.select("l_orderkey", (F.col("l_quantity") * 10).alias("x0"), (F.col("l_quantity") * 10 + 200).alias("x1"), (F.col("l_tax") * 1000).alias("y0"), (F.col("l_tax") * 1000 + 100).alias("y1"), F.lit(1000.0).alias("width"), F.lit(1000.0).alias("height"), (F.col("l_discount") * 10).alias("score"))
-    return extract.good_boxes(b, "l_orderkey").select("l_orderkey", "n_boxes", *(F.round(c, 3).alias(c) for c in ("x0", "y0", "x1", "y1")))
+    label = F.when(F.col("l_linenumber") % 5 == 0, "figure").when(F.col("l_linenumber") % 2 == 0, "Table").otherwise("borderless table")
+    b = x.select("l_orderkey", label.alias("label"), (F.col("l_discount") * 10).alias("score"), (F.col("l_quantity") * 12.5).alias("x0"), (F.col("l_quantity") * 12.5 + F.pmod("l_partkey", F.lit(7)) * 60.0).alias("x1"), (F.col("l_tax") * 1000.0).alias("y0"), (F.col("l_tax") * 1000.0 + 100.0 + F.pmod("l_suppkey", F.lit(5)) * 200.0).alias("y1"), F.lit(1030).alias("width"), F.lit(1000).alias("height"))
+    return extract.good_boxes(b, "l_orderkey").select("l_orderkey", "n_boxes", F.round("best", 6).alias("best"), "x0", "y0", "x1", "y1")
+
+
+def _pick(p, values):
+    return F.element_at(F.array(*map(F.lit, values)), F.pmod(p, F.lit(len(values))).cast("int") + 1)
+
+
+DOSE_UNITS, DOSE_NOTES = ("mg/kg/day", "L/h", "mg", "1/min", "mL/min", "ug/h/kg per day"), ("", "Tmc of the tubule", "vmax", "as ka", "weekly")
+UNITS_BEFORE, UNITS_AFTER = ("µg/L", "mg/L", "ng", "L/h", "mL", "pmol/min", "μmol"), ("ug/L", "g/L", "ng", "l/h", "mL/h")
 
 
 def real_doses(spark, d):
-    p = read(spark, d, "part")
-    unit = F.element_at(F.array(*map(F.lit, ("mg/kg/day", "L/h", "mg", "1/min", "mL/min"))), F.pmod("p_partkey", F.lit(5)).cast("int") + 1)
-    return extract.real_doses(p.select("p_partkey", unit.alias("unit"), F.concat("p_name", F.when(F.col("p_size") % 4 == 0, " vmax").otherwise("")).alias("t")), "unit", "t")
+    p = read(spark, d, "part").select("p_partkey", _pick("p_partkey", DOSE_UNITS).alias("unit"), _pick("p_size", DOSE_NOTES).alias("t"))
+    return extract.real_doses(p, "unit", "t")
 
 
 def unit_prefix_guard(spark, d):
-    p = read(spark, d, "part")
-    pick = lambda xs: F.element_at(F.array(*map(F.lit, xs)), F.pmod("p_partkey", F.lit(len(xs))).cast("int") + 1)
-    return p.select("p_partkey", extract.guard_prefix(pick(("µg/L", "mg/L", "ng", "L/h")), pick(("ug/L", "g/L", "ng"))).alias("unit"))
+    return read(spark, d, "part").select("p_partkey", extract.guard_prefix(_pick("p_partkey", UNITS_BEFORE), _pick("p_size", UNITS_AFTER)).alias("unit"))
 
 
 def compound_scope(spark, d):
@@ -95,13 +101,17 @@ P AS (SELECT l_orderkey, l_returnflag AS block_ord, pos::INT AS pos, 'P' || l_li
 SELECT *, 'param_' || substr(sha256(lower(concat_ws('|', name, species, value, unit))), 1, 16) AS parameter_id FROM P""",
     "json_repair": "SELECT event_id, props->>'k' AS k FROM events",
     "title_match": "SELECT p_partkey, p_partkey % 2 = 0 AS same FROM part",
-    "title_lines": """WITH l AS (SELECT doc_id, i, trim(ls[i], ' ') AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, 9)) AS r(i) WHERE i <= len(ls))
-SELECT doc_id, arg_min(t, i) AS title FROM l WHERE length(t) > 15 AND length(t) < 300 AND length(regexp_replace(t, '[^0-9]', '', 'g')) / length(t)::DOUBLE <= 0.05::DOUBLE AND length(t) - length(replace(t, ',', '')) <= 3 GROUP BY doc_id""",
-    "table_boxes": """WITH b AS (SELECT l_orderkey, l_quantity * 10 AS x0, l_tax * 1000 AS y0 FROM lineitem WHERE l_discount * 10 >= 0.25::DOUBLE)
-SELECT l_orderkey, count(*) AS n_boxes, round(greatest(0, min(x0) - 30), 3) AS x0, round(greatest(0, min(y0) - 30), 3) AS y0, round(least(1000, max(x0) + 230), 3) AS x1, round(least(1000, max(y0) + 130), 3) AS y1 FROM b GROUP BY l_orderkey""",
-    "real_doses": "SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'mg/kg/day' ELSE 'mg' END AS unit, p_name AS t FROM part WHERE p_size % 4 <> 0 AND p_partkey % 5 IN (0, 2)",
-    "unit_prefix_guard": """WITH x AS (SELECT p_partkey, ['µg/L', 'mg/L', 'ng', 'L/h'][p_partkey % 4 + 1] AS o, ['ug/L', 'g/L', 'ng'][p_partkey % 3 + 1] AS s FROM part)
-SELECT p_partkey, CASE WHEN o = 'µg/L' AND s <> 'ug/L' THEN NULL WHEN o = 'mg/L' THEN NULL WHEN o = 'ng' AND s <> 'ng' THEN NULL ELSE s END AS unit FROM x""",
+    "title_lines": """WITH l AS (SELECT doc_id, i, trim(ls[i], ' ') AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS r(i)),
+k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS k FROM l WHERE length(t) > 20)
+SELECT doc_id, arg_min(t, i) AS title FROM k WHERE k <= 8 AND length(t) < 300 AND length(regexp_replace(t, '[^0-9]', '', 'g')) / length(t)::DOUBLE <= 0.05::DOUBLE AND length(t) - length(replace(t, ',', '')) <= 3 GROUP BY doc_id""",
+    "table_boxes": """WITH b AS (SELECT l_orderkey, l_discount * 10 AS score, (l_quantity * 12.5::DOUBLE)::DOUBLE AS fx0, l_quantity * 12.5::DOUBLE + l_partkey % 7 * 60.0::DOUBLE AS fx1, l_tax * 1000.0::DOUBLE AS fy0, l_tax * 1000.0::DOUBLE + 100.0::DOUBLE + l_suppkey % 5 * 200.0::DOUBLE AS fy1 FROM lineitem WHERE l_linenumber % 5 <> 0),
+i AS (SELECT l_orderkey, score, trunc(fx0)::BIGINT AS x0, trunc(fx1)::BIGINT AS x1, trunc(fy0)::BIGINT AS y0, trunc(fy1)::BIGINT AS y1 FROM b),
+g AS (SELECT * FROM i WHERE score >= 0.3::DOUBLE AND (x1 - x0) * (y1 - y0) >= 10300 AND (x1 - x0) * (y1 - y0) <= 978500 AND x1 <> x0 AND (y1 - y0) / (x1 - x0)::DOUBLE <= 10)
+SELECT l_orderkey, count(*) AS n_boxes, round(max(score), 6) AS best, greatest(0, min(x0) - 51) AS x0, greatest(0, min(y0) - 100) AS y0, least(1030, max(x1) + 51) AS x1, least(1000, max(y1) + 150) AS y1 FROM g GROUP BY l_orderkey""",
+    "real_doses": f"SELECT p_partkey, unit, t FROM (SELECT p_partkey, {list(DOSE_UNITS)}[p_partkey % {len(DOSE_UNITS)} + 1] AS unit, {list(DOSE_NOTES)}[p_size % {len(DOSE_NOTES)} + 1] AS t FROM part) WHERE unit IN ('mg/kg/day', 'mg', 'ug/h/kg per day') AND t IN ('', 'vmax', 'weekly')",
+    "unit_prefix_guard": f"""WITH x AS (SELECT lower(replace(replace({list(UNITS_BEFORE)}[p_partkey % {len(UNITS_BEFORE)} + 1], 'µ', 'u'), 'μ', 'u')) AS o, {list(UNITS_AFTER)}[p_size % {len(UNITS_AFTER)} + 1] AS s, p_partkey FROM part)
+SELECT p_partkey, CASE WHEN regexp_matches(o, 'mg') AND NOT contains(lower(s), 'mg') OR contains(o, 'ug') AND NOT contains(lower(s), 'ug') OR contains(o, 'ng') AND NOT contains(lower(s), 'ng') OR contains(o, 'ml') AND NOT contains(lower(s), 'ml')
+  OR contains(o, 'pmol') AND NOT contains(lower(s), 'pmol') OR contains(o, 'umol') AND NOT contains(lower(s), 'umol') THEN NULL ELSE s END AS unit FROM x""",
     "compound_scope": """SELECT CASE WHEN o_orderstatus = 'F' THEN 'physiological' ELSE 'x' END AS class, count(*) AS n, min(o_orderkey) AS first_key FROM orders
 WHERE o_orderkey % 5 = 0 OR o_orderstatus = 'F' OR o_orderpriority = '1-URGENT' GROUP BY 1""",
     "evidence_union": "SELECT c_custkey AS k, coalesce(m, 0) AS o_orderkey, CASE WHEN m IS NULL THEN 'b' ELSE 'a' END AS src FROM customer LEFT JOIN (SELECT o_custkey, min(o_orderkey) AS m FROM orders GROUP BY 1) ON o_custkey = c_custkey",

@@ -93,15 +93,15 @@ QUERIES = {f.__name__: f for f in (
 _NORM = "trim(regexp_replace(lower({}), '\\s+', ' ', 'g'))"
 ORACLE_SQL = {
     "upload_routing": "SELECT ['pdf', 'json', 'md', 'unsupported file type: exe'][p_partkey % 4 + 1] AS kind, count(*) AS n FROM part GROUP BY 1",
-    "quick_table_scan": f"WITH {LINES} SELECT l_orderkey, (ord - 1)::INT AS pos, l_returnflag AS name, l_quantity::INT::VARCHAR AS value, CASE WHEN ord % 2 = 0 THEN 'mg' END AS unit FROM L WHERE ord BETWEEN 2 AND 3",
-    "sibling_files": "SELECT doc_id % 50 IN (SELECT page_id % 50 FROM pages WHERE page_id % 3 = 0 AND contains(html, '<article')) AS sibling, count(*) AS n FROM documents GROUP BY 1",
+    "quick_table_scan": f"WITH {LINES} SELECT l_orderkey, (ord - 1)::INT AS pos, l_returnflag AS name, l_quantity::INT::VARCHAR AS value, CASE WHEN ord % 2 = 0 THEN 'mg' END AS unit FROM L WHERE ord BETWEEN 2 AND 15",
+    "sibling_files": "SELECT doc_id % 50 IN (SELECT page_id % 50 FROM pages WHERE contains(html, '<article')) AS sibling, count(*) AS n FROM documents GROUP BY 1",
     "page_containment": f"""WITH c AS (SELECT conv_id, {_NORM.format('substr(text, 1, 60)')} AS cap, {_NORM.format('substr(text, 1, 5)')} AS t FROM conversations WHERE turn = 1),
 p AS (SELECT conv_id, turn AS page, {_NORM.format('text')} AS b FROM conversations)
 SELECT conv_id, coalesce(min(page) FILTER (contains(b, substr(cap, 1, 40))), max(page) FILTER (contains(b, t))) AS page FROM c JOIN p USING (conv_id) GROUP BY conv_id, cap, t""",
-    "source_text": f"""WITH {LINES}, X AS (SELECT * FROM L WHERE l_orderkey % 10 = 0)
+    "source_text": f"""WITH {LINES}, X AS (SELECT * FROM L)
 SELECT p.l_orderkey, string_agg(c.l_returnflag || c.l_linestatus, ' ' ORDER BY c.ord) AS source_text FROM X p JOIN X c ON p.l_orderkey = c.l_orderkey
 WHERE p.ord = 1 AND c.l_linestatus = p.l_linestatus AND (p.l_orderkey % 20 <> 0 OR c.l_returnflag = p.l_returnflag) GROUP BY p.l_orderkey""",
-    "section_routing": f"""WITH {LINES}, X AS (SELECT l_orderkey, ord AS sec, ['Abstract', 'Introduction', 'Methods', 'References', 'Results'][ord % 5 + 1] AS title, 42 + 3 * ord AS n FROM L WHERE l_orderkey % 5 = 0),
+    "section_routing": f"""WITH {LINES}, X AS (SELECT l_orderkey, ord AS sec, ['Abstract', 'Introduction', 'Methods', 'References', 'Results'][ord % 5 + 1] AS title, 42 + 3 * ord AS n FROM L),
 I AS (SELECT l_orderkey, sec - 1 AS sec FROM X WHERE sec % 4 = 0)
 SELECT l_orderkey, sec::INT AS sec, CASE WHEN title IN ('Abstract', 'Introduction') THEN 'purpose' ELSE 'model_evidence' END AS routing, (CASE WHEN title = 'Introduction' THEN n - 42 ELSE n END)::INT AS n_chars
 FROM X WHERE title <> 'References' AND n >= CASE WHEN title = 'Abstract' THEN 30 ELSE 50 END AND NOT EXISTS (SELECT 1 FROM I WHERE I.l_orderkey = X.l_orderkey AND I.sec = X.sec)""",

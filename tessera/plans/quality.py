@@ -2,46 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import parameter_class
 from ..operators import assess, rules
-from .common import LINES, lines, read
-
-
-def _rows(spark, d):
-    part = read(spark, d, "part").select("p_partkey", "p_brand", "p_type")
-    x = lines(spark, d, "l_partkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    w = Window.partitionBy("l_orderkey", "p_brand", "l_returnflag").orderBy("ord")
-    table = Window.partitionBy("l_orderkey")
-    return x.withColumns({
-        "is_first": F.row_number().over(w) == 1, "first_value": F.first("l_quantity").over(w),
-        "share": F.count("*").over(Window.partitionBy("l_orderkey", "p_brand")) / F.count("*").over(table),
-    })
-
-
-def _rules():
-    c = F.col
-    return [
-        ("MISSING_UNIT", "warning", c("l_tax") == 0), ("VALUE_MISMATCH", "warning", F.abs(c("l_extendedprice") / c("l_quantity") - 1000) > 900),
-        ("NEGATIVE_VALUE", "error", c("l_discount") > 0.09), ("MINORITY_COMPOUND_IN_TABLE", "warning", c("share") < 0.15),
-        ("DUPLICATE_ENTRY", "warning", ~c("is_first") & c("l_quantity").eqNullSafe(c("first_value"))),
-        ("CONFLICTING_ENTRY", "error", ~c("is_first") & ~c("l_quantity").eqNullSafe(c("first_value"))),
-    ]
-
-
-def rule_flags(spark, d):
-    return rules.flags(_rows(spark, d), _rules(), ["l_orderkey", "ord"])
-
-
-def rule_report(spark, d):
-    x = _rows(spark, d)
-    return rules.report(rules.flags(x, _rules(), ["l_orderkey", "ord"]), x, "l_orderkey", "ord")
-
-
-def worst_first_topk(spark, d):
-    return rules.worst_first(rule_flags(spark, d), "l_orderkey", "ord")
+from .common import read
 
 
 def plausibility_rules(spark, d):
@@ -88,24 +53,10 @@ def facet_search(spark, d):
     return p.filter(hit & (F.col("p_size") > 5)).groupBy("p_type").agg(F.count("*").alias("n"), F.count_distinct("p_brand").alias("n_brands"))
 
 
-_ROWS = f"""{LINES}, X AS (SELECT *, row_number() OVER w AS k, first_value(l_quantity) OVER w AS fv,
-  count(*) OVER (PARTITION BY l_orderkey, p_brand) / count(*) OVER (PARTITION BY l_orderkey)::DOUBLE AS share
-  FROM L JOIN part ON l_partkey = p_partkey WINDOW w AS (PARTITION BY l_orderkey, p_brand, l_returnflag ORDER BY ord)),
-F AS (SELECT l_orderkey, ord, 'MISSING_UNIT' AS rule, 'warning' AS severity FROM X WHERE l_tax = 0 UNION ALL
-SELECT l_orderkey, ord, 'VALUE_MISMATCH', 'warning' FROM X WHERE abs(l_extendedprice / l_quantity - 1000) > 900 UNION ALL
-SELECT l_orderkey, ord, 'NEGATIVE_VALUE', 'error' FROM X WHERE l_discount > 0.09::DOUBLE UNION ALL
-SELECT l_orderkey, ord, 'MINORITY_COMPOUND_IN_TABLE', 'warning' FROM X WHERE share < 0.15::DOUBLE UNION ALL
-SELECT l_orderkey, ord, 'DUPLICATE_ENTRY', 'warning' FROM X WHERE k > 1 AND l_quantity = fv UNION ALL
-SELECT l_orderkey, ord, 'CONFLICTING_ENTRY', 'error' FROM X WHERE k > 1 AND l_quantity <> fv)"""
 _ITEMS = "[" + ", ".join(f"'{i}'" for i in assess.ITEMS) + "]"
 
-QUERIES = {f.__name__: f for f in (rule_flags, rule_report, worst_first_topk, plausibility_rules, unit_dictionary, class_rules, questionnaire, doc_listing, facet_search)}
+QUERIES = {f.__name__: f for f in (plausibility_rules, unit_dictionary, class_rules, questionnaire, doc_listing, facet_search)}
 ORACLE_SQL = {
-    "rule_flags": f"WITH {_ROWS} SELECT l_orderkey, ord, rule, severity FROM F",
-    "rule_report": f"""WITH {_ROWS}, T AS (SELECT l_orderkey, count(*) AS total FROM X GROUP BY 1),
-G AS (SELECT l_orderkey, count(DISTINCT ord) AS flagged, count(*) AS flags, count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warning') AS warnings FROM F GROUP BY 1)
-SELECT l_orderkey, total, coalesce(flagged, 0) AS flagged, coalesce(flags, 0) AS flags, coalesce(errors, 0) AS errors, coalesce(warnings, 0) AS warnings, total - coalesce(flagged, 0) AS clean FROM T LEFT JOIN G USING (l_orderkey)""",
-    "worst_first_topk": f"WITH {_ROWS}, N AS (SELECT l_orderkey, ord, count(*) AS n_flags FROM F GROUP BY ALL) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY n_flags DESC, ord) AS rank FROM N) WHERE rank <= 2",
     "plausibility_rules": """WITH x AS (SELECT p_partkey, ['volume', 'clearance cl', 'half life', 'rate ka', 'fraction', 'frequency'][p_size % 6 + 1] AS n, ['l/kg', 'l/h', 'h', '1/h', '%', 'l'][p_partkey % 6 + 1] AS u, p_retailprice AS v FROM part),
 r AS (SELECT *, CASE WHEN n = 'volume' AND contains(u, 'l/kg') THEN 0 WHEN n = 'volume' AND contains(u, 'l') THEN 1 WHEN n = 'clearance cl' AND contains(u, 'l/h') THEN 2
   WHEN n = 'half life' AND contains(u, 'h') THEN 4 WHEN n = 'rate ka' AND contains(u, '1/h') THEN 5 WHEN n = 'fraction' AND contains(u, '%') THEN 6 ELSE -1 END AS rule FROM x)

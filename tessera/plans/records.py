@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions.text import stable_id
-from ..operators import repair
+from ..operators import physiology, repair
 from .common import LINES, lines, read
 
 
@@ -23,8 +23,9 @@ def stable_ids(spark, d):
 
 
 def unique_suffix(spark, d):
-    part = read(spark, d, "part").select("p_partkey", "p_name")
-    return repair.unique_ids(part, "p_name", ["p_partkey"])
+    """Some names are made to look like another's suffixed repeats."""
+    taken = F.when(F.col("p_partkey") % 11 == 0, F.concat(F.col("p_name"), F.lit("_"), (F.col("p_partkey") % 4).cast("string"))).otherwise(F.col("p_name"))
+    return repair.unique_ids(read(spark, d, "part").select("p_partkey", taken.alias("p_name")), "p_name", ["p_partkey"])
 
 
 def forward_fill(spark, d):
@@ -60,7 +61,8 @@ def donor_inherit(spark, d):
     n = read(spark, d, "nation").join(read(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     s = read(spark, d, "supplier").join(n, F.col("s_nationkey") == F.col("n_nationkey"))
     x = s.select(F.pmod("s_suppkey", F.lit(5)).alias("compound"), F.pmod("s_suppkey", F.lit(97)).cast("string").alias("symbol"), F.col("r_name").alias("species"), F.round("s_acctbal", 2).alias("value"), F.col("s_suppkey").alias("ord"))
-    return repair.inherit(x, "compound", "symbol", "species", "EUROPE", ["ASIA", "AMERICA", "AFRICA"], "ord", ("13",))
+    x = x.withColumns({"compound": F.when(F.col("compound") > 0, F.concat(F.lit("c"), F.col("compound").cast("string"))), "symbol": F.concat(F.lit("y"), "symbol"), "species": F.initcap("species")})
+    return repair.inherit(x, [], "compound", "symbol", "species", "ord", "europe", ("middle east", "asia", "america"), ("Y13",))
 
 
 def tiered_lookup(spark, d):
@@ -134,34 +136,33 @@ def merge_first_known(spark, d):
     return repair.first_known(e, "user_id", "event_id", ["a", "b"])
 
 
-#: Reference body weight and cardiac output coefficient, and
-#: other names of species.
-PHYSIOLOGY = (("human", 70.0, 16.5), ("rat", 0.25, 15.0), ("mouse", 0.025, 14.1), ("nonhuman primate", 5.0, 19.8))
-ALIASES = (
-    ("homo sapiens", "human"), ("h. sapiens", "human"), ("human adult", "human"), ("adult human", "human"), ("rattus norvegicus", "rat"),
-    ("sprague-dawley", "rat"), ("wistar", "rat"), ("mus musculus", "mouse"), ("rhesus macaque", "nonhuman primate"),
-    ("macaca mulatta", "nonhuman primate"), ("cynomolgus", "nonhuman primate"), ("nhp", "nonhuman primate"),
-)
-
-
 def physio_lookup(spark, d):
-    alias = spark.createDataFrame(ALIASES, "name string, key string")
-    facts = spark.createDataFrame(PHYSIOLOGY, "key string, bw double, qcc double")
     asked = ["Homo sapiens", "wistar", " NHP ", "Mouse", "dog"]
     pick = F.element_at(F.array(*map(F.lit, asked)), F.pmod("c_custkey", F.lit(5)).cast("int") + 1)
-    c = read(spark, d, "customer").select("c_custkey", F.lower(F.trim(pick)).alias("name"), F.when(F.col("c_custkey") % 3 == 0, 60.0).alias("own"))
-    out = c.join(F.broadcast(alias), "name", "left").withColumn("key", F.coalesce("key", "name")).join(F.broadcast(facts), "key", "left")
-    return out.select("c_custkey", "key", F.when(F.col("bw").isNotNull(), F.coalesce("own", "bw")).alias("bw"), "qcc")
+    c = read(spark, d, "customer").select("c_custkey", pick.alias("name"), F.when(F.col("c_custkey") % 3 == 0, 60.0).alias("own"))
+    return physiology.lookup(c, "name", "own").select("c_custkey", "species", "symbol", "value")
+
+
+def symbol_descriptions(spark, d):
+    """Species and symbols of the table, and what is said of symbols that it lacks."""
+    more = read(spark, d, "nation").select(F.col("n_name").alias("symbol"))
+    known = physiology.table(spark).select("symbol").distinct()
+    out = known.unionByName(more).select("symbol", physiology.describe(F.col("symbol")).alias("description"))
+    return out.unionByName(physiology.species(spark).select(F.col("species").alias("symbol"), F.lit("species").alias("description")))
 
 
 QUERIES = {f.__name__: f for f in (
     dedup_keep_first, stable_ids, unique_suffix, forward_fill, running_state, first_value_conflict, minority_share, anti_supplement, donor_inherit,
-    tiered_lookup, priority_resolve, split_multivalue, view_constraints, patch_update, corpus_validation, json_props, merge_first_known, physio_lookup,
+    tiered_lookup, priority_resolve, split_multivalue, view_constraints, patch_update, corpus_validation, json_props, merge_first_known, physio_lookup, symbol_descriptions,
 )}
+_FACTS = ", ".join(f"('{s}', '{n}', {v}::DOUBLE)" for s, vs in physiology.VALUES.items() for (n, _), v in zip(physiology.SYMBOLS, vs, strict=True))
 ORACLE_SQL = {
     "dedup_keep_first": "SELECT doc_id, source, n_chars FROM (SELECT *, row_number() OVER (PARTITION BY lower(trim(coalesce(text, ''), ' ')) ORDER BY doc_id) AS k FROM documents) WHERE k = 1",
     "stable_ids": f"WITH {LINES} SELECT l_orderkey, ord, 'param_' || substr(sha256(lower(concat_ws('|', l_orderkey, l_partkey, l_returnflag, l_quantity::INT))), 1, 16) AS parameter_id FROM L",
-    "unique_suffix": "SELECT p_partkey, CASE WHEN k = 1 THEN p_name ELSE p_name || '_' || k END AS p_name FROM (SELECT *, row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) AS k FROM part)",
+    "unique_suffix": r"""WITH p AS (SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN p_name || '_' || p_partkey % 4 ELSE p_name END AS n FROM part),
+r AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY p_partkey) AS k, count(*) OVER (PARTITION BY n) AS c FROM p), names AS (SELECT DISTINCT n FROM p),
+free AS (SELECT n, i, row_number() OVER (PARTITION BY n ORDER BY i) + 1 AS k FROM (SELECT n, unnest(range(2, max(c) + 6)) AS i FROM r GROUP BY n HAVING max(c) > 1) AS x WHERE NOT EXISTS (SELECT 1 FROM names WHERE names.n = x.n || '_' || x.i))
+SELECT p_partkey, CASE WHEN r.k = 1 THEN r.n ELSE r.n || '_' || i END AS p_name FROM r LEFT JOIN free ON free.n = r.n AND free.k = r.k""",
     "forward_fill": "SELECT event_id, user_id, last_value(CASE WHEN event_id % 3 = 0 THEN value END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS filled FROM events",
     "running_state": """SELECT user_id, CASE WHEN n <= 1 THEN 'none' WHEN n = 2 THEN 'Rat' ELSE 'Human' END AS state, count(*) AS n, min(event_id) AS first_event
 FROM (SELECT user_id, event_id, count(*) FILTER (event_type = 'click') OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS n FROM events) GROUP BY 1, 2""",
@@ -172,15 +173,16 @@ s AS (SELECT *, sum(n) OVER (PARTITION BY l_orderkey)::BIGINT AS n_total, count(
 SELECT l_orderkey, p_brand, n, n_total, round(n / n_total::DOUBLE, 6) AS share FROM s WHERE k > 1 AND n / n_total::DOUBLE < 0.15""",
     "anti_supplement": """WITH a AS (SELECT l_orderkey AS k, round(sum(l_quantity), 2) AS v FROM lineitem GROUP BY 1)
 SELECT k, v, 'line' AS origin FROM a UNION ALL SELECT o_orderkey, round(o_totalprice, 2), 'order' FROM orders WHERE o_orderkey NOT IN (SELECT k FROM a)""",
-    "donor_inherit": """WITH x AS (SELECT s_suppkey % 5 AS compound, (s_suppkey % 97)::VARCHAR AS symbol, r_name AS species, round(s_acctbal, 2) AS value, s_suppkey AS ord
+    "donor_inherit": """WITH x AS (SELECT CASE WHEN s_suppkey % 5 > 0 THEN 'c' || s_suppkey % 5 END AS compound, 'y' || s_suppkey % 97 AS symbol, array_to_string(list_transform(string_split(lower(r_name), ' '), lambda w: upper(w[1]) || w[2:]), ' ') AS species, round(s_acctbal, 2) AS value, s_suppkey AS ord
   FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
-l AS (SELECT *, row_number() OVER (PARTITION BY compound, symbol ORDER BY list_position(['ASIA', 'AMERICA', 'AFRICA'], species), ord DESC) AS k FROM x
-  WHERE species IN ('ASIA', 'AMERICA', 'AFRICA') AND symbol <> '13' AND NOT EXISTS (SELECT 1 FROM x AS h WHERE h.species = 'EUROPE' AND h.compound = x.compound AND h.symbol = x.symbol))
-SELECT *, NULL AS donor FROM x UNION ALL SELECT compound, symbol, 'EUROPE', value, ord, species FROM l WHERE k = 1""",
+g AS (SELECT *, coalesce(compound, 'none') AS c, list_position(['middle east', 'asia', 'america'], lower(species)) AS r FROM x),
+d AS (SELECT c, min(r) AS r FROM g GROUP BY c HAVING bool_or(species = 'Europe')),
+l AS (SELECT g.*, row_number() OVER (PARTITION BY c, symbol ORDER BY ord DESC) AS k FROM g JOIN d USING (c, r) WHERE symbol <> 'y13' AND NOT EXISTS (SELECT 1 FROM g AS h WHERE h.species = 'Europe' AND h.c = g.c AND h.symbol = g.symbol))
+SELECT compound, symbol, species, value, ord, NULL AS donor FROM x UNION ALL SELECT compound, symbol, 'europe', value, ord, lower(species) FROM l WHERE k = 1""",
     "tiered_lookup": """WITH c AS (SELECT w.p_partkey AS want, p.p_partkey AS found,
   CASE WHEN w.p_type = p.p_type AND w.p_size = p.p_size THEN 1 WHEN w.p_type = p.p_type THEN 2 WHEN abs(w.p_retailprice - p.p_retailprice) <= 0.03::DOUBLE * w.p_retailprice THEN 3 END AS tier,
   CASE WHEN w.p_size = p.p_size THEN 2 ELSE 0 END + CASE WHEN w.p_type = p.p_type THEN 1 ELSE 0 END AS score
-  FROM part w JOIN part p ON w.p_brand = p.p_brand AND w.p_partkey <> p.p_partkey WHERE w.p_partkey % 50 = 0)
+  FROM part w JOIN part p ON w.p_brand = p.p_brand AND w.p_partkey <> p.p_partkey)
 SELECT want, tier, score, found FROM (SELECT *, row_number() OVER (PARTITION BY want ORDER BY tier, score DESC, found) AS k FROM c WHERE tier IS NOT NULL) WHERE k = 1""",
     "priority_resolve": """WITH a AS (SELECT lang, CASE WHEN length(source) % 2 = 0 THEN 'pmc_' ELSE 'local_' END || lang AS source FROM documents),
 r AS (SELECT *, list_position(['local_de', 'local_en', 'pmc_en', 'local_fr', 'pmc_fr', 'pmc_de', 'pmc_es'], source) AS p FROM a)
@@ -195,8 +197,9 @@ UNION ALL SELECT 'duplicate_keys', count(*) FROM (SELECT l_orderkey, ord FROM L
 SELECT source, count(*) AS n_docs, sum(n)::BIGINT AS n_errors, bool_and(n = 0) AS valid, count(*) FILTER (short) AS n_short FROM e GROUP BY source""",
     "json_props": """SELECT event_id, coalesce((props->>'k')::INT, -1) AS k, CASE event_type WHEN 'click' THEN 'yes' WHEN 'view' THEN 'no' WHEN 'purchase' THEN 'yes' ELSE 'i_cannot_answer' END AS response FROM events""",
     "merge_first_known": """SELECT user_id, arg_min(event_type, event_id) FILTER (event_id % 4 = 0) AS a, arg_min(round(value, 3), event_id) FILTER (event_id % 5 = 1) AS b FROM events GROUP BY user_id""",
-    "physio_lookup": """WITH c AS (SELECT c_custkey, lower(trim(['Homo sapiens', 'wistar', ' NHP ', 'Mouse', 'dog'][c_custkey % 5 + 1])) AS name FROM customer),
-k AS (SELECT c_custkey, CASE name WHEN 'homo sapiens' THEN 'human' WHEN 'wistar' THEN 'rat' WHEN 'nhp' THEN 'nonhuman primate' ELSE name END AS key FROM c),
-f(key, bw, qcc) AS (VALUES ('human', 70.0::DOUBLE, 16.5::DOUBLE), ('rat', 0.25, 15.0), ('mouse', 0.025, 14.1), ('nonhuman primate', 5.0, 19.8))
-SELECT c_custkey, k.key, CASE WHEN bw IS NOT NULL THEN CASE WHEN c_custkey % 3 = 0 THEN 60.0::DOUBLE ELSE bw END END AS bw, qcc FROM k LEFT JOIN f ON k.key = f.key""",
+    "physio_lookup": f"""WITH c AS (SELECT c_custkey, ['human', 'rat', 'nonhuman primate', 'mouse', 'dog'][c_custkey % 5 + 1] AS species FROM customer),
+f(species, symbol, value) AS (VALUES {_FACTS})
+SELECT c_custkey, species, symbol, CASE WHEN symbol = 'BW' AND c_custkey % 3 = 0 THEN 60.0::DOUBLE ELSE value END AS value FROM c JOIN f USING (species)""",
+    "symbol_descriptions": f"""SELECT n_name AS symbol, 'Physiological parameter: ' || n_name AS description FROM nation UNION ALL SELECT * FROM (VALUES {', '.join(f"('{a}', '{b}')" for a, b in physiology.SYMBOLS)})
+UNION ALL SELECT unnest(['human', 'mouse', 'nonhuman primate', 'rat']), 'species'""",
 }

@@ -64,8 +64,8 @@ ORACLE_SQL = {
     "interp_asof": f"WITH {_INTERP} SELECT user_id, round(t, 4) AS t, round(y, 3) AS y FROM I",
     "fit_metrics": f"""WITH {_INTERP}, J AS (SELECT *, avg(observed) OVER (PARTITION BY user_id) AS m FROM I)
 SELECT user_id, count(*) AS n, round(sqrt(avg((observed - y) ** 2)), 3) AS rmse, CASE WHEN 1 - sum((observed - y) ** 2) / (sum((observed - m) ** 2) + 1e-10) > 0.85 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM J GROUP BY user_id""",
-    "maxsim_topk": f"WITH Q AS (SELECT vec_id, vec_id % 4 AS query, embedding FROM embeddings WHERE vec_id < 20), {_SIM.format(page='label')} SELECT query, page, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, page) AS rank FROM M) WHERE rank <= 3",
-    "cutoff_topk": f"""WITH Q AS (SELECT vec_id, 0 AS query, embedding FROM embeddings WHERE vec_id = 7), {_SIM.format(page='vec_id')},
+    "maxsim_topk": f"WITH Q AS (SELECT vec_id, vec_id // 20 % 4 AS query, embedding FROM embeddings WHERE vec_id % 20 = 0), {_SIM.format(page='label')} SELECT query, page, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, page) AS rank FROM M) WHERE rank <= 3",
+    "cutoff_topk": f"""WITH Q AS (SELECT vec_id, 0 AS query, embedding FROM embeddings WHERE vec_id % 20 = 0), {_SIM.format(page='vec_id')},
 R AS (SELECT page, score, row_number() OVER (ORDER BY score DESC, page) AS rank, max(score) OVER () AS m FROM M)
 SELECT page, rank, round(score, 4) AS score FROM R WHERE rank <= 10 AND (rank <= 4 OR score >= 0.9::DOUBLE * m)""",
 }

@@ -6,10 +6,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.functions import classify, numbers
+from tessera.functions import classify, numbers, units
 from tessera.functions import text as T
 from tessera.functions.python import repaired
-from tessera.operators import assess, extract, inference, match, repair, retrieve, rules, segments, series
+from tessera.operators import assembly, assess, evidence, extract, inference, match, repair, retrieve, rules, segments, series
 from tessera.sources import documents, sinks, tables
 
 
@@ -22,7 +22,7 @@ def test_range_cells(spark, text, want):
     assert tuple(one(spark, text, numbers.span)) == want
 
 
-@pytest.mark.parametrize("text,want", [("70 (65, 75)", (70.0, 65.0, 75.0)), ("70", (None, None, None)), ("5d (1, 2)", (None, None, None))])
+@pytest.mark.parametrize("text,want", [("70 (65, 75)", (70.0, 65.0, 75.0)), ("70", (None, None, None)), ("5d (1, 2)", (None, 1.0, 2.0)), ("range (1, 2) of 3", (None, 1.0, 2.0))])
 def test_estimates(spark, text, want):
     assert tuple(one(spark, text, numbers.estimate)) == want
 
@@ -48,6 +48,13 @@ def test_matching_of_a_set_with_itself_is_perfect(spark):
     assert {(r.ref, r.pred) for r in got} == {(i, i) for i in range(5)}
 
 
+def test_titles_without_words_are_like_none(spark):
+    from tessera.functions.python import title_ratio
+
+    df = spark.createDataFrame([(None, None), ("", "x"), ("漢字", "仮名"), ("A title", " a TITLE ")], "a string, b string")
+    assert [r.r > 0.8 for r in df.select(title_ratio("a", "b").alias("r")).collect()] == [False, False, False, True]
+
+
 def test_conflicting_context_kills_and_ties_are_left_out(spark):
     s = "doc long, ord int, name string, species string"
     ref = spark.createDataFrame([(1, 0, "a", "rat"), (1, 1, "b", ""), (1, 2, "b", "")], s)
@@ -59,15 +66,23 @@ def test_conflicting_context_kills_and_ties_are_left_out(spark):
 
 
 def test_greedy_takes_each_reference_once(spark):
-    df = spark.createDataFrame([(1, i, 1.0) for i in range(3)], "doc long, ord int, v double")
-    got = match.greedy(df.filter("ord < 2"), df, "doc", lambda p, r: p["v"] == r["v"]).collect()
-    assert sorted((r.pred, r.ref) for r in got) == [(0, 0), (1, 1)]
+    pairs = spark.createDataFrame([(1, p, r) for p in range(3) for r in range(2)] + [(2, 0, 5)], "doc long, pred int, ref int")
+    got = match.greedy(pairs, "doc").collect()
+    assert sorted((r.doc, r.pred, r.ref) for r in got) == [(1, 0, 0), (1, 1, 1), (2, 0, 5)]
+
+
+def test_names_and_symbols_are_sets_and_tables_a_bonus(spark):
+    s = "doc long, ord int, names array<string>, symbols array<string>, species string, source string"
+    ref = spark.createDataFrame([(1, 0, ["clearance", "cl"], ["cl"], "rat", "t1"), (1, 1, ["volume"], [], None, None)], s)
+    pred = spark.createDataFrame([(1, 0, ["cl"], ["cl"], "", "t1"), (1, 1, ["", "volume"], None, "rat", "t2"), (1, 2, ["cl"], [], "human", "t1")], s)
+    got = match.candidates(ref, pred, "doc", [("names", 8), ("symbols", 7)], ["species"], ["source"]).collect()
+    assert sorted((r.ref, r.pred, r.score) for r in got) == [(0, 0, 17), (1, 1, 8)]
 
 
 def test_duplicate_ids_skip_taken_suffixes(spark):
-    df = spark.createDataFrame([("a", 1), ("a", 2), ("a_2", 3)], "id string, o int")
-    ids = [r.id for r in repair.unique_ids(df, "id", ["o"]).collect()]
-    assert len(set(ids)) == 3 and "a" in ids and "a_2" in ids
+    df = spark.createDataFrame([(x, i) for i, x in enumerate(("a", "a", "a_2", "a_4", "a", "a", None, None, "b_2", "b_2"))], "id string, o int")
+    ids = {r.o: r.id for r in repair.unique_ids(df, "id", ["o"]).collect()}
+    assert [ids[i] for i in range(6)] == ["a", "a_3", "a_2", "a_4", "a_5", "a_6"] and (ids[8], ids[9]) == ("b_2", "b_2_2")
 
 
 def test_same_value_is_a_duplicate_another_a_conflict(spark):
@@ -81,10 +96,14 @@ def test_dedup_is_idempotent(spark):
     assert once.collect() == repair.keep_first(once, ["k"], ["o"]).collect()
 
 
-def test_inheritance_takes_the_first_donor(spark):
-    df = spark.createDataFrame([("c", "V", "rat", 1.0, 1), ("c", "V", "monkey", 2.0, 2), ("c", "BW", "rat", 3.0, 3), ("c", "CL", "human", 4.0, 4)], "compound string, symbol string, species string, value double, ord int")
-    got = repair.inherit(df, "compound", "symbol", "species", "human", ["monkey", "rat"], "ord", ("BW",)).filter("donor IS NOT NULL").collect()
-    assert [(r.symbol, r.species, r.value, r.donor) for r in got] == [("V", "human", 2.0, "monkey")]
+def test_inheritance_takes_one_donor_a_compound(spark):
+    rows = [
+        ("c", "V", "rat", 1.0, 1), ("C", "Q", "monkey", 2.0, 2), ("c", "Bw", "monkey", 3.0, 3), ("c", "CL", "Human", 4.0, 4), ("c", "Q", "monkey", 5.0, 5), ("c", "CL", "monkey", 9.0, 6),
+        ("d", "V", "rat", 6.0, 7), (None, "V", "rat", 7.0, 8), (None, "K", "human", 8.0, 9), ("c", "", "monkey", 1.0, 10),
+    ]
+    df = spark.createDataFrame(rows, "compound string, symbol string, species string, value double, ord int")
+    got = repair.inherit(df, [], "compound", "symbol", "species", "ord").filter("donor IS NOT NULL").collect()
+    assert sorted((str(r.compound), r.symbol, r.species, r.value, r.donor) for r in got) == [("None", "V", "human", 7.0, "rat"), ("c", "Q", "human", 5.0, "monkey")]
 
 
 def test_class_views_hold_every_row_once(spark):
@@ -94,29 +113,91 @@ def test_class_views_hold_every_row_once(spark):
 
 
 FLAT = (
-    "name string, symbol string, compound string, class string, subclass string, unit string, value double, value_text string, low double, high double, quote string, "
-    "source_table string, row_path array<string>, column_path array<string>, parsed double, share double, n_compounds long, first_value double, is_first boolean, "
-    "evidence string, subjects array<string>, footnotes array<string>, referenced array<string>, table_species array<string>, species string, cell_value double, "
-    "has_cells boolean, inherited boolean, cell_subjects array<string>, confidence string"
+    "doc long, ord int, name string, name_original string, symbol string, compound string, class string, subclass string, unit string, value double, value_text string, low double, high double, "
+    "start_value double, end_value double, quote string, confidence string, directness string, derivation string, source_table string, row_id string, column_id string, cell_id string, "
+    "row_path array<string>, column_path array<string>, species string, organ string, life_stage string, population string, formulation array<string>"
 )
-GOOD = dict(name="clearance", symbol="CL", compound="PFOS", subclass="clearance", unit="L/h", value=5.0, value_text="5", parsed=5.0, share=0.5, n_compounds=2, is_first=True, first_value=5.0, source_table="t1", row_path=["a"], column_path=["PFOS"], evidence="complete", subjects=["PFOS"], footnotes=[], referenced=[], table_species=["human"], species="human", cell_value=5.0, has_cells=True, cell_subjects=["PFOS"], quote="q", confidence="high")
-
-
-@pytest.mark.parametrize("change,want", [
-    ({}, []), ({"name": " "}, ["MISSING_NAME"]), ({"unit": None}, ["MISSING_UNIT", "INVALID_UNIT_DIMENSION"]), ({"parsed": 9.0}, ["VALUE_MISMATCH"]),
-    ({"value": 6000.0, "parsed": 6000.0, "cell_value": 6000.0}, ["IMPLAUSIBLE_VALUE"]), ({"low": 1.0}, ["INCOMPLETE_UNCERTAINTY"]),
-    ({"value": -5.0, "parsed": -5.0, "cell_value": -5.0}, ["IMPLAUSIBLE_VALUE", "NEGATIVE_VALUE"]), ({"share": 0.1}, ["MINORITY_COMPOUND_IN_TABLE"]),
-    ({"evidence": None}, ["SOURCE_TABLE_EVIDENCE_MISSING"]), ({"evidence": "failed"}, ["SOURCE_TABLE_RECONSTRUCTION_FAILED"]),
-    ({"species": "rat"}, ["SOURCE_TABLE_SPECIES_MISMATCH"]), ({"cell_value": 7.0}, ["CELL_VALUE_MISMATCH"]), ({"cell_value": None}, ["CELL_NOT_FOUND_IN_SOURCE_TABLE"]),
-    ({"quote": ""}, ["MISSING_QUOTE_HIGH_CONF"]), ({"is_first": False}, ["DUPLICATE_ENTRY"]), ({"is_first": False, "first_value": 4.0}, ["CONFLICTING_ENTRY"]),
-    ({"row_path": [], "column_path": []}, ["MISSING_TABLE_HIERARCHY"]), ({"cell_subjects": ["PFOA"]}, ["CELL_COMPOUND_MISALIGNMENT"]),
-    ({"subjects": [], "footnotes": ["PFOS"]}, ["FOOTNOTE_ONLY_COMPOUND"]), ({"subjects": [], "referenced": ["PFOS"]}, ["REFERENCED_ONLY_COMPOUND"]),
-    ({"subjects": ["PFOA"], "column_path": ["PFOA"]}, ["COMPOUND_COLUMN_CONFLICT", "SOURCE_TABLE_COMPOUND_MISMATCH"]),
-    ({"compound": None}, ["MISSING_COMPOUND"]),
+PATHS = "array<struct<{}: string, path: array<string>>>"
+TABLE = (
+    "doc long, table_ord int, table_id string, title string, status string, subjects array<string>, footnotes array<string>, referenced array<string>, table_species array<string>, "
+    f"rows {PATHS.format('row_id')}, columns {PATHS.format('column_id')}, cells array<struct<cell_id: string, row_id: string, column_id: string, text: string, numeric_value: double>>"
+)
+ROW = dict(doc=1, ord=1, name="clearance", symbol="CL", compound="PFOS", subclass="clearance", unit="L/h", value=5.0, value_text="5", source_table="Table 1", row_path=["clearance"], column_path=["PFOS"], species="Human", quote="q", confidence="high")
+CITED = dict(doc=1, table_ord=1, table_id="Table 1: values", title="t", status="complete", subjects=["pfos "], footnotes=[], referenced=[], table_species=["human"], rows=[("r1", ["clearance"])], columns=[("k1", ["PFOS"]), ("k2", ["PFOA"])], cells=[("c1", "r1", "k1", "5", 5.0)])
+
+
+@pytest.mark.parametrize("change,table,want", [
+    ({}, {}, []), ({"name": " "}, {}, ["MISSING_NAME"]), ({"unit": None}, {}, ["MISSING_UNIT", "INVALID_UNIT_DIMENSION"]), ({"value_text": "9 a"}, {}, ["VALUE_MISMATCH"]), ({"value_text": "nd"}, {}, []),
+    ({"value": 6000.0, "value_text": None}, {"cells": [("c1", "r1", "k1", "6000", 6000.0)]}, ["IMPLAUSIBLE_VALUE"]), ({"low": 1.0}, {}, ["INCOMPLETE_UNCERTAINTY"]),
+    ({"value": -5.0, "value_text": "−5"}, {"cells": [("c1", "r1", "k1", "-5", -5.0)]}, ["IMPLAUSIBLE_VALUE", "NEGATIVE_VALUE"]),
+    ({"value": -5.0, "value_text": "-5", "quote": "Sensitivity"}, {"cells": [("c1", "r1", "k1", "-5", -5.0)]}, ["IMPLAUSIBLE_VALUE"]),
+    ({"source_table": "Table 9"}, {}, ["SOURCE_TABLE_EVIDENCE_MISSING"]), ({}, {"status": "failed"}, ["SOURCE_TABLE_RECONSTRUCTION_FAILED"]), ({"species": "rat"}, {}, ["SOURCE_TABLE_SPECIES_MISMATCH"]),
+    ({"cell_id": "c1"}, {"cells": [("c1", "r1", "k1", "7", 7.0)]}, ["CELL_VALUE_MISMATCH"]), ({}, {"cells": [("c1", "r1", "k1", "7", 7.0)]}, ["CELL_NOT_FOUND_IN_SOURCE_TABLE"]),
+    ({"quote": "held constant in rats"}, {"cells": [("c1", "r1", "k1", "7", 7.0)]}, []), ({"quote": ""}, {}, ["MISSING_QUOTE_HIGH_CONF"]), ({"row_path": [], "column_path": None}, {}, ["MISSING_TABLE_HIERARCHY"]),
+    ({"cell_id": "c1"}, {"subjects": ["PFOS", "PFOA"], "cells": [("c1", "r1", "k2", "5", 5.0)]}, ["CELL_COMPOUND_MISALIGNMENT"]),
+    ({}, {"subjects": ["PFOA"], "footnotes": ["PFOS"]}, ["FOOTNOTE_ONLY_COMPOUND"]), ({}, {"subjects": ["PFOA"], "referenced": ["PFOS"]}, ["REFERENCED_ONLY_COMPOUND"]), ({}, {"subjects": []}, []),
+    ({"column_path": ["PFOA"]}, {"subjects": ["PFOA"]}, ["COMPOUND_COLUMN_CONFLICT", "SOURCE_TABLE_COMPOUND_MISMATCH"]), ({"column_path": ["x"]}, {"title": "Of pfos"}, []),
+    ({"compound": None}, {}, ["MISSING_COMPOUND"]), ({"compound": None, "class": "Physiological"}, {}, []), ({"compound": "Analyte 1", "column_path": ["analyte 1"]}, {"subjects": []}, ["PLACEHOLDER_COMPOUND"]),
 ])
-def test_rules(spark, change, want):
-    df = spark.createDataFrame([GOOD | change], FLAT)
-    assert [r.rule for r in rules.flags(df, rules.parameter_rules(), ["name"]).collect()] == want
+def test_rules(spark, change, table, want):
+    p, t = spark.createDataFrame([ROW | change], FLAT), spark.createDataFrame([CITED | table], TABLE)
+    assert [r.rule for r in rules.flags(rules.prepared(p, t, "doc"), rules.parameter_rules(), ["ord"]).collect()] == want
+
+
+def test_repeats_of_a_key_are_duplicates_or_conflicts(spark):
+    rows = [ROW | {"ord": i, "source_table": None} | c for i, c in enumerate(({}, {"compound": "pfos"}, {"value": 6.0, "value_text": "6"}, {"formulation": ["IV"]}, {"value": None}, {"name": "x", "value": None}, {"name": "x", "value": None}))]
+    found = rules.flags(rules.prepared(spark.createDataFrame(rows, FLAT), spark.createDataFrame([CITED], TABLE), "doc"), rules.parameter_rules(), ["ord"])
+    got = {r.ord: r.rule for r in found.filter("rule LIKE '%_ENTRY'").collect()}
+    assert got == {1: "DUPLICATE_ENTRY", 2: "CONFLICTING_ENTRY", 4: "CONFLICTING_ENTRY", 6: "DUPLICATE_ENTRY"}
+
+
+def test_minorities_of_a_table(spark):
+    rows = [ROW | {"ord": i, "name": f"n{i}"} for i in range(7)] + [ROW | {"ord": 9, "compound": "PFOA", "name": "y"}]
+    found = rules.flags(rules.prepared(spark.createDataFrame(rows, FLAT), spark.createDataFrame([CITED], TABLE), "doc"), rules.parameter_rules(), ["ord"])
+    assert [r.ord for r in found.filter("rule = 'MINORITY_COMPOUND_IN_TABLE'").collect()] == [9]
+
+
+def test_the_cell_whose_paths_speak_most(spark):
+    t = CITED | {"rows": [("r1", ["Vd"]), ("r2", ["clearance"])], "cells": [("a", "r1", "k1", "5", 5.0), ("b", "r2", "k2", "5.1", 5.1), ("c", "r2", "k1", "5 a", None), ("d", "r2", "k1", "5", 5.0)]}
+    pick = lambda **c: evidence.match_cell(spark.createDataFrame([ROW | c], FLAT), spark.createDataFrame([t], TABLE), "doc").select("cell.cell_id").first().cell_id
+    assert pick() == "c" and pick(cell_id="a") == "a" and pick(row_id="r2", column_id="k2") == "b" and pick(value=None, value_text="none") is None
+    assert pick(cell_id="gone", compound="PFOA", column_path=["PFOA"]) == "b"
+
+
+def test_the_last_table_of_a_name_is_cited(spark):
+    t = spark.createDataFrame([CITED, CITED | {"table_ord": 2, "table_id": "Table 1"}], TABLE)
+    p = spark.createDataFrame([ROW | {"ord": i, "source_table": s} for i, s in enumerate(("table 1", "Table 1", "Table 1: values", "Figure 1", None))], FLAT)
+    got = {r.ord: r.table_id for r in evidence.cite(p, t, "doc").select("ord", "evidence.table_id").collect()}
+    assert got == {0: "Table 1", 1: "Table 1", 2: "Table 1: values", 3: None, 4: None}
+
+
+def test_records_of_a_table(spark):
+    """A group's header gives its unit to the rows below; outcomes give none."""
+    cells = [("a", "r0", "k0", "Blood flow (fraction)", None), ("b", "r1", "k0", "QLC", None), ("c", "r1", "k3", "Liver flow", None), ("d", "r1", "k1", "0.2 (0.1, 0.3)", 0.2), ("e", "r1", "k2", "Brown", 1.0), ("f", "r2", "k3", "Weight (kg)", None), ("g", "r2", "k1", "1 - 2", None), ("h", "r2", "k4", "70", 70.0)]
+    columns = [("k0", ["Symbol"]), ("k1", ["PFOS"]), ("k2", ["Source"]), ("k3", ["Variable"]), ("k4", ["Mean"])]
+    t = CITED | {"columns": columns, "cells": cells, "subjects": ["PFOA"]}
+    make = lambda **c: assembly.from_tables(spark.createDataFrame([t | c], TABLE), "doc", ("PFOS",))
+    got = {(r.row_id, r.column_id): (r.name, r.symbol, r.compound, r.unit, r.value, r.low, r.high, r.start_value) for r in make().collect()}
+    assert got == {("r1", "k1"): ("Liver flow", "QLC", "PFOS", "fraction", 0.2, 0.1, 0.3, None), ("r2", "k1"): ("Weight (kg)", None, "PFOS", "kg", None, 1.0, 2.0, 1.0), ("r2", "k4"): ("Weight (kg)", None, "PFOA", "kg", 70.0, None, None, None)}
+    assert make(title="Sensitivity of AUC").count() == 0 and make(status="failed").count() == 0
+
+
+def test_the_steps_in_their_order(spark):
+    p = [ROW | {"ord": 1, "species": "rat"}, ROW | {"ord": 2, "species": "rat"}, ROW | {"ord": 3, "name": "weight", "name_original": "weight", "symbol": "W", "value": None, "value_text": "1 - 2", "unit": None, "subclass": "body_weight"}, ROW | {"ord": 4, "name": "contact angle"}, ROW | {"ord": 5, "value": None, "value_text": None}]
+    df = spark.createDataFrame(p, FLAT).withColumns({"unit_standardized": F.col("unit"), "reference": F.lit("Optimized"), "status": F.lit(None).cast("string"), "source_text": F.concat_ws(" ", "symbol", "value_text"), "name_original": F.col("name")})
+    got = sorted(assembly.post_process(df, spark.createDataFrame([CITED], TABLE)).collect(), key=lambda r: (r.ord, str(r.donor)))
+    assert [(r.ord, r.species, r.donor) for r in got] == [(1, "rat", None), (2, "human", "rat"), (3, "Human", None)]
+    assert {r.symbol: (r.value, r.start_value, r.end_value, r.status, r.row_id) for r in got if r.symbol == "W"} == {"W": (None, 1.0, 2.0, "fitted", None)}
+    assert len({r.parameter_id for r in got}) == len(got) and {r.cell_id for r in got if r.symbol == "CL"} == {"cell_r1_k1"}
+
+
+def test_units_of_names_and_headers(spark):
+    cases = [("Flow (fraction)", "fraction"), ("x (a b c d)", None), ("x (abcdefghijklmnopqrstuvwxyz)", None), ("none", None)]
+    got = [r.u for r in spark.createDataFrame([(c,) for c, _ in cases], "x string").select(units.group_unit(F.col("x")).alias("u")).collect()]
+    assert got == [w for _, w in cases]
+    errors = [(["a", "b"], "missing", None), (["c"], "wrong", "x" * 50)] * 4
+    text = spark.createDataFrame([(errors,)], "e array<struct<path: array<string>, message: string, received: string>>").select(T.first_errors(F.col("e")).alias("t")).first().t
+    assert text.splitlines()[:2] == ["- Location 'a -> b': missing", "- Location 'c': wrong (received: '" + "x" * 40 + "')"] and len(text.splitlines()) == 5
 
 
 def test_four_checks(spark):
@@ -201,8 +282,12 @@ def test_budget_and_sentences(spark):
 
 
 def test_boxes_and_titles(spark):
-    b = spark.createDataFrame([(1, 100.0, 100.0, 400.0, 300.0, 1000.0, 1000.0, 0.9), (1, 0.0, 0.0, 1000.0, 1000.0, 1000.0, 1000.0, 0.9)], "p long, x0 double, y0 double, x1 double, y1 double, width double, height double, score double")
-    assert tuple(extract.good_boxes(b, "p").first())[1:] == (70.0, 70.0, 430.0, 330.0, 1)
+    rows = [("Table", 0.9, 100.7, 110.0, 400.0, 300.0), ("table", 0.3, 20.0, 200.0, 300.0, 950.0), ("table", 0.9, 0.0, 0.0, 1000.0, 1000.0), ("figure", 0.9, 0.0, 0.0, 500.0, 500.0), ("table", 0.29, 0.0, 0.0, 500.0, 500.0), ("table", 0.9, 5.0, 0.0, 20.0, 900.0)]
+    b = spark.createDataFrame([(1, *r, 1000, 1000) for r in rows], "p long, label string, score double, x0 double, y0 double, x1 double, y1 double, width int, height int")
+    assert tuple(extract.good_boxes(b, "p").first())[1:] == (0, 10, 450, 1000, 0.9, 2)
+    lines = ["short", "A. Author 1, B. Author 2, C. Author 3, D. Author", "Department 12345 of 67890 things", "A model of the kinetics of a thing", "Another line that would do as well"]
+    x = spark.createDataFrame([(1, i, t) for i, t in enumerate(lines)], "k long, pos int, line string")
+    assert extract.title_line(x, "k").first().title == lines[3]
 
 
 def test_files_and_sinks(spark, tmp_path):
