@@ -1,9 +1,11 @@
 """Main text of HTML pages by block rules in two passes.
 
 The page is cut into blocks at block-level tags.  Pass one decides a block by
-its place (menus, forms and the like), its link density, its length and the
-share of stop words; short blocks that give no sign stay open.  Pass two gives
-an open block the label of its nearest decided neighbours.
+its link density, its length and the share of stop words, wherever it stands;
+menus, forms and the like, and what names itself an advert or a comment, are
+out by that sign.  Blocks that are short, or that have few stop words where an
+article is expected, stay open.  Pass two gives an open block the label of its
+nearest decided neighbours.
 """
 
 from __future__ import annotations
@@ -27,14 +29,19 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN = frozenset("article main".split())
 OUT_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
 
-#: Words of class and id that name what is not the article.
+#: Words of class and id that name what is not the article, at
+#: any place of a name; and those that do only at its begin, as in share-bar
+#: but not in market-share.
 OUT_WORDS = frozenset(
-    "ad ads adbox adsense advert adverts advertisement advertisements advertising banner promo promos promotion sponsor sponsored sponsors "
-    "cookie cookies consent gdpr notice notices notification notifications alert alerts popup modal overlay paywall "
-    "sidebar sidebars rail widget widgets menu menus nav navbar navigation navigations breadcrumb breadcrumbs toc "
-    "footer footers masthead topbar toolbar comment comments commentlist reply replies disqus respond discussion "
-    "related recommended recommendations share sharing social subscribe subscription newsletter signup login search "
-    "pagination pager copyright legal skip".split()
+    "ad ads adbox adsense advert adverts advertisement advertisements advertising banner promos promotion sponsor sponsored sponsors "
+    "cookie cookies consent gdpr popup modal overlay paywall "
+    "sidebar sidebars widget widgets menu menus nav navbar navigation navigations breadcrumb breadcrumbs toc "
+    "footer footers masthead topbar toolbar comments commentlist disqus respond "
+    "newsletter subscribe subscription signup login pagination pager".split()
+)
+FIRST_WORDS = frozenset(
+    "notice notices notification notifications alert alerts rail promo comment reply replies discussion related recommended recommendations "
+    "share sharing social search copyright legal skip".split()
 )
 HEADER_WORDS = frozenset("header head topbar site-header".split())
 
@@ -62,7 +69,7 @@ class Block(NamedTuple):
     linked: int
     out: bool
     main: bool
-    heading: bool
+    heading: int  # 1 for the title, 2 for other headings, 0
 
 
 def _named_out(attrs: str, in_main: bool) -> bool:
@@ -74,9 +81,10 @@ def _named_out(attrs: str, in_main: bool) -> bool:
             if value.lower() in OUT_ROLES:
                 return True
         elif name.lower() != "style":
-            words = {x.lower() for x in _PART.findall(value)}
-            if words & OUT_WORDS or not in_main and words & HEADER_WORDS:
-                return True
+            for token in value.split():
+                words = [x.lower() for x in _PART.findall(token)]
+                if words and (words[0] in FIRST_WORDS or not OUT_WORDS.isdisjoint(words) or not in_main and not HEADER_WORDS.isdisjoint(words)):
+                    return True
     return False
 
 
@@ -94,7 +102,7 @@ def blocks(page: str) -> list[Block]:
         text = " ".join("".join(run).split())
         if text:
             out, main = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            found.append(Block(text, linked, out or inline_out is not None, main, heading > 0))
+            found.append(Block(text, linked, out or inline_out is not None, main, heading))
         run.clear()
         linked = 0
 
@@ -145,52 +153,79 @@ def blocks(page: str) -> list[Block]:
             elif not closes and attrs and _named_out(attrs, True):
                 inline_out = name
             if name in HEADINGS:
-                heading = 0 if closes else 1
+                heading = 0 if closes else 1 if name == "h1" else 2
     flush()
     return found
 
 
-def labels(found: list[Block]) -> list[bool]:
-    """Which blocks are of the main text."""
-    has_main = any(b.main and not b.out for b in found)
-    first: list[bool | None] = []
-    for b in found:
-        n = len(b.text)
-        if b.out or b.linked > LINKS * n or has_main and not b.main:
-            first.append(False)
-        elif b.heading or n < SHORT:
-            first.append(None)
-        elif b.main:
-            first.append(True)
-        else:
-            words = _WORD.findall(b.text.lower())
-            share = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-            first.append(True if share >= DENSE or n >= LONG and share >= SPARSE else False if share < SPARSE else None)
-    # Pass two: the nearest decided blocks before and after.  Blocks of the
-    # main part inherit from the main part, where nothing decided means text.
-    before: list[tuple[int, bool] | None] = []
-    last = None
+def decide(b: Block, has_main: bool) -> bool | None:
+    """Pass one: main text, none, or open.
+
+    has_main: the page has a part that calls itself the article.  There few
+    stop words leave a block open, as tables and names have few; outside of it
+    only a long block with many is text.
+    """
+    n = len(b.text)
+    if b.out:
+        return False
+    if b.main and b.heading == 1:
+        return True
+    if b.linked > LINKS * n:
+        return None if b.main and b.heading else False
+    if b.heading or n < SHORT:
+        return None
+    words = _WORD.findall(b.text.lower())
+    share = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    if b.main:
+        return True if share >= SPARSE else None
+    if has_main:
+        return True if n >= LONG and share >= DENSE else False if share < SPARSE else None
+    return True if share >= DENSE or n >= LONG and share >= SPARSE else False if share < SPARSE else None
+
+
+def inherit(first: list[bool | None], headings: list[int], edge: bool | None) -> list[bool]:
+    """Pass two over the blocks of one part: an open block takes the label of
+    the nearest decided block; a heading that of the next one.  Of two equally
+    near ones that differ, and where there is none, that of the part's edge
+    counts; edge, if known, also stands before the first and after the last."""
+    n, out = len(first), []
+    after: list[int | None] = [None] * n
+    near = None
+    for i in range(n - 1, -1, -1):
+        after[i] = near
+        if first[i] is not None:
+            near = i
+    near = None
     for i, v in enumerate(first):
-        before.append(last)
-        if v is not None and (v or not found[i].main or not has_main):
-            last = (i, v)
-    out: list[bool] = [False] * len(first)
-    nxt = None
-    for i in range(len(first) - 1, -1, -1):
-        v = first[i]
         if v is not None:
-            out[i] = v
-            if v or not found[i].main or not has_main:
-                nxt = (i, v)
-            continue
-        if has_main and found[i].main:
-            out[i] = True
+            near = i
+            out.append(v)
             continue
-        near = [(abs(i - k), not val) for k, val in filter(None, (before[i], nxt))]
-        if found[i].heading and nxt is not None:
-            out[i] = nxt[1]
-        elif near:
-            out[i] = not min(near)[1] if near[0][1] != near[-1][1] and near[0][0] != near[-1][0] else all(not bad for _, bad in near)
+        left = (i - near, first[near]) if near is not None else (i + 1, edge)
+        right = (after[i] - i, first[after[i]]) if after[i] is not None else (n - i, edge)
+        known = [x for x in (left, right) if x[1] is not None]
+        if headings[i] and after[i] is not None:
+            out.append(bool(right[1]))
+        elif not known:
+            out.append(False)
+        elif len(known) == 2 and left[0] == right[0] and left[1] != right[1]:
+            out.append(bool(edge))
+        else:
+            out.append(bool(min(known)[1]))
+    return out
+
+
+def labels(found: list[Block]) -> list[bool]:
+    """Which blocks are of the main text.  The article and the rest of the
+    page inherit each for itself; what is out by a sign is no neighbour in the
+    article, and decided elsewhere."""
+    has_main = any(b.main and not b.out for b in found)
+    first = [decide(b, has_main) for b in found]
+    out = [False] * len(found)
+    for main, edge in ((True, True), (False, False if has_main else None)):
+        at = [i for i, b in enumerate(found) if (b.main and not b.out) == main]
+        for i, v in zip(at, inherit([first[i] for i in at], [found[i].heading for i in at], edge), strict=True):
+            out[i] = v
     return out
 
 
@@ -202,9 +237,11 @@ def main_text(page: str) -> str:
 def extract(pages: DataFrame, column: str = "html", out: str = "text") -> DataFrame:
     """pages, without the html, with the main text in `out`.
 
-    A null or empty page has an empty text, as has one without main text;
-    equal rows get equal texts; an empty table gives an empty one; a column of
-    pages named `out` is replaced.
+    A null or empty page has an empty text, as has one without main text; a
+    very long page is read whole, by one task; equal rows get equal texts; in
+    pass two a tie goes to the article inside of it and against it elsewhere;
+    an empty table gives an empty one; a column of pages named `out` is
+    replaced.
     """
     pages = pages.drop(*([out] if out != column else []))
     keep = [c for c in pages.columns if c != column]

@@ -91,11 +91,60 @@ PARAGRAPH = "The quick brown fox and the lazy dog were in the garden, and it was
     ("<script>var a='<p>no</p>'</script><style>x</style><!-- <p>no</p> --><main><p>yes it is</p></main>", "yes it is"),
     ("<article><ul><li><a href='x'>link one</a></li></ul><p>text &lt;tag&gt; &#233;</p></article>", "text <tag> é"),
     ("", ""), ("<<<>>><p", ""),
+    ("<article><h1><a href='/x'>Linked title</a></h1><p>" + PARAGRAPH + "</p></article>", "Linked title\n" + PARAGRAPH.strip()),
+    ("<article><section id='market-share'><p>" + PARAGRAPH + "</p></section><section class='share-bar'><p>" + PARAGRAPH + "</p></section></article>", PARAGRAPH.strip()),
+    ("<article><p>A teaser.</p></article><div><p>" + PARAGRAPH * 3 + "</p><p>Short.</p><p>" + PARAGRAPH * 2 + "</p></div><div>All rights reserved</div>", "A teaser.\n" + (PARAGRAPH * 3).strip() + "\nShort.\n" + (PARAGRAPH * 2).strip()),
+    ("<article><p>" + PARAGRAPH + "</p><h2>More</h2><ul><li><a>one</a></li><li><a>two</a></li></ul></article>", PARAGRAPH.strip()),
 ])
 def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+def test_open_blocks_inherit_as_brute_force_says():
+    import random
+
+    r = random.Random(8)
+    for _ in range(400):
+        first = [r.choice((True, False, None, None)) for _ in range(r.randint(0, 9))]
+        heads, edge = [r.choice((0, 0, 2)) for _ in first], r.choice((True, False, None))
+        want = []
+        for i, v in enumerate(first):
+            decided = [(k, x) for k, x in enumerate(first) if x is not None]
+            later = [x for k, x in decided if k > i]
+            if edge is not None:
+                decided += [(-1, edge), (len(first), edge)]
+            near = min((abs(k - i) for k, _ in decided), default=None)
+            found = {x for k, x in decided if abs(k - i) == near}
+            want.append(v if v is not None else later[0] if heads[i] and later else False if not found else bool(edge) if len(found) == 2 else found.pop())
+        assert html_text.inherit(first, heads, edge) == want
+
+
+def test_both_passes_decide_blocks_of_pages(spark):
+    """On given pages some blocks are decided by words, some by neighbours."""
+    from tests.conftest import DATA
+
+    by = {"words": 0, "neighbours": 0}
+    for row in spark.read.parquet(f"{DATA}/pages.parquet").select("page_id", "html").collect():
+        found = html_text.blocks(row.html or "")
+        kept = html_text.labels(found)
+        for b, k in zip(found, kept, strict=True):
+            v = html_text.decide(b, True)
+            if b.main and not b.heading and not b.out:
+                by["neighbours" if v is None else "words"] += k
+    assert min(by.values()) > 20
+
+
+def test_op6_query_is_its_operator_page_by_page(spark):
+    from tests.conftest import DATA
+
+    pages = {r.page_id: r for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    got = html_text.op6_html_text(spark, DATA).collect()
+    assert len(got) == len(pages)
+    for r in got:
+        text = html_text.main_text(pages[r.page_id].html or "")
+        assert (r.url, r.text, r.n_chars) == (pages[r.page_id].url, text, len(text))
+
+
 def test_extract_of_odd_rows(spark):
     pages = spark.createDataFrame([(1, None, "x"), (2, "", "y"), (3, "<p>" + "word " * 50_000, None)], "page_id long, html string, text string")
     got = {r.page_id: r.text for r in html_text.extract(pages).collect()}
