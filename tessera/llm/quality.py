@@ -1,10 +1,12 @@
 """Quality rules: a short-circuit cascade, ordered by rejection per cost.
 
 A rule rejects a document by statistics of its whole text.  Before the run the
-cost (seconds) and the selectivity (share rejected) of each rule are estimated
-on a bounded sample; rules then run in the order of rejection per cost, and a
-rule sees only what the rules before it have let pass.  The order changes the
-time, never the verdict: a document is kept if no rule rejects it.
+seconds that each statistic takes, and the verdict of each rule, are taken on
+a bounded sample.  Rules are then ordered one by one: next comes the rule with
+the most rejections, of what the rules before it let pass, per second of the
+statistics that these have not computed already.  A rule, and the statistics
+that only it needs, see only what is still alive.  The order changes the time,
+never the verdict: a document is kept if no rule rejects it.
 """
 
 from __future__ import annotations
@@ -19,89 +21,89 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import chunks, column_bytes, map_arrow
-from .hashing import SPACE_ONLY, U, Words, fold, mix
+from .hashing import SPACE, SPACE_ONLY, U, Words, fold, mix
 
-#: Documents that the sample for cost and selectivity expects.
+#: Documents that the sample for costs and selectivities expects.
 SAMPLE = 500
 
-#: Characters that count as symbols.
+#: Characters that count as symbols; bytes that begin no character.
 SYMBOLS = b"#*$%&|<>"
+NO_CHAR = SPACE + bytes(range(0x80, 0xC0))
+
+
+def n_words(texts: list[bytes]) -> list[int]:
+    return [len(x.split()) for x in texts]
+
+
+def word_chars(texts: list[bytes]) -> list[int]:
+    return [len(x.translate(None, NO_CHAR)) for x in texts]
+
+
+def n_symbols(texts: list[bytes]) -> list[int]:
+    return [len(x) - len(x.translate(None, SYMBOLS)) for x in texts]
+
+
+def n_bangs(texts: list[bytes]) -> list[int]:
+    return [x.count(b"!") for x in texts]
+
+
+def _lines(x: bytes) -> list[bytes]:
+    return [y for y in x.split(b"\n") if y.strip()]
+
+
+def n_lines(texts: list[bytes]) -> list[int]:
+    return [len(_lines(x)) for x in texts]
+
+
+def n_dup_lines(texts: list[bytes]) -> list[int]:
+    return [len(y) - len(set(y)) for y in map(_lines, texts)]
+
+
+def n_repeat_words(texts: list[bytes]) -> np.ndarray:
+    """Words in 3-word windows that the text has twice or more."""
+    words = Words(texts, SPACE_ONLY)
+    first, h = words.first, words.hash
+    n = np.diff(first)
+    text = np.repeat(np.arange(len(n)), n)
+    gram = fold(h, 3)
+    ok = np.flatnonzero(text[: len(gram)] == text[2:]) if len(gram) else np.empty(0, np.int64)
+    key = gram[ok] + mix(text[ok].astype(U))
+    order = np.argsort(key, kind="stable")
+    s = key[order]
+    same = s[1:] == s[:-1]
+    twice = np.zeros(len(s), bool)
+    twice[1:] |= same
+    twice[:-1] |= same
+    start = ok[order[twice]]
+    covered = np.zeros(len(h) + 2, bool)
+    for k in range(3):
+        covered[start + k] = True
+    total = np.concatenate([[0], np.cumsum(covered, dtype=np.int64)])
+    return total[first[1:]] - total[first[:-1]]
+
+
+STATISTICS = {f.__name__: f for f in (n_words, word_chars, n_symbols, n_bangs, n_lines, n_dup_lines, n_repeat_words)}
 
 
 class Chunk:
-    """Statistics of a list of texts, each computed when first asked for."""
+    """Statistics of a list of texts, each computed for the texts that are
+    asked for, and once."""
 
     def __init__(self, texts: list[bytes]) -> None:
-        self.texts, self._words, self._known = texts, None, {}
-
-    @property
-    def words(self) -> Words:
-        if self._words is None:
-            self._words = Words(self.texts, SPACE_ONLY)
-        return self._words
+        self.texts, self._known = texts, {}
 
     def __call__(self, name: str, at: np.ndarray) -> np.ndarray:
         """Statistic `name` of the texts with the given indexes."""
         have, values = self._known.setdefault(name, (np.zeros(len(self.texts), bool), np.zeros(len(self.texts), np.int64)))
         todo = at[~have[at]]
         if len(todo):
-            values[todo] = getattr(self, name)(todo)
+            values[todo] = STATISTICS[name]([self.texts[i] for i in todo])
             have[todo] = True
         return values[at]
 
-    def _per_text(self, marks: np.ndarray) -> np.ndarray:
-        total = np.concatenate([[0], np.cumsum(marks, dtype=np.int64)])
-        return total[self.words.begin[1:]] - total[self.words.begin[:-1]]
-
-    def n_words(self, at: np.ndarray) -> np.ndarray:
-        return np.diff(self.words.first)[at]
-
-    def word_chars(self, at: np.ndarray) -> np.ndarray:
-        raw = np.frombuffer(self.words.raw, np.uint8)
-        return self._per_text(((raw & 0xC0) != 0x80) & (raw != 32))[at]
-
-    def n_symbols(self, at: np.ndarray) -> np.ndarray:
-        return self._bytes(SYMBOLS)[at]
-
-    def n_bangs(self, at: np.ndarray) -> np.ndarray:
-        return self._bytes(b"!")[at]
-
-    def _bytes(self, wanted: bytes) -> np.ndarray:
-        table = np.zeros(256, bool)
-        table[list(wanted)] = True
-        return self._per_text(table[np.frombuffer(self.words.raw, np.uint8)])
-
-    def _lines(self, i: int) -> list[bytes]:
-        return [x for x in self.texts[i].split(b"\n") if x.strip()]
-
-    def n_lines(self, at: np.ndarray) -> np.ndarray:
-        return np.array([len(self._lines(i)) for i in at], np.int64)
-
-    def n_dup_lines(self, at: np.ndarray) -> np.ndarray:
-        return np.array([len(x) - len(set(x)) for x in map(self._lines, at)], np.int64)
-
-    def n_repeat_words(self, at: np.ndarray) -> np.ndarray:
-        """Words in 3-word windows that the text has twice or more."""
-        first, h = self.words.first, self.words.hash
-        n = np.diff(first)
-        chosen = np.zeros(len(n), bool)
-        chosen[at] = True
-        text = np.repeat(np.arange(len(n)), n)
-        gram = fold(h, 3)
-        ok = np.flatnonzero((text[: len(gram)] == text[2:]) & chosen[text[: len(gram)]]) if len(gram) else np.empty(0, np.int64)
-        key = gram[ok] + mix(text[ok].astype(U))
-        order = np.argsort(key, kind="stable")
-        s = key[order]
-        same = s[1:] == s[:-1]
-        twice = np.zeros(len(s), bool)
-        twice[1:] |= same
-        twice[:-1] |= same
-        start = ok[order[twice]]
-        covered = np.zeros(len(h) + 2, bool)
-        for k in range(3):
-            covered[start + k] = True
-        total = np.concatenate([[0], np.cumsum(covered, dtype=np.int64)])
-        return (total[first[1:]] - total[first[:-1]])[at]
+    def computed(self, name: str) -> int:
+        """For how many texts a statistic has been computed."""
+        return int(self._known[name][0].sum()) if name in self._known else 0
 
 
 class Rule(NamedTuple):
@@ -128,44 +130,73 @@ def cascade(chunk: Chunk, rules: tuple[Rule, ...]) -> np.ndarray:
     """Which texts no rule rejects."""
     alive = np.arange(len(chunk.texts))
     for rule in rules:
-        alive = alive[~rule.rejects(*(chunk(x, alive) for x in rule.needs))]
         if not len(alive):
             break
+        alive = alive[~rule.rejects(*(chunk(x, alive) for x in rule.needs))]
     out = np.zeros(len(chunk.texts), bool)
     out[alive] = True
     return out
 
 
+def order(rules: tuple[Rule, ...], verdicts: np.ndarray, cost: dict[str, float], computed: frozenset[str] = frozenset()) -> tuple[Rule, ...]:
+    """rules by falling rejection per cost, each on what those before it let
+    pass.  verdicts: a row a document, whether each rule rejects it; cost: of
+    each statistic for one document; computed: statistics that cost nothing."""
+    left, alive, known, out = list(range(len(rules))), np.ones(len(verdicts), bool), set(computed), []
+    while left:
+        n = max(1, int(alive.sum()))
+        gain = lambda i: (verdicts[alive, i].sum() / n) / max(sum(cost[x] for x in rules[i].needs if x not in known), 1e-9)  # noqa: B023, E731
+        best = max(left, key=lambda i: (gain(i), -i))
+        left.remove(best)
+        out.append(rules[best])
+        known |= set(rules[best].needs)
+        alive &= ~verdicts[:, best]
+    return tuple(out)
+
+
 def ordered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample: int = SAMPLE) -> tuple[Rule, ...]:
-    """rules by falling rejection per cost, estimated on about `sample` rows."""
+    """rules in the order that order() gives, estimated on about `sample` rows.
+    Rows with one set of verdicts are counted, so the driver gets no more than
+    2**len(rules) of them a task."""
     n = docs.count()
     if not n:
         return rules
-    schema = pa.schema([("rule", pa.int32()), ("cost", pa.float64()), ("rejected", pa.int64()), ("n", pa.int64())])
+    names = tuple(dict.fromkeys(x for r in rules for x in r.needs))
+    schema = pa.schema([("verdicts", pa.int64()), ("n", pa.int64()), *((x, pa.float64()) for x in names)])
 
     def run(batches):
+        seen: dict[int, int] = {}
+        spent = dict.fromkeys(names, 0.0)
         for b in chunks(batches, text, 1 << 20):
-            texts, rows = column_bytes(b.column(0)), []
-            for i, rule in enumerate(rules):
-                began, chunk = time.perf_counter(), Chunk(texts)
-                bad = rule.rejects(*(chunk(x, np.arange(len(texts))) for x in rule.needs))
-                rows.append((i, time.perf_counter() - began, int(bad.sum()), len(texts)))
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-
-    found = (
-        map_arrow(docs.select(text).sample(min(1.0, sample / n), seed=11), run, "rule int, cost double, rejected long, n long")
-        .groupBy("rule").agg(F.sum("cost").alias("cost"), F.sum("rejected").alias("rejected"), F.sum("n").alias("n")).collect()
-    )
-    gain = {r.rule: (r.rejected / r.n) / max(r.cost / r.n, 1e-9) for r in found}
-    return tuple(rules[i] for i in sorted(range(len(rules)), key=lambda i: -gain.get(i, 0.0)))
+            chunk, every = Chunk(column_bytes(b.column(0))), np.arange(b.num_rows)
+            for x in names:
+                began = time.perf_counter()
+                chunk(x, every)
+                spent[x] += time.perf_counter() - began
+            code = sum((np.asarray(r.rejects(*(chunk(x, every) for x in r.needs)), np.int64) << i for i, r in enumerate(rules)), np.zeros(b.num_rows, np.int64))
+            for c, k in zip(*np.unique(code, return_counts=True), strict=True):
+                seen[int(c)] = seen.get(int(c), 0) + int(k)
+        if seen:
+            first = [[spent[x]] + [0.0] * (len(seen) - 1) for x in names]
+            yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.int64()), pa.array(seen.values(), pa.int64()), *(pa.array(c, pa.float64()) for c in first)], schema=schema)
+
+    found = map_arrow(docs.select(text).sample(min(1.0, sample / n), seed=11), run, "verdicts long, n long, " + ", ".join(f"{x} double" for x in names))
+    rows = found.groupBy("verdicts").agg(F.sum("n").alias("n"), *(F.sum(x).alias(x) for x in names)).collect()
+    if not rows:
+        return rules
+    total = sum(r.n for r in rows)
+    verdicts = np.repeat([[bool(r.verdicts >> i & 1) for i in range(len(rules))] for r in rows], [r.n for r in rows], axis=0)
+    return order(rules, verdicts, {x: sum(r[x] for r in rows) / total for x in names})
 
 
 def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, measure: tuple[str, ...] = (), text: str = "text") -> DataFrame:
     """docs with a column for each statistic in `measure` and with `kept`.
 
     A null text is an empty one; few_words rejects it.  Equal rows get equal
-    verdicts; an empty table gives an empty one; columns of docs with the
-    names of new ones are replaced.
+    verdicts, as do texts at a limit whatever the order; an empty table gives
+    an empty one; columns of docs with the names of new ones are replaced.
+    The cascade comes first: what is measured besides is computed for the rows
+    that it has not been computed for.
     """
     docs = docs.drop(*measure, "kept")
     rules = ordered(docs, rules, text)
@@ -175,9 +206,8 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, measure: tuple[str,
     def run(batches):
         for b in chunks(batches, text, 1 << 20):
             chunk = Chunk(column_bytes(b.column(at)))
-            every = np.arange(len(chunk.texts))
-            cols = [pa.array(chunk(m, every)) for m in measure]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols, pa.array(cascade(chunk, rules))], names)
+            kept, every = cascade(chunk, rules), np.arange(len(chunk.texts))
+            yield pa.RecordBatch.from_arrays([*b.columns, *(pa.array(chunk(m, every)) for m in measure), pa.array(kept)], names)
 
     return map_arrow(docs, run, schema)
 

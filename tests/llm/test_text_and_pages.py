@@ -20,6 +20,25 @@ def test_quality_verdicts_hang_on_the_rules_not_on_their_order(spark):
     assert quality.judge(h.no_documents(spark)).count() == 0
 
 
+def test_rules_are_ordered_by_what_is_left_and_by_what_is_new():
+    """A rule that rejects what others have rejected comes last; a statistic
+    that is there already costs nothing."""
+    import numpy as np
+
+    a, b, c = (quality.Rule(n, needs, None) for n, needs in (("a", ("x",)), ("b", ("x", "y")), ("c", ("z",))))
+    verdicts = np.array([[1, 1, 0], [1, 1, 0], [0, 0, 1], [0, 0, 0]], bool)
+    assert [r.name for r in quality.order((a, b, c), verdicts, {"x": 1.0, "y": 0.1, "z": 2.0})] == ["a", "c", "b"]
+    assert [r.name for r in quality.order((a, b, c), verdicts, {"x": 9.0, "y": 1.0, "z": 2.0})] == ["c", "a", "b"]
+
+
+def test_only_the_living_are_measured():
+    texts = [b"few words", b"word! " * 60, b" ".join(b"word%d" % i for i in range(80))]
+    chunk = quality.Chunk(texts)
+    few, shout, length = (next(r for r in quality.RULES if r.name == n) for n in ("few_words", "shouting", "word_length"))
+    assert quality.cascade(chunk, (few, shout, length)).tolist() == [False, False, True]
+    assert (chunk.computed("n_words"), chunk.computed("n_bangs"), chunk.computed("word_chars"), chunk.computed("n_lines")) == (3, 2, 1, 0)
+
+
 def test_repeat_words_of_brute_force():
     import random
 
