@@ -146,7 +146,9 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", url: str
         pages.select(F.col(key), raw.alias("_payload")).select(key, F.sha1("_payload").alias("_digest"), F.octet_length("_payload").alias("_bytes"))
         .filter(F.col("_bytes") >= least).groupBy("_digest", "_bytes").agg(F.max(key).alias("_last"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     )
-    rows = rows.join(same, ["_digest", "_bytes"], "left").select(key, "_url", "_payload", "_digest", F.when(F.col(key) < F.col("_last"), F.col("_last")).alias("_refers"))
+    # Written, the few repeated digests have a size that the planner knows: if
+    # it is small they are sent to the payloads, not the payloads to them.
+    rows = rows.join(materialize(same, "repeated"), ["_digest", "_bytes"], "left").select(key, "_url", "_payload", "_digest", F.when(F.col(key) < F.col("_last"), F.col("_last")).alias("_refers"))
     kind = pages.schema[key].dataType.simpleString()
 
     names = [key, "digest", "refers_to", "bundle", "frame", "offset"]
@@ -183,8 +185,11 @@ def read_archives(manifest: DataFrame, folder: str, key: str = "page_id", with_p
 
     Length and digest are those of the payload as read; a revisit's are those
     of the response that it refers to, found by the identifiers of records.
-    The manifest is dealt by bundle, whose size is bounded.
+    The manifest is dealt by bundle, whose size is bounded, to a number of
+    partitions that follows the number of bundles: its own bytes would not
+    tell how much there is to read.
     """
+    lots = min(20_000, max(1, manifest.select("bundle").distinct().count()))
     kind = manifest.schema[key].dataType.simpleString()
     names = [key, "record_type", "record_id", "refers_id", "refers_to", "payload_bytes", "payload_digest", *["payload"] * with_payload]
 
@@ -210,7 +215,7 @@ def read_archives(manifest: DataFrame, folder: str, key: str = "page_id", with_p
             a = [pa.array(c, k) for c, k in zip(cols, kinds, strict=False)]
             yield pa.RecordBatch.from_arrays([b.column(0), *a[:3], b.column(1), *a[3:]], names)
 
-    dealt = manifest.select(key, "refers_to", "bundle", "frame", "offset").repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
+    dealt = manifest.select(key, "refers_to", "bundle", "frame", "offset").repartition(lots, "bundle").sortWithinPartitions("bundle", "frame", "offset")
     read = materialize(map_arrow(dealt, run, f"{key} {kind}, record_type string, record_id string, refers_id string, refers_to {kind}, payload_bytes long, payload_digest string" + ", payload binary" * with_payload), "records")
     value = ["payload_bytes", "payload_digest", *["payload"] * with_payload]
     # Only responses that a revisit names take part, and once each.
