@@ -37,14 +37,37 @@ def matrix(rows: list[int], sizes: list[int], seed: int) -> np.ndarray:
 
 
 def _draw(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
-    """numpy draws up to 10**9 of each kind; beyond, the law is within
-    rounding of its normal limit, cut to what is possible."""
+    """One hypergeometric draw.  numpy's goes up to 10**9 of each kind; beyond,
+    the law is summed from its mode outwards, by the ratios of neighbouring
+    probabilities, and inverted: the same law to double precision."""
     if max(good, bad) < 10**9:
         return int(rng.hypergeometric(good, bad, n))
     total = good + bad
-    mean = n * (good / total)
-    dev = (mean * (bad / total) * ((total - n) / max(1, total - 1))) ** 0.5
-    return min(good, n, max(0, n - bad, round(rng.normal(mean, dev))))
+    dev = (n * (good / total) * (bad / total) * ((total - n) / max(1, total - 1))) ** 0.5
+    mode = (n + 1) * (good + 1) // (total + 2)
+    reach = int(40 * dev) + 40  # what lies farther is under 1e-300
+    low, high = max(0, n - bad, mode - reach), min(good, n, mode + reach)
+    up, down = np.arange(mode, high, dtype=np.float64), np.arange(mode, low, -1, dtype=np.float64)
+    above = np.cumprod((good - up) / (up + 1) * (n - up) / (bad - n + up + 1))
+    below = np.cumprod(down / (good - down + 1) * (bad - n + down) / (n - down + 1))
+    law = np.cumsum(np.concatenate([below[::-1], [1.0], above]))
+    return low + int(np.searchsorted(law, rng.random() * law[-1], "right"))
+
+
+#: Ranges of a permutation's hashes that are ranked each for itself.
+CELLS = 64
+
+
+def _ranked(rows: DataFrame, group: str, mix: str, out: str) -> DataFrame:
+    """rows with `out`, the rank from 0 in each group by (cell, mix, k).  The
+    ranks of CELLS ranges of mix are taken apart and added up, so a group is
+    no single task's."""
+    rows = rows.withColumn("cell", F.shiftrightunsigned(F.col(mix), 58).cast("int"))
+    counts = rows.groupBy(group, "cell").agg(F.count("*").alias("c"))
+    ahead = Window.partitionBy(group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.select(group, "cell", F.coalesce(F.sum("c").over(ahead), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy(group, "cell").orderBy(mix, "k")) - 1
+    return rows.withColumn(out, own).join(F.broadcast(before), [group, "cell"]).withColumn(out, (F.col(out) + F.col("before")).cast("long")).drop("before", "cell")
 
 
 def shard(rows: DataFrame, key: list[str], shards: int, seed: int = 17) -> DataFrame:
@@ -52,32 +75,25 @@ def shard(rows: DataFrame, key: list[str], shards: int, seed: int = 17) -> DataF
 
     key: columns that tell rows apart; rows equal in all of them are
     interchangeable and spread like any others, so a group of copies does not
-    stay together.  Nulls in key are one value.  Columns of rows named shard
-    or slot are replaced.  An empty table gives an empty one.
+    stay together.  Nulls in key are one value; very long keys are hashed
+    whole.  Columns of rows named shard or slot are replaced, any other name
+    may occur.  An empty table gives an empty one.
     """
+    assert CELLS * max(BLOCKS, shards) <= 1 << 20, "the tables of counts are broadcast"
     spark = rows.sparkSession
-    rows = rows.drop("shard", "slot").withColumns({"_block": F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(BLOCKS)).cast("int"), "_deal": F.xxhash64(F.lit(seed + 1), *key), "_mix": F.xxhash64(F.lit(seed + 2), *key)})
-    counts = {r._block: r.n for r in rows.groupBy("_block").agg(F.count("*").alias("n")).collect()}
+    rows = rows.drop("shard", "slot")
+    packed = rows.select(
+        F.struct("*").alias("row"), F.struct(*key).alias("k"), F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(BLOCKS)).cast("int").alias("block"),
+        F.xxhash64(F.lit(seed + 1), *key).alias("deal"), F.xxhash64(F.lit(seed + 2), *key).alias("mix"),
+    )
+    counts = {r.block: r.n for r in packed.groupBy("block").agg(F.count("*").alias("n")).collect()}
     total, blocks = sum(counts.values()), sorted(counts)
     sizes = [total // shards + (s < total % shards) for s in range(shards)]
     ends = np.cumsum(matrix([counts[b] for b in blocks], sizes, seed), axis=1)
-    dealt = spark.createDataFrame([(int(b), [int(x) for x in e]) for b, e in zip(blocks, ends, strict=True)], "_block int, _ends array<long>")
-    within = F.row_number().over(Window.partitionBy("_block").orderBy("_deal", "_mix", *key)) - 1
-    dealt_rows = (
-        rows.withColumn("_rank", within).join(F.broadcast(dealt), "_block")
-        .withColumn("shard", F.size(F.filter("_ends", lambda e: e <= F.col("_rank")))).drop("_ends", "_block", "_rank", "_deal")
-    )
-    # A shard's slots in two levels: ranges of _mix, and within a range.
-    cells = 64
-    cell = F.shiftrightunsigned(F.col("_mix"), 58).cast("int")
-    dealt_rows = dealt_rows.withColumn("_cell", cell)
-    cell_counts = dealt_rows.groupBy("shard", "_cell").agg(F.count("*").alias("_n"))
-    before = cell_counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy("shard").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
-    assert cells * shards <= 1 << 20, "the table of cells is broadcast"
-    return (
-        dealt_rows.withColumn("slot", F.row_number().over(Window.partitionBy("shard", "_cell").orderBy("_mix", *key)) - 1)
-        .join(F.broadcast(before), ["shard", "_cell"]).withColumn("slot", (F.col("slot") + F.col("_before")).cast("long")).drop("_before", "_cell", "_mix")
-    )
+    dealt = spark.createDataFrame([(int(b), [int(x) for x in e]) for b, e in zip(blocks, ends, strict=True)], "block int, ends array<long>")
+    out = _ranked(packed, "block", "deal", "rank").join(F.broadcast(dealt), "block")
+    out = out.withColumn("shard", F.size(F.filter("ends", lambda e: e <= F.col("rank")))).drop("ends", "block", "rank", "deal")
+    return _ranked(out, "shard", "mix", "slot").select("row.*", "shard", "slot")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str, shards: int = 40) -> DataFrame:
