@@ -86,12 +86,14 @@ def judge_urls(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
     """pages with host, path, rule, verdict, template and purity.
 
     Null urls have an empty host and path and form a template of their own;
-    equal rows get equal verdicts; an empty table gives an empty one; columns
-    of pages with the names of new ones are replaced.
+    equal rows get equal verdicts; very long urls and paths of any depth are
+    read whole; an empty table gives an empty one; columns of pages with the
+    names of new ones are replaced, any other name may occur.
     """
     new = ("host", "path", "rule", "verdict", "template", "purity")
     host, path = host_and_path(F.col(url))
-    seen = pages.select("*", host.alias("_host"), path.alias("_path")).drop(*(c for c in new if c != url))
+    kept = [c for c in pages.columns if c not in new or c == url]
+    seen = pages.select(F.struct(*kept).alias("_row"), host.alias("_host"), path.alias("_path"))
     seen = seen.withColumn("_fit", longest_rule(F.col("_host"), F.col("_path"), rules))
     parts = F.filter(F.split(F.col("_path"), "/"), lambda x: x != "")
     raw = ["_host", "_s"]
@@ -125,7 +127,7 @@ def judge_urls(pages: DataFrame, rules=RULES, url: str = "url") -> DataFrame:
     judged = tree.select(*raw, "template").join(scores, "template")
     verdict = F.coalesce(F.col("_fit.verdict"), F.when(F.col("purity") >= REJECT, "block").otherwise("allow"))
     out = seen.join(judged, raw).withColumns({"verdict": verdict, "rule": F.col("_fit.rule")})
-    return out.withColumnsRenamed({"_host": "host", "_path": "path"}).drop("_fit", "_s")
+    return out.select("_row.*", F.col("_host").alias("host"), F.col("_path").alias("path"), "rule", "verdict", "template", "purity")
 
 
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
