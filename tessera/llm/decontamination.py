@@ -7,8 +7,10 @@ grams are joined by their hash and each match is extended word by word, so a
 hit is never a matter of hashes alone.  Items that are shorter than a window
 are looked up by the first words of their whole sequence at every position.
 
-The join is a shuffle of what a bitmap of fixed size (BITS bits, whatever the
-benchmark's size) lets pass; no fingerprints are sent to the driver.
+The join is a shuffle of what a bitmap of bounded size lets pass; no
+fingerprints are sent to the driver.  It joins each different context of a gram
+in the documents with each different one in the items, once: a stem that many
+items share, in a text that many documents hold, is extended once.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from .hashing import ALNUM_LOWER, U, Words, fold
 #: Words of a gram, grams of a window, and words of a window.
 K, W = 5, 6
 SPAN = K + W - 1
-BITS = 1 << 22
+LEAST, MOST = 1 << 22, 1 << 28
 
 
 def winnow(h: np.ndarray, w: int = W) -> np.ndarray:
@@ -66,8 +68,8 @@ def _context(words: Words, at: int, text: int, before: int, after: int) -> tuple
     return one(lo, at), one(at, hi)
 
 
-def _bit(h: np.ndarray, kind: int) -> np.ndarray:
-    return ((h + U(kind)) % U(BITS)).astype(np.int64)
+def _bit(h: np.ndarray, kind: int, bits: int) -> np.ndarray:
+    return ((h + U(kind)) % U(bits)).astype(np.int64)
 
 
 def item_classes(items: DataFrame, key: str = "item_id", text: str = "text") -> DataFrame:
@@ -103,34 +105,41 @@ def item_grams(classes: DataFrame) -> DataFrame:
     return map_arrow(classes.select("class", "words", "n"), run, "kind int, h long, class string, before string, after string").distinct()
 
 
-def _bitmap(grams: DataFrame) -> tuple[bytes, list[int]]:
-    """Bits of the grams' hashes, BITS / 8 bytes, and the kinds there are."""
-    bit = F.pmod(F.col("h") + F.col("kind"), F.lit(BITS))  # as _bit: BITS is a power of two
-    bits = np.zeros(BITS, bool)
-    kinds: set[int] = set()
-    for r in grams.select("kind", bit.alias("b")).distinct().groupBy("kind").agg(F.collect_list("b").alias("bs")).collect():
-        bits[r.bs] = True
-        kinds.add(r.kind)
-    return np.packbits(bits).tobytes(), sorted(kinds)
+def _bitmap(grams: DataFrame) -> tuple[bytes, int, list[int]]:
+    """Bits of the grams' hashes, their number and the kinds there are.
+
+    16 bits a gram and more, from LEAST to MOST bits (32 MB), which are built
+    by the executors in pieces of 4 KB; beyond two million grams more of the
+    documents' grams pass by chance and meet none in the join."""
+    n = grams.count()
+    bits = min(MOST, max(LEAST, 1 << (16 * n).bit_length()))
+    bit = F.pmod(F.col("h") + F.col("kind"), F.lit(bits)) + 1  # as _bit: bits is a power of two
+    pieces = grams.groupBy(F.bitmap_bucket_number(bit).alias("b")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("m"), F.collect_set("kind").alias("kinds")).collect()
+    out, kinds = bytearray(bits // 8), set()
+    for r in pieces:
+        out[(r.b - 1) * 4096 : r.b * 4096] = r.m
+        kinds.update(r.kinds)
+    return bytes(out), bits, sorted(kinds)
 
 
 CAND = "array<struct<kind: int, h: long, p: long, before: string, after: string>>"
 
 
-def candidates(docs: DataFrame, bitmap: bytes, kinds: list[int], key: str = "doc_id", text: str = "text") -> DataFrame:
+def candidates(docs: DataFrame, bitmap: bytes, size: int, kinds: list[int], key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, n_words, cand): of each document the grams that may match."""
     kind_of_key = docs.schema[key].dataType.simpleString()
     sent = docs.sparkSession.sparkContext.broadcast(bitmap)
     struct = pa.struct([("kind", pa.int32()), ("h", pa.int64()), ("p", pa.int64()), ("before", pa.string()), ("after", pa.string())])
 
     def run(batches):
-        bits = np.unpackbits(np.frombuffer(sent.value, np.uint8)).view(bool)
+        bits = np.frombuffer(sent.value, np.uint8)
         for b in chunks(batches, text, 1 << 20):
             w = Words(column_bytes(b.column(1)), ALNUM_LOWER)
             cand: list[list] = [[] for _ in range(b.num_rows)]
             for kind in kinds:
                 at, h = _grams(w, kind)
-                ok = bits[_bit(h, kind)]
+                bit = _bit(h, kind, size)
+                ok = (bits[bit >> 3] >> (bit & 7) & 1).astype(bool)
                 at, h = at[ok], h[ok]
                 t = np.searchsorted(w.first, at, side="right") - 1
                 for p, x, d in zip(at.tolist(), h.view(np.int64).tolist(), t.tolist(), strict=True):
@@ -142,29 +151,29 @@ def candidates(docs: DataFrame, bitmap: bytes, kinds: list[int], key: str = "doc
 
 
 def _extend(pairs: DataFrame) -> DataFrame:
-    """(_row, class, s, e): word spans s..e-1 of a row that the item has, each
-    of SPAN words or more, or all of a shorter item."""
-    cols = ("_row", "class", "kind", "p", "before", "after", "ibefore", "iafter")
+    """pairs of contexts with left and right, the words that both have before
+    and from the gram on: SPAN or more together, or all of a shorter item."""
+    cols = ("kind", "h", "before", "after", "ibefore", "iafter")
 
     def run(batches):
         for b in batches:
             out = []
-            for row, cls, kind, p, db, da, ib, ia in zip(*(b.column(i).to_pylist() for i in range(len(cols))), strict=True):
-                da, ia = da.split(" "), ia.split(" ")
+            for kind, h, db, da, ib, ia in zip(*(b.column(i).to_pylist() for i in range(len(cols))), strict=True):
+                d, i = da.split(" "), ia.split(" ")
                 if kind:
-                    if da[: len(ia)] == ia:
-                        out.append((row, cls, p, p + len(ia)))
+                    if d[: len(i)] == i:
+                        out.append((kind, h, db, da, ib, ia, 0, len(i)))
                     continue
-                right = next((i for i, (x, y) in enumerate(zip(da, ia, strict=False)) if x != y), min(len(da), len(ia)))
-                db, ib = (db.split(" ") if db else [])[::-1], (ib.split(" ") if ib else [])[::-1]
-                left = next((i for i, (x, y) in enumerate(zip(db, ib, strict=False)) if x != y), min(len(db), len(ib)))
+                right = next((k for k, (x, y) in enumerate(zip(d, i, strict=False)) if x != y), min(len(d), len(i)))
+                d, i = (db.split(" ") if db else [])[::-1], (ib.split(" ") if ib else [])[::-1]
+                left = next((k for k, (x, y) in enumerate(zip(d, i, strict=False)) if x != y), min(len(d), len(i)))
                 if left + right >= SPAN:
-                    out.append((row, cls, p - left, p + right))
-            got = list(zip(*out, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(got, kinds, strict=True)], ["_row", "class", "s", "e"])
+                    out.append((kind, h, db, da, ib, ia, left, right))
+            got = list(zip(*out, strict=True)) or [()] * 8
+            kinds = (pa.int32(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(got, kinds, strict=True)], [*cols, "left", "right"])
 
-    return map_arrow(pairs.select(*cols), run, "_row long, class string, s long, e long")
+    return map_arrow(pairs.select(*cols), run, "kind int, h long, before string, after string, ibefore string, iafter string, left long, right long")
 
 
 def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id") -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -177,11 +186,12 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
     """
     cls = materialize(item_classes(items, item_key).withColumn("class", F.sha2("words", 256)), "item-classes")
     grams = materialize(item_grams(cls.select("class", "words", "n").distinct()), "item-grams")
-    bitmap, kinds = _bitmap(grams)
-    rows = materialize(candidates(docs, bitmap, kinds, key, text).withColumn("_row", F.monotonically_increasing_id()), "candidates")
+    rows = materialize(candidates(docs, *_bitmap(grams), key, text).withColumn("_row", F.monotonically_increasing_id()), "candidates")
     cand = rows.select("_row", F.explode("cand").alias("c")).select("_row", "c.*")
     theirs = grams.withColumnsRenamed({"before": "ibefore", "after": "iafter"})
-    hits = _extend(cand.join(theirs, ["kind", "h"]))
+    ours, gram, items_ = ["kind", "h", "before", "after"], ["kind", "h"], ["kind", "h", "ibefore", "iafter"]
+    alike = materialize(_extend(cand.select(*ours).distinct().join(theirs.select(*items_).distinct(), gram)), "extended")
+    hits = cand.join(alike, ours).join(theirs, items_).select("_row", "class", (F.col("p") - F.col("left")).alias("s"), (F.col("p") + F.col("right")).alias("e"))
     return rows.select("_row", key, "n_words"), hits, cls.select(item_key, "class")
 
 
