@@ -19,24 +19,54 @@ def needed(a: int, b: int, t: tuple[int, int]) -> int:
 
 
 class Node:
-    __slots__ = ("high", "ids", "kids", "low", "rest", "seg")
+    """seg: keys that all sets below share after those above; low, high: their
+    smallest and largest size; rest: the most keys that follow the begin of
+    seg; comp: the component of all sets below, or MIXED."""
 
-    def __init__(self, seg: np.ndarray) -> None:
-        self.seg, self.kids, self.ids = seg, {}, []
+    __slots__ = ("comp", "high", "ids", "kids", "low", "rest", "seg")
+
+    def __init__(self, seg: np.ndarray, comp: int | None = None) -> None:
+        self.seg, self.kids, self.ids, self.comp = seg, {}, [], comp
         self.low, self.high, self.rest = 1 << 60, 0, 0
 
 
+#: Sets of several components below a node.
+MIXED = object()
+
+
+class Components:
+    """Union and find over identifiers."""
+
+    def __init__(self) -> None:
+        self.above: dict[int, int] = {}
+
+    def top(self, x: int) -> int:
+        up = self.above
+        while (y := up.setdefault(x, x)) != x:
+            up[x] = x = up[y]
+        return x
+
+    def unite(self, a: int, b: int) -> None:
+        a, b = self.top(a), self.top(b)
+        self.above[max(a, b)] = min(a, b)
+
+
 class Trie:
-    """sets: id -> (size with elements that no other set has, keys)."""
+    """Sets with an identifier, a size (elements that no other set has
+    included) and keys; each belongs to a component of `parts`."""
 
-    def __init__(self, t: tuple[int, int]) -> None:
-        self.t, self.root, self.sizes = t, Node(np.empty(0, np.uint64)), {}
+    def __init__(self, t: tuple[int, int], parts: Components | None = None) -> None:
+        self.t, self.root, self.sizes, self.parts = t, Node(np.empty(0, np.uint64)), {}, parts or Components()
 
     def insert(self, ident: int, size: int, keys: np.ndarray) -> None:
         self.sizes[ident] = size
-        node, at = self.root, 0
+        node, at, comp = self.root, 0, self.parts.top(ident)
         while True:
             node.low, node.high = min(node.low, size), max(node.high, size)
+            if node.comp is None:
+                node.comp = comp
+            elif node.comp is not MIXED and self.parts.top(node.comp) != comp:
+                node.comp = MIXED
             at += len(node.seg)
             node.rest = max(node.rest, len(keys) - at + len(node.seg))
             if at == len(keys):
@@ -44,7 +74,7 @@ class Trie:
                 return
             kid = node.kids.get(int(keys[at]))
             if kid is None:
-                kid = node.kids[int(keys[at])] = Node(keys[at:])
+                kid = node.kids[int(keys[at])] = Node(keys[at:], comp)
                 kid.ids.append(ident)
                 kid.low = kid.high = size
                 kid.rest = len(keys) - at
@@ -53,7 +83,7 @@ class Trie:
             differ = np.flatnonzero(kid.seg[:n] != keys[at : at + n])
             cut = int(differ[0]) if len(differ) else n
             if cut < len(kid.seg):
-                top = Node(kid.seg[:cut])
+                top = Node(kid.seg[:cut], kid.comp)
                 top.low, top.high, top.rest = kid.low, kid.high, kid.rest
                 kid.seg, kid.rest = kid.seg[cut:], kid.rest - cut
                 top.kids[int(kid.seg[0])] = kid
@@ -61,11 +91,16 @@ class Trie:
                 kid = top
             node = kid
 
-    def find(self, size: int, keys: np.ndarray) -> int | None:
-        """Some set that is similar to the query, or none if there is none."""
+    def find(self, size: int, keys: np.ndarray, known: set[int] | None = None) -> list[int]:
+        """A similar set of each component that has one, but for those in
+        `known`.  One traversal: overlaps are carried along shared paths, and
+        what is below a node of one component that is known is left out."""
+        done, out, top = set(known or ()), [], self.parts.top
         stack = [(self.root, 0, 0)]
         while stack:
             node, at, have = stack.pop()
+            if node.comp is None or node.comp is not MIXED and top(node.comp) in done:
+                continue
             # The least that any set below asks for: that of the smallest
             # one still long enough.
             floor = -(-self.t[0] * size // self.t[1])
@@ -87,11 +122,12 @@ class Trie:
                 rest -= len(piece)
             else:
                 for ident in node.ids:
-                    if self.sizes[ident] * self.t[1] >= self.t[0] * size and have >= needed(size, self.sizes[ident], self.t):
-                        return ident
+                    if self.sizes[ident] * self.t[1] >= self.t[0] * size and have >= needed(size, self.sizes[ident], self.t) and top(ident) not in done:
+                        done.add(top(ident))
+                        out.append(ident)
                 if have + min(len(keys) - at, rest) >= need:
                     stack.extend((kid, at, have) for kid in node.kids.values())
-        return None
+        return out
 
 
 Item = tuple[int, int, np.ndarray]
@@ -101,53 +137,33 @@ def links(sets: list[Item], t: tuple[int, int]) -> list[tuple[int, int]]:
     """Links that connect what similarity connects among the sets (id, size,
     keys): for each pair of similar sets there is a path of links.
 
-    Each component has a tree of its own, and a set asks each tree once: a
-    group of near copies costs a traversal a set, not one a pair.
+    All sets share one tree, whose nodes know their component; a set asks it
+    once for one similar set a component, so a group of near copies costs a
+    traversal a set, not one a pair.
     """
-    tries: dict[int, Trie] = {}
-    members: dict[int, list[Item]] = {}
-    out: list[tuple[int, int]] = []
-    for item in sorted(sets, key=lambda s: (s[1], s[0])):
-        hit = []
-        for c, trie in tries.items():
-            found = trie.find(item[1], item[2])
-            if found is not None:
-                out.append((item[0], found))
-                hit.append(c)
-        if not hit:
-            tries[item[0]], members[item[0]] = Trie(t), []
-            hit = [item[0]]
-        main, own = max(hit, key=lambda c: len(members[c])), [item]
-        for c in hit:
-            if c != main:
-                own += members.pop(c)
-                del tries[c]
-        for s in own:
-            tries[main].insert(*s)
-        members[main] += own
+    tree, out = Trie(t), []
+    for ident, size, keys in sorted(sets, key=lambda s: (s[1], s[0])):
+        for found in tree.find(size, keys):
+            out.append((ident, found))
+            tree.parts.unite(ident, found)
+        tree.insert(ident, size, keys)
     return out
 
 
 def ask(sets: list[Item], queries: list[Item], component: dict[int, int], t: tuple[int, int]) -> list[tuple[int, int]]:
     """Links from each query to some similar set of each other component."""
-    tries: dict[int, Trie] = {}
+    parts = Components()
+    for ident, comp in component.items():
+        parts.unite(ident, comp)
+    tree = Trie(t, parts)
     for s in sets:
-        tries.setdefault(component[s[0]], Trie(t)).insert(*s)
-    found = ((q[0], trie.find(q[1], q[2])) for q in queries for c, trie in tries.items() if c != component[q[0]])
-    return [(a, b) for a, b in found if b is not None]
+        tree.insert(*s)
+    return [(q[0], found) for q in queries for found in tree.find(q[1], q[2], {parts.top(q[0])})]
 
 
 def stars(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Links as (vertex, smallest vertex of its component)."""
-    root: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while root.setdefault(x, x) != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
+    parts = Components()
     for a, b in found:
-        a, b = top(a), top(b)
-        root[max(a, b)] = min(a, b)
-    return [(x, top(x)) for x in list(root) if top(x) != x]
+        parts.unite(a, b)
+    return [(x, parts.top(x)) for x in list(parts.above) if parts.top(x) != x]

@@ -112,6 +112,12 @@ def test_trie_finds_what_counting_finds():
     for s in sets[:40]:
         tree.insert(*s)
     for _, n, q in sets[40:]:
-        found = tree.find(n, q)
-        want = [i for i, _, k in sets[:40] if alike(k, q)]
-        assert (found in want) if want else found is None
+        # Each set is a component of its own: all similar ones are found.
+        assert sorted(tree.find(n, q)) == [i for i, _, k in sets[:40] if alike(k, q)]
+    whole = {tuple(sorted(p)) for p in trie.stars(trie.links(sets, t))}
+    pairs = [(a, b) for a, _, k in sets for b, _, m in sets if b < a and alike(k, m)]
+    assert whole == {tuple(sorted(p)) for p in trie.stars(pairs)}
+    half = trie.ask(sets[:30], sets[30:], {i: i % 2 for i, _, _ in sets}, t)
+    assert all(alike(sets[a][2], sets[b][2]) and a % 2 != b % 2 for a, b in half)
+    want = {a for a, _, k in sets[30:] if any(alike(k, m) and a % 2 != b % 2 for b, _, m in sets[:30])}
+    assert {a for a, _ in half} == want
