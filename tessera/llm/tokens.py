@@ -16,7 +16,7 @@ OTHER = re.compile(r"[^\t\n\v\f\r -~\xa0-ɏ‐-‧‰-⁞€]")
 
 #: Entries of each of the two generations of a worker's cache, and the longest
 #: cached pre-token.
-CACHE, LONGEST = 150_000, 64
+CACHE, LONGEST = 250_000, 64
 
 
 def vocabulary_path(name: str) -> str:
