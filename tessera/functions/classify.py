@@ -193,14 +193,27 @@ def first_label(text: Column, rules: list[tuple[str, str]], default: str | None
     return out
 
 
-#: Ordered patterns of species, life stage and formulation.
-SPECIES = [(r"(?i)\b(?:rat|rats)\b", "rat"), (r"(?i)\b(?:mouse|mice)\b", "mouse"), (r"(?i)\b(?:monkey|monkeys|primate|primates)\b", "monkey"), (r"(?i)\bdogs?\b", "dog"), (r"(?i)\b(?:human|humans|patient|patients)\b", "human")]
-LIFE_STAGES = [(r"(?i)\b(?:fetal|fetus|foetal)\b", "fetal"), (r"(?i)\b(?:infant|neonate|neonatal)\b", "infant"), (r"(?i)\b(?:pregnan\w*|gestation\w*|maternal)\b", "pregnant"), (r"(?i)\badults?\b", "adult")]
-FORMULATIONS = [(r"(?i)\b(?:iv|intravenous)\b", "intravenous"), (r"(?i)\b(?:oral|tablet|capsule)\b", "oral"), (r"(?i)\bdermal\b", "dermal")]
+#: Ordered patterns of species, life stage and formulation;
+#: known compounds, and acronyms that are none.
+SPECIES = (
+    (r"(?i)nonhuman primate|monkey|cynomolgus|rhesus|macaque", "nonhuman primate"), (r"(?i)\b(?:rat|rats|sprague-dawley|wistar)\b", "rat"), (r"(?i)\b(?:mouse|mice)\b", "mouse"),
+    (r"(?i)\b(?:dog|beagle|canine)\b", "dog"), (r"(?i)human|mother|fetus|infant|child|adult|patient", "human"),
+)
+LIFE_STAGES = tuple((rf"(?i){w}", w) for w in ("mother", "fetus", "infant", "pup", "gestation", "lactation", "adult"))
+FORMULATIONS = tuple((rf"(?i){w}", w) for w in ("rilutor", "asd", "suspension", "tablet", "capsule", "iv", "oral"))
+COMPOUNDS = (
+    "PFOS", "PFOA", "PFHxS", "PFNA", "PFDA", "PFBA", "PFBS", "DINCH", "MINCH", "RILUZOLE", "RLZ", "RLE", "BPA", "BPS",
+    "DIAZEPAM", "MIDAZOLAM", "THEOPHYLLINE", "CAFFEINE",
+)
+NO_COMPOUNDS = (
+    "MCMC", "OECD", "PBPK", "RMSE", "AIC", "BIC", "AUC", "CMAX", "TMAX", "MEAN", "TABLE", "NOTE", "TOTAL", "BODY", "RATE", "FLOW", "TYPE",
+    "DOSE", "TIME", "DATA", "YEAR", "AGE", "FIG", "HED", "POD",
+)
 
 
-def acronyms(text: Column, known: tuple[str, ...], stop: tuple[str, ...]) -> Column:
-    """Known names in a text, then its acronyms that are not stopped."""
-    listed = F.filter(F.array(*map(F.lit, known)), lambda k: F.contains(F.lower(text), F.lower(k))) if known else F.array().cast("array<string>")
-    found = F.array_except(F.regexp_extract_all(text, F.lit(r"(?U)\b([A-Z]{3,6})\b"), 1), F.array(*map(F.lit, stop)))
+def acronyms(text: Column, known: tuple[str, ...] = COMPOUNDS, stop: tuple[str, ...] = NO_COMPOUNDS) -> Column:
+    """Known names in a text, in upper case, then its acronyms of three to
+    eight letters that are not stopped."""
+    listed = F.array_compact(F.array(*(F.when(text.rlike(rf"(?i)\b\Q{k}\E\b"), F.lit(k.upper())) for k in known))) if known else F.array().cast("array<string>")
+    found = F.array_except(F.regexp_extract_all(text, F.lit(r"(?U)\b([A-Z]{3,8})\b"), 1), F.array(*map(F.lit, stop)))
     return F.array_distinct(F.concat(listed, found))

@@ -5,10 +5,9 @@ from __future__ import annotations
 import difflib
 import json
 import re
-from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql.functions import pandas_udf, udtf
+from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType, StringType
 
 
@@ -64,12 +63,3 @@ def title_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     or unknown title is like none."""
     form = lambda x: (x or "").lower().strip()
     return pd.Series([difflib.SequenceMatcher(None, form(x), form(y)).ratio() if x and y else 0.0 for x, y in zip(a, b, strict=True)])
-
-
-@udtf(returnType="start int, stop int, found string, before string, after string")
-class MatchOffsets:
-    """One row for each match of a pattern, with its place and context."""
-
-    def eval(self, text: str, pattern: str, context: int) -> Iterator[tuple]:
-        for m in re.finditer(pattern, text or ""):
-            yield m.start(), m.end(), m.group(0), text[max(0, m.start() - context) : m.start()], text[m.end() : m.end() + context]

@@ -65,10 +65,10 @@ def doi(c: Column) -> Column:
 
 
 def scrub(c: Column) -> Column:
-    """Text without citations' years and units' exponents."""
-    t = F.regexp_replace(c, r"\b(?:19|20)\d{2}[a-z]?\b", " ")
-    t = F.regexp_replace(t, r"\^-?\d+(?:\.\d+)?", "")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    """Text without the years of citations and the exponents of weights."""
+    year = r"(?:19|20)\d{2}[a-z]?"
+    t = F.regexp_replace(c, rf"\({year}\)|(?i:et\s+al)\.?,?\s*{year}", "")
+    return F.trim(F.regexp_replace(t, r"kg\^?0\.\d+", "kg"))
 
 
 def without_fences(c: Column) -> Column:

@@ -62,3 +62,71 @@ def scan_values(rows: DataFrame, key: str, symbol: str, number: str, ahead: int
     ok = lambda a, v: a["go"] & F.coalesce(v.rlike(number), F.lit(False))
     run = F.aggregate("_n", start, lambda a, v: F.struct(ok(a, v).alias("go"), F.when(ok(a, v), F.array_append(a["vs"], v)).otherwise(a["vs"]).alias("vs")), lambda a: a["vs"])
     return x.withColumn("values", run).filter("size(values) > 0").drop("_n")
+
+
+def matches(df: DataFrame, key: str, text: str, pattern: str, context: int = 0) -> DataFrame:
+    """(key, start, found[, context]): every match of a pattern with its place,
+    and the text up to `context` characters round it.
+
+    The pieces between the matches tell the places: a match starts after all
+    pieces and matches before it.  key tells texts apart.
+    """
+    x = df.select(key, text, F.split(text, pattern, -1).alias("_p"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("_m")).filter("size(_m) > 0")
+    x = x.select(key, *([text] if context else []), F.posexplode(F.arrays_zip("_p", "_m")).alias("_k", "_x")).filter("_x._m IS NOT NULL")
+    w = Window.partitionBy(key).orderBy("_k")
+    till, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    start = F.sum(F.length("_x._p")).over(till) + F.coalesce(F.sum(F.length("_x._m")).over(before), F.lit(0))
+    x = x.withColumn("start", start.cast("int")).withColumn("found", F.col("_x._m"))
+    if not context:
+        return x.select(key, "start", "found")
+    low = F.greatest(F.lit(0), F.col("start") - context)
+    return x.select(key, "start", "found", F.substring(F.col(text), low + 1, F.col("start") - low + F.length("found") + context).alias("context"))
+
+
+#: Words of a block's first line, and of its first 400
+#: characters, by what the block is about.
+OPENING = ("abstract", "summary", "conclusion", "objective", "purpose")
+EVALUATION = (
+    "sensitivity", "evaluation", "validation", "goodness", "aafe", "rmse", "fold error", "fold-error", "uncertainty", "variability",
+    "monte carlo", "mcmc", "results", "discussion", "comparison",
+)
+METHODS = (
+    "method", "material", "model", "structure", "compartment", "equation", "parameter", "table", "software", "solver", "mrgsolve", "mcsim",
+    "simcyp", "gastroplus", "pk-sim", "berkeley madonna", "matlab", "python", "scipy", "desolve", "dosing", "exposure", "calibration",
+)
+
+#: Begins of questionnaire items by what they need.
+NEEDS = {
+    "opening": ("TAN_1.1", "TAN_1.2", "TAN_1.3", "TAN_2.1.1", "TAN_2.1.2", "TAN_2.1.3", "TAN_2.3.1"),
+    "methods": ("TAN_2.2", "TAN_2.4.1", "TAN_2.4.2", "TAN_2.4.3", "TAN_2.4.4", "TAN_2.4.5", "TAN_2.4.6", "TAN_2.4.7"),
+    "evaluation": ("TAN_2.5", "TAN_2.1.3", "TAN_2.4.2B", "TAN_2.4.2C"),
+}
+
+
+def block_topic(block: Column, place: Column) -> Column:
+    """What a block of Markdown is about: opening, evaluation or methods, else
+    null; place counts a document's blocks from 0."""
+    t = F.lower(block)
+    line, head = F.substring_index(t, "\n", 1), F.substring(t, 1, 400)
+    has = lambda where, words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(where, w))
+    return (
+        F.when(line.rlike(r"^#+\s*(?:1\.?\s*)?introduction\b") | (place <= 1) | has(line, OPENING), "opening").when(has(line, EVALUATION) | has(head, EVALUATION), "evaluation")
+        .when(has(line, METHODS) | has(head, METHODS) | F.contains(block, F.lit("|")), "methods")
+    )
+
+
+def objective_only(block: Column, most: int = 2000) -> Column:
+    """An introduction without its background: its first and last paragraph."""
+    ps = F.filter(F.transform(F.split(block, r"\n\s*\n"), F.trim), lambda p: p != "")
+    short = lambda p: F.substring(p, 1, most)
+    cut = F.concat_ws("\n\n", short(F.element_at(ps, 1)), F.lit("[...]"), short(F.element_at(ps, -1)))
+    intro = F.lower(F.substring_index(block, "\n", 1)).rlike(r"^#+\s*(?:1\.?\s*)?introduction\b")
+    return F.when(intro & (F.size(ps) > 1), cut).otherwise(block)
+
+
+def for_items(blocks: DataFrame, items: tuple[str, ...]) -> DataFrame:
+    """blocks (doc, pos, block) with `priority`: 0 for what the items need, 1
+    for the rest; for within_budget()."""
+    wanted = [n for n, begins in NEEDS.items() if any(i.startswith(begins) for i in items)]
+    topic = block_topic(F.col("block"), F.col("pos"))
+    return blocks.withColumn("priority", F.when(F.coalesce(topic.isin(*wanted), F.lit(False)), 0).otherwise(1)).withColumn("block", objective_only(F.col("block")))

@@ -120,3 +120,42 @@ def model_text(parameters: DataFrame, key: str, symbol: str, value: str, order:
         F.when(F.col("v3") > 0, F.lit("  Distribution2: A_Central -> A_Peripheral2; (Q2 / Central) * A_Central - (Q2 / Peripheral2) * A_Peripheral2;")),
     )
     return out.select(key, F.concat_ws("\n", F.lit("model pk_model()"), "_lines", flows, F.lit("end")).alias("text"))
+
+
+def solver_text(parameters: DataFrame, key: str, symbol: str, name: str, value: str, unit: str, group: str, order: str) -> DataFrame:
+    """(key, text): a model for an R solver of compartment models, parameters
+    by group (null is Physiological), then compartments and equations.
+
+    A symbol that comes twice in a group gets _2; an unknown value is 0.0.
+    """
+    from ..functions.text import symbol_form
+
+    x = parameters.withColumns({"_g": F.coalesce(F.nullif(group, F.lit("")), F.lit("Physiological")), "_s": symbol_form(F.coalesce(F.nullif(symbol, F.lit("")), F.col(name)))})
+    w = Window.partitionBy(key, "_g", "_s").orderBy(order)
+    x = x.withColumn("_k", F.row_number().over(w)).withColumn("_s", F.when(F.col("_k") > 1, F.concat("_s", F.lit("_2"))).otherwise(F.col("_s")))
+    note = F.concat(F.coalesce(name, F.lit("")), F.when(F.coalesce(unit, F.lit("")) != "", F.concat(F.lit(" ["), unit, F.lit("]"))).otherwise(""))
+    line = F.format_string("%s = %s, // %s", "_s", F.coalesce(F.col(value), F.lit(0.0)).cast("string"), note)
+    listed = lambda c: F.array_join(F.transform(F.array_sort(c), lambda p: p["l"]), "\n")
+    # Physiological comes first, then compounds by name.
+    per = x.groupBy(key, "_g").agg(listed(F.collect_list(F.struct(F.col(order).alias("o"), line.alias("l")))).alias("b"))
+    block = F.struct((F.col("_g") != "Physiological").alias("o"), F.col("_g").alias("g"), F.concat(F.lit("// "), "_g", F.lit("\n"), "b").alias("l"))
+    return per.groupBy(key).agg(listed(F.collect_list(block)).alias("_p")).select(key, F.concat_ws("\n", F.lit("$PARAM"), "_p", F.lit("$CMT DEPOT CENTRAL"), F.lit("$ODE"), F.lit("dxdt_DEPOT = -KA * DEPOT;"), F.lit("dxdt_CENTRAL = KA * DEPOT - CL / V1 * CENTRAL;"), F.lit("$TABLE capture CP = CENTRAL / V1;")).alias("text"))
+
+
+def replicate(parameters: DataFrame, dosing: DataFrame, observed: DataFrame, key: str, compound: str | None = None, hours: float = 24.0, points: int = 500) -> tuple[DataFrame, DataFrame]:
+    """A model's simulation and its fit: scope, roles, simulation, alignment
+    with what was observed, measures.
+
+    parameters: key, compound, symbol, value, ord; dosing: key, dose; observed:
+    key, time, concentration.  The concentration is the central amount by v1.
+    """
+    x = parameters
+    if compound is not None:
+        c = F.lower(F.coalesce("compound", F.lit("")))
+        x = x.filter(c.isin("", "physiological", compound.lower()))
+    models = roles(x, key, "symbol", "value", "ord").join(dosing.groupBy(key).agg(F.first("dose").alias("dose")), key, "left")
+    models = models.withColumn("dose", F.coalesce("dose", F.lit(100.0)))
+    curve = simulate(models, key, hours, points).join(models.select(key, F.coalesce("v1", F.lit(1.0)).alias("_v")), key).withColumn("concentration", F.col("central") / F.col("_v")).drop("_v")
+    met = interpolate(curve.select(key, "time", "concentration"), observed.select(key, "time"), key, "time", "concentration")
+    pairs = met.join(observed.withColumnRenamed("concentration", "observed"), [key, "time"])
+    return curve, fit_measures(pairs, key, "concentration", "observed")

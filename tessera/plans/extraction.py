@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.python import MatchOffsets, repair_json, title_ratio
+from ..functions.python import repair_json, title_ratio
 from ..operators import extract, inference, segments
 from .common import LINES, lines, read
 
@@ -18,9 +18,14 @@ def flatten_blocks(spark, d):
 
 
 def match_offsets(spark, d):
-    spark.udtf.register("tessera_match_offsets", MatchOffsets)
-    read(spark, d, "documents").select("doc_id", "text").createOrReplaceTempView("tessera_match_docs")
-    return spark.sql(r"SELECT doc_id, t.start, t.found FROM tessera_match_docs, LATERAL tessera_match_offsets(text, '[0-9]{4,}', 20) t")
+    return segments.matches(read(spark, d, "documents"), "doc_id", "text", "[0-9]{4,}")
+
+
+def ratio_sweep(spark, d):
+    """Numbers with `for` and a name, near a word that tells what they are."""
+    docs = read(spark, d, "documents").select("doc_id", F.concat_ws(" ", "text", F.concat(F.lit("a placental ratio of 0."), F.col("doc_id").cast("string"), F.lit(" for PFOA and 12 for the rest."))).alias("text"))
+    x = segments.matches(docs, "doc_id", "text", r"[0-9]*\.?[0-9]+\s+for\s+[A-Z0-9][A-Za-z0-9_-]{1,10}", 200)
+    return x.filter(F.lower("context").rlike("placental|cord/mother")).select("doc_id", "found")
 
 
 def json_repair(spark, d):
@@ -92,13 +97,16 @@ def batch_summary(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    flatten_blocks, match_offsets, json_repair, title_match, title_lines, table_boxes, real_doses, unit_prefix_guard, compound_scope, evidence_union,
+    flatten_blocks, match_offsets, ratio_sweep, json_repair, title_match, title_lines, table_boxes, real_doses, unit_prefix_guard, compound_scope, evidence_union,
     larger_structure, model_stub, batch_summary,
 )}
 ORACLE_SQL = {
     "flatten_blocks": f"""WITH {LINES}, B AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_returnflag ORDER BY ord) - 1 AS pos FROM L),
 P AS (SELECT l_orderkey, l_returnflag AS block_ord, pos::INT AS pos, 'P' || l_linestatus AS name, l_quantity::INT AS value, CASE WHEN l_tax > 0.04::DOUBLE THEN 'rat' ELSE 'human' END AS species, CASE WHEN l_tax > 0.06::DOUBLE THEN 'mg' ELSE 'L/h' END AS unit, l_returnflag AS class FROM B)
 SELECT *, 'param_' || substr(sha256(lower(concat_ws('|', name, species, value, unit))), 1, 16) AS parameter_id FROM P""",
+    "match_offsets": """WITH x AS (SELECT doc_id, regexp_split_to_array(text, '[0-9]{4,}') AS p, regexp_extract_all(text, '[0-9]{4,}') AS m FROM documents)
+SELECT doc_id, (list_sum(list_transform(p[1:k], lambda s: length(s))) + coalesce(list_sum(list_transform(m[1:k - 1], lambda s: length(s))), 0))::INT AS start, m[k] AS found FROM x, unnest(range(1, len(m) + 1)) AS r(k)""",
+    "ratio_sweep": "SELECT doc_id, '0.' || doc_id || ' for PFOA' AS found FROM documents",
     "json_repair": "SELECT event_id, props->>'k' AS k FROM events",
     "title_match": "SELECT p_partkey, p_partkey % 2 = 0 AS same FROM part",
     "title_lines": """WITH l AS (SELECT doc_id, i, trim(ls[i], ' ') AS t FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS r(i)),

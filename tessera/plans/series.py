@@ -34,7 +34,8 @@ def compartment_sim(spark, d):
     s = read(spark, d, "supplier").select("s_suppkey", F.pmod("s_suppkey", F.lit(7)).alias("m"))
     x = s.select("s_suppkey", F.explode(F.array(*(F.struct(F.lit(n).alias("sym"), (F.lit(v) * (1 + F.col("m"))).alias("val"), F.lit(i).alias("o")) for i, (n, v) in enumerate((("Vc", 10.0), ("Vp", 20.0), ("CL", 2.0), ("Q", 3.0), ("ka", 0.5))))))).select("s_suppkey", F.col("col.sym").alias("sym"), F.col("col.val").alias("val"), F.col("col.o").alias("o"))
     models = series.roles(x, "s_suppkey", "sym", "val", "o").withColumn("dose", F.lit(100.0))
-    return series.simulate(models, "s_suppkey", 24.0, 25)
+    x = series.simulate(models, "s_suppkey", 24.0, 25)
+    return x.select("s_suppkey", F.round("time", 4).alias("time"), *(F.abs(F.round(c, 4)).alias(c) for c in ("central", "peripheral", "depot")))
 
 
 def maxsim_topk(spark, d):
@@ -64,6 +65,11 @@ ORACLE_SQL = {
     "interp_asof": f"WITH {_INTERP} SELECT user_id, round(t, 4) AS t, round(y, 3) AS y FROM I",
     "fit_metrics": f"""WITH {_INTERP}, J AS (SELECT *, avg(observed) OVER (PARTITION BY user_id) AS m FROM I)
 SELECT user_id, count(*) AS n, round(sqrt(avg((observed - y) ** 2)), 3) AS rmse, CASE WHEN 1 - sum((observed - y) ** 2) / (sum((observed - m) ** 2) + 1e-10) > 0.85 THEN 'PASS' ELSE 'FAIL' END AS verdict FROM J GROUP BY user_id""",
+    # The exponentials of two compartments and a depot: rates 0.2 out, 0.3 to
+    # and 0.15 from the second one, a and b the roots of the two.
+    "compartment_sim": """WITH m AS (SELECT s_suppkey, 0.5::DOUBLE * (1 + s_suppkey % 7) AS ka, (0.65::DOUBLE + sqrt(0.65::DOUBLE ** 2 - 4 * 0.03::DOUBLE)) / 2 AS a, (0.65::DOUBLE - sqrt(0.65::DOUBLE ** 2 - 4 * 0.03::DOUBLE)) / 2 AS b FROM supplier),
+e AS (SELECT *, t::DOUBLE AS time, exp(-a * t) / ((ka - a) * (b - a)) AS ea, exp(-b * t) / ((ka - b) * (a - b)) AS eb, exp(-ka * t) / ((a - ka) * (b - ka)) AS ek FROM m, unnest(range(0, 25)) AS r(t))
+SELECT s_suppkey, time, abs(round(100 * ka * ((0.15::DOUBLE - a) * ea + (0.15::DOUBLE - b) * eb + (0.15::DOUBLE - ka) * ek), 4)) AS central, abs(round(100 * ka * 0.3::DOUBLE * (ea + eb + ek), 4)) AS peripheral, round(100 * exp(-ka * time), 4) AS depot FROM e""",
     "maxsim_topk": f"WITH Q AS (SELECT vec_id, vec_id // 20 % 4 AS query, embedding FROM embeddings WHERE vec_id % 20 = 0), {_SIM.format(page='label')} SELECT query, page, rank, round(score, 4) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, page) AS rank FROM M) WHERE rank <= 3",
     "cutoff_topk": f"""WITH Q AS (SELECT vec_id, 0 AS query, embedding FROM embeddings WHERE vec_id % 20 = 0), {_SIM.format(page='vec_id')},
 R AS (SELECT page, score, row_number() OVER (ORDER BY score DESC, page) AS rank, max(score) OVER () AS m FROM M)

@@ -146,6 +146,10 @@ SELECT doc_id, tier1, tier2, s >= 1 OR tier2 >= 3 AS kept FROM x""",
     "table_gate_route": f"""WITH x AS (SELECT doc_id, text AS c, lower(text || ' ' || text) AS b, {[t.replace(chr(9), ' ') for t in TITLES]}[doc_id % {len(TITLES)} + 1] || ' ' || text AS t FROM documents)
 SELECT doc_id, NOT regexp_matches(c, '(?i)' || '{_sql(classify.OUTCOME_TABLE.removeprefix("(?i)"))}') AND contains(b, 'the')::INT + contains(b, 'and')::INT + contains(b, 'der')::INT + contains(b, 'que')::INT + contains(b, 'les')::INT + contains(b, 'ten')::INT >= 2 AS is_input,
   CASE WHEN regexp_matches(t, '(?i)sensitivity\\s+coefficient|normalized\\s+sensitivity|morris|efast') THEN 'sensitivity_analysis' WHEN regexp_matches(t, '(?i)point\\s+of\\s+departure|pod\\s*hed|exposure\\s+estimate|daily\\s+intake') THEN 'simulated_data' ELSE 'model_parameters' END AS role FROM x""",
+    "block_budget": """WITH RECURSIVE l AS (SELECT doc_id, i AS pos, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS r(i) WHERE ls[i] <> ''),
+b AS MATERIALIZED (SELECT doc_id, length(line) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN regexp_matches(line, '[0-9|]') THEN 0 ELSE 1 END, pos) AS i FROM l),
+g AS (SELECT doc_id, 0::BIGINT AS i, 0::BIGINT AS used, 0::BIGINT AS took FROM (SELECT DISTINCT doc_id FROM b) UNION ALL SELECT g.doc_id, b.i, CASE WHEN used + n <= 600 THEN used + n ELSE used END, CASE WHEN used + n <= 600 THEN took + 1 ELSE took END FROM g JOIN b ON b.doc_id = g.doc_id AND b.i = g.i + 1)
+SELECT doc_id, max(took) AS n, max(used) AS used FROM g GROUP BY doc_id HAVING max(took) > 0""",
     "number_parsing": """WITH x AS (SELECT p_partkey, p_partkey % 6 AS k, p_size, p_retailprice AS p, printf('%.2f', p_retailprice) AS pt FROM part)
 SELECT p_partkey, CASE k WHEN 0 THEN pt::DOUBLE WHEN 1 THEN p_size::DOUBLE WHEN 2 THEN pt::DOUBLE WHEN 3 THEN p_size::DOUBLE WHEN 4 THEN p_size::DOUBLE END AS value,
   CASE k WHEN 1 THEN 'a' WHEN 4 THEN 'd' END AS mark, CASE k WHEN 2 THEN p_size || ', 99.5' WHEN 3 THEN p_size || ' - 70 (gestation)' END AS spread,
@@ -155,7 +159,7 @@ SELECT p_partkey, CASE k WHEN 0 THEN pt::DOUBLE WHEN 1 THEN p_size::DOUBLE WHEN
     "entity_detect": r"""WITH x AS (SELECT doc_id, translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS t FROM documents),
 n AS (SELECT doc_id, regexp_split_to_array(t, '[^\pL\pN_]+') AS ws FROM x)
 SELECT doc_id, CASE WHEN list_contains(ws, 'THE') THEN 'rat' WHEN list_has_any(ws, ['DER', 'DIE']) THEN 'mouse' WHEN list_contains(ws, 'QUE') THEN 'human' ELSE 'human' END AS species,
-  array_to_string(list_sort(list_distinct(list_filter(ws, lambda a: regexp_full_match(a, '[A-Z]{3,6}') AND a NOT IN ('THE', 'AND', 'DER', 'DIE', 'QUE', 'LES')))), ',') AS names FROM n""",
+  array_to_string(list_sort(list_distinct(list_filter(ws, lambda a: regexp_full_match(a, '[A-Z]{3,8}') AND a NOT IN ('THE', 'AND', 'DER', 'DIE', 'QUE', 'LES')))), ',') AS names FROM n""",
     "doi_like_extract": r"""WITH x AS (SELECT page_id, regexp_extract(url, '/(\d+)(?:[/.?#]|$)', 1) AS n FROM pages) SELECT page_id, CASE WHEN n <> '' THEN '10.1016/j.tox.' || n END AS doi FROM x""",
     "html_metadata": """SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<html lang="([a-z]+)"', 1) AS lang, len(regexp_extract_all(html, '<h1>')) AS n_h1, len(regexp_extract_all(html, '<p>')) AS n_p FROM pages""",
     "html_link_filter": """WITH x AS (SELECT DISTINCT page_id, unnest(regexp_extract_all(html, 'href="/([a-z]+)"', 1)) AS link FROM pages) SELECT link, count(*) AS n_pages, min(page_id) AS first_page FROM x WHERE length(link) > 3 GROUP BY link""",

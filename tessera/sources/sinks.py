@@ -7,8 +7,12 @@ from pyspark.sql import functions as F
 
 
 def write_documents(docs: DataFrame, path: str, key: str) -> None:
-    """JSON lines, the rows of a key in one file, many keys a file."""
-    docs.repartition(key).write.mode("overwrite").json(path)
+    """JSON lines, many documents a file.  Documents that are one row each
+    are written by the tasks that made them; only where a key has several rows
+    are they brought together."""
+    several = docs.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
+    out = docs if several.isEmpty() else docs.repartition(key)
+    out.write.mode("overwrite").json(path)
 
 
 def write_quoted_csv(df: DataFrame, path: str) -> None:
@@ -22,3 +26,23 @@ def markdown_table(df: DataFrame, columns: list[str], order: list[str | Column])
     rows = df.select(F.struct(*order, cells.alias("line")).alias("r")).agg(F.array_sort(F.collect_list("r")).alias("rs"))
     head = ["| " + " | ".join(columns) + " |", "|" + " --- |" * len(columns)]
     return rows.select(F.concat_ws("\n", *map(F.lit, head), F.array_join(F.transform("rs", lambda r: r["line"]), "\n")).alias("text"))
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """A report, one row, as one JSON file; its fields in their order, nulls
+    included."""
+    report.limit(1).coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+
+
+def write_curve(curve: DataFrame, path: str, key: str) -> None:
+    """Simulated curves as CSV with a header, a folder a model."""
+    curve.write.mode("overwrite").option("header", "true").partitionBy(key).csv(path)
+
+
+def parameter_table(parameters: DataFrame) -> DataFrame:
+    """The columns that a reader of parameters looks at."""
+    some = lambda *cs: F.coalesce(*(F.nullif(F.col(c), F.lit("")) for c in cs))
+    return parameters.select(
+        some("symbol", "symbol_standardized").alias("Symbol"), some("name_standardized", "name").alias("Name"), F.col("class").alias("Class"), F.col("value").alias("Value"), some("unit", "unit_original").alias("Unit"),
+        some("species", "subject_species").alias("Species"), F.col("compound").alias("Compound"), F.col("life_stage").alias("Life Stage"), some("source_location", "source_table").alias("Source"), F.col("status").alias("Status"),
+    )
