@@ -95,10 +95,11 @@ def parsed(df: DataFrame, kind: str, out: str = "answer") -> DataFrame:
     from ..functions.text import without_fences
 
     text = without_fences(F.col(f"{out}.json"))
-    # from_json makes a struct of nulls of what is no JSON.
-    plain = F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, kind))
+    # from_json makes nulls of what is no JSON, or a list for an object.
+    opens = "[" if kind.startswith("array") else "{"
+    plain = F.when(F.try_parse_json(text).isNotNull() & F.startswith(text, F.lit(opens)), F.from_json(text, kind))
     df = df.withColumn("_whole", F.when(F.col(f"{out}.ok") & plain.isNull(), repair_json(text)))
-    got = F.coalesce(plain, F.from_json("_whole", kind))
+    got = F.coalesce(plain, F.when(F.startswith("_whole", F.lit(opens)), F.from_json("_whole", kind)))
     problem = F.when(~F.col(f"{out}.ok"), F.col(f"{out}.error")).when(F.col("parsed").isNull(), F.lit("- Error: the answer is no JSON of the schema"))
     return df.withColumn("parsed", F.when(F.col(f"{out}.ok"), got)).withColumn("problem", problem).drop("_whole")
 
