@@ -189,8 +189,9 @@ def ordered(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text"
     return order(rules, verdicts, {x: sum(r[x] for r in rows) / total for x in names})
 
 
-def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, measure: tuple[str, ...] = (), text: str = "text") -> DataFrame:
-    """docs with a column for each statistic in `measure` and with `kept`.
+def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, measure: tuple[str, ...] = (), text: str = "text", out: str = "kept") -> DataFrame:
+    """docs with a column for each statistic in `measure` and with the verdict
+    in `out`.
 
     A null text is an empty one; few_words rejects it.  Equal rows get equal
     verdicts, as do texts at a limit whatever the order; an empty table gives
@@ -198,9 +199,9 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, measure: tuple[str,
     The cascade comes first: what is measured besides is computed for the rows
     that it has not been computed for.
     """
-    docs = docs.drop(*measure, "kept")
+    docs = docs.drop(*measure, out)
     rules = ordered(docs, rules, text)
-    schema = docs.select("*", *(F.lit(0).cast("long").alias(m) for m in measure), F.lit(True).alias("kept")).schema
+    schema = docs.select("*", *(F.lit(0).cast("long").alias(m) for m in measure), F.lit(True).alias(out)).schema
     at, names = docs.columns.index(text), schema.names
 
     def run(batches):

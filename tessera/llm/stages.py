@@ -27,7 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     A null or empty text is rejected; repeated rows are judged each for
     itself; an empty table stays empty; columns of docs may have any names.
     """
-    return judge(docs).filter("kept").select(*docs.columns)
+    kept = "kept" + "_" * max(map(len, docs.columns))  # a name that docs has not
+    return judge(docs, out=kept).filter(F.col(kept)).drop(kept)
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
