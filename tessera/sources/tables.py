@@ -2,82 +2,119 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.functions import udtf
 
+#: The most columns and rows that a span may take in HTML.
+MOST = {"colspan": 1000, "rowspan": 65534}
 
-class _Grid(HTMLParser):
-    """Places cells in order; a place that a span from above holds is full."""
 
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.cells: list[tuple[int, int, int, bool, str]] = []
-        self.table = self.row = -1
-        self.taken: set[tuple[int, int]] = set()
-        self.open: dict | None = None
-        self.head = False
+class _Table:
+    """Cells of one table, row by row.  A span from above fills its places as
+    the rows come, so it never reaches beyond the last one."""
 
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag == "table":
-            self.close_cell()
-            self.table, self.row, self.taken = self.table + 1, -1, set()
-        elif tag == "thead":
-            self.head = True
-        elif tag == "tr" and self.table >= 0:
-            self.close_cell()
-            self.row += 1
-        elif tag in ("td", "th") and self.row >= 0:
-            self.close_cell()
-            size = {k: int(v) if (v or "").isdigit() and int(v) > 0 else 1 for k, v in attrs if k in ("rowspan", "colspan")}
-            self.open = {"h": tag == "th" or self.head, "r": size.get("rowspan", 1), "c": size.get("colspan", 1), "t": []}
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag in ("td", "th", "tr", "table"):
-            self.close_cell()
-        elif tag == "thead":
-            self.close_cell()
-            self.head = False
+    def __init__(self, number: int) -> None:
+        self.number, self.row, self.head = number, -1, False
+        self.full: set[int] = set()
+        self.spans: dict[int, list] = {}  # column -> rows left, header, text
+        self.open: dict | None = None
 
-    def handle_data(self, data: str) -> None:
-        if self.open:
-            self.open["t"].append(data)
+    def next_row(self, out: list[tuple]) -> None:
+        self.row += 1
+        self.full = set(self.spans)
+        for c, span in sorted(self.spans.items()):
+            out.append((self.number, self.row, c, span[1], span[2]))
+            span[0] -= 1
+        self.spans = {c: s for c, s in self.spans.items() if s[0]}
 
-    def close_cell(self) -> None:
+    def close_cell(self, out: list[tuple]) -> None:
         cell, self.open = self.open, None
         if not cell:
             return
         at = 0
-        while (self.row, at) in self.taken:
+        while at in self.full:
             at += 1
         text = " ".join("".join(cell["t"]).split())
-        # Spans are cut to what a table can hold in earnest.
-        for i in range(min(cell["r"], 1000)):
-            for j in range(min(cell["c"], 1000)):
-                self.taken.add((self.row + i, at + j))
-                self.cells.append((self.table, self.row + i, at + j, cell["h"], text))
+        for c in range(at, at + cell["colspan"]):
+            self.full.add(c)
+            out.append((self.number, self.row, c, cell["h"], text))
+            if cell["rowspan"] > 1:
+                self.spans[c] = [cell["rowspan"] - 1, cell["h"], text]
+
+
+def _span(attrs: list, name: str) -> int:
+    value = dict(attrs).get(name) or ""
+    n = int(value) if value.isdigit() else 1
+    return MOST[name] if name == "rowspan" and not n else min(max(1, n), MOST[name])
 
 
-@udtf(returnType="table_ord int, r int, c int, is_header boolean, text string")
-class TableCells:
-    """One row for each place of each table's grid."""
+class _Grid(HTMLParser):
+    """All tables of a page, tables within tables included."""
+
+    def __init__(self) -> None:
+        super().__init__(convert_charrefs=True)
+        self.cells: list[tuple[int, int, int, bool, str]] = []
+        self.stack: list[_Table] = []
+        self.seen = 0
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "table":
+            self.stack.append(_Table(self.seen))
+            self.seen += 1
+        elif self.stack:
+            t = self.stack[-1]
+            if tag == "thead":
+                t.head = True
+            elif tag == "tr":
+                t.close_cell(self.cells)
+                t.next_row(self.cells)
+            elif tag in ("td", "th") and t.row >= 0:
+                t.close_cell(self.cells)
+                t.open = {"h": tag == "th" or t.head, "t": [], **{k: _span(attrs, k) for k in MOST}}
+
+    def handle_endtag(self, tag: str) -> None:
+        if self.stack and tag in ("td", "th", "tr", "table", "thead"):
+            t = self.stack[-1]
+            t.close_cell(self.cells)
+            if tag == "thead":
+                t.head = False
+            elif tag == "table":
+                self.stack.pop()
+
+    def handle_data(self, data: str) -> None:
+        if self.stack and self.stack[-1].open:
+            self.stack[-1].open["t"].append(data)
 
-    def eval(self, markup: str) -> Iterator[tuple]:
-        grid = _Grid()
-        grid.feed(markup or "")
-        grid.close_cell()
-        yield from grid.cells
+    def end(self) -> list[tuple]:
+        self.close()
+        for t in self.stack:
+            t.close_cell(self.cells)
+        return self.cells
 
 
 def cells(pages: DataFrame, key: str, markup: str) -> DataFrame:
-    """(key, table_ord, r, c, is_header, text) of all tables of all pages."""
-    spark = pages.sparkSession
-    spark.udtf.register("tessera_table_cells", TableCells)
-    pages.select(key, F.col(markup).alias("_m")).createOrReplaceTempView("tessera_pages")
-    return spark.sql(f"SELECT p.{key}, t.* FROM tessera_pages p, LATERAL tessera_table_cells(p._m) t")
+    """(key, table_ord, r, c, is_header, text) of all tables of all pages: a
+    row for each place of a grid, spans filled."""
+    kind = pages.schema[key].dataType.simpleString()
+    types = [pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.string()]
+    names = ["table_ord", "r", "c", "is_header", "text"]
+
+    def run(batches):
+        for b in batches:
+            at, rows = [], []
+            for i, page in enumerate(b.column(1).to_pylist()):
+                grid = _Grid()
+                grid.feed(page or "")
+                found = grid.end()
+                at += [i] * len(found)
+                rows += found
+            cols = list(zip(*rows, strict=True)) or [()] * len(types)
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at, pa.int64())), *(pa.array(c, t) for c, t in zip(cols, types, strict=True))], [key, *names])
+
+    return pages.select(key, markup).mapInArrow(run, f"{key} {kind}, table_ord int, r int, c int, is_header boolean, text string")
 
 
 def header_paths(grid: DataFrame, key: list[str]) -> DataFrame:

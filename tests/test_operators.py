@@ -274,6 +274,17 @@ def test_grid_with_spans_gives_one_record(spark):
     assert tables.markdown(tables.cells(spark.createDataFrame([(1, t)], "k long, m string"), "k", "m"), ["k", "table_ord"]).first().text.startswith("| Species |")
 
 
+def test_spans_fill_their_places_and_end_with_the_table(spark):
+    t = "<table><tr><td rowspan=9 colspan=2>a</td><td>b</td></tr><tr><td>c<table><tr><td>in</td></tr></table></td></tr></table><table><tr><td rowspan=0>x</td></tr><tr><td>y</td></tr></table>"
+    wide = "<table><tr><th colspan=5000>h</th></tr></table>"
+    df = spark.createDataFrame([(1, t), (2, wide), (3, "<td>no table</td>")], "k long, m string")
+    got = {}
+    for r in tables.cells(df, "k", "m").collect():
+        got.setdefault((r.k, r.table_ord), []).append((r.r, r.c, r.text))
+    assert sorted(got[1, 0]) == [(0, 0, "a"), (0, 1, "a"), (0, 2, "b"), (1, 0, "a"), (1, 1, "a"), (1, 2, "c")] and got[1, 1] == [(0, 0, "in")]
+    assert sorted(got[1, 2]) == [(0, 0, "x"), (1, 0, "x"), (1, 1, "y")] and len(got[2, 0]) == 1000 and (3, 0) not in got
+
+
 def test_budget_and_sentences(spark):
     b = spark.createDataFrame([(1, 0, 0, "aaaa"), (1, 1, 0, "bbbbbbbb"), (1, 2, 0, "cc")], "d long, pos int, priority int, block string")
     assert {r.pos for r in segments.within_budget(b, "d", 7).collect()} == {0, 2}
