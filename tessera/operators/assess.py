@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numbers import gated_double
+
 #: The items' identifiers.
 ITEMS = tuple(
     "TAN_1.1 TAN_1.2 TAN_1.3 TAN_2.1.1 TAN_2.1.2 TAN_2.1.3 TAN_2.3.1 TAN_2.2.1 TAN_2.4.1 TAN_2.4.2A TAN_2.4.2B TAN_2.4.2C TAN_2.4.3.1 TAN_2.4.3.2 "
@@ -15,6 +17,31 @@ ITEMS = tuple(
 SELF, NONE = "TAN_1.3", "i_cannot_answer"
 
 
+#: Spellings of answers.
+SPELLINGS = {
+    "yes": "yes", "partially": "partially", "no": "no", "not_applicable": "not_applicable", "not applicable": "not_applicable", "n/a": "not_applicable",
+    "i_cannot_answer": NONE, "cannot_answer": NONE, "i cannot answer": NONE,
+}
+
+
+def response_form(c: Column) -> Column:
+    """An answer in one spelling; what is none is NONE."""
+    names = F.create_map(*(F.lit(v) for pair in SPELLINGS.items() for v in pair))
+    return F.coalesce(F.try_element_at(names, F.lower(F.trim(c))), F.lit(NONE))
+
+
+def page_number(c: Column) -> Column:
+    """A positive whole number of a text like `3` or `3.0`, else null."""
+    n = gated_double(F.trim(c)).cast("int")
+    return F.when(n > 0, n)
+
+
+def stated(c: Column) -> Column:
+    """A quote or place, trimmed; null where it only says that there is none."""
+    t = F.trim(c)
+    return F.when(~F.lower(t).isin("", "n/a", "none"), t)
+
+
 def questionnaire(docs: DataFrame, answers: DataFrame, doc: str, items: tuple[str, ...] = ITEMS) -> DataFrame:
     """(doc, item_id, response, confidence): all items of all documents.
 
@@ -25,12 +52,11 @@ def questionnaire(docs: DataFrame, answers: DataFrame, doc: str, items: tuple[st
     """
     spark = docs.sparkSession
     table = F.broadcast(spark.createDataFrame([(i, n) for n, i in enumerate(items)], "item_id string, item_ord int"))
-    some = lambda c: F.coalesce(F.trim(c) != "", F.lit(False))
+    some = lambda c: stated(F.col(c)).isNotNull()
     grid = docs.select(doc).distinct().join(table)  # each document by the fixed items
     out = grid.join(answers, [doc, "item_id"], "left")
-    quote, place = some(F.col("quote")), some(F.col("location"))
-    asked = F.lower(F.trim(F.coalesce("response", F.lit(NONE))))
-    asked = F.when(asked.isin("yes", "y", "true"), "yes").when(asked.isin("no", "n", "false"), "no").otherwise(NONE)
+    quote, place = some("quote"), some("location")
+    asked = response_form(F.col("response"))
     gated = F.when(F.col("item_id") == SELF, "yes").when((asked == "yes") & ~quote & ~place, NONE).otherwise(asked)
     sure = F.when(quote & place, "high").when(quote | place, "medium").otherwise("low")
     return out.select(doc, "item_id", "item_ord", gated.alias("response"), F.when(gated == NONE, "low").otherwise(sure).alias("confidence"))

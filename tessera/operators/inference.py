@@ -163,3 +163,27 @@ def link(df: DataFrame, names: DataFrame, column: str) -> DataFrame:
 def relevant(scores: DataFrame, text: str, score: str = "score", least: float = 0.25, short: int = 50) -> DataFrame:
     """Rows that a learned filter's score keeps; short texts stay unasked."""
     return scores.filter((F.length(F.coalesce(text, F.lit(""))) < short) | (F.col(score) >= least))
+
+
+#: What a template says where an answer should stand.
+ECHOES = {"name": ("parameter name", "parameter_name"), "compound": ("chemical compound", "compound", "null", "none"), "species": ("species", "null", "none"), "symbol": ("parameter symbol", "symbol", "null", "none")}
+RECORD = "array<struct<name: string, parameter_name: string, symbol: string, value: double, start_value: double, end_value: double, unit: string, compound: string, species: string, ci_low: double, ci_high: double>>"
+
+
+def template_records(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, pos, name, symbol, value, start_value, end_value, unit, compound,
+    species, ci_low, ci_high) of answers that fill a template.
+
+    The list stands under parameters or model_parameters.  A range without a
+    value has its middle; what has no value, or a name that is the template's
+    own, is left out; other echoes of the template are nothing; species is
+    human and the unit dimensionless where none is given.
+    """
+    body = F.regexp_extract(F.col(text), r"(?s)\{.*\}", 0)
+    listed = F.coalesce(*(F.from_json(F.get_json_object(body, f"$.{k}"), RECORD) for k in ("parameters", "model_parameters")))
+    x = df.select(key, F.posexplode(listed).alias("pos", "r")).select(key, "pos", "r.*")
+    own = lambda c: F.when(~F.lower(c).isin(*ECHOES[c]), F.col(c))
+    name = F.coalesce(F.nullif("name", F.lit("")), "parameter_name", F.lit(""))
+    value = F.coalesce("value", (F.col("start_value") + F.col("end_value")) / 2)
+    x = x.withColumns({"name": name, "value": value}).filter("value IS NOT NULL").filter(~F.exists(F.array(*map(F.lit, ECHOES["name"])), lambda w: F.contains(F.lower("name"), w)))
+    return x.select(key, "pos", "name", own("symbol").alias("symbol"), "value", "start_value", "end_value", F.coalesce(F.nullif("unit", F.lit("")), F.lit("dimensionless")).alias("unit"), own("compound").alias("compound"), F.coalesce(own("species"), F.lit("human")).alias("species"), "ci_low", "ci_high")

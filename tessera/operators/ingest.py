@@ -109,3 +109,18 @@ def ranked_methods(scores: DataFrame, method: str, weights: dict[str, float]) ->
     total = sum((F.lit(w) * F.col(c) for c, w in weights.items()), F.lit(0.0))
     w = Window.orderBy(F.desc("composite"), method)  # a row a method
     return scores.withColumn("composite", total).withColumn("rank", F.row_number().over(w))
+
+
+def front_matter(lines: DataFrame, key: str, most: int = 45) -> DataFrame:
+    """(key, title, doi, journal) of a paper's first lines of Markdown: the
+    first heading that is no page mark, the first line with a DOI's address,
+    the first that names a journal."""
+    t = F.trim("line")
+    low = F.lower(t)
+    title = t.startswith("# ") & ~F.contains(low, F.lit("page "))
+    journal = F.contains(low, F.lit("journal")) | F.contains(low, F.lit("toxicological sciences")) | F.contains(low, F.lit("environment"))
+    strip = lambda c, chars: F.regexp_replace(c, rf"^[{chars}]+|[{chars}]+$", "")
+    pick = lambda value, hit: F.min_by(F.when(hit, value), F.when(hit, F.col("pos")))
+    return lines.filter(F.col("pos") < most).groupBy(key).agg(
+        pick(F.regexp_replace(F.regexp_replace(t, r"^[#* ]+", ""), r"[* ]+$", ""), title).alias("title"), pick(t, F.contains(t, F.lit("doi.org"))).alias("doi"), pick(strip(t, "*_ "), journal).alias("journal"),
+    )

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import stable_id
+
 
 def keep_first(df: DataFrame, key: list[Column | str], order: list[Column | str]) -> DataFrame:
     """The first row, in order, of each key."""
@@ -128,3 +130,55 @@ def resolve(available: DataFrame, key: str, source: str, priority: list[str]) ->
 def first_known(df: DataFrame, key: str, order: str, columns: list[str]) -> DataFrame:
     """Of each key and column the first value, in order, that is not null."""
     return df.groupBy(key).agg(*(F.min_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in columns))
+
+
+#: Fields that a critic may correct, by their paths, and the
+#: flat columns that they are; other names that critics use for them.
+CORRECTABLE = {
+    "context.compound": "compound", "context.species": "species", "context.population": "population", "context.life_stage": "life_stage", "context.organ": "organ",
+    "parameter_name_original": "name", "parameter_name_standardized": "name_standardized", "symbol_original": "symbol", "quantitative_data.value": "value", "quantitative_data.value_text": "value_text",
+    "quantitative_data.unit_original": "unit", "quantitative_data.unit_standardized": "unit_standardized", "quantitative_data.uncertainty.lower": "low", "quantitative_data.uncertainty.upper": "high",
+    "provenance.source_table": "source_table", "provenance.row_id": "row_id", "provenance.column_id": "column_id", "provenance.cell_id": "cell_id", "provenance.source_quote": "quote", "provenance.status": "status",
+}
+OTHER_NAMES = {
+    "unit": "quantitative_data.unit_original", "unit_original": "quantitative_data.unit_original", "unit_standardized": "quantitative_data.unit_standardized", "value": "quantitative_data.value",
+    "value_text": "quantitative_data.value_text", "compound": "context.compound", "species": "context.species", "organ": "context.organ", "parameter_name": "parameter_name_original", "symbol": "symbol_original",
+}
+
+
+def corrected(df: DataFrame, verdicts: DataFrame, key: list[str]) -> DataFrame:
+    """df after a critic: verdicts (key, verdict, fields map<string,string>).
+
+    reject drops a row; fix sets the fields that may be corrected, under their
+    paths or other names, a null among them included; `needs_review` and
+    `llm_corrected` mark what was.  A fix with a number that is none leaves
+    its row as it is.
+    """
+    from ..functions.numbers import gated_double
+
+    kinds = {c: df.schema[c].dataType.typeName() for c in CORRECTABLE.values() if c in df.columns}
+    v = verdicts.select(*key, "verdict", F.coalesce("fields", F.create_map().cast("map<string,string>")).alias("_f"))
+    out = df.join(v, key, "left").filter(F.coalesce("verdict", F.lit("ok")) != "reject")
+    names = {c: [p, *(o for o, q in OTHER_NAMES.items() if q == p)] for p, c in CORRECTABLE.items() if c in kinds}
+    told = {c: F.arrays_overlap(F.map_keys("_f"), F.array(*map(F.lit, ns))) for c, ns in names.items()}
+    said = {c: F.coalesce(*(F.try_element_at(F.col("_f"), F.lit(n)) for n in ns)) for c, ns in names.items()}
+    broken = F.lit(False)
+    for c, kind in kinds.items():
+        if kind == "double":
+            broken = broken | (told[c] & said[c].isNotNull() & gated_double(said[c]).isNull())
+    out = out.withColumn("_fix", (F.coalesce("verdict", F.lit("")) == "fix") & (F.size("_f") > 0))
+    apply = F.col("_fix") & ~F.coalesce(broken, F.lit(False))
+    new = {c: F.when(apply & told[c], gated_double(said[c]) if kinds[c] == "double" else said[c]).otherwise(F.col(c)) for c in names}
+    return out.withColumns(new | {"llm_corrected": F.col("_fix"), "needs_review": F.col("_fix")}).drop("verdict", "_f", "_fix")
+
+
+def record_identity() -> Column:
+    """The id of a flat parameter: its place in the source, what it is, its
+    context, its value and the begin of its quote."""
+    low = lambda c: F.coalesce(c if isinstance(c, Column) else F.col(c).cast("string"), F.lit(""))
+    path = lambda ident, p: F.coalesce(F.nullif(ident, F.lit("")), F.array_join(F.coalesce(p, F.array().cast("array<string>")), "_"))
+    forms = F.array_join(F.coalesce("formulation", F.array().cast("array<string>")), ",")
+    return stable_id(
+        F.col("source_table"), path("row_id", "row_path"), path("column_id", "column_path"), F.col("cell_id"), F.col("name"), F.col("symbol"), F.col("compound"), F.col("species"), F.col("organ"), F.col("life_stage"),
+        F.col("population"), forms, F.col("value"), F.col("start_value"), F.col("end_value"), F.col("unit"), F.substring(low("quote"), 1, 50),
+    )

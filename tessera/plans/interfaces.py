@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import inference, linescan, series
+from ..operators import assess, inference, ingest, linescan, repair, retrieve, series
 from ..sources import literature, sinks
 from .common import read
 from .verification import BASE, PARAMETERS, parameters_and_tables
@@ -123,8 +123,52 @@ def line_records(spark, d):
     return linescan.statements(linescan.distinct_scan(x, "p_brand", "p_partkey")).select("p_brand", "p_partkey", "name", "symbol", "value", "low", "high", "unit", "species", "compound", "statement")
 
 
+def template_answers(spark, d):
+    p = read(spark, d, "part")
+    one = F.format_string('{"name": "%s", "symbol": "%s", "value": %d, "unit": "%s", "compound": "%s"}', F.when(F.col("p_partkey") % 5 == 0, "Parameter name").otherwise(F.col("p_name")), F.when(F.col("p_partkey") % 3 == 0, "symbol").otherwise("V"), "p_size", F.when(F.col("p_partkey") % 2 == 0, "L").otherwise(""), F.when(F.col("p_partkey") % 7 == 0, "None").otherwise("PFOS"))
+    two = F.format_string('{"parameter_name": "range", "start_value": %d, "end_value": %d, "species": "rat"}', "p_size", F.col("p_size") + 3)
+    x = p.select("p_partkey", F.concat(F.lit("Sure. {"), F.when(F.col("p_partkey") % 2 == 0, '"parameters"').otherwise('"model_parameters"'), F.lit(": ["), one, F.lit(", "), two, F.lit(', {"name": "open"}]} That is all')).alias("t"))
+    return inference.template_records(x, "p_partkey", "t").select("p_partkey", "pos", "name", "symbol", "value", "unit", "compound", "species")
+
+
+def critic_corrections(spark, d):
+    p, _ = parameters_and_tables(spark, d)
+    k = F.pmod("ord", F.lit(7))
+    fields = F.when(k == 1, F.create_map(F.lit("unit"), F.lit("mg"), F.lit("class"), F.lit("x"))).when(k == 2, F.create_map(F.lit("quantitative_data.value"), F.lit("1.5"), F.lit("context.species"), F.lit(None).cast("string"))).when(k == 3, F.create_map(F.lit("value"), F.lit("five"), F.lit("compound"), F.lit("PFBS"))).when(k == 4, F.create_map().cast("map<string,string>"))
+    v = p.filter(k > 0).select("doc", "ord", F.when(k == 6, "reject").when(k == 5, "uncertain").otherwise("fix").alias("verdict"), fields.alias("fields"))
+    return repair.corrected(p, v, ["doc", "ord"]).select("doc", "ord", "unit", "class", "value", "species", "compound", "llm_corrected")
+
+
+def record_ids(spark, d):
+    p, _ = parameters_and_tables(spark, d)
+    return p.select("doc", "ord", repair.record_identity().alias("parameter_id"))
+
+
+def front_matter(spark, d):
+    p = read(spark, d, "part")
+    lines = F.array(F.lit("# PAGE 1"), F.concat(F.lit("# **"), "p_name", F.lit("** ")), F.lit("# second"), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(" https://doi.org/10.1/"), F.col("p_partkey").cast("string"))).otherwise("no"), F.when(F.col("p_partkey") % 3 == 0, "*Journal of it*").otherwise("_Environment_"))
+    return ingest.front_matter(p.select("p_partkey", F.posexplode(lines).alias("pos", "line")), "p_partkey")
+
+
+def answer_forms(spark, d):
+    e = read(spark, d, "part")
+    pick = lambda xs: F.get(F.array(*map(F.lit, xs)), F.pmod("p_partkey", F.lit(len(xs))).cast("int"))
+    return e.select("p_partkey", assess.response_form(pick(SAID)).alias("response"), assess.page_number(pick(PAGES)).alias("page"), assess.stated(pick(QUOTES)).alias("quote"))
+
+
+SAID, PAGES, QUOTES = ("Yes", " partially ", "N/A", "cannot_answer", "maybe", "NO", "y"), ("3", "3.0", "0", "-1", "iv"), (" a quote ", "N/A", "none", "")
+
+
+def penalised_pages(spark, d):
+    """Pages that are more like the unwanted query lose ten points; then the
+    cut-off."""
+    p = read(spark, d, "part").select(F.col("p_partkey").alias("page"), (F.col("p_size") / 3.0).alias("score"), (F.pmod("p_partkey", F.lit(17)) / 2.0).alias("against"))
+    return retrieve.cutoff(retrieve.penalised(p.select("page", "score"), p.select("page", "against"), "page"), "page", 40, 0.9).select("page", "rank", F.round("score", 4).alias("score"))
+
+
 QUERIES = {f.__name__: f for f in (
-    item_batches, ontology_link, repaired_answers, image_sizes, service_answers, uncached_keys, marked_pages, page_texts, solver_text, parameter_table, line_records, dosing_extraction,
+    item_batches, ontology_link, repaired_answers, image_sizes, service_answers, uncached_keys, marked_pages, page_texts, solver_text, parameter_table, line_records, dosing_extraction, template_answers, critic_corrections,
+    record_ids, front_matter, answer_forms, penalised_pages,
 )}
 
 
@@ -162,4 +206,13 @@ G AS (SELECT doc, g, '// ' || g || chr(10) || string_agg(l, chr(10) ORDER BY ord
 SELECT doc, sha256('$PARAM' || chr(10) || string_agg(b, chr(10) ORDER BY g <> 'Physiological', g) || chr(10) || '$CMT DEPOT CENTRAL' || chr(10) || '$ODE' || chr(10) || 'dxdt_DEPOT = -KA * DEPOT;' || chr(10) || 'dxdt_CENTRAL = KA * DEPOT - CL / V1 * CENTRAL;' || chr(10) || '$TABLE capture CP = CENTRAL / V1;') AS text_sha256 FROM G GROUP BY doc""",
     "parameter_table": f"""WITH {_P} SELECT coalesce(nullif(symbol, ''), 'std') AS "Symbol", coalesce(CASE WHEN ord % 4 = 0 THEN upper(name) END, name) AS "Name", class AS "Class", coalesce(nullif(unit, ''), '?') AS "Unit", coalesce(species, 'Rat') AS "Species", compound AS "Compound",
   CASE WHEN ord % 5 = 0 THEN 'p. 1' ELSE nullif(source_table, '') END AS "Source", count(*) AS n, count(value) AS n_values FROM P GROUP BY ALL""",
+    "template_answers": """SELECT p_partkey, 0 AS pos, p_name AS name, CASE WHEN p_partkey % 3 <> 0 THEN 'V' END AS symbol, p_size::DOUBLE AS value, CASE WHEN p_partkey % 2 = 0 THEN 'L' ELSE 'dimensionless' END AS unit, CASE WHEN p_partkey % 7 <> 0 THEN 'PFOS' END AS compound, 'human' AS species FROM part WHERE p_partkey % 5 <> 0
+UNION ALL SELECT p_partkey, 1, 'range', NULL, p_size + 1.5::DOUBLE, 'dimensionless', NULL, 'rat' FROM part""",
+    "critic_corrections": f"""WITH {_P} SELECT doc, ord, CASE WHEN ord % 7 = 1 THEN 'mg' ELSE unit END AS unit, class, CASE WHEN ord % 7 = 2 THEN 1.5::DOUBLE ELSE value END AS value, CASE WHEN ord % 7 = 2 THEN NULL ELSE species END AS species, compound, ord % 7 BETWEEN 1 AND 3 AS llm_corrected FROM P WHERE ord % 7 <> 6""",
+    "record_ids": f"""WITH {_P} SELECT doc, ord, 'param_' || substr(sha256(lower(concat_ws('|', coalesce(source_table, ''), coalesce(nullif(row_id, ''), replace(row_path, '|', '_')), coalesce(nullif(column_id, ''), replace(column_path, '|', '_')), coalesce(cell_id, ''), name, coalesce(symbol, ''), coalesce(compound, ''), coalesce(species, ''), organ, '', population,
+  replace(formulation, '|', ','), coalesce(value::VARCHAR, ''), coalesce(start_value::VARCHAR, ''), coalesce(end_value::VARCHAR, ''), coalesce(unit, ''), substr(coalesce(quote, ''), 1, 50)))), 1, 16) AS parameter_id FROM P""",
+    "front_matter": "SELECT p_partkey, p_name AS title, CASE WHEN p_partkey % 2 = 0 THEN 'https://doi.org/10.1/' || p_partkey END AS doi, CASE WHEN p_partkey % 3 = 0 THEN 'Journal of it' ELSE 'Environment' END AS journal FROM part",
+    "answer_forms": """SELECT p_partkey, ['yes', 'partially', 'not_applicable', 'i_cannot_answer', 'i_cannot_answer', 'no', 'i_cannot_answer'][p_partkey % 7 + 1] AS response, [3, 3, NULL, NULL, NULL][p_partkey % 5 + 1] AS page, CASE WHEN p_partkey % 4 = 0 THEN 'a quote' END AS quote FROM part""",
+    "penalised_pages": """WITH s AS (SELECT p_partkey AS page, p_size / 3.0::DOUBLE - CASE WHEN p_partkey % 17 / 2.0::DOUBLE > p_size / 3.0::DOUBLE AND p_size / 3.0::DOUBLE < 10 THEN 10 ELSE 0 END AS score FROM part),
+r AS (SELECT *, row_number() OVER (ORDER BY score DESC, page) AS rank, max(score) OVER () AS m FROM s) SELECT page, rank, round(score, 4) AS score FROM r WHERE rank <= 40 AND (rank <= 4 OR score >= 0.9::DOUBLE * m)""",
 }
