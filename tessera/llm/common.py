@@ -37,8 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
 _made: list[tuple[object, str]] = []
 
 
-def _sweep() -> None:
-    for jsc, path in _made:
+def _delete(made: list[tuple[object, str]]) -> None:
+    for jsc, path in made:
         try:
             p = jsc.sc().hadoopConfiguration()
             hp = jsc._gateway.jvm.org.apache.hadoop.fs.Path(path)
@@ -47,7 +47,7 @@ def _sweep() -> None:
             pass
 
 
-atexit.register(_sweep)
+atexit.register(lambda: _delete(_made))
 
 
 def work_path(spark: SparkSession, name: str) -> str:
@@ -68,6 +68,20 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def step(make: Callable[[], DataFrame], name: str, source: tuple | None = None) -> tuple[DataFrame, tuple]:
+    """make()'s rows, written, and what to give the next step as source.  The
+    files that make() wrote on its way, and the source's, are deleted then, so
+    a chain of steps holds the files of one."""
+    mark = len(_made)
+    out = materialize(make(), name)
+    kept = _made[-1]
+    _delete([x for x in [*_made[mark:-1], source] if x])
+    _made[mark:] = [kept]
+    if source in _made:
+        _made.remove(source)
+    return out, kept
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
