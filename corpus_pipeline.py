@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import stages
-from tessera.llm.common import materialize
+from tessera.llm.common import step
 
 STAGES = [
     ("quality_rules", stages.quality_rules),
@@ -24,7 +24,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over documents; each stage is written as
     Parquet and read again by the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), name)
+        docs, written = step(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name, written)
     return STAGES[-1][1](spark, docs, sf_dir)
