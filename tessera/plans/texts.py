@@ -146,6 +146,10 @@ SELECT doc_id, tier1, tier2, s >= 1 OR tier2 >= 3 AS kept FROM x""",
     "table_gate_route": f"""WITH x AS (SELECT doc_id, text AS c, lower(text || ' ' || text) AS b, {[t.replace(chr(9), ' ') for t in TITLES]}[doc_id % {len(TITLES)} + 1] || ' ' || text AS t FROM documents)
 SELECT doc_id, NOT regexp_matches(c, '(?i)' || '{_sql(classify.OUTCOME_TABLE.removeprefix("(?i)"))}') AND contains(b, 'the')::INT + contains(b, 'and')::INT + contains(b, 'der')::INT + contains(b, 'que')::INT + contains(b, 'les')::INT + contains(b, 'ten')::INT >= 2 AS is_input,
   CASE WHEN regexp_matches(t, '(?i)sensitivity\\s+coefficient|normalized\\s+sensitivity|morris|efast') THEN 'sensitivity_analysis' WHEN regexp_matches(t, '(?i)point\\s+of\\s+departure|pod\\s*hed|exposure\\s+estimate|daily\\s+intake') THEN 'simulated_data' ELSE 'model_parameters' END AS role FROM x""",
+    "bibliography_strip": r"""WITH m AS (SELECT doc_id, concat_ws(chr(10), text, CASE WHEN doc_id % 2 = 0 THEN '## References' END, '[1] someone', CASE WHEN doc_id % 4 = 0 THEN '# Appendix A' END, 'tail') AS md FROM documents),
+h AS (SELECT *, regexp_replace(md, '(?ims)^#{0,4}\s*(?:references|bibliography)\s*$.*', '') AS head FROM m),
+r AS (SELECT *, substr(md, length(head) + 1) AS cut FROM h), t AS (SELECT *, substr(cut, length(regexp_extract(cut, '(?im)^#{0,4}\s*(?:references|bibliography)\s*$')) + 1) AS rest FROM r)
+SELECT doc_id, head || regexp_extract(rest, '(?ims)^#{1,4}\s*(?:appendix|supplement|table).*') AS kept FROM t""",
     "block_budget": """WITH RECURSIVE l AS (SELECT doc_id, i AS pos, ls[i] AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS r(i) WHERE ls[i] <> ''),
 b AS MATERIALIZED (SELECT doc_id, length(line) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY CASE WHEN regexp_matches(line, '[0-9|]') THEN 0 ELSE 1 END, pos) AS i FROM l),
 g AS (SELECT doc_id, 0::BIGINT AS i, 0::BIGINT AS used, 0::BIGINT AS took FROM (SELECT DISTINCT doc_id FROM b) UNION ALL SELECT g.doc_id, b.i, CASE WHEN used + n <= 600 THEN used + n ELSE used END, CASE WHEN used + n <= 600 THEN took + 1 ELSE took END FROM g JOIN b ON b.doc_id = g.doc_id AND b.i = g.i + 1)
