@@ -5,7 +5,9 @@
    set are one vertex from here on.
 2. A bucket has all postings of its shingles, so it knows how many vertices
    have each.  Those that one vertex has alone can't be shared; the others go
-   back to the vertices.
+   back to the vertices.  Of a shingle that a task has HEAVY times and more the
+   bucket gets the count alone; the postings wait, a row a task, for the sum
+   of the counts, so no task holds those of a very common shingle.
 3. A vertex with a partner shares at least the threshold's part of its set:
    vertices with fewer shared shingles are done.  The others get their set in
    the global order, rare first, and its prefix: two similar sets share a
@@ -36,8 +38,9 @@ from .trie import ask, links, stars
 #: Words of a shingle; similarity of 75 per 100 and more; sets that a task
 #: joins at once; vertices, about, that all chunks of a large block hold.
 WORDS, SIMILAR, BLOCK, HUBS = 5, (75, 100), 1500, 10
-#: Postings that a task gathers before it deals them out.
-FLUSH = 1_500_000
+#: Postings that a task gathers before it deals them out; vertices of a shingle
+#: in them from which they are not sent to its bucket.
+FLUSH, HEAVY = 1_500_000, 256
 LOW48 = U((1 << 48) - 1)
 
 
@@ -66,22 +69,36 @@ def _unpack48(b: bytes) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
-PACKED = "kind int, bucket int, a binary, b binary, c binary, d binary"
-_FIELDS = ["kind", "bucket", "a", "b", "c", "d"]
-_TYPES = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
+PACKED = "kind int, bucket int, token long, a binary, b binary, c binary, d binary"
+_FIELDS = ["kind", "bucket", "token", "a", "b", "c", "d"]
+_TYPES = [pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 4]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [()] * 6
+    cols = list(zip(*rows, strict=True)) or [()] * 7
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES, strict=True)], _FIELDS)
 
 
+def _name(token48, bucket: int, buckets: int):
+    """A shingle's number: its 48 bits and its bucket."""
+    return token48 * U(buckets) + U(bucket)
+
+
+def _keys(df, names: np.ndarray) -> np.ndarray:
+    """Keys in the global order: by frequency, then by hash; a key is also the
+    identity."""
+    return (np.minimum(df, 65535).astype(U) << U(48)) | (mix(names) & LOW48)
+
+
 def postings(docs: DataFrame, buckets: int, key: str, text: str, k: int) -> DataFrame:
-    """Packed rows: kind 0 documents (ids, vertices, sizes), kind 1 postings."""
+    """Packed rows: kind 0 documents (ids, vertices, sizes), kind 1 postings,
+    kind 2 the vertices and sizes of a heavy shingle, dealt by task, kind 3
+    the heavy shingles of a bucket and their counts."""
 
     def deal(ids, vertex, size, sets):
         vertex, size = np.array(vertex, U), np.array(size, np.int64)
-        yield 0, int(mix(U([len(sets)]) + vertex[:1])[0] % U(buckets)), np.array(ids, np.int64).tobytes(), vertex.tobytes(), size.tobytes(), None
+        lot = int(mix(U([len(sets)]) + vertex[:1])[0] % U(buckets))
+        yield 0, lot, None, np.array(ids, np.int64).tobytes(), vertex.tobytes(), size.tobytes(), None
         _, first = np.unique(vertex, return_index=True)  # a set once
         first = first[size[first] > 0]
         if not len(first):
@@ -89,14 +106,27 @@ def postings(docs: DataFrame, buckets: int, key: str, text: str, k: int) -> Data
         tokens = np.concatenate([sets[i] for i in first])
         local = np.repeat(np.arange(len(first), dtype=np.uint16), size[first])
         bucket = (tokens % U(buckets)).astype(np.int32)
-        order = np.argsort(bucket, kind="stable")
-        bounds = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        tokens, local = (tokens // U(buckets))[order], local[order]
+        tokens = (tokens // U(buckets)) & LOW48
+        order = np.lexsort((tokens, bucket))
+        tokens, local, bucket = tokens[order], local[order], bucket[order]
+        begin = np.flatnonzero(np.r_[True, (tokens[1:] != tokens[:-1]) | (bucket[1:] != bucket[:-1])])
+        count = np.diff(np.r_[begin, len(tokens)])
+        heavy = np.flatnonzero(count >= HEAVY)
+        for i in heavy:
+            own = first[local[begin[i] : begin[i] + count[i]]]
+            name = _name(tokens[begin[i] : begin[i] + 1], int(bucket[begin[i]]), buckets).view(np.int64)
+            yield 2, buckets + (lot + int(name[0] & 0xFFFF)) % buckets, int(name[0]), vertex[own].tobytes(), size[own].astype(np.uint32).tobytes(), None, None
+        for g in np.unique(bucket[begin[heavy]]).tolist():
+            mine = heavy[bucket[begin[heavy]] == g]
+            yield 3, g, None, tokens[begin[mine]].tobytes(), count[mine].astype(np.int64).tobytes(), None, None
+        light = np.repeat(count < HEAVY, count)
+        tokens, local, bucket = tokens[light], local[light], bucket[light]
+        bounds = np.searchsorted(bucket, np.arange(buckets + 1))
         for g in range(buckets):
             s, e = bounds[g], bounds[g + 1]
             if s < e:
                 used, index = np.unique(local[s:e], return_inverse=True)
-                yield 1, g, vertex[first[used]].tobytes(), size[first[used]].astype(np.uint32).tobytes(), _pack48(tokens[s:e] & LOW48), index.astype(np.uint16).tobytes()
+                yield 1, g, None, vertex[first[used]].tobytes(), size[first[used]].astype(np.uint32).tobytes(), _pack48(tokens[s:e]), index.astype(np.uint16).tobytes()
 
     def run(batches):
         held: tuple[list, list, list, list] = ([], [], [], [])
@@ -116,10 +146,29 @@ def postings(docs: DataFrame, buckets: int, key: str, text: str, k: int) -> Data
     return map_arrow(docs.select(F.col(key).cast("long"), text), run, PACKED)
 
 
+def _by_vertex(key: np.ndarray, vertex: np.ndarray, size: np.ndarray, buckets: int) -> list[tuple]:
+    """Postings packed by the vertices' buckets: (vertices, sizes), counts, keys."""
+    home = (vertex % U(buckets)).astype(np.int64)
+    order = np.lexsort((vertex, home))
+    key, vertex, size, home = key[order], vertex[order], size[order], home[order]
+    out, bounds = [], np.searchsorted(home, np.arange(buckets + 1))
+    for g in range(buckets):
+        s, e = bounds[g], bounds[g + 1]
+        if s < e:
+            v, first, count = np.unique(vertex[s:e], return_index=True, return_counts=True)
+            out.append((1, g, None, v.tobytes(), size[s:e][first].astype(np.uint32).tobytes(), count.astype(np.uint32).tobytes(), key[s:e].tobytes()))
+    return out
+
+
 def _shared(bucket: int, buckets: int, rows: pa.Table) -> list[tuple]:
-    """Of a bucket the postings of shingles that two vertices or more have,
-    packed by the vertices' buckets: (vertices, sizes), counts, keys."""
-    tokens, vertex, size = [], [], []
+    """Of a bucket the postings of shingles that two vertices or more have, by
+    vertex; and (kind 3) the frequencies of heavy shingles."""
+    kinds = rows.column("kind").to_numpy()
+    notes, rows = rows.filter(pa.array(kinds == 3)), rows.filter(pa.array(kinds == 1))
+    told, n_told = (np.concatenate([np.empty(0, t), *(np.frombuffer(x, t) for x in notes.column(c).to_pylist())]) for c, t in (("a", U), ("b", np.int64)))
+    told, index = np.unique(told, return_inverse=True)
+    n_told = np.bincount(index, n_told, len(told)).astype(np.int64)
+    tokens, vertex, size = [np.empty(0, U)], [np.empty(0, U)], [np.empty(0, np.uint32)]
     for a, b, c, d in zip(*(rows.column(x).to_pylist() for x in "abcd"), strict=True):
         local = np.frombuffer(d, np.uint16)
         tokens.append(_unpack48(c))
@@ -129,7 +178,7 @@ def _shared(bucket: int, buckets: int, rows: pa.Table) -> list[tuple]:
     order = np.argsort(tokens, kind="stable")
     s = tokens[order]
     same = s[1:] == s[:-1]
-    more = np.zeros(len(s), bool)
+    more = np.isin(s, told) if len(told) else np.zeros(len(s), bool)
     more[1:] |= same
     more[:-1] |= same
     order = order[more]
@@ -138,24 +187,39 @@ def _shared(bucket: int, buckets: int, rows: pa.Table) -> list[tuple]:
     keep = np.ones(len(tokens), bool)  # a set dealt by two tasks counts once
     keep[1:] = (tokens[1:] != tokens[:-1]) | (vertex[1:] != vertex[:-1])
     tokens, vertex, size = tokens[keep], vertex[keep], size[keep]
-    if not len(tokens):
-        return []
-    starts = np.flatnonzero(np.r_[True, tokens[1:] != tokens[:-1]])
-    df = np.repeat(np.diff(np.r_[starts, len(tokens)]), np.diff(np.r_[starts, len(tokens)]))
-    # The order is by frequency, then by hash; the key is also the identity.
-    key = (np.minimum(df, 65535).astype(U) << U(48)) | (mix(tokens * U(buckets) + U(bucket)) & LOW48)
+    each, count = np.unique(tokens, return_counts=True)
+    df = count.copy()
+    at = np.searchsorted(told, each)
+    if len(told):
+        known = told[np.minimum(at, len(told) - 1)] == each
+        df[known] += n_told[at[known]]
+        light = np.isin(told, each)
+        n_told[light] += count[np.searchsorted(each, told[light])]
+    df = np.repeat(df, count)
     ok = df > 1
-    key, vertex, size = key[ok], vertex[ok], size[ok]
-    home = (vertex % U(buckets)).astype(np.int64)
-    order = np.lexsort((vertex, home))
-    key, vertex, size, home = key[order], vertex[order], size[order], home[order]
-    out, bounds = [], np.searchsorted(home, np.arange(buckets + 1))
-    for g in range(buckets):
-        s, e = bounds[g], bounds[g + 1]
-        if s < e:
-            v, first, count = np.unique(vertex[s:e], return_index=True, return_counts=True)
-            out.append((1, g, v.tobytes(), size[s:e][first].tobytes(), count.astype(np.uint32).tobytes(), key[s:e].tobytes()))
-    return out
+    out = _by_vertex(_keys(df[ok], _name(tokens[ok], bucket, buckets)), vertex[ok], size[ok], buckets) if ok.any() else []
+    return out + [(3, bucket, int(n), x.tobytes(), None, None, None) for n, x in zip(_name(told, bucket, buckets).view(np.int64), n_told, strict=True)]
+
+
+def _heavy(packed: DataFrame, buckets: int) -> DataFrame:
+    """The postings of heavy shingles by vertex, with their frequencies."""
+    df = packed.filter("kind = 3").select("token", F.col("a").alias("df"))
+    waiting = packed.filter("kind = 2").select("token", "a", "b").join(df, "token")
+
+    def run(batches):
+        for batch in batches:
+            held: list[tuple] = []
+            for i in range(batch.num_rows + 1):
+                if held and (i == batch.num_rows or sum(len(x[1]) for x in held) >= FLUSH):
+                    yield _batch(_by_vertex(*map(np.concatenate, zip(*held, strict=True)), buckets))
+                    held = []
+                if i < batch.num_rows:
+                    token, a, b, n = (batch.column(k)[i].as_py() for k in range(4))
+                    vertex = np.frombuffer(a, U)
+                    key = _keys(np.frombuffer(n, np.int64), np.array([token], np.int64).view(U))
+                    held.append((np.repeat(key, len(vertex)), vertex, np.frombuffer(b, np.uint32)))
+
+    return map_arrow(waiting, run, PACKED)
 
 
 def _least(size: np.ndarray | int, t: tuple[int, int]):
@@ -175,15 +239,19 @@ def ordered_sets(packed: DataFrame, t: tuple[int, int]) -> DataFrame:
             keys.append(np.frombuffer(d, U))
         vertex, size, count, keys = map(np.concatenate, (vertex, size, count, keys))
         all_v, index = np.unique(vertex, return_inverse=True)
-        total = np.bincount(index, count).astype(np.int64)
         n = np.zeros(len(all_v), np.int64)
         n[index] = size
-        ok = total >= _least(n, t)
         per = np.repeat(index, count)
-        use = ok[per]
+        use = (np.bincount(per, minlength=len(all_v)) >= _least(n, t))[per]
         per, keys = per[use], keys[use]
         order = np.lexsort((keys, per))
         per, keys = per[order], keys[order]
+        once = np.ones(len(per), bool)  # a heavy shingle of a set dealt by two tasks
+        once[1:] = (per[1:] != per[:-1]) | (keys[1:] != keys[:-1])
+        per, keys = per[once], keys[once]
+        total = np.bincount(per, minlength=len(all_v))
+        ok = (total >= _least(n, t)) & (total > 0)
+        per, keys = per[ok[per]], keys[ok[per]]
         bounds = np.searchsorted(per, np.arange(len(all_v) + 1))
         at = np.flatnonzero(ok).tolist()
         sets = [keys[bounds[i] : bounds[i + 1]] for i in at]
@@ -192,7 +260,7 @@ def ordered_sets(packed: DataFrame, t: tuple[int, int]) -> DataFrame:
         prefix = [x[: int(total[i] - _least(int(n[i]), t) + 1)].view(np.int64) for i, x in zip(at, sets, strict=True)]
         return pa.table({"v": pa.array(all_v[ok].view(np.int64)), "n": pa.array(n[ok]), "keys": pa.array([x.tobytes() for x in sets], pa.binary()), "prefix": pa.array(prefix, pa.list_(pa.int64()))})
 
-    return group_arrow(packed.filter("kind = 1"), run, "v long, n long, keys binary, prefix array<long>")
+    return group_arrow(packed, run, "v long, n long, keys binary, prefix array<long>")
 
 
 def _join(groups: DataFrame, t: tuple[int, int]) -> DataFrame:
@@ -263,10 +331,11 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
 
     def bucket(key: tuple, rows: pa.Table) -> pa.Table:
         kinds = rows.column("kind").to_numpy()
-        out = [tuple(r.values()) for r in rows.filter(pa.array(kinds == 0)).to_pylist()]
-        if (kinds == 1).any():
-            out += _shared(key[0].as_py(), buckets, rows.filter(pa.array(kinds == 1)))
-        return pa.Table.from_batches([_batch(out)])
+        # Documents and heavy shingles' postings pass.
+        out = [rows.filter(pa.array((kinds == 0) | (kinds == 2))).select(_FIELDS)]
+        if ((kinds == 1) | (kinds == 3)).any():
+            out.append(pa.Table.from_batches([_batch(_shared(key[0].as_py(), buckets, rows))]))
+        return pa.concat_tables(out)
 
     packed = materialize(group_arrow(dealt, bucket, PACKED), "shared")
 
@@ -277,7 +346,8 @@ def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: in
                 yield pa.RecordBatch.from_arrays([pa.array(ids, mask=ids == -(1 << 63)), pa.array(np.frombuffer(v, np.int64)), pa.array(np.frombuffer(n, np.int64))], [key, "v", "n_shingles"])
 
     rows = map_arrow(packed.filter("kind = 0").select("a", "b", "c"), unpack, f"{key} long, v long, n_shingles long")
-    sets = materialize(ordered_sets(packed, t), "sets")
+    shared = packed.filter("kind = 1").unionByName(_heavy(packed, buckets))
+    sets = materialize(ordered_sets(shared, t), "sets")
     root = similar_roots(sets, t)
     rows = rows.join(root.withColumnRenamed("u", "v"), "v", "left").withColumn("_c", F.when(F.col("n_shingles") > 0, F.coalesce("root", "v"))).drop("root", "v")
     least = rows.filter("_c IS NOT NULL").groupBy("_c").agg(F.min(key).alias("_m"))

@@ -73,9 +73,10 @@ def test_twins_of_windows():
     assert [sum(f for (_, d), (_, f) in told.items() if d == k) for k in range(3)] == [1, 1, 2]
 
 
-@pytest.mark.parametrize("block", [6, 1500])
-def test_components_are_those_of_all_pairs(spark, monkeypatch, block):
-    monkeypatch.setattr(ngram_join, "BLOCK", block)
+@pytest.mark.parametrize("block,heavy,flush", [(6, 256, 10**6), (1500, 2, 300), (6, 3, 100), (1500, 256, 10**6)])
+def test_components_are_those_of_all_pairs(spark, monkeypatch, block, heavy, flush):
+    for k, v in {"BLOCK": block, "HEAVY": heavy, "FLUSH": flush}.items():
+        monkeypatch.setattr(ngram_join, k, v)
     r = random.Random(5)
     vocabulary, texts = [f"w{i}" for i in range(400)], list(h.odd_texts())
     for _ in range(3):
