@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .assess import ITEMS, NONE, SELF
+from .repair import keep_first
 
 EVIDENCE = "array<struct<page: int, section: string, location: string, quote: string>>"
 
@@ -182,6 +183,19 @@ def overview(found: DataFrame, doc: str) -> DataFrame:
     return x.select(doc, "n_open", fit.alias("fit"), F.transform("g", lambda e: e["item_id"]).alias("gaps"))
 
 
+def targets(tables: DataFrame, doc: str) -> DataFrame:
+    """(doc, targets): the compounds that a document's tables are about,
+    sorted, each once."""
+    named = F.explode(F.coalesce("subjects", F.array().cast("array<string>")))
+    return tables.select(doc, named.alias("s")).groupBy(doc).agg(F.sort_array(F.collect_set("s")).alias("targets"))
+
+
+def merged_basis(parts: DataFrame, doc: str, keys: tuple[str, ...] = ("collection", "key")) -> DataFrame:
+    """Of the pages' findings (doc, page, pos, collection, key, ...) the first
+    of each key in each collection, in the pages' order."""
+    return keep_first(parts, [doc, *keys], ["page", "pos"])
+
+
 def search(found: DataFrame, text: str = "", response: str = "all") -> DataFrame:
     """Items whose identifier or any quote of whose evidence holds a text,
     without regard to case, with the given response."""

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import answers
 from ..operators.assess import ITEMS, NONE
 from .common import read
+from .verification import _BOTH, parameters_and_tables
 
 #: Facts as expressions over k, the customer's number, for both engines.
 K = {
@@ -49,7 +50,18 @@ def answer_search(spark, d):
     return x.groupBy("k").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (fact_answers, answer_overview, answer_search)}
+def answer_targets(spark, d):
+    _, t = parameters_and_tables(spark, d)
+    return answers.targets(t, "doc").select("doc", F.array_join("targets", ",").alias("targets"))
+
+
+def basis_union(spark, d):
+    """Events of a user as findings: types are collections, days pages."""
+    e = read(spark, d, "events").select("user_id", F.to_date("ts").alias("page"), F.col("event_id").alias("pos"), F.col("event_type").alias("collection"), F.pmod("event_id", F.lit(5)).alias("key"), F.round("value", 3).alias("value"))
+    return answers.merged_basis(e, "user_id").select("user_id", "collection", "key", "pos", "value")
+
+
+QUERIES = {f.__name__: f for f in (fact_answers, answer_overview, answer_search, answer_targets, basis_union)}
 
 #: Each item: the collections of its evidence and its answer, in SQL.
 _CTX, _DATA = ("ctx",), ("obs", "sim")
@@ -133,5 +145,7 @@ ORACLE_SQL = {
     "fact_answers": f"WITH {_A} SELECT k, item_id, response, confidence, n_evidence FROM A",
     "answer_overview": f"""WITH {_A} SELECT k, count(*) FILTER (response = '{NONE}') AS n_open, (36 - count(*) FILTER (response = '{NONE}')) || '/36 items have at least some supported evidence; ' || count(*) FILTER (response = '{NONE}') || '/36 remain {NONE}' AS fit,
   coalesce(string_agg(item_id, ',' ORDER BY o) FILTER (response = '{NONE}'), '') AS gaps FROM A GROUP BY k""",
+    "answer_targets": f"WITH {_BOTH} SELECT doc, coalesce(string_agg(DISTINCT s, ',' ORDER BY s), '') AS targets FROM (SELECT doc, unnest(string_split(subjects, '|')) AS s FROM T) WHERE s <> '' GROUP BY doc",
+    "basis_union": "SELECT user_id, event_type AS collection, key, event_id AS pos, value FROM (SELECT user_id, event_type, event_id % 5 AS key, event_id, round(value, 3) AS value, row_number() OVER (PARTITION BY user_id, event_type, event_id % 5 ORDER BY ts::DATE, event_id) AS k FROM events) WHERE k = 1",
     "answer_search": f"WITH {_A} SELECT k, count(*) AS n FROM A WHERE item_id IN ('TAN_2.5.2A', 'TAN_2.5.2B') AND response = 'partially' AND n_evidence > 0 GROUP BY k",
 }

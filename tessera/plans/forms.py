@@ -72,7 +72,8 @@ def jats_metadata(spark, d):
 
 def grid_markdown(spark, d):
     x = read(spark, d, "pages").select("page_id", F.lit(GRID).alias("m"))
-    return tables.markdown(tables.cells(x, "page_id", "m"), ["page_id", "table_ord"]).select("page_id", "text")
+    notes = x.filter("page_id % 2 = 0").select("page_id", F.lit(0).alias("table_ord"), F.explode(F.array(F.struct(F.lit(2).alias("pos"), F.lit("b: of two").alias("note")), F.struct(F.lit(1).alias("pos"), F.lit("a: of one").alias("note")))).alias("x")).select("page_id", "table_ord", "x.*")
+    return tables.markdown(tables.cells(x, "page_id", "m"), ["page_id", "table_ord"], notes).select("page_id", "text")
 
 
 def table_unroll(spark, d):
@@ -102,7 +103,7 @@ SELECT p_partkey, CASE WHEN a IS NULL AND b IS NULL THEN true WHEN a IS NULL OR
     "rerouted_values": "SELECT p_partkey, CASE WHEN p_size % 4 = 0 OR p_size % 5 = 0 THEN 'formulation' ELSE 'parameter' END AS kind FROM part WHERE p_partkey % 3 <> 0 OR p_partkey % 2 = 0",
     "nested_parameters": f"""WITH {LINES} SELECT l_orderkey, (ord - 1)::INT AS ord, 'p' || ord AS parameter_id, CASE WHEN ord % 2 = 0 THEN l_returnflag ELSE 'rat' END AS species, CASE WHEN ord % 3 = 0 THEN 'liver' ELSE l_linestatus END AS organ, l_linestatus AS compartment, l_quantity::DOUBLE AS value FROM L""",
     "jats_metadata": "SELECT p_partkey, p_name AS title, 'A B; C D' AS authors, CASE WHEN p_size % 2 = 0 THEN 2000 + p_size % 100 END AS year FROM part",
-    "grid_markdown": "SELECT page_id, '| Species | Mean (95% CI) | Mean (95% CI) |' || chr(10) || '| Species | PFOS | PFOA |' || chr(10) || '| Adults | Adults | Adults |' || chr(10) || '| human | 70 (65, 75) | 71 |' || chr(10) || '| rat | 0.25 |  |' AS text FROM pages",
+    "grid_markdown": "SELECT page_id, '| Species | Mean (95% CI) | Mean (95% CI) |' || chr(10) || '| Species | PFOS | PFOA |' || chr(10) || '| Adults | Adults | Adults |' || chr(10) || '| human | 70 (65, 75) | 71 |' || chr(10) || '| rat | 0.25 |  |' || CASE WHEN page_id % 2 = 0 THEN chr(10) || chr(10) || 'a: of one' || chr(10) || 'b: of two' ELSE '' END AS text FROM pages",
     "table_unroll": """SELECT page_id, r.* FROM pages, (VALUES ('row_0', 'Body weight (kg)', 'BW', 'human', 'PFOS', 70.0::DOUBLE, 65.0::DOUBLE, 75.0::DOUBLE, 'kg', 'fitted'), ('row_0', 'Body weight (kg)', 'BW', 'human', 'PFOA', 71.0, NULL, NULL, 'kg', 'fitted'), ('row_1', 'Volume (L)', 'V', 'rat', 'PFOA', 0.5, NULL, NULL, 'L', NULL))
   AS r(row_id, name, symbol, species, compound, value, ci_low, ci_high, unit, status)""",
 }

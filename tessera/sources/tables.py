@@ -142,12 +142,17 @@ def evidence(grid: DataFrame, key: list[str]) -> DataFrame:
     return out.withColumns(ids).select(*key, "cell_id", "row_id", "column_id", "text", "row_path", F.col("path").alias("column_path"))
 
 
-def markdown(grid: DataFrame, key: list[str]) -> DataFrame:
-    """(key, text): each table as Markdown lines."""
+def markdown(grid: DataFrame, key: list[str], notes: DataFrame | None = None) -> DataFrame:
+    """(key, text): each table as Markdown lines, followed by its notes (key,
+    pos, note), a line each."""
     row = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c", "text"))), lambda x: x["text"]), " | ")
     rows = grid.groupBy(*key, "r").agg(F.concat(F.lit("| "), row, F.lit(" |")).alias("line"))
     lines = F.array_sort(F.collect_list(F.struct("r", "line")))
-    return rows.groupBy(*key).agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("text"))
+    out = rows.groupBy(*key).agg(F.array_join(F.transform(lines, lambda x: x["line"]), "\n").alias("text"))
+    if notes is None:
+        return out
+    below = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "note"))), lambda x: x["note"]), "\n")
+    return out.join(notes.groupBy(*key).agg(below.alias("_n")), key, "left").select(*key, F.concat_ws("\n\n", "text", "_n").alias("text"))
 
 
 def unroll(found: DataFrame, key: list[str], value_columns: str = "mean|estimate|value", compounds: tuple[str, ...] = ()) -> DataFrame:
