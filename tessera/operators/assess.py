@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from ..functions.numbers import gated_double
 
 #: The items' identifiers.
-ITEMS = tuple(
-    "TAN_1.1 TAN_1.2 TAN_1.3 TAN_2.1.1 TAN_2.1.2 TAN_2.1.3 TAN_2.3.1 TAN_2.2.1 TAN_2.4.1 TAN_2.4.2A TAN_2.4.2B TAN_2.4.2C TAN_2.4.3.1 TAN_2.4.3.2 "
-    "TAN_2.4.3.3 TAN_2.4.3.4 TAN_2.4.3.5 TAN_2.4.3.6 TAN_2.4.3.7 TAN_2.4.3.8 TAN_2.4.3.9 TAN_2.4.3.10 TAN_2.4.3.11 TAN_2.4.3.12 TAN_2.4.3.13 TAN_2.4.4 "
-    "TAN_2.4.5A TAN_2.4.5B TAN_2.4.5C TAN_2.4.6A TAN_2.4.6B TAN_2.4.7 TAN_2.5.1A TAN_2.5.1B TAN_2.5.2A TAN_2.5.2B".split()
-)
+ITEMS = (
+    "TAN_1.1", "TAN_1.2", "TAN_1.3", "TAN_2.1.1", "TAN_2.1.2", "TAN_2.1.3",
+    "TAN_2.3.1", "TAN_2.2.1", "TAN_2.4.1", "TAN_2.4.2A", "TAN_2.4.2B", "TAN_2.4.2C",
+    "TAN_2.4.3.1", "TAN_2.4.3.2", "TAN_2.4.3.3", "TAN_2.4.3.4", "TAN_2.4.3.5", "TAN_2.4.3.6",
+    "TAN_2.4.3.7", "TAN_2.4.3.8", "TAN_2.4.3.9", "TAN_2.4.3.10", "TAN_2.4.3.11", "TAN_2.4.3.12",
+    "TAN_2.4.3.13", "TAN_2.4.4", "TAN_2.4.5A", "TAN_2.4.5B", "TAN_2.4.5C", "TAN_2.4.6A",
+    "TAN_2.4.6B", "TAN_2.4.7", "TAN_2.5.1A", "TAN_2.5.1B", "TAN_2.5.2A", "TAN_2.5.2B",
+)
 #: The item about the review itself, and the answer of none.
 SELF, NONE = "TAN_1.3", "i_cannot_answer"
 
