@@ -114,10 +114,14 @@ def has_any(text: Column, words: tuple[str, ...]) -> Column:
     return F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(text, w))
 
 
-def relevant(text: Column, title: Column, strong: tuple[str, ...] = STRONG_WORDS, weak: tuple[str, ...] = CONTEXT_WORDS) -> Column:
+def by_tiers(title: Column, n_strong: Column, n_weak: Column) -> Column:
     """By title if that settles it, else one strong or three weak patterns."""
     t = F.lower(F.coalesce(title, F.lit("")))
-    return F.when(has_any(t, SKIP_TITLES), False).when(has_any(t, KEEP_TITLES), True).otherwise((hits(text, strong) >= 1) | (hits(text, weak) >= 3))
+    return F.when(has_any(t, SKIP_TITLES), False).when(has_any(t, KEEP_TITLES), True).otherwise((n_strong >= 1) | (n_weak >= 3))
+
+
+def relevant(text: Column, title: Column, strong: tuple[str, ...] = STRONG_WORDS, weak: tuple[str, ...] = CONTEXT_WORDS) -> Column:
+    return by_tiers(title, hits(text, strong), hits(text, weak))
 
 
 def is_input_table(caption: Column, body: Column, words: tuple[str, ...] = INPUT_WORDS) -> Column:

@@ -28,9 +28,9 @@ STRONG, WEAK = (r"\bablation\b", r"\bthe\b", r"\bder\b", r"\bque\b"), (r"\band\b
 
 
 def keyword_tiers(spark, d):
-    x = read(spark, d, "documents").select("doc_id", "text", "source")
-    t = F.col("text")
-    return x.select("doc_id", classify.hits(t, STRONG).alias("tier1"), classify.hits(t, WEAK).alias("tier2"), classify.relevant(t, F.lit(""), STRONG[:1], WEAK).alias("kept"))
+    x, t = read(spark, d, "documents").select("doc_id", "text"), F.col("text")
+    x = x.select("doc_id", classify.hits(t, STRONG[:1]).alias("first"), classify.hits(t, STRONG[1:]).alias("others"), classify.hits(t, WEAK).alias("tier2"))
+    return x.select("doc_id", (F.col("first") + F.col("others")).alias("tier1"), "tier2", classify.by_tiers(F.lit(""), F.col("first"), F.col("tier2")).alias("kept"))
 
 
 TITLES = ("Normalized  sensitivity of AUC", "Sensitivity of the fit", "Daily\tIntake", "POD HED by species", "Parameters", "Morris screening")
