@@ -17,8 +17,9 @@
 5. In a block the sets are joined by a prefix tree (see trie.py).  A block of
    more than BLOCK sets is dealt out in chunks, each with a few vertices of the
    block as hubs; then what is still outside of the block's largest
-   component asks all chunks of the block, so the join is exact for blocks of
-   any size and no task holds one.
+   component asks all sets that it shares a prefix shingle with, or all
+   chunks of the block, whichever has fewer pairs: either way the join is
+   complete for blocks of any size and no task holds one.
 6. Links give the components.
 """
 
@@ -300,20 +301,36 @@ def similar_roots(sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     one = materialize(_join(lots.join(sets.select("v", "n", "keys"), "v").withColumns(none), t), "links")
     if large.isEmpty():
         return one.select(F.col("a").alias("u"), F.col("b").alias("root"))
-    # What a large block's largest component does not hold asks all chunks.
+    # What a large block's largest component does not hold (the rest) asks.
     root = components(one)
     comp = large.join(root.withColumnRenamed("u", "v"), "v", "left").withColumn("comp", F.coalesce("root", "v")).drop("root")
     comp = materialize(comp, "comps")
     sizes = comp.groupBy("block", "comp").agg(F.count("*").alias("c"))
     main = sizes.groupBy("block").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
-    comp = comp.join(main, "block").withColumn("rest", F.col("comp") != F.col("main"))
-    rest = comp.filter("rest").groupBy("block").agg(F.count("*").alias("rn"))
-    comp = comp.join(rest, "block").withColumn("rk", F.ceil(F.col("rn") / BLOCK).cast("int"))
-    asked = comp.withColumn("y", F.explode(F.sequence(F.lit(0), F.col("rk") - 1))).select("block", F.col("chunk").alias("x"), "y", "v", "comp", F.lit(False).alias("query"))
-    asking = comp.filter("rest").withColumn("y", F.pmod(F.xxhash64("v", F.lit(5)), F.col("rk")).cast("int"))
-    asking = asking.withColumn("x", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select("block", "x", "y", "v", "comp", F.lit(True).alias("query"))
-    two = _join(asked.unionByName(asking).join(sets.select("v", "n", "keys"), "v"), t)
-    return components(one.unionByName(two))
+    comp = comp.join(main, "block").withColumn("rest", F.col("comp") != F.col("main")).select("block", "v", "comp", "rest")
+    # A pair to be found shares a prefix shingle, so the rest can ask those
+    # that share one with it, or all chunks of its block: whichever has fewer
+    # pairs.  Copies share many shingles, a chain of unlike sets few.
+    met = lot.join(comp, "v")
+    shared = met.groupBy("block", "k").agg(F.count("*").alias("n"), F.count_if("rest").alias("r")).filter("r > 0 AND n > 1")
+    by_key = shared.groupBy("block").agg(F.sum(F.col("n").cast("double") * F.col("r")).alias("pairs"))
+    counts = comp.groupBy("block").agg(F.count("*").alias("n"), F.count_if("rest").alias("r")).filter("r > 0")
+    by_chunk = F.col("n").cast("double") * F.col("r")
+    way = materialize(counts.join(by_key, "block", "left").withColumn("keys", F.coalesce(F.col("pairs") < by_chunk, F.lit(False))).select("block", "keys", "n", "r"), "ways")
+    few = comp.join(way.filter("NOT keys"), "block").select("v", "comp", "rest", F.col("block"), "n", "r")
+    many = met.join(way.filter("keys").select("block"), "block", "left_semi").join(shared, ["block", "k"]).select("v", "comp", "rest", F.col("k").alias("block"), "n", "r")
+    return components(one.unionByName(_asked(few, sets, t)).unionByName(_asked(many, sets, t)))
+
+
+def _asked(members: DataFrame, sets: DataFrame, t: tuple[int, int]) -> DataFrame:
+    """Links from the rest of each block to all its members (v, comp, rest,
+    block, n, r: members and rest of the block), in chunks of BLOCK of either."""
+    lots = {"x": F.ceil(F.col("n") / BLOCK), "y": F.ceil(F.col("r") / BLOCK)}
+    every = lambda c: F.explode(F.sequence(F.lit(0), lots[c].cast("int") - 1)).alias(c)
+    own = lambda c, seed: F.pmod(F.xxhash64("v", F.lit(seed)), lots[c].cast("bigint")).cast("int").alias(c)
+    asked = members.select("block", own("x", 4), every("y"), "v", "comp", F.lit(False).alias("query"))
+    asking = members.filter("rest").select("block", every("x"), own("y", 5), "v", "comp", F.lit(True).alias("query"))
+    return _join(asked.unionByName(asking).join(sets.select("v", "n", "keys"), "v"), t)
 
 
 def join_similar(docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = WORDS, t: tuple[int, int] = SIMILAR) -> DataFrame:

@@ -92,6 +92,21 @@ def test_components_are_those_of_all_pairs(spark, monkeypatch, block, heavy, flu
     assert got == {i: (len(s), g) for i, (s, g) in enumerate(zip(sets, h.groups(sets), strict=True))}
 
 
+def test_a_chain_of_unlike_sets_asks_by_shingle(spark, monkeypatch):
+    """Sets that share a shingle with the next one only are one block; what is
+    alike in it is found though the chain is long."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    words = lambda i: [f"c{i}x{k}" for k in range(40)]
+    texts = []
+    for i in range(60):
+        texts.append(" ".join(words(i)[:30] + [f"link{i}w{k}" for k in range(12)] + [f"link{i + 1}w{k}" for k in range(12)]))
+    for i in (3, 30, 57):
+        texts.append(texts[i].replace(f"c{i}x29", "other"))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x.component_id for x in ngram_join.join_similar(docs).collect()}
+    assert got == dict(enumerate(h.groups([h.shingles(x) for x in texts]))) and got[60] == 3 and got[62] == 57
+
+
 def test_join_of_odd_and_of_no_rows(spark):
     docs = h.odd_documents(spark)
     assert ngram_join.join_similar(docs).count() == docs.count()
