@@ -108,7 +108,7 @@ def postings(docs: DataFrame, buckets: int, key: str, text: str, k: int) -> Data
         local = np.repeat(np.arange(len(first), dtype=np.uint16), size[first])
         bucket = (tokens % U(buckets)).astype(np.int32)
         tokens = (tokens // U(buckets)) & LOW48
-        order = np.lexsort((tokens, bucket))
+        order = np.argsort(bucket.astype(U) << U(48) | tokens) if buckets <= 1 << 16 else np.lexsort((tokens, bucket))
         tokens, local, bucket = tokens[order], local[order], bucket[order]
         begin = np.flatnonzero(np.r_[True, (tokens[1:] != tokens[:-1]) | (bucket[1:] != bucket[:-1])])
         count = np.diff(np.r_[begin, len(tokens)])
