@@ -39,6 +39,9 @@ from .trie import ask, links, stars
 #: Words of a shingle; similarity of 75 per 100 and more; sets that a task
 #: joins at once; vertices, about, that all chunks of a large block hold.
 WORDS, SIMILAR, BLOCK, HUBS = 5, (75, 100), 1500, 10
+#: Pairs of a large block's rest with all its sets up to which it asks all
+#: chunks without counting what it shares; either way gives the same links.
+PAIRS = 50_000_000
 #: Postings that a task gathers before it deals them out; vertices of a shingle
 #: in them from which they are not sent to its bucket.
 FLUSH, HEAVY = 1_500_000, 256
@@ -308,14 +311,19 @@ def similar_roots(sets: DataFrame, t: tuple[int, int]) -> DataFrame:
     sizes = comp.groupBy("block", "comp").agg(F.count("*").alias("c"))
     main = sizes.groupBy("block").agg(F.max_by("comp", F.struct("c", "comp")).alias("main"))
     comp = comp.join(main, "block").withColumn("rest", F.col("comp") != F.col("main")).select("block", "v", "comp", "rest")
+    counts = comp.groupBy("block").agg(F.count("*").alias("n"), F.count_if("rest").alias("r")).filter("r > 0")
+    by_chunk = F.col("n").cast("double") * F.col("r")
+    most = counts.agg(F.max(by_chunk)).first()[0]
+    if most is None:
+        return root
+    if most <= PAIRS:
+        return components(one.unionByName(_asked(comp.join(counts, "block"), sets, t)))
     # A pair to be found shares a prefix shingle, so the rest can ask those
     # that share one with it, or all chunks of its block: whichever has fewer
     # pairs.  Copies share many shingles, a chain of unlike sets few.
     met = lot.join(comp, "v")
     shared = met.groupBy("block", "k").agg(F.count("*").alias("n"), F.count_if("rest").alias("r")).filter("r > 0 AND n > 1")
     by_key = shared.groupBy("block").agg(F.sum(F.col("n").cast("double") * F.col("r")).alias("pairs"))
-    counts = comp.groupBy("block").agg(F.count("*").alias("n"), F.count_if("rest").alias("r")).filter("r > 0")
-    by_chunk = F.col("n").cast("double") * F.col("r")
     way = materialize(counts.join(by_key, "block", "left").withColumn("keys", F.coalesce(F.col("pairs") < by_chunk, F.lit(False))).select("block", "keys", "n", "r"), "ways")
     few = comp.join(way.filter("NOT keys"), "block").select("v", "comp", "rest", F.col("block"), "n", "r")
     many = met.join(way.filter("keys").select("block"), "block", "left_semi").join(shared, ["block", "k"]).select("v", "comp", "rest", F.col("k").alias("block"), "n", "r")

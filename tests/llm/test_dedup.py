@@ -73,9 +73,9 @@ def test_twins_of_windows():
     assert [sum(f for (_, d), (_, f) in told.items() if d == k) for k in range(3)] == [1, 1, 2]
 
 
-@pytest.mark.parametrize("block,heavy,flush", [(6, 256, 10**6), (1500, 2, 300), (6, 3, 100), (1500, 256, 10**6)])
-def test_components_are_those_of_all_pairs(spark, monkeypatch, block, heavy, flush):
-    for k, v in {"BLOCK": block, "HEAVY": heavy, "FLUSH": flush}.items():
+@pytest.mark.parametrize("block,heavy,flush,pairs", [(6, 256, 10**6, 0), (6, 256, 10**6, 10**9), (1500, 2, 300, 0), (6, 3, 100, 0)])
+def test_components_are_those_of_all_pairs(spark, monkeypatch, block, heavy, flush, pairs):
+    for k, v in {"BLOCK": block, "HEAVY": heavy, "FLUSH": flush, "PAIRS": pairs}.items():
         monkeypatch.setattr(ngram_join, k, v)
     r = random.Random(5)
     vocabulary, texts = [f"w{i}" for i in range(400)], list(h.odd_texts())
@@ -96,6 +96,7 @@ def test_a_chain_of_unlike_sets_asks_by_shingle(spark, monkeypatch):
     """Sets that share a shingle with the next one only are one block; what is
     alike in it is found though the chain is long."""
     monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    monkeypatch.setattr(ngram_join, "PAIRS", 0)
     words = lambda i: [f"c{i}x{k}" for k in range(40)]
     texts = []
     for i in range(60):
