@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, ngram_join, packing, quality, sharding, suffix_dedup, token_counts, urls, warc
+from . import decontamination, html_text, ngram_join, packing, quality, sharding, suffix_dedup, token_counts, urls, vector_links, warc, whitening
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_warc": warc.op8_warc,
     "op9_packing": packing.op9_packing,
     "op10_sharding": sharding.op10_sharding,
+    "op11_vector_links": vector_links.op11_vector_links,
+    "op12_whitening": whitening.op12_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
