@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontamination, html_text, ngram_join, packing, quality, sharding, suffix_dedup, token_counts, urls, vector_links, warc, whitening
+from . import alignment, decontamination, html_text, ngram_join, packing, quality, sharding, suffix_dedup, token_counts, urls, vector_links, warc, whitening
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_sharding": sharding.op10_sharding,
     "op11_vector_links": vector_links.op11_vector_links,
     "op12_whitening": whitening.op12_whitening,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
