@@ -197,13 +197,13 @@ def _compare(placed: DataFrame, n_passes: int, window: int, limit: float, kind:
         tied = label[some] != some
         return pa.Table.from_pydict({"c": c[some], "links": links[some].astype(np.int64), "root": pa.array(c[label[some]], mask=~tied), "full": full[some]})
 
-    rows = placed.select("c", "dims", "n", "v", "blocks", F.posexplode("blocks").alias("pass", "block")).withColumn("pass", F.col("pass").cast("long"))
     own = F.expr(f"block div {RUN}")
     tasks = F.when(F.col("block") % RUN == RUN - 1, F.array(own, own + 1)).otherwise(F.array(own))
-    rows = rows.withColumn("task", F.explode(tasks))
     out = None
     for first in range(0, n_passes, AT_ONCE):
-        some = materialize(group_arrow(rows.filter(F.col("pass").between(first, first + AT_ONCE - 1)), run, schema, by="task"), "links")
+        rows = placed.select("c", "dims", "n", "v", "blocks", F.posexplode(F.slice("blocks", first + 1, AT_ONCE)).alias("pass", "block"))
+        rows = rows.withColumn("pass", F.col("pass").cast("long") + first).withColumn("task", F.explode(tasks))
+        some = materialize(group_arrow(rows, run, schema, by="task"), "links")
         out = some if out is None else out.unionByName(some)
     return out
 
