@@ -87,6 +87,13 @@ def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def text_hashes(text: Column) -> tuple[Column, Column]:
+    """Two hashes of a text that together tell texts apart: Spark's hash of
+    several columns takes the first one's as the next one's seed, so a second
+    hash that begins with the text would be a function of the first."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
 def parts(spark: SparkSession) -> int:
     """Partitions to deal a shuffle into: the session's setting, which a
     cluster sets in proportion to its data."""

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import chunks, column_bytes, map_arrow, materialize
+from .common import chunks, column_bytes, map_arrow, materialize, text_hashes
 from .decontamination import contaminated
 from .ngram_join import join_similar
 from .packing import pack_documents
@@ -85,7 +85,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     rows go or stay together; an empty table, or an empty benchmark, changes
     nothing; columns of docs may have any names.
     """
-    hashes = [F.xxhash64("text").alias("v"), F.xxhash64("text", F.lit(1)).alias("w")]
+    hashes = [h.alias(n) for h, n in zip(text_hashes(F.col("text")), ("v", "w"), strict=True)]
     key = F.struct(*hashes).alias("key")
     found = contaminated(docs.select(key, "text"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), key="key")
     # Written, its size is known before texts would be dealt out for a join.

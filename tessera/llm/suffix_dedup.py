@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import chunks, column_bytes, group_arrow, map_arrow, materialize, parts
+from .common import chunks, column_bytes, group_arrow, map_arrow, materialize, parts, text_hashes
 from .hashing import U, mix, prefix, spans
 from .suffix_sort import runs, twins
 
@@ -400,7 +400,7 @@ def mark_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     docs = docs.drop("spans")
     raw = F.coalesce(F.col(text), F.lit(""))
-    hashes = {"_v": F.xxhash64(raw), "_w": F.xxhash64(raw, F.octet_length(raw), F.lit(1))}
+    hashes = dict(zip(("_v", "_w"), text_hashes(raw), strict=True))
     # The smallest number of a hash of the other columns tells copies apart.
     plain = docs.select(raw.alias("text"), *(h.alias(n) for n, h in hashes.items()), F.xxhash64(*(c for c in docs.columns if c != text), F.lit(0)).alias("_id"))
     found, one, copies = repeated_spans(plain)

@@ -4,7 +4,8 @@ import re
 
 import corpus_pipeline
 import numpy as np
-from tessera.llm import packing, quality, suffix_dedup, tokens
+from pyspark.sql import functions as F
+from tessera.llm import common, packing, quality, stages, suffix_dedup, tokens
 from tests.llm import helpers as h
 
 
@@ -52,3 +53,25 @@ def test_stages_follow_each_other(spark, tmp_path):
     total = sum(len(library.encode(r[1], add_special_tokens=False).ids) + 1 for r in rows)
     assert sum(r.length for r in got) == total
     assert np.max([r.offset + r.length for r in got]) <= packing.CAPACITY
+
+
+def test_texts_with_one_first_hash_are_told_apart(spark, tmp_path, monkeypatch):
+    """Of documents whose first hashes are all one, only those that quote an
+    item go, and only whole copies are cut."""
+    real = common.text_hashes
+    one = lambda c: (F.lit(7).cast("long"), real(c)[1])
+    monkeypatch.setattr(stages, "text_hashes", one)
+    monkeypatch.setattr(suffix_dedup, "text_hashes", one)
+    item = " ".join(f"bench{i}" for i in range(12))
+    texts = {1: "quoting " + item, 2: "clean words of a text", 3: None, 4: "a " * 150 + "b", 5: "c " * 150 + "d", 6: "e " * 150 + "f", 7: "e " * 150 + "f"}
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t or "")) for k, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert sorted(r.doc_id for r in stages.decontamination(spark, docs, str(tmp_path)).collect()) == [2, 3, 4, 5, 6, 7]
+    copies = suffix_dedup.mark_repeats(docs.filter("doc_id IN (2, 3, 6, 7)"))
+    assert {r.doc_id: [tuple(x) for x in r.spans] for r in copies.collect()} == {2: [], 3: [], 6: [(0, 301)], 7: [(0, 301)]}
+
+
+def test_the_second_hash_is_no_function_of_the_first(spark):
+    v, w = common.text_hashes(F.col("t"))
+    r = spark.createDataFrame([("a text",)], "t string").select("t", v.alias("v"), w.alias("w"))
+    assert r.select(F.col("w") != F.xxhash64("t", F.lit(1)), F.col("v") != F.col("w")).first()[:] == (True, True)
