@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numbers import benchmark_close, names_agree, units_agree
+from ..sources.work import written
 from .match import greedy
 
 #: Names of one compound, and words of species by group.
@@ -111,12 +112,12 @@ def for_listing(pairs: DataFrame) -> DataFrame:
 def scores(prediction: DataFrame, gold: DataFrame, doc: str) -> DataFrame:
     """A row for each document that either side has: counts, strict and
     partial precision, recall and F1, and accuracies, in percent."""
-    pairs = near_pairs(prediction, gold, doc)
+    pairs = written(partial(near_pairs(prediction, gold, doc)), "near-pairs")  # three branches read them
     hit = greedy(strict(pairs), doc).join(pairs, [doc, "pred", "ref"])
     same = lambda c: F.count_if(F.col("p_" + c) == F.col("g_" + c))
     ci = F.col("g_ci_low").isNotNull() & benchmark_close(F.col("p_ci_low"), F.col("g_ci_low")) & benchmark_close(F.col("p_ci_high"), F.col("g_ci_high"))
     won = hit.groupBy(doc).agg(F.count("*").alias("strict_tp"), F.count_if(units_agree(F.col("p_unit"), F.col("g_unit"))).alias("_unit"), same("species").alias("_species"), same("compound").alias("_compound"), F.count_if(ci).alias("_ci"))
-    part = greedy(partial(pairs), doc).groupBy(doc).agg(F.count("*").alias("partial_tp"))
+    part = greedy(pairs, doc).groupBy(doc).agg(F.count("*").alias("partial_tp"))
     n_gold = gold.groupBy(doc).agg(F.count("*").alias("ground_truth_count"), F.count("ci_low").alias("_cis"))
     n_pred = prediction.groupBy(doc).agg(F.count("*").alias("extracted_count"))
     x = n_gold.join(n_pred, doc, "full").join(won, doc, "left").join(part, doc, "left").na.fill(0)

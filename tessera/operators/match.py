@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import f1, ratio
+from ..sources.work import written
 
 
 def candidates(reference: DataFrame, prediction: DataFrame, doc: str, names: list[tuple[str, int]], context: list[str], bonus: list[str] | None = None) -> DataFrame:
@@ -88,27 +89,36 @@ def unmatched(side: DataFrame, used: DataFrame, on: list[str]) -> DataFrame:
     return side.join(used, on, "left_anti")
 
 
+#: Rounds of greedy() between two looks at what is left.
+ROUNDS = 4
+
+
 def greedy(pairs: DataFrame, doc: str, order: tuple[str, str] = ("pred", "ref")) -> DataFrame:
     """Of acceptable pairs (doc, pred, ref): each prediction, in order, takes
     the first reference that no prediction before it has taken.
 
-    Which reference is taken hangs on all predictions before, so a document's
-    acceptable pairs are one group; they are sorted by Spark and streamed, and
-    only the references taken so far are held.
+    In rounds of windows, all documents at once.  A prediction stands at a
+    place of its list of references; of those that stand at one reference the
+    first stays and the others go on by one, for good, as a reference only
+    ever changes to an earlier prediction.  Predictions with equal lists take
+    references in their own order, so each stands at least one place after the
+    one before it: a block in which everything matches everything is settled
+    in one round, not in one a prediction.  Pairs with a null are nothing,
+    repeated ones are one.
     """
-    import pyarrow as pa
-
     first, second = order
-
-    def run(key, rows):
-        a, b = (rows.column(c).to_pylist() for c in order)
-        used, done, out = set(), set(), []
-        for x, y in sorted(zip(a, b, strict=True)):
-            if x not in done and y not in used:
-                done.add(x)
-                used.add(y)
-                out.append((x, y))
-        x, y = zip(*out, strict=True) if out else ((), ())
-        return pa.table({doc: pa.array([key[0].as_py()] * len(out), pa.int64()), first: pa.array(x, pa.int32()), second: pa.array(y, pa.int32())})
-
-    return pairs.select(doc, *order).groupBy(doc).applyInArrow(run, f"{doc} long, {first} int, {second} int")
+    lists = pairs.select(doc, first, second).dropna().groupBy(doc, first).agg(F.sort_array(F.collect_set(second)).alias("_list"))
+    equal = Window.partitionBy(doc, "_list").orderBy(first)
+    state = written(lists.withColumn("_nth", F.row_number().over(equal)).withColumn("_at", F.col("_nth")), "greedy")
+    stands = F.try_element_at("_list", F.col("_at"))
+    while True:
+        for _ in range(ROUNDS):
+            here = state.withColumn("_ref", stands)
+            lost = F.col("_ref").isNotNull() & (F.min(first).over(Window.partitionBy(doc, "_ref")) < F.col(first))
+            here = here.withColumn("_go", F.col("_at") + F.when(lost, 1).otherwise(0))
+            ahead = F.max(F.col("_go") - F.col("_nth")).over(equal.rowsBetween(Window.unboundedPreceding, 0))
+            state = here.select(doc, first, "_list", "_nth", (F.col("_nth") + ahead).alias("_at"))
+        state = written(state, "greedy")
+        taken = state.select(doc, first, stands.alias(second)).filter(F.col(second).isNotNull())
+        if taken.groupBy(doc, second).count().filter("count > 1").isEmpty():
+            return taken

@@ -1,5 +1,6 @@
 """Operators on small rows with known results."""
 
+import random
 import json
 
 import numpy as np
@@ -71,6 +72,28 @@ def test_greedy_takes_each_reference_once(spark):
     assert sorted((r.doc, r.pred, r.ref) for r in got) == [(1, 0, 0), (1, 1, 1), (2, 0, 5)]
 
 
+def taken_in_order(pairs):
+    """The sequential greedy, a prediction after another."""
+    out, used, done = set(), set(), set()
+    for d, p, r in sorted({x for x in pairs if None not in x}):
+        if (d, p) not in done and (d, r) not in used:
+            done.add((d, p))
+            used.add((d, r))
+            out.add((d, p, r))
+    return out
+
+
+def test_greedy_in_rounds_is_the_sequential_one(spark):
+    r = random.Random(11)
+    pairs = [(d, r.randrange(25), r.randrange(25)) for d in range(40) for _ in range(r.choice((3, 30, 200)))]
+    pairs += [(100, p, q) for p in range(60) for q in (p, p + 1)]  # a chain: each is free for the next
+    pairs += [(101, p, q) for p in range(40) for q in range(40 - p)] + [(102, None, 1), (102, 1, None), (None, 1, 1)]
+    pairs += [(103, p, q) for p in range(317) for q in range(316)]  # 100,000 pairs of one document, all acceptable
+    got = [tuple(x) for x in match.greedy(spark.createDataFrame(pairs, "doc long, pred int, ref int"), "doc").collect()]
+    assert len(got) == len(set(got)) and set(got) == taken_in_order(pairs)
+    assert match.greedy(spark.createDataFrame([], "doc long, pred int, ref int"), "doc").count() == 0
+
+
 def test_names_and_symbols_are_sets_and_tables_a_bonus(spark):
     s = "doc long, ord int, names array<string>, symbols array<string>, species string, source string"
     ref = spark.createDataFrame([(1, 0, ["clearance", "cl"], ["cl"], "rat", "t1"), (1, 1, ["volume"], [], None, None)], s)
