@@ -187,6 +187,40 @@ def test_the_cell_whose_paths_speak_most(spark):
     assert pick(cell_id="gone", compound="PFOA", column_path=["PFOA"]) == "b"
 
 
+def test_cells_by_keys_are_those_of_all_pairs(spark):
+    """Numbers near each other, near zero and of either sign, texts in one
+    another, with and without numbers on either side: every pair is looked at."""
+    r = random.Random(7)
+    number = lambda: r.choice((None, 0.0, 5e-10, r.uniform(-2e-6, 2e-6), r.choice((1, -1)) * 10 ** r.uniform(-7, 6)))
+    word = lambda: r.choice(("nd", "not done", "done", "abc", "xabcx", "ab", "see note", "note", "", "  ", "5 a", "1e-7", "-3"))
+    base = [number() or 1.0 for _ in range(30)]
+    value = lambda: r.choice((None, number(), r.choice(base) * r.uniform(0.96, 1.04), r.choice(base)))
+    tables_, rows = [], []
+    for d in range(25):
+        of = [(f"c{i}", "", "", word(), value()) for i in range(r.choice((1, 4, 12)))]
+        tables_.append(CITED | {"doc": d, "cells": of, "rows": [], "columns": []})
+        rows += [ROW | {"doc": d, "ord": i, "value": value(), "value_text": word(), "cell_id": None, "row_id": None, "column_id": None} for i in range(12)]
+
+    def scraped(t):
+        import re
+
+        x = re.sub(r"[^0-9.\-eE+]", "", t.split()[0]) if t.split() else ""
+        return float(x) if re.fullmatch(r"[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?", x) else None
+
+    want = {}
+    for p in rows:
+        low, num = p["value_text"].strip().lower(), p["value"] if p["value"] is not None else scraped(p["value_text"].strip())
+        for c, _, _, text, v in tables_[p["doc"]]["cells"]:
+            other, n = text.strip().lower(), v if v is not None else scraped(text.strip())
+            near = num is not None and n is not None and abs(num - n) <= max(abs(num), abs(n)) * 0.03 + 1e-9
+            alike = (num is None or n is None) and low and other and (low == other or min(len(low), len(other)) >= 3 and (low in other or other in low))
+            if near or alike:
+                want[p["doc"], p["ord"]] = c
+                break
+    got = evidence.match_cell(spark.createDataFrame(rows, FLAT), spark.createDataFrame(tables_, TABLE), "doc").collect()
+    assert {(x.doc, x.ord): x.cell.cell_id for x in got if x.cell} == want and len(got) == len(rows)
+
+
 def test_the_last_table_of_a_name_is_cited(spark):
     t = spark.createDataFrame([CITED, CITED | {"table_ord": 2, "table_id": "Table 1"}], TABLE)
     p = spark.createDataFrame([ROW | {"ord": i, "source_table": s} for i, s in enumerate(("table 1", "Table 1", "Table 1: values", "Figure 1", None))], FLAT)
