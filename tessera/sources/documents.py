@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Columns of a flat parameter record, in Spark types.
@@ -64,24 +64,60 @@ def pending(todo: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return todo.join(done.select(key).distinct(), key, "left_anti")
 
 
-def _held(inner: DataFrame, outer: DataFrame, i: str, o: str) -> DataFrame:
-    """Pairs in which outer's text holds inner's, at any place: outer's
-    substrings of the lengths that inner has, met with inner."""
-    sizes = inner.agg(F.collect_set(F.length(i)).alias("_sizes"))
-    at = lambda n: F.transform(F.sequence(F.lit(1), F.length(o) - n + 1), lambda k: F.col(o).substr(k, n))
-    parts = F.flatten(F.transform(F.filter("_sizes", lambda n: n <= F.length(o)), at))
-    return outer.crossJoin(F.broadcast(sizes)).withColumn(i, F.explode(F.array_distinct(parts))).drop("_sizes").join(inner, i)
+#: Characters of the runs that names are indexed by.
+GRAM = 3
+
+
+def _grams(c: str, n: int = GRAM) -> Column:
+    """The different runs of n characters of a name."""
+    at = lambda i: F.substring(c, i, F.lit(n))
+    return F.when(F.length(c) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - n + 1), at))).otherwise(F.array().cast("array<string>"))
+
+
+def holding(inner: DataFrame, outer: DataFrame, i: str, o: str) -> DataFrame:
+    """Pairs (i, o) in which outer's name holds inner's of GRAM characters and
+    more, at any place.  Outer's runs are the index; inner's name is looked up
+    by that of its runs that the fewest names have, and compared whole."""
+    index = outer.select(o, F.explode(_grams(o)).alias("_g"))
+    common = index.groupBy("_g").count()
+    rare = inner.select(i, F.explode(_grams(i)).alias("_g")).join(common, "_g").groupBy(i).agg(F.min_by("_g", F.struct("count", "_g")).alias("_g"))
+    return rare.join(index, "_g").filter(F.contains(o, i)).select(i, o)
 
 
 def associate(names: DataFrame, paths: DataFrame, name: str, stem: str) -> DataFrame:
-    """Each name's file: an equal stem first, else one that holds the name or
-    that the name holds, the shortest.  Both tables are lists of files of one
-    corpus."""
-    n = names.select(name, F.lower(name).alias("_n")).distinct()
-    p = paths.select(stem, F.lower(stem).alias("_p")).distinct()
-    c = _held(p, n, "_p", "_n").unionByName(_held(n, p, "_n", "_p"))
-    best = c.groupBy(name).agg(F.min_by(stem, F.struct((F.col("_n") != F.col("_p")).alias("a"), F.length("_p").alias("b"), F.col("_p").alias("c"))).alias("file"))
-    return names.join(best, name, "left")
+    """names with `file`: an equal stem (but for case) first, else the
+    shortest that holds the name or that the name holds, the first of equals;
+    null without one.
+
+    Of stems that differ in case alone the smallest counts; an empty name is in
+    all.  Names under GRAM characters are runs themselves: of all stems that
+    hold such a name only the best is kept, before anything is joined.
+    """
+    n = names.select(F.lower(name).alias("_n")).dropna().distinct()
+    p = paths.dropna(subset=[stem]).groupBy(F.lower(stem).alias("_p")).agg(F.min(stem).alias("_file"))
+    runs = lambda c: F.concat(F.array(F.lit("")), *(_grams(c, k) for k in range(1, GRAM)))
+    best = F.struct(F.length("_p").alias("l"), F.col("_p").alias("p"))
+    short = p.select("_p", F.explode(runs("_p")).alias("_n")).groupBy("_n").agg(F.min(best).alias("b")).join(n, "_n").select("_n", F.col("b.p").alias("_p"))
+    within = n.select("_n", F.explode(runs("_n")).alias("_p")).join(p.select("_p"), "_p").select("_n", "_p")
+    equal = n.join(p.select("_p"), F.col("_n") == F.col("_p"))
+    long = holding(n, p.select("_p"), "_n", "_p").unionByName(holding(p.select("_p"), n, "_p", "_n"))
+    all_ = long.unionByName(short).unionByName(within).unionByName(equal)
+    found = all_.groupBy("_n").agg(F.min_by("_p", F.struct((F.col("_n") != F.col("_p")).alias("a"), F.length("_p").alias("b"), F.col("_p").alias("c"))).alias("_p"))
+    files = found.join(p, "_p").select(F.col("_n").alias("_lower"), F.col("_file").alias("file"))
+    return names.join(files, F.lower(name) == F.col("_lower"), "left").drop("_lower")
+
+
+def json_rows(spark: SparkSession, path: str, record: str) -> DataFrame:
+    """One scan of files of JSON lines: the fields of `record` (a DDL), `error`
+    (the text of a line that is no record, else null), and `file`."""
+    parsed = F.from_json("value", f"{record}, error string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "error"})
+    return spark.read.text(path).select(parsed.alias("r"), F.col("_metadata.file_path").alias("file")).select("r.*", "file")
+
+
+def scan_report(rows: DataFrame, *by: str) -> DataFrame:
+    """How many lines of each file (or of what `by` names) are records and how
+    many are not, and the smallest of these; a file never stops the others."""
+    return rows.groupBy(*(by or ("file",))).agg(F.count_if(F.col("error").isNull()).alias("records"), F.count("error").alias("errors"), F.min("error").alias("first_error"))
 
 
 def xml_metadata(articles: DataFrame, xml: str = "xml") -> DataFrame:

@@ -1,8 +1,8 @@
-"""Sinks: documents, reports, quoted CSV, Markdown."""
+"""Sinks: documents, reports, quoted CSV, Markdown, published partitions."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,47 @@ def write_quoted_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", "true").option("quoteAll", "true").option("escape", '"').csv(path)
 
 
+def read_quoted_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What write_quoted_csv() has written: line breaks and quotes within
+    fields; an empty quoted field is a null, as it is for the writer."""
+    return spark.read.schema(schema).option("header", "true").option("multiLine", "true").option("escape", '"').option("nullValue", "").csv(path)
+
+
+def _digests(df: DataFrame, by: str) -> DataFrame:
+    """By partition: rows and a sum of hashes of whole rows, in any order."""
+    columns = sorted(c for c in df.columns if c != by)
+    return df.groupBy(F.col(by).cast("string").alias(by)).agg(F.count("*").alias("rows"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("digest"))
+
+
+def publish(df: DataFrame, path: str, by: str) -> None:
+    """Replace the partitions of `by` that df has, and no others, and note
+    what they hold in a manifest beside them; partition values are texts."""
+    out = df.withColumn(by, F.col(by).cast("string"))
+    write = lambda x, name: x.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(f"{path}/{name}")
+    write(out.repartition(by, F.pmod(F.xxhash64(*out.columns), F.lit(8))), "data")  # up to eight files each
+    write(_digests(out, by), "manifest")
+
+
+def published(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """The rows of all partitions."""
+    return spark.read.option("recursiveFileLookup", "false").schema(_typed(spark, f"{path}/data", by)).parquet(f"{path}/data")
+
+
+def _typed(spark: SparkSession, path: str, by: str):
+    """The files' schema with the partition as the text that it was."""
+    from pyspark.sql.types import StringType, StructField, StructType
+
+    return StructType([*(f for f in spark.read.parquet(path).schema if f.name != by), StructField(by, StringType())])
+
+
+def verified(spark: SparkSession, path: str, by: str) -> DataFrame:
+    """(partition, rows, good): whether what is read is what was noted."""
+    noted = spark.read.schema(_typed(spark, f"{path}/manifest", by)).parquet(f"{path}/manifest")
+    read = _digests(published(spark, path, by), by).withColumnsRenamed({"rows": "_rows", "digest": "_digest"})
+    good = F.col("rows").eqNullSafe(F.col("_rows")) & F.col("digest").eqNullSafe(F.col("_digest"))
+    return noted.join(read, by, "full").select(by, F.coalesce("_rows", F.lit(0)).alias("rows"), good.alias("good"))
+
+
 def markdown_table(df: DataFrame, columns: list[str], order: list[str | Column]) -> DataFrame:
     """One row `text`: a table of few rows, such as a benchmark's methods."""
     cells = F.concat(F.lit("| "), F.concat_ws(" | ", *(F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns)), F.lit(" |"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def new_chunks(spark: SparkSession, folder: str, schema: str, key: str = "chunk_id", time: str = "ts", late: str = "1 hour") -> DataFrame:
@@ -14,16 +13,19 @@ def new_chunks(spark: SparkSession, folder: str, schema: str, key: str = "chunk_
     return spark.readStream.schema(schema).parquet(folder).withWatermark(time, late).dropDuplicatesWithinWatermark([key])
 
 
-def run(stream: DataFrame, extract: Callable[[DataFrame], DataFrame], target: str, checkpoint: str, key: str = "chunk_id"):
-    """Write extract(chunk) of what is there now; a batch that comes again
-    after a failure writes nothing for chunks that the target has."""
+def run(stream: DataFrame, extract: Callable[[DataFrame], DataFrame], target: str, checkpoint: str):
+    """Write extract(chunks) of what is there now, a folder a batch.
+
+    What the stream has read, and the keys that it has seen, are in the
+    checkpoint; a batch that comes again after a failure replaces its own
+    folder.  So each chunk is extracted once, and the target is never read.
+    """
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        todo = batch
-        if fs.exists(path):
-            todo = batch.join(spark.read.parquet(target).select(key).distinct(), key, "left_anti")
-        extract(todo).withColumn("batch", F.lit(number)).write.mode("append").parquet(target)
+        extract(batch).write.mode("overwrite").parquet(f"{target.rstrip('/')}/batch={number}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def results(spark: SparkSession, target: str) -> DataFrame:
+    """All batches' rows, with `batch`."""
+    return spark.read.parquet(target)
