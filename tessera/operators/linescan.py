@@ -1,120 +1,127 @@
 """Tables that a page's text has as lines: a caption, headings, and a name, a
 symbol and numbers on lines of their own.
 
-What a line means hangs on the lines before it (which caption is open, what
-was consumed as a value), so a page is read in order; a page is one row, so
-pages are independent and nothing is shuffled.
+Lines are rows.  What a line is follows from itself; which table it is in, and
+what that table has said of species and columns, from windows over the lines
+before; what a name takes from the seven lines after it.  A line that a name
+has taken is no name: lines that no reach of an earlier one touches begin
+islands, and only within these few lines is anything settled in order.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.classify import COMPOUNDS, FORMULATIONS, LIFE_STAGES, NO_COMPOUNDS, SPECIES
+from ..functions.classify import FORMULATIONS, LIFE_STAGES, SPECIES, acronyms, first_label
 from .repair import keep_first
 
-#: What opens and closes a table, tables of outcomes, and lines
-#: that are headings.
-CAPTION = re.compile(r"Table\s+(?:\d+|[IVX]+|S\d+)\b", re.IGNORECASE)
+#: What opens and closes a table, tables of outcomes, lines that
+#: are headings, and words that are no symbols.
+CAPTION = r"(?i)^Table\s+(?:\d+|[IVX]+|S\d+)\b"
 CLOSING = ("Figure", "References", "Discussion", "Funding", "Declaration")
 OUTCOMES = ("pod", "benchmark dose", "bmd", "sensitivity analysis")
-HEADINGS = frozenset(("species", "type of variable", "variable", "name", "mean (95% ci)", "mean", "source", "parameter", "value", "unit", "physiological", "chemical-specific"))
-NO_SYMBOL = frozenset(("species", "variable", "name", "source"))
-
-_NUMBER = r"[+-]?\d+(?:\.\d+)?"
-_VALUE = re.compile(rf"({_NUMBER}(?:[eE][+-]?\d+)?)(?:\s*\(\s*({_NUMBER})\s*,\s*({_NUMBER})\s*\))?")
-_SCRUB = re.compile(r"\((?:19|20)\d{2}[a-z]?\)|(?i:et\s+al)\.?,?\s*(?:19|20)\d{2}[a-z]?")
-_EXPONENT = re.compile(r"kg\^?0\.\d+")
-_PATTERNS = {n: [(re.compile(p), v) for p, v in t] for n, t in (("species", SPECIES), ("life_stage", LIFE_STAGES), ("formulation", FORMULATIONS))}
-_KNOWN = [(re.compile(rf"\b{re.escape(c)}\b", re.IGNORECASE), c.upper()) for c in COMPOUNDS]
-
-#: Characters of a heading line that may name columns, of a symbol, and lines
-#: from a name on that may hold its symbol and values.
-COLUMNS_LINE, SYMBOL, AHEAD = 30, 12, 8
-
-
-def _first(kind: str, line: str, default: str | None) -> str | None:
-    return next((v for p, v in _PATTERNS[kind] if p.search(line)), default)
-
-
-def compounds_in(line: str) -> list[str]:
-    """Known compounds of a line, then its other acronyms."""
-    out = dict.fromkeys(name for p, name in _KNOWN if p.search(line))
-    out |= dict.fromkeys(x for x in re.findall(r"\b[A-Z]{3,8}\b", line) if x not in NO_COMPOUNDS)
-    return list(out)
-
-
-def number(line: str) -> tuple[float, float | None, float | None] | None:
-    """A line's leading value and its interval, without citations' years."""
-    m = _VALUE.match(_EXPONENT.sub("kg", _SCRUB.sub("", line)).strip())
-    return m and (float(m[1]), float(m[2]) if m[2] else None, float(m[3]) if m[3] else None)
-
-
-def records(page: str) -> Iterator[tuple]:
-    """(name, symbol, value, low, high, value_text, unit, caption, species,
-    compound, life_stage, formulation) of a page, in its order."""
-    lines = [x for x in (y.strip() for y in page.split("\n")) if x]
-    table: dict | None = None
-    at = 0
-    while at < len(lines):
-        line, here = lines[at], at
-        at += 1
-        if CAPTION.match(line):
-            table = {"caption": line[:100], "columns": compounds_in(line), "species": _first("species", line, "human"), "life_stage": _first("life_stage", line, None), "formulation": _first("formulation", line, None)}
-            continue
-        if table and any(x in line for x in CLOSING):
-            table = None
-        if table is None or any(x in table["caption"].lower() for x in OUTCOMES):
-            continue
-        for kind in _PATTERNS:
-            table[kind] = _first(kind, line, table[kind])
-        if len(line) < COLUMNS_LINE:
-            table["columns"] += [c for c in compounds_in(line) if c not in table["columns"]]
-        if line.lower() in HEADINGS or len(line) <= 2:
-            continue
-        nxt, symbol = here + 1, ""
-        if nxt < len(lines) and len(lines[nxt]) < SYMBOL and not lines[nxt][0].isdigit() and lines[nxt].lower() not in NO_SYMBOL:
-            symbol, nxt = lines[nxt], nxt + 1
-        found = []
-        while nxt < min(len(lines), here + AHEAD) and (v := number(lines[nxt])):
-            found.append((v, lines[nxt]))
-            nxt += 1
-        if not found:
-            continue
-        at = nxt
-        unit = re.search(r"\(([^)]+)\)", line)
-        for k, ((value, low, high), text) in enumerate(found):
-            column = table["columns"][k] if k < len(table["columns"]) else next(iter(table["columns"]), None)
-            yield line, symbol, value, low, high, text, unit[1].strip() if unit else "dimensionless", table["caption"], table["species"], column, table["life_stage"], table["formulation"]
-
-
-FIELDS = "name string, symbol string, value double, low double, high double, value_text string, unit string, caption string, species string, compound string, life_stage string, formulation string"
+HEADINGS = ("species", "type of variable", "variable", "name", "mean (95% ci)", "mean", "source", "parameter", "value", "unit", "physiological", "chemical-specific")
+NO_SYMBOL = ("species", "variable", "name", "source")
+#: Years of citations and exponents of a body weight, which are
+#: no values.
+CITATION = r"\((?:19|20)\d{2}[a-z]?\)|(?i:et\s+al)\.?,?\s*(?:19|20)\d{2}[a-z]?"
+EXPONENT = r"kg\^?0\.\d+"
+
+_SIGNED = r"[+-]?\d+(?:\.\d+)?"
+VALUE = rf"^({_SIGNED}(?:[eE][+-]?\d+)?)(?:\s*\(\s*({_SIGNED})\s*,\s*({_SIGNED})\s*\))?"
+
+#: Characters of a line that may name columns, and of a symbol, each at most;
+#: lines after a name that it may take; characters of a caption that are kept.
+COLUMNS_LINE, SYMBOL, AHEAD, KEPT = 29, 11, 7, 100
+
+
+def _any(text: Column, words: tuple[str, ...]) -> Column:
+    return F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(text, w))
+
+
+def number(line: Column) -> Column:
+    """struct(value, low, high) of a line's leading value and its interval,
+    without years of citations; null of a line that does not begin so."""
+    clean = F.trim(F.regexp_replace(F.regexp_replace(line, CITATION, ""), EXPONENT, "kg"))
+    part = lambda k: F.nullif(F.regexp_extract(clean, VALUE, k), F.lit("")).cast("double")
+    return F.when(clean.rlike(VALUE), F.struct(part(1).alias("value"), part(2).alias("low"), part(3).alias("high")))
+
+
+def lines(pages: DataFrame, doc: str, page: str, text: str) -> DataFrame:
+    """(doc, page, i, line, number, opens, closes): the lines of each page that
+    say something, and whether one opens a table or closes it; a line that
+    begins with a number does neither."""
+    split = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    x = pages.select(doc, page, F.posexplode(split).alias("i", "line")).withColumn("number", number(F.col("line")))
+    bare = F.col("number").isNull()
+    x = x.withColumn("opens", bare & F.col("line").rlike(CAPTION))
+    return x.withColumn("closes", bare & ~F.col("opens") & _any(F.col("line"), CLOSING))
+
+
+def _in_tables(x: DataFrame, doc: str, page: str) -> DataFrame:
+    """Lines of tables of inputs, from the caption to what closes them."""
+    so_far = Window.partitionBy(doc, page).orderBy("i")
+    x = x.withColumns({"table": F.count_if("opens").over(so_far), "_next": F.collect_list(F.struct("line", "number", "opens", "closes")).over(so_far.rowsBetween(1, AHEAD))}).filter("table > 0")
+    within = Window.partitionBy(doc, page, "table").orderBy("i")
+    x = x.withColumns({"caption": F.substring(F.first("line").over(within), 1, KEPT), "_shut": F.max("closes").over(within)})
+    return x.filter(~F.col("_shut") & ~_any(F.lower("caption"), OUTCOMES)).drop("_shut")
+
+
+def _taken(x: DataFrame) -> DataFrame:
+    """x with what each line would take as a name: `symbol`, `found` (the
+    numbers' lines) and `takes`, how many lines these are."""
+    one = F.get("_next", F.lit(0))
+    of = one["line"]
+    is_symbol = F.coalesce((F.length(of) <= SYMBOL) & ~of.rlike(r"^\d") & ~F.lower(of).isin(*NO_SYMBOL) & ~one["opens"] & ~one["closes"], F.lit(False))
+    x = x.withColumn("symbol", F.when(is_symbol, of).otherwise(""))
+    rest = F.when(F.col("symbol") != "", F.slice("_next", 2, AHEAD)).otherwise(F.col("_next"))
+    x = x.withColumn("_rest", rest)
+    end = F.array_position(F.transform("_rest", lambda r: r["number"].isNull()), True)
+    named = ~F.col("opens") & ~F.lower("line").isin(*HEADINGS) & (F.length("line") > 2)
+    x = x.withColumn("found", F.when(named, F.when(end > 0, F.slice("_rest", F.lit(1), (end - 1).cast("int"))).otherwise(F.col("_rest"))).otherwise(F.slice("_rest", 1, 0)))
+    return x.withColumn("takes", F.when(F.size("found") > 0, F.size("found") + (F.col("symbol") != "").cast("int")).otherwise(0)).drop("_rest", "_next")
+
+
+def _left(x: DataFrame, doc: str, page: str) -> DataFrame:
+    """The lines that no name before them has taken."""
+    order = Window.partitionBy(doc, page, "table").orderBy("i")
+    reach = F.max(F.col("i") + F.col("takes")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    x = x.withColumn("_new", (F.coalesce(reach, F.lit(-1)) < F.col("i")).cast("int")).withColumn("_island", F.sum("_new").over(order)).drop("_new")
+    rest = [c for c in x.columns if c not in (doc, page, "table", "_island")]
+    x = x.groupBy(doc, page, "table", "_island").agg(F.sort_array(F.collect_list(F.struct("i", *(c for c in rest if c != "i")))).alias("_l"))
+    start = F.struct(F.lit(0).alias("free"), F.array().cast("array<int>").alias("at"))
+    step = lambda a, r: F.when(r["i"] >= a["free"], F.struct((r["i"] + r["takes"] + 1).cast("int").alias("free"), F.concat(a["at"], F.array(r["i"])).alias("at"))).otherwise(a)
+    x = x.withColumn("_at", F.aggregate("_l", start, step)["at"])
+    return x.select(doc, page, "table", F.explode(F.filter("_l", lambda r: F.array_contains("_at", r["i"]))).alias("r")).select(doc, page, "table", "r.*")
+
+
+FIELDS = ("name", "symbol", "value", "low", "high", "value_text", "unit", "caption", "species", "compound", "life_stage", "formulation")
 
 
 def scan(pages: DataFrame, doc: str, page: str, text: str) -> DataFrame:
-    """(doc, page, pos and FIELDS): the records of all pages."""
-    keys = {c: pages.schema[c].dataType.simpleString() for c in (doc, page)}
-    schema = ", ".join(f"{c} {k}" for c, k in keys.items()) + ", pos int, " + FIELDS
-    names = [doc, page, "pos", *(x.split()[0] for x in FIELDS.split(", "))]
-    kinds = [pa.int32(), *(pa.float64() if x.endswith("double") else pa.string() for x in FIELDS.split(", "))]
-
-    def run(batches):
-        for b in batches:
-            at, rows = [], []
-            for i, body in enumerate(b.column(2).to_pylist()):
-                for pos, r in enumerate(records(body or "")):
-                    at.append(i)
-                    rows.append((pos, *r))
-            cols = list(zip(*rows, strict=True)) or [()] * len(kinds)
-            own = [b.column(k).take(pa.array(at, pa.int64())) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*own, *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names)
-
-    return pages.select(doc, page, text).mapInArrow(run, schema)
+    """(doc, page, pos and FIELDS): the records of all pages, a row a page.
+
+    A name is a line of three characters and more of a table, and no heading,
+    that numbers follow, perhaps after a line with its symbol; it takes up to
+    AHEAD lines.  Its numbers are the columns' compounds' in their order, the
+    first one's beyond them.  Species, life stage and formulation are the last
+    that the table has told; a caption begins anew.
+    """
+    x = _left(_taken(_in_tables(lines(pages, doc, page, text), doc, page)), doc, page)
+    w = Window.partitionBy(doc, page, "table").orderBy("i")
+    last = lambda rules, default=None: F.coalesce(F.last(first_label(F.col("line"), rules), ignorenulls=True).over(w), F.lit(default).cast("string"))
+    here = F.when(F.col("opens") | (F.length("line") <= COLUMNS_LINE), acronyms(F.col("line"))).otherwise(F.array().cast("array<string>"))
+    x = x.withColumns({
+        "species": last(SPECIES, "human"), "life_stage": last(LIFE_STAGES), "formulation": last(FORMULATIONS), "_columns": F.array_distinct(F.flatten(F.collect_list(here).over(w))),
+        "unit": F.coalesce(F.trim(F.nullif(F.regexp_extract("line", r"\(([^)]+)\)", 1), F.lit(""))), F.lit("dimensionless")),
+    })
+    x = x.select("*", F.posexplode("found").alias("k", "f"))
+    compound = F.coalesce(F.get("_columns", F.col("k")), F.get("_columns", F.lit(0)))
+    pos = (F.row_number().over(Window.partitionBy(doc, page).orderBy("i", "k")) - 1).alias("pos")
+    return x.select(
+        doc, page, pos, F.col("line").alias("name"), "symbol", *(F.col(f"f.number.{c}").alias(c) for c in ("value", "low", "high")), F.col("f.line").alias("value_text"), "unit", "caption", "species", compound.alias("compound"), "life_stage", "formulation",
+    )
 
 
 def distinct_scan(found: DataFrame, doc: str, page: str) -> DataFrame:

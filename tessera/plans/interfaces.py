@@ -115,8 +115,7 @@ def parameter_table(spark, d):
 
 
 def line_records(spark, d):
-    """Records of tables that stand as lines; tests/test_interfaces.py has
-    pages with known ones."""
+    """Records of tables that stand as lines."""
     p = read(spark, d, "part")
     page = F.concat_ws("\n", F.concat(F.lit("Table "), F.col("p_size").cast("string"), F.lit(" in rats")), F.lit("PFOS"), F.lit("PFOA"), F.concat("p_name", F.lit(" (L/kg)")), F.lit("Vd"), F.concat(F.col("p_size").cast("string"), F.lit(" (1, 2)")), F.col("p_size").cast("string"), F.lit("nd"), F.when(F.col("p_partkey") % 2 == 0, "References"), F.lit("Clearance of it"), F.lit("3.5"))
     x = linescan.scan(p.select("p_brand", "p_partkey", page.alias("text")), "p_brand", "p_partkey", "text")
@@ -182,6 +181,20 @@ def _body() -> str:
 _P = f"B AS ({BASE}), P AS ({PARAMETERS})"
 _SYM = r"CASE WHEN s0 = '' THEN 'param' ELSE s0 END"
 ORACLE_SQL = {
+    # Lines with their numbers and the table's state; a name's numbers are
+    # those after it, and after its symbol, with nothing else between.
+    "line_records": r"""WITH G AS (SELECT p_brand, p_partkey, list_filter(['Table ' || p_size || ' in rats', 'PFOS', 'PFOA', p_name || ' (L/kg)', 'Vd', p_size || ' (1, 2)', p_size::VARCHAR, 'nd', CASE WHEN p_partkey % 2 = 0 THEN 'References' END, 'Clearance of it', '3.5'], lambda x: x IS NOT NULL) AS ls FROM part),
+L AS (SELECT p_brand, p_partkey, generate_subscripts(ls, 1) AS i, trim(unnest(ls)) AS line FROM G),
+N AS (SELECT *, nullif(regexp_extract(line, '^[+-]?[0-9]+(\.[0-9]+)?'), '')::DOUBLE AS v, nullif(regexp_extract(line, '\(\s*([0-9.]+)\s*,\s*([0-9.]+)\s*\)', 1), '')::DOUBLE AS lo, nullif(regexp_extract(line, '\(\s*([0-9.]+)\s*,\s*([0-9.]+)\s*\)', 2), '')::DOUBLE AS hi,
+  regexp_matches(line, '^Table\s+[0-9]+') AS opens, regexp_matches(line, 'Figure|References|Discussion|Funding|Declaration') AS closes FROM L),
+W AS (SELECT *, count(*) FILTER (opens) OVER w > 0 AND count(*) FILTER (closes) OVER w = 0 AS inside, lead(line) OVER w AS nxt, count(*) FILTER (v IS NULL) OVER w AS others FROM N WINDOW w AS (PARTITION BY p_partkey ORDER BY i)),
+H AS (SELECT *, CASE WHEN length(nxt) < 12 AND NOT regexp_matches(nxt, '^[0-9]') THEN nxt ELSE '' END AS symbol FROM W WHERE inside AND v IS NULL AND NOT opens AND length(line) > 2),
+R AS (SELECT H.p_brand, H.p_partkey, H.i, H.line AS name, symbol, b.v AS value, b.lo AS low, b.hi AS high, b.i AS at, row_number() OVER (PARTITION BY H.p_partkey, H.i ORDER BY b.i) AS k, coalesce(nullif(regexp_extract(H.line, '\(([^)]+)\)', 1), ''), 'dimensionless') AS unit
+  FROM H JOIN W AS b ON b.p_partkey = H.p_partkey AND b.v IS NOT NULL AND b.i > H.i AND b.i <= H.i + 7 AND b.others = H.others + (symbol <> '')::INT),
+C AS (SELECT *, CASE k WHEN 2 THEN 'PFOA' ELSE 'PFOS' END AS compound FROM R),
+D AS (SELECT *, row_number() OVER (PARTITION BY p_brand, lower(name), value, compound ORDER BY p_partkey, i, k) AS nth FROM C)
+SELECT p_brand, p_partkey, name, symbol, value, low, high, unit, 'rat' AS species, compound,
+  name || CASE WHEN symbol <> '' THEN ' [' || symbol || ']' ELSE '' END || ' for ' || compound || ', rat = ' || value::VARCHAR || CASE WHEN low IS NOT NULL THEN ' (95% CI: ' || low::VARCHAR || ' to ' || high::VARCHAR || ')' ELSE '' END || ' ' || unit AS statement FROM D WHERE nth = 1""",
     "item_batches": f"""WITH {_P}, R AS (SELECT doc, ord, coalesce(symbol, '?') AS s, ((row_number() OVER (PARTITION BY doc ORDER BY ord) - 1) // 3)::INT AS batch FROM P),
 T AS (SELECT doc, batch, 'Paper: ' || doc || chr(10) || chr(10) || repeat('x', (doc % 3 * 50)::INT) || chr(10) || chr(10) || 'Answer these items as JSON:' || chr(10) || string_agg(s, chr(10) ORDER BY ord) AS prompt FROM R GROUP BY doc, batch) SELECT doc, batch, prompt, length(prompt) / 3.5 < 50 AS fits FROM T""",
     "ontology_link": """WITH x AS (SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN lower(replace(n_name, ' ', '-')) ELSE c_mktsegment END AS name, c_custkey % 3 <> 0 AS m, n_name, n_nationkey FROM customer JOIN nation ON c_nationkey = n_nationkey)

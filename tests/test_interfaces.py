@@ -29,13 +29,28 @@ Vd
 0.5"""
 
 
-def test_records_of_a_page():
-    got = [(r[0], r[1], r[2], r[3], r[4], r[6], r[8], r[9], r[10]) for r in linescan.records(PAGE)]
+def records(spark, *pages):
+    got = linescan.scan(spark.createDataFrame(list(enumerate(pages)), "page int, text string").withColumn("doc", F.lit(1)), "doc", "page", "text")
+    return [tuple(r[f] for f in linescan.FIELDS) for r in got.orderBy("page", "pos").collect()]
+
+
+def test_records_of_a_page(spark):
+    got = [(r[0], r[1], r[2], r[3], r[4], r[6], r[8], r[9], r[10]) for r in records(spark, PAGE)]
     assert got == [
         ("Volume of distribution (L/kg)", "Vd", 0.17, 0.1, 0.3, "L/kg", "rat", "PFOS", None), ("Volume of distribution (L/kg)", "Vd", 2.5, None, None, "L/kg", "rat", "PFOA", None),
         ("Clearance (L/h/kg^0.75)", "", 1.5, None, None, "L/h/kg^0.75", "human", "PFOS", "adult"),
     ]
-    assert list(linescan.records("")) == [] and list(linescan.records("Table 1\nab\nx")) == []
+    assert records(spark, "", "Table 1\nab\nx", None) == []
+
+
+def test_a_taken_line_is_no_name(spark):
+    """Numbers that a name has taken head nothing; those beyond its reach do,
+    and a caption or a closing word is no symbol."""
+    many = "Table 1\nName of it\n" + "\n".join(f"{i}.25" for i in range(10))
+    assert [(r[0], r[2]) for r in records(spark, many)] == [("Name of it", i + 0.25) for i in range(7)] + [("7.25", 8.25), ("7.25", 9.25)]
+    assert [(r[0], r[1], r[7]) for r in records(spark, "Table 1\nFirst\nTable 2\n1.5\n2.5\nRate\n-k1\n3")] == [("Rate", "-k1", "Table 2"), ("1.5", "", "Table 2")][::-1]
+    assert records(spark, "Table 1\nFirst\nFigure\n1.5\nSecond\n2.5") == []
+    assert [r[2] for r in records(spark, "Table 1\nFirst\n1.5 of Figure 2\nSecond\n2.5")] == [1.5, 2.5]
 
 
 def test_scans_are_distinct_and_fall_back(spark):
