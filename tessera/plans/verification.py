@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import evidence, rules
+from ..sources.work import written
 from .common import ORDER, read
 
 #: Lines of a document in their order, as plain SQL for both engines: k is
@@ -62,15 +63,17 @@ def parameters_and_tables(spark, d):
     """Flat parameters, and tables with their cells as arrays."""
     lineitem, orders = read(spark, d, "lineitem"), read(spark, d, "orders")
     base = spark.sql(BASE.replace("FROM lineitem JOIN orders", "FROM {lineitem} JOIN {orders}"), lineitem=lineitem, orders=orders)
+    base = written(base, "lines")  # three branches read it
     p = spark.sql(PARAMETERS.replace("FROM B", "FROM {B}"), B=base)
     p = p.withColumns({"name_original": F.col("name"), **{c: _list(c) for c in ("row_path", "column_path", "formulation")}})
-    t = spark.sql(TABLES.replace("FROM D", "FROM {D}"), D=orders.select("o_orderkey", F.col("o_custkey").alias("doc")).join(lineitem.select("l_orderkey"), F.col("o_orderkey") == F.col("l_orderkey"), "left_semi").select("doc").distinct())
+    t = spark.sql(TABLES.replace("FROM D", "FROM {D}"), D=base.select("doc").distinct())
     t = t.withColumns({c: _list(c) for c in ("subjects", "footnotes", "referenced", "table_species")})
     c = spark.sql(CELLS.replace("FROM B", "FROM {B}"), B=base).withColumn("row_path", _list("row_path"))
     cell, row = F.struct("pos", "cell_id", "row_id", "column_id", "text", "numeric_value"), F.struct("pos", "row_id", F.col("row_path").alias("path"))
     per = c.groupBy("doc", "table_ord").agg(F.array_sort(F.collect_list(cell)).alias("cells"), F.array_sort(F.collect_list(row)).alias("rows"))
     columns = F.array(*(F.struct(F.lit(i).alias("column_id"), F.split(F.lit(p), r"\|").alias("path")) for i, p in COLUMNS))
-    return p, t.join(per, ["doc", "table_ord"], "left").withColumn("columns", F.when(F.col("cells").isNotNull(), columns))
+    t = t.join(per, ["doc", "table_ord"], "left").withColumn("columns", F.when(F.col("cells").isNotNull(), columns))
+    return written(p, "parameters"), written(t, "tables")  # as a user has them: read by each branch, not made by each
 
 
 def _flags(spark, d):
