@@ -106,9 +106,12 @@ def finalize(parameters: DataFrame, tables: DataFrame, doc: str) -> tuple[DataFr
 
 
 def post_process(parameters: DataFrame, tables: DataFrame, doc: str = "doc") -> DataFrame:
-    """All steps over flat parameters (with source_text), in order: values and
-    product measurements, prefixes, whitelisted units, inheritance, repeats,
-    units and ranges, provenance, the four checks, classes, ids."""
+    """These steps over flat parameters (with source_text), in order: rows
+    without a value and product measurements go; prefixes, whitelisted units,
+    inheritance, repeats, units and ranges, provenance, the four checks,
+    classes, ids.  Given ids that begin with param_ stay.  Records of tables,
+    lists of values, doses and views are steps of their own (from_tables(),
+    split_values(), doses and views), which it does not call."""
     from .extract import guard_prefix
 
     x = parameters.filter((F.col("value_text").isNotNull() | F.col("value").isNotNull()) & ~is_formulation(F.col("name"), F.col("unit")))
@@ -116,8 +119,9 @@ def post_process(parameters: DataFrame, tables: DataFrame, doc: str = "doc") ->
     x = repair.inherit(units.whitelisted(x), [doc], "compound", "symbol", "species", "ord")
     x = x.withColumns({"status": F.when(F.col("donor").isNotNull(), "assumed_default").otherwise(F.col("status")), "directness": F.when(F.col("donor").isNotNull(), "inherited_cross_species").otherwise(F.col("directness"))})
     x = units.normalised(distinct_records(x, doc))
-    x = evidence.bind(evidence.cite(x, tables, doc)).drop("evidence")
+    x = evidence.bind(evidence.cite(x, tables, doc, exact=True)).drop("evidence")
     checked = rules.four_checks(x.withColumns({"_low": F.col("low"), "_high": F.col("high"), "low": F.col("start_value"), "high": F.col("end_value"), "location": F.col("source_table")}))
     x = checked.withColumns({"low": F.col("_low"), "high": F.col("_high")}).drop("_low", "_high", "location")
     x = x.withColumn("class", F.when(F.coalesce("class", F.lit("")) != "", F.col("class")).otherwise(parameter_class(F.col("subclass"), F.concat_ws(" ", "name", "symbol"), SYSTEM_WORDS, COMPOUND_WORDS)))
-    return finalize(x.withColumn("parameter_id", stable_id(*identity())), tables, doc)[0]
+    given = F.col("parameter_id") if "parameter_id" in x.columns else F.lit(None).cast("string")
+    return finalize(x.withColumn("parameter_id", F.when(given.startswith("param_"), given).otherwise(stable_id(*identity()))), tables, doc)[0]

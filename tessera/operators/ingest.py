@@ -31,11 +31,12 @@ def siblings(left: DataFrame, right: DataFrame, stem: str, body: str) -> DataFra
 
 
 def page_of(captions: DataFrame, pages: DataFrame, doc: str, caption: str, title: str, body: str, page: str) -> DataFrame:
-    """Each caption's page: the first that holds the caption's first 40
-    characters, else the last that holds the title."""
+    """Each caption's page: the first that holds the caption's first 50
+    characters, else the last that holds the title; an empty text is nowhere."""
     c = captions.join(pages, doc)
     t = normal_text(F.col(body))
-    by_caption, by_title = F.contains(t, F.substring(normal_text(F.col(caption)), 1, 40)), F.contains(t, normal_text(F.col(title)))
+    holds = lambda x: (x != "") & F.contains(t, x)
+    by_caption, by_title = holds(F.substring(normal_text(F.col(caption)), 1, 50)), holds(normal_text(F.col(title)))
     return c.groupBy(doc, caption).agg(F.coalesce(F.min(F.when(by_caption, F.col(page))), F.max(F.when(by_title, F.col(page)))).alias("page"))
 
 

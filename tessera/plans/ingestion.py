@@ -29,7 +29,7 @@ def sibling_files(spark, d):
 def page_containment(spark, d):
     c = read(spark, d, "conversations")
     pages = c.select("conv_id", F.col("turn").alias("page"), F.col("text").alias("body"))
-    caps = c.filter("turn = 1").select("conv_id", F.substring("text", 1, 60).alias("caption"), F.substring("text", 1, 5).alias("title"))
+    caps = c.filter("turn = 1").select("conv_id", F.col("text").alias("caption"), F.split_part("text", F.lit("."), F.lit(1)).alias("title"))
     return ingest.page_of(caps, pages, "conv_id", "caption", "title", "body", "page").select("conv_id", "page")
 
 
@@ -95,9 +95,9 @@ ORACLE_SQL = {
     "upload_routing": "SELECT ['pdf', 'json', 'md', 'unsupported file type: exe'][p_partkey % 4 + 1] AS kind, count(*) AS n FROM part GROUP BY 1",
     "quick_table_scan": f"WITH {LINES} SELECT l_orderkey, (ord - 1)::INT AS pos, l_returnflag AS name, l_quantity::INT::VARCHAR AS value, CASE WHEN ord % 2 = 0 THEN 'mg' END AS unit FROM L WHERE ord BETWEEN 2 AND 15",
     "sibling_files": "SELECT doc_id % 50 IN (SELECT page_id % 50 FROM pages WHERE contains(html, '<article')) AS sibling, count(*) AS n FROM documents GROUP BY 1",
-    "page_containment": f"""WITH c AS (SELECT conv_id, {_NORM.format('substr(text, 1, 60)')} AS cap, {_NORM.format('substr(text, 1, 5)')} AS t FROM conversations WHERE turn = 1),
+    "page_containment": f"""WITH c AS (SELECT conv_id, {_NORM.format('text')} AS cap, {_NORM.format("split_part(text, '.', 1)")} AS t FROM conversations WHERE turn = 1),
 p AS (SELECT conv_id, turn AS page, {_NORM.format('text')} AS b FROM conversations)
-SELECT conv_id, coalesce(min(page) FILTER (contains(b, substr(cap, 1, 40))), max(page) FILTER (contains(b, t))) AS page FROM c JOIN p USING (conv_id) GROUP BY conv_id, cap, t""",
+SELECT conv_id, coalesce(min(page) FILTER (cap <> '' AND contains(b, substr(cap, 1, 50))), max(page) FILTER (t <> '' AND contains(b, t))) AS page FROM c JOIN p USING (conv_id) GROUP BY conv_id, cap, t""",
     "source_text": f"""WITH {LINES}, X AS (SELECT * FROM L)
 SELECT p.l_orderkey, string_agg(c.l_returnflag || c.l_linestatus, ' ' ORDER BY c.ord) AS source_text FROM X p JOIN X c ON p.l_orderkey = c.l_orderkey
 WHERE p.ord = 1 AND c.l_linestatus = p.l_linestatus AND (p.l_orderkey % 20 <> 0 OR c.l_returnflag = p.l_returnflag) GROUP BY p.l_orderkey""",

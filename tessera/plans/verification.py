@@ -101,7 +101,7 @@ def cell_match(spark, d):
 
 def bind_provenance(spark, d):
     p, t = parameters_and_tables(spark, d)
-    x = evidence.bind(evidence.cite(p, t, "doc"))
+    x = evidence.bind(evidence.cite(p, t, "doc", exact=True))
     return x.select("doc", "ord", "row_id", "column_id", "cell_id", F.array_join("row_path", "|").alias("row_path"), F.array_join("column_path", "|").alias("column_path"))
 
 
@@ -191,11 +191,11 @@ G AS (SELECT doc, count(DISTINCT ord) AS flagged, count(*) AS flags, count(*) FI
 SELECT doc, total, coalesce(flagged, 0) AS flagged, coalesce(flags, 0) AS flags, coalesce(errors, 0) AS errors, coalesce(warnings, 0) AS warnings, total - coalesce(flagged, 0) AS clean FROM N LEFT JOIN G USING (doc)""",
     "worst_first_topk": f"WITH {_FLAGS}, N AS (SELECT doc, ord, count(*) AS n_flags FROM F GROUP BY ALL) SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc ORDER BY n_flags DESC, ord) AS rank FROM N) WHERE rank <= 15",
     "cell_match": f"WITH {_CELL} SELECT X.doc, X.ord, X.table_id, found, found_row, found_column FROM X LEFT JOIN MATCHED USING (doc, ord)",
-    "bind_provenance": rf"""WITH {_BOTH}, R AS (SELECT X.doc, X.ord, C.pos, C.row_id, C.row_path, len(list_filter(string_split(C.row_path, '|'), lambda p: contains(lower(p), lower(coalesce(species, ''))))) > 0 AS of_species FROM X JOIN C ON X.doc = C.doc AND X.table_ord = C.table_ord
+    "bind_provenance": rf"""WITH {_BOTH}, XR AS (SELECT P.*, t.table_ord FROM P LEFT JOIN (SELECT doc, table_id, max(table_ord) AS table_ord FROM T WHERE table_id <> '' GROUP BY ALL) AS t ON t.doc = P.doc AND t.table_id = P.source_table), R AS (SELECT X.doc, X.ord, C.pos, C.row_id, C.row_path, len(list_filter(string_split(C.row_path, '|'), lambda p: contains(lower(p), lower(coalesce(species, ''))))) > 0 AS of_species FROM XR AS X JOIN C ON X.doc = C.doc AND X.table_ord = C.table_ord
   WHERE len(list_filter(string_split(lower(C.row_path), '|'), lambda p: lower(trim(symbol)) <> '' AND p = lower(trim(symbol)) OR trim(name) <> '' AND (contains(p, lower(trim(name))) OR contains(lower(trim(name)), p)))) > 0),
 R1 AS (SELECT doc, ord, arg_min(row_id, (NOT of_species)::INT * 1000000 + pos) AS rid, arg_min(row_path, (NOT of_species)::INT * 1000000 + pos) AS rp FROM R GROUP BY ALL),
 K1 AS (SELECT doc, ord, arg_min(K.column_id, o) AS kid, arg_min(K.column_path, o) AS kp FROM (SELECT X.doc, X.ord, K.column_id, K.column_path, CASE WHEN compound <> '' AND contains(upper(K.column_path), upper(compound)) THEN 0 WHEN regexp_matches(lower(K.column_path), 'mean|value') THEN 10 END + substr(K.column_id, 2)::INT AS o
-  FROM X JOIN K ON X.table_ord IN (1, 2) AND EXISTS (SELECT 1 FROM C WHERE C.doc = X.doc AND C.table_ord = X.table_ord)) AS K WHERE o IS NOT NULL GROUP BY ALL)
+  FROM XR AS X JOIN K ON X.table_ord IN (1, 2) AND EXISTS (SELECT 1 FROM C WHERE C.doc = X.doc AND C.table_ord = X.table_ord)) AS K WHERE o IS NOT NULL GROUP BY ALL)
 SELECT X.doc, X.ord, coalesce(rid, row_id) AS row_id, coalesce(kid, column_id) AS column_id, CASE WHEN rid IS NOT NULL AND kid IS NOT NULL THEN 'cell_' || rid || '_' || kid ELSE cell_id END AS cell_id, coalesce(rp, row_path) AS row_path, coalesce(kp, column_path) AS column_path
-FROM X LEFT JOIN R1 USING (doc, ord) LEFT JOIN K1 USING (doc, ord)""",
+FROM XR AS X LEFT JOIN R1 USING (doc, ord) LEFT JOIN K1 USING (doc, ord)""",
 }
