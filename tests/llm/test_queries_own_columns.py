@@ -131,4 +131,4 @@ def test_archives_of_columns_of_any_name(spark, clashing, tmp_path):
 
 
 def test_every_query_is_registered():
-    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [q.split("_")[0] for q in queries.QUERIES] == [f"op{i}" for i in range(1, 14)]
