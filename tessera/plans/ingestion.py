@@ -36,8 +36,8 @@ def page_containment(spark, d):
 def source_text(spark, d):
     x = lines(spark, d, "l_returnflag", "l_linestatus")
     cells = x.select("l_orderkey", F.lit("t").alias("tab"), F.col("l_returnflag").alias("row_id"), F.col("l_linestatus").alias("column_id"), F.format_string("c%02d", "ord").alias("cell_id"), F.concat("l_returnflag", "l_linestatus").alias("text"))
-    p = x.filter("ord = 1").select("l_orderkey", F.lit("t").alias("tab"), F.when(F.col("l_orderkey") % 20 == 0, F.col("l_returnflag")).alias("row_id"), F.col("l_linestatus").alias("column_id"), F.lit(None).cast("string").alias("cell_id"))
-    return ingest.source_text(p, cells, "l_orderkey", "tab").select("l_orderkey", "source_text")
+    p = x.select("l_orderkey", "ord", F.lit("t").alias("tab"), F.when(F.col("l_orderkey") % 20 == 0, F.col("l_returnflag")).alias("row_id"), F.col("l_linestatus").alias("column_id"), F.lit(None).cast("string").alias("cell_id"))
+    return ingest.source_text(p, cells, "l_orderkey", "tab").select("l_orderkey", "ord", "source_text")
 
 
 def section_routing(spark, d):
@@ -50,7 +50,7 @@ def section_routing(spark, d):
 def compact_documents(spark, d):
     x = read(spark, d, "conversations")
     items = F.array_sort(F.collect_list(F.struct(F.col("turn").alias("o"), F.col("role").alias("name"), F.col("turn").alias("value"), F.col("text").alias("quote"))))
-    got = x.groupBy("conv_id").agg(items.alias("items")).select("conv_id", F.inline(ingest.compact(F.col("items"), 30)))
+    got = x.groupBy("conv_id").agg(items.alias("items")).select("conv_id", F.inline(ingest.compact(F.col("items"))))
     return got.select("conv_id", "name", "value", "quote")
 
 
@@ -99,13 +99,13 @@ ORACLE_SQL = {
 p AS (SELECT conv_id, turn AS page, {_NORM.format('text')} AS b FROM conversations)
 SELECT conv_id, coalesce(min(page) FILTER (cap <> '' AND contains(b, substr(cap, 1, 50))), max(page) FILTER (t <> '' AND contains(b, t))) AS page FROM c JOIN p USING (conv_id) GROUP BY conv_id, cap, t""",
     "source_text": f"""WITH {LINES}, X AS (SELECT * FROM L)
-SELECT p.l_orderkey, string_agg(c.l_returnflag || c.l_linestatus, ' ' ORDER BY c.ord) AS source_text FROM X p JOIN X c ON p.l_orderkey = c.l_orderkey
-WHERE p.ord = 1 AND c.l_linestatus = p.l_linestatus AND (p.l_orderkey % 20 <> 0 OR c.l_returnflag = p.l_returnflag) GROUP BY p.l_orderkey""",
+SELECT p.l_orderkey, p.ord, string_agg(c.l_returnflag || c.l_linestatus, ' ' ORDER BY c.ord) AS source_text FROM X p JOIN X c ON p.l_orderkey = c.l_orderkey
+WHERE c.l_linestatus = p.l_linestatus AND (p.l_orderkey % 20 <> 0 OR c.l_returnflag = p.l_returnflag) GROUP BY p.l_orderkey, p.ord""",
     "section_routing": f"""WITH {LINES}, X AS (SELECT l_orderkey, ord AS sec, ['Abstract', 'Introduction', 'Methods', 'References', 'Results'][ord % 5 + 1] AS title, 42 + 3 * ord AS n FROM L),
 I AS (SELECT l_orderkey, sec - 1 AS sec FROM X WHERE sec % 4 = 0)
 SELECT l_orderkey, sec::INT AS sec, CASE WHEN title IN ('Abstract', 'Introduction') THEN 'purpose' ELSE 'model_evidence' END AS routing, (CASE WHEN title = 'Introduction' THEN n - 42 ELSE n END)::INT AS n_chars
 FROM X WHERE title <> 'References' AND n >= CASE WHEN title = 'Abstract' THEN 30 ELSE 50 END AND NOT EXISTS (SELECT 1 FROM I WHERE I.l_orderkey = X.l_orderkey AND I.sec = X.sec)""",
-    "compact_documents": "SELECT conv_id, role AS name, turn AS value, substr(text, 1, 30) AS quote FROM conversations",
+    "compact_documents": "SELECT conv_id, role AS name, turn AS value, substr(text, 1, 200) AS quote FROM conversations",
     "entity_pivot": f"""WITH {LINES} SELECT l_orderkey, arg_min(l_quantity::INT::VARCHAR, ord) FILTER (l_returnflag = 'A') AS A, arg_min(l_quantity::INT::VARCHAR, ord) FILTER (l_returnflag = 'N') AS N, arg_min(l_quantity::INT::VARCHAR, ord) FILTER (l_returnflag = 'R') AS R FROM L GROUP BY l_orderkey""",
     "latest_version": "SELECT o_custkey, max(o_orderkey) AS o_orderkey, arg_max(o_orderstatus, o_orderkey) AS o_orderstatus FROM orders GROUP BY 1",
     "cached_adapter": """WITH s AS (SELECT DISTINCT CASE WHEN p_partkey % 40 = 0 THEN split_part(p_name, ' ', 1) ELSE replace(p_name, ' ', '_') END AS stem FROM part)

@@ -96,7 +96,7 @@ def marked_pages(spark, d):
 
 
 def page_texts(spark, d):
-    c = read(spark, d, "conversations").select("conv_id", "turn", F.substring("text", 1, 20).alias("text"))
+    c = read(spark, d, "conversations").select("conv_id", "turn", "text")
     x = c.filter("turn = 1").select("conv_id", F.when(F.col("conv_id") % 2 == 0, 2).alias("source_page"), F.lit("cell").alias("source_text"))
     return literature.with_page_text(x, c, "conv_id", "turn", "text").select("conv_id", "source_text")
 
@@ -211,7 +211,7 @@ k AS (SELECT 'pmc' AS service, d || '[DOI]' AS key, 1 AS k FROM d UNION ALL SELE
   SELECT 'pmc', regexp_replace(t, '[^a-zA-Z0-9 ]', ' ', 'g') || '[Title]', 1 FROM t UNION ALL SELECT 'europe_pmc', 'TITLE:"' || t || '"', 1 FROM t UNION ALL SELECT 'crossref_title', t, 1 FROM t)
 SELECT DISTINCT service, key FROM k WHERE NOT (service = 'unpaywall' AND k % 9 = 0)""",
     "marked_pages": "SELECT conv_id, string_agg('<!-- PAGE ' || turn || ' -->' || chr(10) || role, chr(10) || chr(10) ORDER BY turn) AS text FROM conversations WHERE turn % 3 <> 0 GROUP BY conv_id",
-    "page_texts": "SELECT a.conv_id, CASE WHEN b.text IS NULL THEN 'cell' ELSE 'cell ' || substr(b.text, 1, 20) END AS source_text FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = 2 AND a.conv_id % 2 = 0 WHERE a.turn = 1",
+    "page_texts": "SELECT a.conv_id, CASE WHEN b.text IS NULL THEN 'cell' ELSE 'cell ' || b.text END AS source_text FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = 2 AND a.conv_id % 2 = 0 WHERE a.turn = 1",
     "solver_text": rf"""WITH {_P}, S AS (SELECT *, coalesce(nullif(compound, ''), 'Physiological') AS g, substr(regexp_replace(regexp_replace(coalesce(nullif(symbol, ''), name), '[^A-Za-z0-9_]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 40) AS s0 FROM P),
 K AS (SELECT *, {_SYM} AS s FROM S), R AS (SELECT *, row_number() OVER (PARTITION BY doc, g, s ORDER BY ord) AS k FROM K),
 L AS (SELECT doc, g, ord, CASE WHEN k > 1 THEN s || '_2' ELSE s END || ' = ' || coalesce(value, 0.0::DOUBLE)::VARCHAR || ', // ' || name || CASE WHEN coalesce(unit, '') <> '' THEN ' [' || unit || ']' ELSE '' END AS l FROM R),
