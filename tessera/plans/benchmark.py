@@ -13,7 +13,7 @@ SPECIES = _pick(5, "", "Cynomolgus monkey", "Adult", "Wistar rats", "Mice")
 
 
 def _sides(spark, d):
-    p, _ = parameters_and_tables(spark, d)
+    p, _ = parameters_and_tables(spark, d, tables=False)
     text, number = F.lit(None).cast("string"), F.lit(None).cast("double")
     x = p.select(
         "doc", "ord", F.expr(SYNONYMS.replace("k %", "ord %")).alias("compound"), F.expr(SPECIES.replace("k %", "ord %")).alias("species"), text.alias("subject_species"), F.lit("infant").alias("life_stage"), text.alias("symbol_standardized"), "symbol",

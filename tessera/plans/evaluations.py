@@ -11,7 +11,7 @@ from .verification import BASE, PARAMETERS, parameters_and_tables
 
 
 def _sides(spark, d):
-    p, _ = parameters_and_tables(spark, d)
+    p, _ = parameters_and_tables(spark, d, tables=False)
     x = p.withColumns({"name_standardized": F.when(F.col("ord") % 4 < 2, F.upper("name")), "symbol_standardized": F.when(F.col("ord") % 5 == 0, F.concat(F.lit(" "), "symbol")), "unit_standardized": F.when(F.col("ord") % 3 == 0, F.replace("unit", F.lit("1/h"), F.lit("h^-1"))),
                        "status": F.when(F.col("ord") % 3 != 0, F.col("confidence")), "source_page": F.when(F.col("ord") % 2 == 0, F.pmod("ord", F.lit(4))).otherwise(F.lit(2))})
     return x.filter("ord % 2 = 1"), x.filter("ord % 2 = 0")

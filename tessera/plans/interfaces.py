@@ -13,7 +13,7 @@ from .verification import BASE, PARAMETERS, parameters_and_tables
 def item_batches(spark, d):
     """Prompts of three parameters each, as a model gets them, and whether
     they fit its context."""
-    p, _ = parameters_and_tables(spark, d)
+    p, _ = parameters_and_tables(spark, d, tables=False)
     x = inference.batched(p.select("doc", "ord", "name", "symbol"), ["doc"], "ord", 3)
     x = x.groupBy("doc", "batch").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", F.coalesce("symbol", F.lit("?")).alias("s")))), lambda r: r["s"]), "\n").alias("items"))
     text = inference.prompt(inference.ITEMS_PROMPT, title=F.col("doc"), context=F.repeat(F.lit("x"), F.pmod("doc", F.lit(3)).cast("int") * 50), items=F.col("items"))
@@ -102,12 +102,12 @@ def page_texts(spark, d):
 
 
 def solver_text(spark, d):
-    p, _ = parameters_and_tables(spark, d)
+    p, _ = parameters_and_tables(spark, d, tables=False)
     return series.solver_text(p, "doc", "symbol", "name", "value", "unit", "compound", "ord").select("doc", F.sha2("text", 256).alias("text_sha256"))
 
 
 def parameter_table(spark, d):
-    p, _ = parameters_and_tables(spark, d)
+    p, _ = parameters_and_tables(spark, d, tables=False)
     none = F.lit(None).cast("string")
     x = p.withColumns({"symbol_standardized": F.lit("std"), "name_standardized": F.when(F.col("ord") % 4 == 0, F.upper("name")), "unit_original": F.lit("?"), "subject_species": F.lit("Rat"), "source_location": F.when(F.col("ord") % 5 == 0, "p. 1"), "status": none})
     t = sinks.parameter_table(x)
@@ -131,7 +131,7 @@ def template_answers(spark, d):
 
 
 def critic_corrections(spark, d):
-    p, _ = parameters_and_tables(spark, d)
+    p, _ = parameters_and_tables(spark, d, tables=False)
     k = F.pmod("ord", F.lit(7))
     fields = F.when(k == 1, F.create_map(F.lit("unit"), F.lit("mg"), F.lit("class"), F.lit("x"))).when(k == 2, F.create_map(F.lit("quantitative_data.value"), F.lit("1.5"), F.lit("context.species"), F.lit(None).cast("string"))).when(k == 3, F.create_map(F.lit("value"), F.lit("five"), F.lit("compound"), F.lit("PFBS"))).when(k == 4, F.create_map().cast("map<string,string>"))
     v = p.filter(k > 0).select("doc", "ord", F.when(k == 6, "reject").when(k == 5, "uncertain").otherwise("fix").alias("verdict"), fields.alias("fields"))
@@ -139,7 +139,7 @@ def critic_corrections(spark, d):
 
 
 def record_ids(spark, d):
-    p, _ = parameters_and_tables(spark, d)
+    p, _ = parameters_and_tables(spark, d, tables=False)
     return p.select("doc", "ord", repair.record_identity().alias("parameter_id"))
 
 

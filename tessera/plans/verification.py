@@ -59,13 +59,17 @@ def _list(c: str) -> F.Column:
     return F.when(F.col(c) == "", F.array().cast("array<string>")).otherwise(F.split(c, r"\|"))
 
 
-def parameters_and_tables(spark, d):
-    """Flat parameters, and tables with their cells as arrays."""
+def parameters_and_tables(spark, d, tables=True):
+    """Flat parameters, and tables with their cells as arrays; with
+    tables=False the parameters alone, which nothing is written for."""
     lineitem, orders = read(spark, d, "lineitem"), read(spark, d, "orders")
     base = spark.sql(BASE.replace("FROM lineitem JOIN orders", "FROM {lineitem} JOIN {orders}"), lineitem=lineitem, orders=orders)
-    base = written(base, "lines")  # three branches read it
+    if tables:
+        base = written(base, "lines")  # three branches read it
     p = spark.sql(PARAMETERS.replace("FROM B", "FROM {B}"), B=base)
     p = p.withColumns({"name_original": F.col("name"), **{c: _list(c) for c in ("row_path", "column_path", "formulation")}})
+    if not tables:
+        return p, None
     t = spark.sql(TABLES.replace("FROM D", "FROM {D}"), D=base.select("doc").distinct())
     t = t.withColumns({c: _list(c) for c in ("subjects", "footnotes", "referenced", "table_species")})
     c = spark.sql(CELLS.replace("FROM B", "FROM {B}"), B=base).withColumn("row_path", _list("row_path"))
