@@ -69,11 +69,12 @@ def matches(df: DataFrame, key: str, text: str, pattern: str, context: int = 0)
     and the text up to `context` characters round it.
 
     The pieces between the matches tell the places: a match starts after all
-    pieces and matches before it.  key tells texts apart.
+    pieces and matches before it.  Rows are told apart by a number of their
+    own, so several texts may have one key.
     """
-    x = df.select(key, text, F.split(text, pattern, -1).alias("_p"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("_m")).filter("size(_m) > 0")
-    x = x.select(key, *([text] if context else []), F.posexplode(F.arrays_zip("_p", "_m")).alias("_k", "_x")).filter("_x._m IS NOT NULL")
-    w = Window.partitionBy(key).orderBy("_k")
+    x = df.select(key, text, F.monotonically_increasing_id().alias("_row"), F.split(text, pattern, -1).alias("_p"), F.regexp_extract_all(text, F.lit(pattern), 0).alias("_m")).filter("size(_m) > 0")
+    x = x.select(key, "_row", *([text] if context else []), F.posexplode(F.arrays_zip("_p", "_m")).alias("_k", "_x")).filter("_x._m IS NOT NULL")
+    w = Window.partitionBy("_row").orderBy("_k")
     till, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
     start = F.sum(F.length("_x._p")).over(till) + F.coalesce(F.sum(F.length("_x._m")).over(before), F.lit(0))
     x = x.withColumn("start", start.cast("int")).withColumn("found", F.col("_x._m"))

@@ -391,3 +391,11 @@ def test_incremental_run_takes_each_chunk_once(spark, tmp_path):
         make(ids).write.mode("append").parquet(src)
         incremental.run(incremental.new_chunks(spark, src, "chunk_id int, t string, ts timestamp"), lambda b: b, out, ck).awaitTermination()
     assert sorted(r.chunk_id for r in spark.read.parquet(out).collect()) == [1, 2, 3]
+
+
+def test_texts_of_one_key_have_their_own_places(spark):
+    from tessera.operators import segments
+
+    df = spark.createDataFrame([(1, "a 12 b 345"), (1, "cc 12 d"), (2, None)], "k int, t string")
+    got = sorted(map(tuple, segments.matches(df, "k", "t", "[0-9]+", 2).collect()))
+    assert got == [(1, 2, "12", "a 12 b"), (1, 3, "12", "c 12 d"), (1, 7, "345", "b 345")]
