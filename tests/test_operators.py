@@ -399,3 +399,8 @@ def test_texts_of_one_key_have_their_own_places(spark):
     df = spark.createDataFrame([(1, "a 12 b 345"), (1, "cc 12 d"), (2, None)], "k int, t string")
     got = sorted(map(tuple, segments.matches(df, "k", "t", "[0-9]+", 2).collect()))
     assert got == [(1, 2, "12", "a 12 b"), (1, 3, "12", "c 12 d"), (1, 7, "345", "b 345")]
+
+
+def test_a_citation_binds_by_its_normal_form(spark):
+    p, t = spark.createDataFrame([ROW | {"source_table": "TABLE  1", "name_original": "clearance"}], FLAT), spark.createDataFrame([CITED], TABLE)
+    assert evidence.bind(evidence.cite(p, t, "doc")).first().cell_id == "cell_r1_k1"
