@@ -404,3 +404,22 @@ def test_texts_of_one_key_have_their_own_places(spark):
 def test_a_citation_binds_by_its_normal_form(spark):
     p, t = spark.createDataFrame([ROW | {"source_table": "TABLE  1", "name_original": "clearance"}], FLAT), spark.createDataFrame([CITED], TABLE)
     assert evidence.bind(evidence.cite(p, t, "doc")).first().cell_id == "cell_r1_k1"
+
+
+def test_joins_of_cells_are_never_broadcast(spark):
+    p, t = spark.createDataFrame([ROW], FLAT), spark.createDataFrame([CITED], TABLE)
+    found = rules.flags(rules.prepared(p, t, "doc"), rules.parameter_rules(), ["doc", "ord"])
+    found.collect()
+    listed = rules.flags_by_row(p.select("doc", "ord"), found, ["doc", "ord"])
+    for df in (found, listed, rules.report(found, p, "doc", "ord")):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cells_by_keys_are_those_of_small_tables(spark, monkeypatch):
+    cells = [("a", "r1", "k1", "5", 5.0), ("b", "r1", "k2", "5.1", 5.1), ("c", "r1", "k1", "abc def", None), ("d", "", "", "xx", None)]
+    p = spark.createDataFrame([ROW | {"ord": i, "value": v, "value_text": x, "cell_id": None, "row_id": None, "column_id": None} for i, (v, x) in enumerate(((5.0, "5"), (None, "bc d"), (None, "xx"), (9.0, "9"), (None, "")))], FLAT)
+    t = spark.createDataFrame([CITED | {"cells": cells}], TABLE)
+    picked = lambda: sorted(map(tuple, evidence.match_cell(p, t, "doc").select("ord", "cell.cell_id").collect()))
+    few = picked()
+    monkeypatch.setattr(evidence, "FEW", 0)
+    assert few == picked() == [(0, "a"), (1, "c"), (2, "d"), (3, None), (4, None)]
