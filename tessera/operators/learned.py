@@ -65,8 +65,12 @@ class Model:
 
 def labelled(rows: DataFrame, key: str, most: int = MOST) -> DataFrame:
     """At most `most` of labelled rows, those with the least digest of their
-    key, so that any order of the table gives the same."""
-    return rows.orderBy(F.md5(F.col(key).cast("string")), key).limit(most)
+    key, so that any order of the table gives the same.  Keys are taken first,
+    as each part of the table sends its own `most` to the one task that takes
+    them: without texts, which only the rows taken send."""
+    first = lambda df, k: df.orderBy(F.md5(F.col(k).cast("string")), k).limit(most)
+    taken = F.broadcast(first(rows.select(F.col(key).alias("_taken")), "_taken").distinct())
+    return first(rows.join(taken, F.col(key).eqNullSafe(F.col("_taken")), "left_semi"), key)
 
 
 def fit(rows: DataFrame, key: str, text: str, label: str) -> Model:

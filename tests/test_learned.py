@@ -61,3 +61,10 @@ def test_auc_is_the_chance_of_a_higher_score(spark):
     pos, neg = [s for s, y in rows if y], [s for s, y in rows if not y]
     want = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / (len(pos) * len(neg))
     assert (got.positives, got.negatives) == (len(pos), len(neg)) and abs(got.auc - want) < 1e-9
+
+
+def test_texts_are_sent_of_taken_rows_alone(spark):
+    rows = spark.createDataFrame([(i % 40, f"t{i % 40}", "x") for i in range(80)] + [(None, "n", "x")], DOCS)
+    got = learned.labelled(rows, "k", 7)
+    assert [r.k for r in got.collect()] == [r.k for r in rows.orderBy(learned.F.md5(learned.F.col("k").cast("string")), "k").limit(7).collect()]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("GlobalLimit 7") == 2
