@@ -13,10 +13,18 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity", "l_discount", "l_tax")
 
 
-def lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
-    """lineitem with `ord`, the place of a line in its order."""
+#: Lines for one task, where what is narrow on its way needs much in memory.
+LINES_A_TASK = 500_000
+
+
+def lines(spark: SparkSession, sf_dir: str, *columns: str, dealt: bool = False) -> DataFrame:
+    """lineitem with `ord`, the place of a line in its order; dealt by order
+    in parts of LINES_A_TASK, if asked for."""
     w = Window.partitionBy("l_orderkey").orderBy(*ORDER)
-    out = read(spark, sf_dir, "lineitem").withColumn("ord", F.row_number().over(w))
+    out = read(spark, sf_dir, "lineitem")
+    if dealt:
+        out = out.repartition(max(spark.sparkContext.defaultParallelism, -(-out.count() // LINES_A_TASK)), "l_orderkey")
+    out = out.withColumn("ord", F.row_number().over(w))
     return out.select("l_orderkey", "ord", *columns) if columns else out
 
 

@@ -103,7 +103,7 @@ def split_multivalue(spark, d):
 
 
 def view_constraints(spark, d):
-    x = lines(spark, d, "l_returnflag").withColumn("class", F.when(F.col("l_returnflag") == "R", "physiological").when(F.col("l_returnflag") == "A", "biochemical"))
+    x = lines(spark, d, "l_returnflag", dealt=True).withColumn("class", F.when(F.col("l_returnflag") == "R", "physiological").when(F.col("l_returnflag") == "A", "biochemical"))
     inside, rest = repair.class_views(x, "class", "physiological")
     dup = x.groupBy("l_orderkey", "ord").count().filter("count > 1")
     n = lambda df, name: df.agg(F.count("*").alias("n")).select(F.lit(name).alias("check"), "n")

@@ -423,3 +423,14 @@ def test_cells_by_keys_are_those_of_small_tables(spark, monkeypatch):
     few = picked()
     monkeypatch.setattr(evidence, "FEW", 0)
     assert few == picked() == [(0, "a"), (1, "c"), (2, "d"), (3, None), (4, None)]
+
+
+def test_parts_grow_with_the_lines(spark, monkeypatch):
+    from tessera.plans import common, verification
+    from tests.conftest import DATA
+
+    monkeypatch.setattr(common, "LINES_A_TASK", 300)
+    assert common.lines(spark, DATA, dealt=True).rdd.getNumPartitions() == 20
+    monkeypatch.setattr(verification, "LINES_A_TASK", 400)
+    base, n = verification.based(spark, DATA)
+    assert n == base.rdd.getNumPartitions() == 15
