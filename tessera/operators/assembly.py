@@ -119,7 +119,7 @@ def post_process(parameters: DataFrame, tables: DataFrame, doc: str = "doc") ->
     x = repair.inherit(units.whitelisted(x), [doc], "compound", "symbol", "species", "ord")
     x = x.withColumns({"status": F.when(F.col("donor").isNotNull(), "assumed_default").otherwise(F.col("status")), "directness": F.when(F.col("donor").isNotNull(), "inherited_cross_species").otherwise(F.col("directness"))})
     x = units.normalised(distinct_records(x, doc))
-    x = evidence.bind(evidence.cite(x, tables, doc)).drop("evidence")
+    x = evidence.bind(evidence.cite(x, tables, doc, citing=parameters)).drop("evidence")
     checked = rules.four_checks(x.withColumns({"_low": F.col("low"), "_high": F.col("high"), "low": F.col("start_value"), "high": F.col("end_value"), "location": F.col("source_table")}))
     x = checked.withColumns({"low": F.col("_low"), "high": F.col("_high")}).drop("_low", "_high", "location")
     x = x.withColumn("class", F.when(F.coalesce("class", F.lit("")) != "", F.col("class")).otherwise(parameter_class(F.col("subclass"), F.concat_ws(" ", "name", "symbol"), SYSTEM_WORDS, COMPOUND_WORDS)))

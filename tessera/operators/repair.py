@@ -18,16 +18,21 @@ def unique_ids(df: DataFrame, ident: str, order: list[str], scope: list[str] | N
     """Repeats of an id get _2, _3 and so on, in order, without the numbers
     that make an id that a row has as it is."""
     scope = scope or []
-    w = Window.partitionBy(*scope, ident).orderBy(*order)
-    out = df.withColumn("_k", F.row_number().over(w))
-    tail = r"^(.*)_([2-9]|[1-9]\d{1,8})$"
-    taken = df.select(*scope, F.regexp_extract(ident, tail, 1).alias("_base"), F.regexp_extract(ident, tail, 2).try_cast("int").alias("_n")).filter("_n IS NOT NULL")
-    taken = taken.groupBy(*scope, "_base").agg(F.array_sort(F.collect_set("_n")).alias("_taken"))
-    on = [F.col("o." + c).eqNullSafe(F.col("t." + c)) for c in scope] + [F.col("o." + ident) == F.col("t._base")]
-    out = out.alias("o").join(taken.alias("t"), on, "left").select("o.*", "t._taken")
+    # An id that ends in a number is besides sent to the id before it, as one
+    # that is taken there: so rows are dealt and sorted once, and not joined.
+    c = F.col
+    tail = F.substring_index(ident, "_", -1)
+    base = c(ident).substr(F.lit(1), F.length(ident) - F.length(tail) - 1)
+    is_taken = F.coalesce((F.length(ident) > F.length(tail)) & tail.rlike(r"\A([2-9]|[1-9]\d{1,8})\z"), F.lit(False))
+    own = F.struct(c(ident).alias("id"), F.lit(None).cast("int").alias("n"))
+    out = df.withColumn("_x", F.explode(F.when(is_taken, F.array(own, F.struct(base.alias("id"), tail.try_cast("int").alias("n")))).otherwise(F.array(own))))
+    out = out.withColumns({"_id": c("_x.id"), "_n": c("_x.n")}).drop("_x")
+    w = Window.partitionBy(*scope, "_id")
+    out = out.withColumn("_k", F.row_number().over(w.orderBy(c("_n").isNotNull(), *order)))
+    out = out.withColumn("_taken", F.collect_set("_n").over(w)).filter("_n IS NULL")
     # The k-th number from 2 on that is not taken.
-    free = F.aggregate(F.coalesce("_taken", F.array().cast("array<int>")), F.col("_k"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
-    return out.withColumn(ident, F.when(F.col("_k") == 1, F.col(ident)).otherwise(F.concat_ws("_", F.col(ident), free.cast("string")))).drop("_k", "_taken")
+    free = F.aggregate(F.array_sort("_taken"), c("_k"), lambda n, t: F.when(t <= n, n + 1).otherwise(n))
+    return out.withColumn(ident, F.when(c("_k") == 1, c(ident)).otherwise(F.concat_ws("_", c(ident), free.cast("string")))).drop("_id", "_n", "_k", "_taken")
 
 
 def forward_fill(df: DataFrame, column: str, part: list[str], order: list[str]) -> Column:
@@ -78,16 +83,21 @@ def inherit(df: DataFrame, scope: list[str], compound: str, symbol: str, species
     last row of a symbol counts.  Compounds are told without case, rows
     without one are one group; rows without species or symbol take no part.
     """
-    df = df.withColumn("donor", F.lit(None).cast("string"))
+    c, own = F.col, [k for k in df.columns if k != "donor"]
     x = df.withColumns({"_c": F.upper(F.coalesce(F.nullif(compound, F.lit("")), F.lit("SYSTEM"))), "_s": F.lower(F.trim(F.coalesce(species, F.lit("")))), "_y": F.trim(F.coalesce(symbol, F.lit("")))})
-    x = x.filter("_s <> '' AND _y <> ''")
+    key = [*scope, "_c", "_y", "_s"]
     rank = F.create_map(*(v for i, d in enumerate(donors) for v in (F.lit(d), F.lit(i))))
-    per = x.groupBy(*scope, "_c").agg(F.bool_or(F.col("_s") == target).alias("_asks"), F.min(F.try_element_at(rank, F.col("_s"))).alias("_r"))
-    per = per.filter("_asks AND _r IS NOT NULL").withColumn("_s", F.get(F.array(*map(F.lit, donors)), F.col("_r"))).drop("_asks", "_r")
-    have = x.filter(F.col("_s") == target).select(*scope, "_c", "_y").distinct()
-    lent = x.filter(~F.upper("_y").isin(*excluded)).join(per, [*scope, "_c", "_s"]).join(have, [*scope, "_c", "_y"], "left_anti")
-    lent = keep_first(lent, [*scope, "_c", "_y"], [F.desc(order)]).withColumns({"donor": F.col("_s"), species: F.lit(target)})
-    return df.unionByName(lent.select(*df.columns))
+    # What is lent is told on the different symbols and species alone; a copy
+    # then stands beside its row, so rows are sorted once and not united.
+    per = Window.partitionBy(*scope, "_c")
+    told = x.filter("_s <> '' AND _y <> ''").select(*key).distinct().withColumn("_rank", F.try_element_at(rank, c("_s")))
+    told = told.withColumns({"_has": F.bool_or(c("_s") == target).over(Window.partitionBy(*scope, "_c", "_y")), "_asks": F.bool_or(c("_s") == target).over(per), "_r": F.min("_rank").over(per)})
+    lent = told.filter(c("_asks") & ~c("_has") & (c("_rank") == c("_r")) & ~F.upper("_y").isin(*excluded)).select(*key, F.lit(True).alias("_lent"))
+    x = x.withColumn("_k", F.row_number().over(Window.partitionBy(*key).orderBy(F.desc(order)))).join(lent.hint("merge"), key, "left")
+    row = lambda s, d: F.struct(s.alias("species"), d.cast("string").alias("donor"))
+    itself, copy = row(c(species), F.lit(None)), row(F.lit(target), c("_s"))
+    x = x.withColumn("_x", F.explode(F.when(c("_lent") & (c("_k") == 1), F.array(itself, copy)).otherwise(F.array(itself))))
+    return x.select(*(c("_x.species").alias(k) if k == species else c(k) for k in own), c("_x.donor").alias("donor"))
 
 
 def best_tier(candidates: DataFrame, key: list[str], tier: str, score: Column, order: list[str]) -> DataFrame:

@@ -434,3 +434,21 @@ def test_parts_grow_with_the_lines(spark, monkeypatch):
     monkeypatch.setattr(verification, "LINES_A_TASK", 400)
     base, n = verification.based(spark, DATA)
     assert n == base.rdd.getNumPartitions() == 15
+
+
+def test_copies_and_ids_stay_with_the_deal_by_document(spark):
+    """Rows dealt by document go through both steps with that deal alone."""
+    df = spark.createDataFrame([(1, 1, "PFOA", "CL", "rat", "a"), (1, 2, "PFOA", "CL", "rat", "a"), (1, 3, "PFOA", "V", "human", "a_2"), (None, 4, "PFOA", "V", "human", "a")], "doc int, ord int, compound string, symbol string, species string, id string").repartition(4, "doc")
+    plan = lambda x: x._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    lent, ids = repair.inherit(df, ["doc"], "compound", "symbol", "species", "ord"), repair.unique_ids(df, "id", ["ord"], ["doc"])
+    assert "Union" not in plan(lent) and plan(lent).count("Exchange") == 2 and plan(ids).count("Exchange") == 1
+    assert sorted((r.ord, r.species, str(r.donor)) for r in lent.collect()) == [(1, "rat", "None"), (2, "human", "rat"), (2, "rat", "None"), (3, "human", "None"), (4, "human", "None")]
+    assert sorted((r.ord, r.id) for r in ids.collect()) == [(1, "a"), (2, "a_3"), (3, "a_2"), (4, "a")]
+
+
+def test_a_citation_carries_the_first_row_of_each_path(spark):
+    path = ["Rat", "CL"]
+    t = spark.createDataFrame([CITED | {"rows": [{"row_id": f"r{i}", "path": p} for i, p in enumerate((["V"], path, path, None, ["V"], []))]}], TABLE)
+    p = spark.createDataFrame([(1, 1, CITED["table_id"])], "doc int, ord int, source_table string")
+    assert [r["row_id"] for r in evidence.cite(p, t, "doc").first()["evidence"]["rows"]] == ["r0", "r1", "r3", "r5"]
