@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import answers
 from ..operators.assess import ITEMS, NONE
 from .common import read
-from .verification import _BOTH, parameters_and_tables
+from .verification import _BOTH, heads, unwritten
 
 #: Facts as expressions over k, the customer's number, for both engines.
 K = {
@@ -51,8 +51,7 @@ def answer_search(spark, d):
 
 
 def answer_targets(spark, d):
-    _, t = parameters_and_tables(spark, d)
-    return answers.targets(t, "doc").select("doc", F.array_join("targets", ",").alias("targets"))
+    return answers.targets(heads(spark, unwritten(spark, d)), "doc").select("doc", F.array_join("targets", ",").alias("targets"))
 
 
 def basis_union(spark, d):

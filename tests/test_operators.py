@@ -452,3 +452,14 @@ def test_a_citation_carries_the_first_row_of_each_path(spark):
     t = spark.createDataFrame([CITED | {"rows": [{"row_id": f"r{i}", "path": p} for i, p in enumerate((["V"], path, path, None, ["V"], []))]}], TABLE)
     p = spark.createDataFrame([(1, 1, CITED["table_id"])], "doc int, ord int, source_table string")
     assert [r["row_id"] for r in evidence.cite(p, t, "doc").first()["evidence"]["rows"]] == ["r0", "r1", "r3", "r5"]
+
+
+def test_tables_that_no_two_branches_read_are_not_written(spark):
+    from tessera import catalog
+    from tessera.sources import work
+    from tests.conftest import DATA
+
+    for name, folders in (("answer_targets", 0), ("finalized", 1)):
+        before = len(work._made)
+        catalog.QUERIES[name](spark, DATA)
+        assert len(work._made) - before == folders
