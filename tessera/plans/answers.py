@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import answers
 from ..operators.assess import ITEMS, NONE
-from .common import read
+from .common import read, spread
 from .verification import _BOTH, heads, unwritten
 
 #: Facts as expressions over k, the customer's number, for both engines.
@@ -20,7 +20,7 @@ K = {
 
 
 def _facts(spark, d):
-    c = read(spark, d, "customer").select(F.col("c_custkey").alias("k"))
+    c = spread(read(spark, d, "customer").select(F.col("c_custkey").alias("k")))
     text, page = F.lit(None).cast("string"), F.lit(None).cast("int")
     one = lambda s, p=page, w=text, q=text: F.struct(p.alias("page"), F.lit(s).alias("section"), w.alias("location"), q.alias("quote"))
     if_ = lambda cond, *es: F.when(F.expr(cond), F.array(*es)).otherwise(F.array().cast(answers.EVIDENCE))

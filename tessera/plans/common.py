@@ -17,6 +17,16 @@ ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdat
 LINES_A_TASK = 500_000
 
 
+#: Rows for one task, where a short row costs much: the parts of a file follow
+#: from its bytes, and a small file of many rows would be one task.
+ROWS_A_TASK = 20_000
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df's rows, dealt evenly in parts of ROWS_A_TASK."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // ROWS_A_TASK)))
+
+
 def lines(spark: SparkSession, sf_dir: str, *columns: str, dealt: bool = False) -> DataFrame:
     """lineitem with `ord`, the place of a line in its order; dealt by order
     in parts of LINES_A_TASK, if asked for."""

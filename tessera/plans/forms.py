@@ -8,7 +8,7 @@ from ..functions import numbers
 from ..functions import text as T
 from ..operators import assembly, assess, extract
 from ..sources import documents, tables
-from .common import LINES, lines, read
+from .common import LINES, lines, read, spread
 from .texts import GRID
 
 
@@ -63,7 +63,7 @@ def nested_parameters(spark, d):
 
 
 def jats_metadata(spark, d):
-    p = read(spark, d, "part")
+    p = spread(read(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
     author = "<contrib><name><surname>{}</surname><given-names>{}</given-names></name></contrib>"
     xml = F.concat(F.lit("<article><title-group><article-title>"), "p_name", F.lit("</article-title></title-group><journal-title>"), "p_brand", F.lit("</journal-title>"), F.lit(author.format("B", "A") + author.format("D", "C")),
                    F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("<pub-date><year>20"), F.lpad((F.col("p_size") % 100).cast("string"), 2, "0"), F.lit("</year></pub-date><pub-date><year>1999</year></pub-date>"))).otherwise(""), F.lit("</article>"))

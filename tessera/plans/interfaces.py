@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import assess, inference, ingest, linescan, repair, retrieve, series
 from ..sources import literature, sinks
-from .common import read
+from .common import read, spread
 from .verification import BASE, PARAMETERS, parameters_and_tables
 
 
@@ -116,7 +116,7 @@ def parameter_table(spark, d):
 
 def line_records(spark, d):
     """Records of tables that stand as lines."""
-    p = read(spark, d, "part")
+    p = spread(read(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size"))
     page = F.concat_ws("\n", F.concat(F.lit("Table "), F.col("p_size").cast("string"), F.lit(" in rats")), F.lit("PFOS"), F.lit("PFOA"), F.concat("p_name", F.lit(" (L/kg)")), F.lit("Vd"), F.concat(F.col("p_size").cast("string"), F.lit(" (1, 2)")), F.col("p_size").cast("string"), F.lit("nd"), F.when(F.col("p_partkey") % 2 == 0, "References"), F.lit("Clearance of it"), F.lit("3.5"))
     x = linescan.scan(p.select("p_brand", "p_partkey", page.alias("text")), "p_brand", "p_partkey", "text")
     return linescan.statements(linescan.distinct_scan(x, "p_brand", "p_partkey")).select("p_brand", "p_partkey", "name", "symbol", "value", "low", "high", "unit", "species", "compound", "statement")

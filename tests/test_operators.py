@@ -454,6 +454,18 @@ def test_a_citation_carries_the_first_row_of_each_path(spark):
     assert [r["row_id"] for r in evidence.cite(p, t, "doc").first()["evidence"]["rows"]] == ["r0", "r1", "r3", "r5"]
 
 
+def test_short_rows_are_dealt_by_their_number(spark, monkeypatch):
+    """A small file of many costly rows is no single task."""
+    from tessera import catalog
+    from tessera.plans import common
+    from tests.conftest import DATA
+
+    monkeypatch.setattr(common, "ROWS_A_TASK", 10)
+    for name, rows in (("jats_metadata", "part"), ("fact_answers", "customer")):
+        n = -(-spark.read.parquet(f"{DATA}/{rows}.parquet").count() // 10)
+        assert catalog.QUERIES[name](spark, DATA).rdd.getNumPartitions() == n
+
+
 def test_tables_that_no_two_branches_read_are_not_written(spark):
     from tessera import catalog
     from tessera.sources import work
