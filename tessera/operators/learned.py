@@ -3,11 +3,10 @@
 A text's features are its words, their shapes (runs of letters and digits made
 one character each), neighbouring shapes, and the share of words that repeat
 the word before.  The fit counts, for each class, the labelled texts that hold
-a feature, so it is one pass with sums, over at most MOST labelled rows; its
-weights are whole thousandths of a logarithm, so sums of them are exact in any
-order.  The model has the FEATURES that most of these texts hold, whatever the
-corpus, which bounds its broadcast; whole texts of all documents are scored in
-the JVM.
+a feature, so it is one pass with sums, over all labelled rows; its weights are
+whole thousandths of a logarithm, so sums of them are exact in any order.  The
+model has the FEATURES that most of these texts hold, whatever the corpus,
+which bounds its broadcast; whole texts of all documents are scored in the JVM.
 """
 
 from __future__ import annotations
@@ -17,11 +16,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.work import written
+
 #: Features of a model, and the longest; longer ones, of texts without white
 #: space, are no features.
 FEATURES, LONGEST = 1 << 16, 64
-#: Labelled rows of a fit, those with the least digest of their key.
-MOST = 20_000
 #: A text speaks for its classes as so many independent features would:
 #: neighbouring words are not independent.
 EVIDENCE = 16
@@ -63,7 +62,7 @@ class Model:
     priors: list[int]
 
 
-def labelled(rows: DataFrame, key: str, most: int = MOST) -> DataFrame:
+def labelled(rows: DataFrame, key: str, most: int) -> DataFrame:
     """At most `most` of labelled rows, those with the least digest of their
     key, so that any order of the table gives the same.  Keys are taken first,
     as each part of the table sends its own `most` to the one task that takes
@@ -73,6 +72,17 @@ def labelled(rows: DataFrame, key: str, most: int = MOST) -> DataFrame:
     return first(rows.join(taken, F.col(key).eqNullSafe(F.col("_taken")), "left_semi"), key)
 
 
+def most(df: DataFrame, n: str, key: str, k: int) -> DataFrame:
+    """The k rows with the highest n, the least keys of equals.  The least n
+    that these may have is told by how many rows have each, so that a task
+    sends its rows from there on, not k of its own."""
+    from pyspark.sql import Window
+
+    each = df.groupBy(n).count().withColumn("_above", F.sum("count").over(Window.orderBy(F.desc(n))) - F.col("count"))
+    least = each.filter(F.col("_above") < k).agg(F.min(n)).first()[0]
+    return df.filter(F.col(n) >= F.lit(least)).orderBy(F.desc(n), key).limit(k)
+
+
 def fit(rows: DataFrame, key: str, text: str, label: str) -> Model:
     """A model of labelled rows (key, text, label), label one of CLASSES texts
     at most; rows without a label are nothing, of rows with one key one counts."""
@@ -84,7 +94,7 @@ def fit(rows: DataFrame, key: str, text: str, label: str) -> Model:
     thousandths = lambda x: F.round(1000 * F.ln(x)).cast("long")
     each = [thousandths((F.count_if(F.col("y") == c) + 1) / F.lit(n + 2.0)).alias(f"w{i}") for i, (c, n) in enumerate(counts.items())]
     weights = features(rows.dropDuplicates(["k"]), "t").groupBy("feature").agg(F.count("*").alias("n"), *each)
-    weights = weights.orderBy(F.desc("n"), "feature").limit(FEATURES).drop("n")
+    weights = most(written(weights, "features"), "n", "feature", FEATURES).drop("n")
     weights = spark.createDataFrame(weights.collect(), weights.schema)
     priors = spark.createDataFrame([(i, n / total) for i, n in enumerate(counts.values())], "i int, p double")
     return Model(list(counts), weights, [r.w for r in priors.select("i", thousandths(F.col("p")).alias("w")).orderBy("i").collect()])

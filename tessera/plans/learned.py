@@ -15,11 +15,12 @@ def _rows(spark, d):
     """Documents (doc_id, text, lang), and those with a quality label."""
     docs = read(spark, d, "documents").select("doc_id", "text", "lang")
     labels = read(spark, d, "labels").select("doc_id", F.when(F.col("quality") == 1, "good").when(F.col("quality") == 0, "poor").alias("label"))
-    return docs, docs.join(labels, "doc_id")
+    # A fit deals the texts by key anyway, so they are dealt once, for both.
+    return docs, docs.join(labels.hint("merge"), "doc_id")
 
 
 def _model(known, label):
-    return learned.fit(learned.labelled(known.filter("doc_id % 5 <> 0"), "doc_id"), "doc_id", "text", label)
+    return learned.fit(known.filter("doc_id % 5 <> 0"), "doc_id", "text", label)
 
 
 def learned_relevance(spark, d):
@@ -56,7 +57,7 @@ K AS (SELECT doc_id, lang, CASE quality WHEN 1 THEN 'good' WHEN 0 THEN 'poor' EN
 
 def _scored(label: str) -> str:
     """SC (doc_id, y, p): the probability of each class, of all documents."""
-    return _FEATURES + rf"""S AS (SELECT doc_id, {label} AS y FROM K WHERE doc_id % 5 <> 0 ORDER BY md5(doc_id::VARCHAR), doc_id LIMIT {learned.MOST}),
+    return _FEATURES + rf"""S AS (SELECT doc_id, {label} AS y FROM K WHERE doc_id % 5 <> 0),
 C AS (SELECT y, count(*) AS n, round(1000 * ln(count(*) / (SELECT count(*) FROM S WHERE y IS NOT NULL)))::BIGINT AS prior FROM S WHERE y IS NOT NULL GROUP BY y),
 M AS (SELECT b.f, C.y, round(1000 * ln((coalesce(m, 0) + 1) / (n + 2.0::DOUBLE)))::BIGINT AS w FROM (SELECT f, count(*) AS c FROM F JOIN S USING (doc_id) WHERE y IS NOT NULL GROUP BY f ORDER BY c DESC, f LIMIT {learned.FEATURES}) AS b CROSS JOIN C
   LEFT JOIN (SELECT f, y, count(*) AS m FROM F JOIN S USING (doc_id) GROUP BY ALL) AS h ON h.f = b.f AND h.y = C.y),

@@ -68,3 +68,28 @@ def test_texts_are_sent_of_taken_rows_alone(spark):
     got = learned.labelled(rows, "k", 7)
     assert [r.k for r in got.collect()] == [r.k for r in rows.orderBy(learned.F.md5(learned.F.col("k").cast("string")), "k").limit(7).collect()]
     assert got._jdf.queryExecution().optimizedPlan().toString().count("GlobalLimit 7") == 2
+
+
+def test_the_queries_fit_on_all_labelled_rows(spark):
+    import hashlib
+
+    from tessera.catalog import ORACLE_SQL
+    from tessera.plans import learned as plan
+
+    ids = [i for i in range(25_200) if i % 5]
+    last = max(ids, key=lambda i: hashlib.md5(str(i).encode()).hexdigest())
+    rows = [(i, "a b" + " alone" * (i == last), "good" if i % 2 else "poor") for i in ids]
+    got = plan._model(spark.createDataFrame(rows, "doc_id long, text string, label string"), "label")
+    assert got.weights.filter("feature = 'w:alone'").count() == 1
+    assert not any("md5" in ORACLE_SQL[q] for q in plan.QUERIES)
+
+
+def test_most_held_features_are_taken_without_k_of_each_task(spark):
+    r = random.Random(2)
+    rows = [(f"f{i}", r.randint(1, 9)) for i in range(500)]
+    df = spark.createDataFrame(rows, "feature string, n long").repartition(6)
+    for k in (0, 1, 40, 400, 900):
+        want = sorted(rows, key=lambda x: (-x[1], x[0]))[:k]
+        assert [tuple(x) for x in learned.most(df, "n", "feature", k).collect()] == want
+    few = learned.most(df, "n", "feature", 40)._jdf.queryExecution().optimizedPlan().toString()
+    assert ">= 9" in few or ">= 8" in few
